@@ -21,12 +21,14 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from lumenreg.config import FEATURE_COLS, LABEL_COL, PREDICTION_COL
 from lumenreg.operators import ridge as R
+from lumenreg.operators.partitioning import balanced
 
 
 def build_grid(estimator, spec: dict | None) -> list:
@@ -127,49 +129,107 @@ def _rmse_of(model, df: DataFrame, label: str) -> float:
     return float(row["r"])
 
 
+def _shares_step_size(estimator, param_maps: list) -> bool:
+    """True when boosted candidates differing only in stepSize share their trees.
+
+    MLlib fits tree 0 on the label with weight 1 and tree 1 on the negative
+    gradient at tree 0's prediction; neither depends on the learning rate,
+    which only weights tree 1 (and later trees' inputs). So with at most two
+    iterations and no early stopping, one fit per "all but stepSize" group
+    serves every stepSize, scored from the individual trees.
+    """
+    if not isinstance(estimator, GBTRegressor) or len(param_maps) < 2:
+        return False
+    names = {p.name for pm in param_maps for p in pm}
+    if "stepSize" not in names or "maxIter" in names:
+        return False
+    if estimator.isSet("validationIndicatorCol") and estimator.getValidationIndicatorCol():
+        return False
+    return estimator.getMaxIter() <= 2
+
+
+def _boosted_rmse_by_step(model, df: DataFrame, label: str, steps: list[float]) -> list[float]:
+    """Validation RMSE of tree_0 * w_0 + s * tree_1 for every s, in one pass."""
+    trees, weights = model.trees, list(model.treeWeights)
+    scored = df
+    for i, t in enumerate(trees):
+        scored = t.copy({t.predictionCol: f"_p{i}"}).transform(scored)
+    base = sum((F.col(f"_p{i}") * F.lit(float(weights[i])) for i in range(len(trees) - 1)),
+               F.lit(0.0))
+    last = F.col(f"_p{len(trees) - 1}") if len(trees) > 1 else F.lit(0.0)
+    if len(trees) == 1:
+        base = F.col("_p0") * F.lit(float(weights[0]))
+    aggs = [F.sqrt(F.avg(F.pow(F.col(label) - (base + F.lit(float(s)) * last), 2))).alias(f"r{j}")
+            for j, s in enumerate(steps)]
+    row = scored.agg(*aggs).first()
+    return [float(row[f"r{j}"]) for j in range(len(steps))]
+
+
 def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
                    split_col: str, splits: list[tuple[list, object]],
-                   label: str = LABEL_COL, parallelism: int = 4,
+                   label: str = LABEL_COL, parallelism: int = 8,
                    persist: bool = True) -> TuningResult:
     """Fit every (candidate, split) pair, average validation RMSE, refit the best.
 
     ``df`` must already hold the assembled ``features`` column and the
-    ``split_col`` group column. It is persisted (memory, spilling to disk) for
-    the duration: every fit re-reads it.
+    ``split_col`` group column. It is spread over the cores if it is smaller
+    than that, persisted (memory, spilling to disk) and materialised once
+    before the concurrent fits start, so no two fits compute the same
+    partition. Boosted candidates that differ only in ``stepSize`` share one
+    fit when that is exact (see :func:`_shares_step_size`).
     """
     param_maps = param_maps or [{}]
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
+    cached = balanced(df).persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     try:
-        jobs = [(ci, si) for ci in range(len(param_maps)) for si in range(len(splits))]
+        n_rows = cached.count()
+        share = _shares_step_size(estimator, param_maps)
+        if share:
+            step_param = estimator.getParam("stepSize")
+            groups: dict = {}
+            for ci, pm in enumerate(param_maps):
+                key = tuple(sorted((p.name, v) for p, v in pm.items() if p.name != "stepSize"))
+                groups.setdefault(key, []).append(ci)
+            units = [idx for idx in groups.values()]
+        else:
+            units = [[ci] for ci in range(len(param_maps))]
+        jobs = [(ui, si) for ui in range(len(units)) for si in range(len(splits))]
 
         def run(job):
-            ci, si = job
+            ui, si = job
+            members = units[ui]
             train_keys, val_key = splits[si]
             train = cached.filter(F.col(split_col).isin(list(train_keys)))
             val = cached.filter(F.col(split_col) == F.lit(val_key))
-            model = estimator.fit(train, param_maps[ci])
-            return ci, si, _rmse_of(model, val, label)
+            model = estimator.fit(train, param_maps[members[0]])
+            if share:
+                steps = [param_maps[ci].get(step_param, estimator.getStepSize()) for ci in members]
+                return [(ci, si, v) for ci, v in zip(members, _boosted_rmse_by_step(model, val, label, steps))]
+            return [(members[0], si, _rmse_of(model, val, label))]
 
         per = np.zeros((len(param_maps), len(splits)))
         workers = max(1, min(parallelism, len(jobs)))
         if workers == 1:
-            results = map(run, jobs)
+            for out in map(run, jobs):
+                for ci, si, value in out:
+                    per[ci, si] = value
         else:
             pool = ThreadPool(processes=workers)
-            results = pool.imap_unordered(
-                inheritable_thread_target(cached.sparkSession)(run), jobs)
-        for ci, si, value in results:
-            per[ci, si] = value
-        if workers > 1:
-            pool.close()
-            pool.join()
+            try:
+                target = inheritable_thread_target(cached.sparkSession)(run)
+                for out in pool.imap_unordered(target, jobs):
+                    for ci, si, value in out:
+                        per[ci, si] = value
+            finally:
+                pool.close()
+                pool.join()
         metrics = per.mean(axis=1).tolist()
         best = best_index(metrics)
         model = estimator.fit(cached, param_maps[best])
     finally:
         if persist:
             cached.unpersist()
-    return TuningResult(grid_dicts(param_maps), metrics, best, model, per.tolist())
+    return TuningResult(grid_dicts(param_maps), metrics, best, model, per.tolist(),
+                        {"n_rows": n_rows, "fits": len(jobs) + 1})
 
 
 # --------------------------------------------------------------------------

@@ -130,14 +130,14 @@ def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group,
     pred = E.predictions(scored)
     E.publish(pred, view)
     report = E.rmse_frame(scored).first()
-    n_train = train.count()
+    n_train = int(res.extra["n_rows"])
     return WorkflowResult(name, res, pred, view, float(report["rmse"]), n_train,
                           int(report["n_rows"]), model)
 
 
 def tree_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.TREE_CV_FOLDS,
             max_depth: int = 5, max_bins: int = C.TREE_MAX_BINS, grid: dict | None = None,
-            key_cols=None, h: str = "h", parallelism: int = 4, seed: int = 1,
+            key_cols=None, h: str = "h", parallelism: int = 8, seed: int = 1,
             train_fraction: float = C.TRAIN_TEST_WEIGHTS[0]) -> WorkflowResult:
     """W3: decision-tree regression tuned by k-fold cross-validation."""
     feats = feature_rows(rows, key_cols, h)
@@ -150,7 +150,7 @@ def tree_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.TREE_CV_FOLDS,
 
 def gbt_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_TRAIN_RATIO,
             max_bins: int = C.TREE_MAX_BINS, max_iter: int = C.GBT_MAX_ITER,
-            grid: dict | None = None, key_cols=None, h: str = "h", parallelism: int = 4,
+            grid: dict | None = None, key_cols=None, h: str = "h", parallelism: int = 8,
             seed: int = 1, train_fraction: float = C.TRAIN_TEST_WEIGHTS[0]) -> WorkflowResult:
     """W4: gradient-boosted-tree regression tuned on a held-out validation cut."""
     feats = feature_rows(rows, key_cols, h)
