@@ -172,16 +172,16 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
     """Fit every (candidate, split) pair, average validation RMSE, refit the best.
 
     ``df`` must already hold the assembled ``features`` column and the
-    ``split_col`` group column. It is spread over the cores if it is smaller
-    than that, persisted (memory, spilling to disk) and materialised once
-    before the concurrent fits start, so no two fits compute the same
-    partition. Boosted candidates that differ only in ``stepSize`` share one
+    ``split_col`` group column. With ``persist`` it is spread over the cores
+    if it is smaller than that, persisted (memory, spilling to disk) and
+    materialised once before the concurrent fits start, so no two fits
+    compute the same partition; without, the caller has done so. Boosted candidates that differ only in ``stepSize`` share one
     fit when that is exact (see :func:`_shares_step_size`).
     """
     param_maps = param_maps or [{}]
     cached = balanced(df).persist(StorageLevel.MEMORY_AND_DISK) if persist else df
     try:
-        n_rows = cached.count()
+        n_rows = cached.count() if persist else None
         share = _shares_step_size(estimator, param_maps)
         if share:
             step_param = estimator.getParam("stepSize")

@@ -222,6 +222,12 @@ def q_prediction_view(spark, sf_dir):
         C.TRUE_LABEL_COL, sig_round(C.PREDICTION_COL).alias(C.PREDICTION_COL))
 
 
+def q_prediction_preview(spark, sf_dir):
+    """S8: the first 20 prediction rows as a DataFrame (the preview is the feature)."""
+    model, test = _stump(spark, sf_dir)
+    return E.preview(E.predictions(E.score(model, test), keep_features=False), 20)
+
+
 def q_dt_cv_workflow(spark, sf_dir):
     """W3 end to end (depth 5, 5-fold CV): report row (no closed SQL form)."""
     return W.tree_cv(spark, tpch_sales(spark, sf_dir)).report(spark)
@@ -250,6 +256,7 @@ QUERIES = {
     "dt_cv_stump": q_dt_cv_stump,
     "gbt_two_stumps": q_gbt_two_stumps,
     "prediction_view": q_prediction_view,
+    "prediction_preview": q_prediction_preview,
     "dt_cv_workflow": q_dt_cv_workflow,
     "gbt_tvs_grid": q_gbt_tvs_grid,
 }

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ from lumenreg.functions.keys import fold_of, holdout_slot, split_digit
 from lumenreg.operators import evaluate as E
 from lumenreg.operators import models as M
 from lumenreg.operators import tuning as T
+from lumenreg.operators.binning import plan_bins
+from lumenreg.operators.partitioning import balanced
 from lumenreg.operators.prepare import prepare_features
 from lumenreg.operators.ridge import group_rmse
 from lumenreg.operators.split import rename_label, with_key_hash
@@ -68,20 +71,31 @@ def feature_rows(rows: DataFrame, key_cols: list[str] | None = None, h: str = "h
     return prepare_features(rows, extra=[h])
 
 
-def _test_part(features: DataFrame, train_digits: int, h: str) -> DataFrame:
-    return features.filter(split_digit(h) >= train_digits)
-
-
-def _train_part(features: DataFrame, train_digits: int, h: str) -> DataFrame:
-    return features.filter(split_digit(h) < train_digits)
+def split_parts(features: DataFrame, train_fraction: float, h: str,
+                split: str = "hash", seed: int = 42):
+    """(train, test): hash digits of the row key, or Spark's seeded randomSplit."""
+    if split == "hash":
+        d = round(train_fraction * 10)
+        return (features.filter(split_digit(h) < d), features.filter(split_digit(h) >= d))
+    if split == "random":
+        train, test = features.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
+        return train, test
+    raise ValueError(f"split must be 'hash' or 'random', got {split!r}")
 
 
 def _ridge_workflow(spark, name, feats, group, splits, refit_keys, grid, view, h,
-                    train_digits):
+                    train_fraction, split, seed):
     est = M.linear()
     param_maps = T.grid_dicts(T.build_grid(est, grid))
-    with_group = feats.withColumn(
-        "_grp", F.when(split_digit(h) >= train_digits, F.lit(TEST_GROUP)).otherwise(group))
+    train, test = split_parts(feats, train_fraction, h, split, seed)
+    if split == "hash":
+        # one scan: the test rows are just another group of the same aggregation
+        d = round(train_fraction * 10)
+        with_group = feats.withColumn(
+            "_grp", F.when(split_digit(h) >= d, F.lit(TEST_GROUP)).otherwise(group))
+    else:
+        with_group = (train.withColumn("_grp", group)
+                      .unionByName(test.withColumn("_grp", F.lit(TEST_GROUP))))
     res = T.tune_ridge(with_group, param_maps, group_col="_grp", splits=splits,
                        refit_keys=refit_keys, default_reg=C.LR_REG_PARAM)
     moments = res.extra["moments"]
@@ -89,8 +103,7 @@ def _ridge_workflow(spark, name, feats, group, splits, refit_keys, grid, view, h
     n_test = int(moments[TEST_GROUP].n) if TEST_GROUP in moments else 0
     n_train = int(sum(moments[k].n for k in refit_keys if k in moments))
     test_rmse = group_rmse(moments[TEST_GROUP], fit) if n_test else float("nan")
-    test = rename_label(_test_part(feats, train_digits, h))
-    scored = fit.transform(M.assembler().transform(test))
+    scored = fit.transform(M.assembler().transform(rename_label(test)))
     pred = E.predictions(scored)
     E.publish(pred, view)
     return WorkflowResult(name, res, pred, view, test_rmse, n_train, n_test, fit)
@@ -98,60 +111,70 @@ def _ridge_workflow(spark, name, feats, group, splits, refit_keys, grid, view, h
 
 def linear_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.LR_CV_FOLDS,
               grid: dict | None = None, key_cols=None, h: str = "h",
-              train_fraction: float = C.TRAIN_TEST_WEIGHTS[0]) -> WorkflowResult:
+              train_fraction: float = C.TRAIN_TEST_WEIGHTS[0], split: str = "hash",
+              seed: int = 42) -> WorkflowResult:
     """W1: ridge regression tuned by k-fold cross-validation (one pass)."""
     feats = feature_rows(rows, key_cols, h)
-    d = round(train_fraction * 10)
     return _ridge_workflow(spark, "linear_cv", feats, fold_of(k, h), T.kfold_splits(k),
-                           list(range(k)), grid or C.LR_GRID, C.VIEW_NAMES["lr_cv"], h, d)
+                           list(range(k)), grid or C.LR_GRID, C.VIEW_NAMES["lr_cv"], h,
+                           train_fraction, split, seed)
 
 
 def linear_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_TRAIN_RATIO,
                grid: dict | None = None, key_cols=None, h: str = "h",
-               train_fraction: float = C.TRAIN_TEST_WEIGHTS[0]) -> WorkflowResult:
+               train_fraction: float = C.TRAIN_TEST_WEIGHTS[0], split: str = "hash",
+               seed: int = 42) -> WorkflowResult:
     """W2: ridge regression tuned on a held-out validation cut (one pass)."""
     feats = feature_rows(rows, key_cols, h)
-    d = round(train_fraction * 10)
     cut = round(train_ratio * 1000)
     group = F.when(holdout_slot(h) >= cut, F.lit(1)).otherwise(F.lit(0))
     return _ridge_workflow(spark, "linear_tvs", feats, group, [([0], 1)], [0, 1],
-                           grid or C.LR_GRID, C.VIEW_NAMES["lr_tvs"], h, d)
+                           grid or C.LR_GRID, C.VIEW_NAMES["lr_tvs"], h, train_fraction,
+                           split, seed)
 
 
 def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group, splits,
-                   view, h, train_digits, parallelism):
-    assembled = M.assembler().transform(feats)
-    train = _train_part(assembled, train_digits, h).withColumn(split_col, group)
-    res = T.tune_estimator(estimator, param_maps, train, split_col=split_col,
-                           splits=splits, parallelism=parallelism)
-    model = PipelineModel(stages=[M.assembler(), res.model])
-    test = rename_label(_test_part(feats, train_digits, h))
-    scored = model.transform(test)
+                   view, h, train_fraction, split, seed, parallelism, max_bins):
+    train, test = split_parts(feats, train_fraction, h, split, seed)
+    cached = balanced(train.withColumn(split_col, group)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # one pass: materialises the cache, counts rows and distinct values
+        plan = plan_bins(cached, list(C.FEATURE_COLS), max_bins)
+        prep = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols)])
+        res = T.tune_estimator(estimator, param_maps, prep.transform(cached),
+                               split_col=split_col, splits=splits,
+                               parallelism=parallelism, persist=False)
+    finally:
+        cached.unpersist()
+    model = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols), res.model])
+    scored = model.transform(rename_label(test))
     pred = E.predictions(scored)
     E.publish(pred, view)
     report = E.rmse_frame(scored).first()
-    n_train = int(res.extra["n_rows"])
-    return WorkflowResult(name, res, pred, view, float(report["rmse"]), n_train,
-                          int(report["n_rows"]), model)
+    return WorkflowResult(name, res, pred, view, float(report["rmse"]), plan.n_rows,
+                          int(report["n_rows"]), model,
+                          {"distinct": plan.distinct, "binned": plan.binned})
 
 
 def tree_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.TREE_CV_FOLDS,
             max_depth: int = 5, max_bins: int = C.TREE_MAX_BINS, grid: dict | None = None,
             key_cols=None, h: str = "h", parallelism: int = 8, seed: int = 1,
-            train_fraction: float = C.TRAIN_TEST_WEIGHTS[0]) -> WorkflowResult:
+            train_fraction: float = C.TRAIN_TEST_WEIGHTS[0], split: str = "hash",
+            split_seed: int = 42) -> WorkflowResult:
     """W3: decision-tree regression tuned by k-fold cross-validation."""
     feats = feature_rows(rows, key_cols, h)
     est = M.tree(max_bins=max_bins, max_depth=max_depth, seed=seed)
     param_maps = T.build_grid(est, grid)
     return _tree_workflow(spark, "tree_cv", feats, est, param_maps, "fold", fold_of(k, h),
-                          T.kfold_splits(k), C.VIEW_NAMES["dt_cv"], h,
-                          round(train_fraction * 10), parallelism)
+                          T.kfold_splits(k), C.VIEW_NAMES["dt_cv"], h, train_fraction,
+                          split, split_seed, parallelism, max_bins)
 
 
 def gbt_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_TRAIN_RATIO,
             max_bins: int = C.TREE_MAX_BINS, max_iter: int = C.GBT_MAX_ITER,
             grid: dict | None = None, key_cols=None, h: str = "h", parallelism: int = 8,
-            seed: int = 1, train_fraction: float = C.TRAIN_TEST_WEIGHTS[0]) -> WorkflowResult:
+            seed: int = 1, train_fraction: float = C.TRAIN_TEST_WEIGHTS[0],
+            split: str = "hash", split_seed: int = 42) -> WorkflowResult:
     """W4: gradient-boosted-tree regression tuned on a held-out validation cut."""
     feats = feature_rows(rows, key_cols, h)
     est = M.boosted(max_bins=max_bins, max_iter=max_iter, seed=seed)
@@ -159,5 +182,5 @@ def gbt_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_
     cut = round(train_ratio * 1000)
     group = F.when(holdout_slot(h) >= cut, F.lit(1)).otherwise(F.lit(0))
     return _tree_workflow(spark, "gbt_tvs", feats, est, param_maps, "is_validation", group,
-                          [([0], 1)], C.VIEW_NAMES["gbt_tvs"], h,
-                          round(train_fraction * 10), parallelism)
+                          [([0], 1)], C.VIEW_NAMES["gbt_tvs"], h, train_fraction,
+                          split, split_seed, parallelism, max_bins)

@@ -1 +1,8 @@
-"""streaming."""
+"""Streaming.
+
+The sales workflows are batch jobs: sources are files or catalog tables and
+nothing is read continuously, so there is no streaming operator to provide.
+A fitted workflow model is an ordinary ``PipelineModel`` (or, for the ridge
+fast path, a column expression), both of which also apply to a streaming
+DataFrame unchanged.
+"""
