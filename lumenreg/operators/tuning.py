@@ -193,9 +193,18 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
         else:
             units = [[ci] for ci in range(len(param_maps))]
         jobs = [(ui, si) for ui in range(len(units)) for si in range(len(splits))]
+        # a single candidate is the winner whatever the metrics: refit it
+        # alongside the split fits instead of after them
+        early_refit = len(param_maps) == 1
+        if early_refit:
+            jobs.append((-1, -1))
+        refit: dict = {}
 
         def run(job):
             ui, si = job
+            if ui < 0:
+                refit["model"] = estimator.fit(cached, param_maps[0])
+                return []
             members = units[ui]
             train_keys, val_key = splits[si]
             train = cached.filter(F.col(split_col).isin(list(train_keys)))
@@ -224,12 +233,12 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
                 pool.join()
         metrics = per.mean(axis=1).tolist()
         best = best_index(metrics)
-        model = estimator.fit(cached, param_maps[best])
+        model = refit["model"] if early_refit else estimator.fit(cached, param_maps[best])
     finally:
         if persist:
             cached.unpersist()
     return TuningResult(grid_dicts(param_maps), metrics, best, model, per.tolist(),
-                        {"n_rows": n_rows, "fits": len(jobs) + 1})
+                        {"n_rows": n_rows, "fits": len(jobs) + (0 if early_refit else 1)})
 
 
 # --------------------------------------------------------------------------

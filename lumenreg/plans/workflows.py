@@ -136,12 +136,18 @@ def linear_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.T
 def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group, splits,
                    view, h, train_fraction, split, seed, parallelism, max_bins):
     train, test = split_parts(feats, train_fraction, h, split, seed)
-    cached = balanced(train.withColumn(split_col, group)).persist(StorageLevel.MEMORY_AND_DISK)
+    # the assembled rows are cached (vectors built once for all fits); raw
+    # feature columns stay alongside for the distinct-value check
+    assembled = M.assembler().transform(train.withColumn(split_col, group))
+    cached = balanced(assembled).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # one pass: materialises the cache, counts rows and distinct values
         plan = plan_bins(cached, list(C.FEATURE_COLS), max_bins)
-        prep = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols)])
-        res = T.tune_estimator(estimator, param_maps, prep.transform(cached),
+        fit_rows = cached
+        if plan.stages:
+            prep = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols)])
+            fit_rows = prep.transform(cached.drop(C.FEATURES_COL))
+        res = T.tune_estimator(estimator, param_maps, fit_rows,
                                split_col=split_col, splits=splits,
                                parallelism=parallelism, persist=False)
     finally:
