@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` partitions (default: cores).
+def cache_spread(df: DataFrame, min_partitions: int | None = None,
+                 level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Persist ``df``, materialise it once and return ``(cached, n_rows)``.
 
-    Inputs that are re-read by many jobs (the training rows of a tuning run)
-    should keep every core busy. A big scan already has at least that many
-    partitions and is returned untouched (no shuffle); only a small input with
-    fewer partitions than cores (e.g. one parquet row group) is spread by a
-    round-robin repartition, which Spark makes deterministic on retry.
+    Inputs re-read by many jobs (the training rows of a tuning run) should
+    keep every core busy. The partition count is read only *after* the cache
+    is materialised: asking an adaptive plan for its partitions earlier would
+    execute its shuffle and broadcast stages just to count them. A cache with
+    at least ``min_partitions`` partitions (default: the cores; any large scan)
+    is returned as it is; a small one (e.g. one parquet row group) is spread
+    by a round-robin repartition of the cached rows — deterministic on retry,
+    as Spark sorts before round-robin partitioning — and cached again.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    cached = df.persist(level)
+    n_rows = cached.count()
+    if cached.rdd.getNumPartitions() >= target:
+        return cached, n_rows
+    spread = cached.repartition(target).persist(level)
+    spread.count()
+    cached.unpersist()
+    return spread, n_rows

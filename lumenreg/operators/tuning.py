@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor
@@ -28,7 +27,7 @@ from pyspark.util import inheritable_thread_target
 
 from lumenreg.config import FEATURE_COLS, LABEL_COL, PREDICTION_COL
 from lumenreg.operators import ridge as R
-from lumenreg.operators.partitioning import balanced
+from lumenreg.operators.partitioning import cache_spread
 
 
 def build_grid(estimator, spec: dict | None) -> list:
@@ -179,9 +178,8 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
     fit when that is exact (see :func:`_shares_step_size`).
     """
     param_maps = param_maps or [{}]
-    cached = balanced(df).persist(StorageLevel.MEMORY_AND_DISK) if persist else df
+    cached, n_rows = cache_spread(df) if persist else (df, None)
     try:
-        n_rows = cached.count() if persist else None
         share = _shares_step_size(estimator, param_maps)
         if share:
             step_param = estimator.getParam("stepSize")

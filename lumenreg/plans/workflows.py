@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ from lumenreg.operators import evaluate as E
 from lumenreg.operators import models as M
 from lumenreg.operators import tuning as T
 from lumenreg.operators.binning import plan_bins
-from lumenreg.operators.partitioning import balanced
+from lumenreg.operators.partitioning import cache_spread
 from lumenreg.operators.prepare import prepare_features
 from lumenreg.operators.ridge import group_rmse
 from lumenreg.operators.split import rename_label, with_key_hash
@@ -139,9 +138,9 @@ def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group,
     # the assembled rows are cached (vectors built once for all fits); raw
     # feature columns stay alongside for the distinct-value check
     assembled = M.assembler().transform(train.withColumn(split_col, group))
-    cached = balanced(assembled).persist(StorageLevel.MEMORY_AND_DISK)
+    cached, _ = cache_spread(assembled)
     try:
-        # one pass: materialises the cache, counts rows and distinct values
+        # counts rows and distinct values over the cached rows
         plan = plan_bins(cached, list(C.FEATURE_COLS), max_bins)
         fit_rows = cached
         if plan.stages:
