@@ -158,7 +158,12 @@ def fit_ridge(m: Moments, reg_param: float, standardization: bool = True,
                 pen = np.full(active.size, lam)
             else:
                 pen = lam / (sx * sx)
-            w = np.linalg.solve(corr + np.diag(pen), rhs)
+            system = corr + np.diag(pen)
+            try:
+                w = np.linalg.solve(system, rhs)
+            except np.linalg.LinAlgError:
+                # singular (no penalty, collinear inputs): least-squares solution
+                w = np.linalg.lstsq(system, rhs, rcond=None)[0]
             coef[active] = w * sd_y / sx
     intercept = float(m.mean[p] - coef @ m.mean[:p])
     return RidgeFit(coef, intercept, list(features))

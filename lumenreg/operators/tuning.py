@@ -104,6 +104,8 @@ def tune_ridge(df: DataFrame, param_maps: list[dict], *, group_col: str,
         for train_keys, val_key in splits:
             train = R.Moments.combine(moments[k] for k in train_keys if k in moments)
             fit = R.fit_ridge(train, lam, standardization, features)
+            if val_key not in moments:
+                raise ValueError(f"validation group {val_key!r} has no rows")
             vals.append(R.group_rmse(moments[val_key], fit))
         per_reg[lam], per_reg_splits[lam] = float(np.mean(vals)), vals
     metrics = [per_reg[lam] for lam in regs]

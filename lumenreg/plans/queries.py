@@ -113,12 +113,17 @@ def q_random_split_invariants(spark, sf_dir):
     """R1 (seeded randomSplit): the parts partition the input exactly."""
     f = _features(spark, sf_dir)
     train, test = random_split(f, C.TRAIN_TEST_WEIGHTS, seed=42)
-    both = train.unionByName(test)
-    n = f.agg(F.count(F.lit(1)).alias("n_rows"))
-    n_parts = both.agg(F.count(F.lit(1)).alias("n_parts_rows"))
-    missing = f.exceptAll(both).agg(F.count(F.lit(1)).alias("n_missing"))
-    extra = both.exceptAll(f).agg(F.count(F.lit(1)).alias("n_extra"))
-    return n.crossJoin(n_parts).crossJoin(missing).crossJoin(extra)
+    cols = f.columns
+    tagged = (f.withColumn("_in", F.lit(1)).withColumn("_out", F.lit(0))
+              .unionByName(train.unionByName(test)
+                           .withColumn("_in", F.lit(0)).withColumn("_out", F.lit(1))))
+    # per distinct row: copies in the input vs copies over both parts
+    per_row = tagged.groupBy(*cols).agg(F.sum("_in").alias("a"), F.sum("_out").alias("b"))
+    return per_row.agg(
+        F.sum("a").cast("bigint").alias("n_rows"),
+        F.sum("b").cast("bigint").alias("n_parts_rows"),
+        F.sum(F.greatest(F.col("a") - F.col("b"), F.lit(0))).cast("bigint").alias("n_missing"),
+        F.sum(F.greatest(F.col("b") - F.col("a"), F.lit(0))).cast("bigint").alias("n_extra"))
 
 
 def q_kfold_counts(spark, sf_dir):

@@ -118,3 +118,16 @@ def test_candidates_frame(spark):
     rows = res.candidates(spark).orderBy("candidate").collect()
     assert [r.is_best for r in rows] == [False, True]
     assert T.best_index([1.0, 1.0, 0.5, 0.5]) == 2
+
+
+def test_singular_and_constant_inputs(spark):
+    rows = [(float(i), 2.0 * i, 1.0, 3.0 * i + 1.0) for i in range(20)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label double")
+    mom = R.grouped_moments(df, None, ["a", "b", "c"], "label")[None]
+    fit = R.fit_ridge(mom, 0.0, features=["a", "b", "c"])  # a, b collinear; c constant
+    assert fit.coefficients[2] == 0.0
+    pred = fit.transform(df).agg(F.max(F.abs(F.col("prediction") - F.col("label")))).first()[0]
+    assert pred < 1e-6
+    with pytest.raises(ValueError, match="no rows"):
+        T.tune_ridge(df.withColumn("g", F.lit(0)), [{"regParam": 0.1}], group_col="g",
+                     splits=[([0], 1)], refit_keys=[0], features=["a", "b", "c"])
