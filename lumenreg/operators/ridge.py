@@ -181,17 +181,3 @@ def group_sse(m: Moments, fit: RidgeFit) -> float:
 
 def group_rmse(m: Moments, fit: RidgeFit) -> float:
     return float(np.sqrt(group_sse(m, fit) / m.n))
-
-
-def search(moments: dict, splits: list[tuple[list, object]], reg_params: list[float],
-           standardization: bool = True, features: list[str] = FEATURE_COLS):
-    """Metric (mean RMSE over splits) for each regParam; splits = [(train keys, val key)]."""
-    metrics = []
-    for lam in reg_params:
-        per_split = []
-        for train_keys, val_key in splits:
-            train = Moments.combine(moments[k] for k in train_keys if k in moments)
-            fit = fit_ridge(train, lam, standardization, features)
-            per_split.append(group_rmse(moments[val_key], fit))
-        metrics.append(float(np.mean(per_split)))
-    return metrics
