@@ -7,8 +7,13 @@ from pyspark.sql import DataFrame
 
 
 def cache_spread(df: DataFrame, min_partitions: int | None = None,
-                 level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Persist ``df``, materialise it once and return ``(cached, n_rows)``.
+                 level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+                 first_action=None):
+    """Persist ``df``, materialise it once and return ``(cached, result)``.
+
+    ``first_action(cached)`` is the job that materialises the cache (default:
+    ``count``), so a statistic the caller needs anyway costs no extra pass;
+    its result is returned.
 
     Inputs re-read by many jobs (the training rows of a tuning run) should
     keep every core busy. The partition count is read only *after* the cache
@@ -21,10 +26,10 @@ def cache_spread(df: DataFrame, min_partitions: int | None = None,
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     cached = df.persist(level)
-    n_rows = cached.count()
+    result = (first_action or DataFrame.count)(cached)
     if cached.rdd.getNumPartitions() >= target:
-        return cached, n_rows
+        return cached, result
     spread = cached.repartition(target).persist(level)
     spread.count()
     cached.unpersist()
-    return spread, n_rows
+    return spread, result

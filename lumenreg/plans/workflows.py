@@ -138,10 +138,10 @@ def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group,
     # the assembled rows are cached (vectors built once for all fits); raw
     # feature columns stay alongside for the distinct-value check
     assembled = M.assembler().transform(train.withColumn(split_col, group))
-    cached, _ = cache_spread(assembled)
+    # the pass that materialises the cache also counts rows and distinct values
+    cached, plan = cache_spread(
+        assembled, first_action=lambda d: plan_bins(d, list(C.FEATURE_COLS), max_bins))
     try:
-        # counts rows and distinct values over the cached rows
-        plan = plan_bins(cached, list(C.FEATURE_COLS), max_bins)
         fit_rows = cached
         if plan.stages:
             prep = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols)])
