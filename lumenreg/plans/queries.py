@@ -18,6 +18,7 @@ from lumenreg.functions.keys import fold_of, holdout_slot, split_digit
 from lumenreg.functions.numeric import sig_round
 from lumenreg.operators import evaluate as E
 from lumenreg.operators import models as M
+from lumenreg.operators import ridge as R
 from lumenreg.operators import tuning as T
 from lumenreg.operators.prepare import drop_incomplete, prepare_features, to_feature_rows
 from lumenreg.operators.split import hash_split, random_split, rename_label
@@ -159,6 +160,15 @@ def q_lr_rmse(spark, sf_dir):
     return E.rmse_frame(E.score(model, test)).select("n_rows", sig_round("rmse").alias("rmse"))
 
 
+def q_lr_predictions(spark, sf_dir):
+    """M6 + P7 (W1/W2 scoring path): closed-form ridge (regParam 0.3) fitted on the
+    train part from one moments pass, every test row scored by a JVM expression."""
+    train, test = _split(spark, sf_dir)
+    fit = R.fit_ridge(R.grouped_moments(train, None)[None], C.LR_REG_PARAM)
+    return fit.transform(test).select(
+        C.TRUE_LABEL_COL, sig_round(C.PREDICTION_COL).alias(C.PREDICTION_COL))
+
+
 def _grid_frame(spark, result: T.TuningResult):
     return result.candidates(spark).select(
         "candidate", "regParam", "maxIter", sig_round("rmse").alias("rmse"), "is_best")
@@ -198,6 +208,12 @@ def q_dt_stump(spark, sf_dir):
     return _leaf_report(E.score(model, test))
 
 
+def q_dt_rmse(spark, sf_dir):
+    """M4 + A2: test RMSE of the depth-1 tree against trueLabel."""
+    model, test = _stump(spark, sf_dir)
+    return E.rmse_frame(E.score(model, test)).select("n_rows", sig_round("rmse").alias("rmse"))
+
+
 def q_dt_cv_stump(spark, sf_dir):
     """T2 + T5: empty grid, 5-fold CV of the depth-1 tree; fold RMSEs and mean."""
     train, _ = hash_split(_features(spark, sf_dir))
@@ -254,10 +270,12 @@ QUERIES = {
     "kfold_counts": q_kfold_counts,
     "lr_coefficients": q_lr_coefficients,
     "lr_rmse": q_lr_rmse,
+    "lr_predictions": q_lr_predictions,
     "lr_cv_grid": q_lr_cv_grid,
     "lr_tvs_grid": q_lr_tvs_grid,
     "lr_workflow_report": q_lr_workflow_report,
     "dt_stump": q_dt_stump,
+    "dt_rmse": q_dt_rmse,
     "dt_cv_stump": q_dt_cv_stump,
     "gbt_two_stumps": q_gbt_two_stumps,
     "prediction_view": q_prediction_view,
@@ -351,6 +369,13 @@ SELECT count(*) AS n_rows,
 FROM feat f, r_fit WHERE f.digit >= 7"""
 
 
+def _oracle_lr_predictions():
+    return O._with(*_ridge_single(), recursive=True) + f"""
+SELECT f.label AS trueLabel,
+       {O.sr(O.linear_pred_sql('r_fit.coef', 'r_fit.intercept'))} AS prediction
+FROM feat f, r_fit WHERE f.digit >= 7"""
+
+
 def _grid_values():
     return ", ".join(f"({i}, {lam}, {it})" for i, (lam, it) in enumerate(LR_GRID_ROWS))
 
@@ -453,6 +478,12 @@ def _oracle_dt_stump():
   SELECT te.label, {O.stump_leaf_sql('s0_best')} AS pred FROM te CROSS JOIN s0_best)""") + _LEAF_SELECT
 
 
+def _oracle_dt_rmse():
+    return O._with(*_stump_base(), f"""scored AS (
+  SELECT te.label, {O.stump_leaf_sql('s0_best')} AS pred FROM te CROSS JOIN s0_best)""") + f"""
+SELECT count(*) AS n_rows, {O.sr('sqrt(avg(power(label - pred, 2)))')} AS rmse FROM scored"""
+
+
 def _oracle_prediction_view():
     return O._with(*_stump_base(), f"""scored AS (
   SELECT te.label, {O.stump_leaf_sql('s0_best')} AS pred FROM te CROSS JOIN s0_best)""") + (
@@ -498,10 +529,12 @@ ORACLES = {
     "kfold_counts": _oracle_kfold_counts(),
     "lr_coefficients": _oracle_lr_coefficients(),
     "lr_rmse": _oracle_lr_rmse(),
+    "lr_predictions": _oracle_lr_predictions(),
     "lr_cv_grid": _oracle_lr_cv_grid(),
     "lr_tvs_grid": _oracle_lr_tvs_grid(),
     "lr_workflow_report": _oracle_lr_workflow_report(),
     "dt_stump": _oracle_dt_stump(),
+    "dt_rmse": _oracle_dt_rmse(),
     "dt_cv_stump": _oracle_dt_cv_stump(),
     "gbt_two_stumps": _oracle_gbt_two_stumps(),
     "prediction_view": _oracle_prediction_view(),
