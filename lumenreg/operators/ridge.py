@@ -73,32 +73,34 @@ class Moments:
 
 
 def moment_aggregates(cols: list[str]) -> list[Column]:
-    """Aggregate expressions: n, column sums and cross-product sums.
-
-    Plain SUMs keep the aggregation buffer at 1 + p' + p'(p'+1)/2 fields
-    (36 for 6 features + label), inside whole-stage codegen; ``covar_pop``
-    would need 4 fields per pair (127) and fall back to interpreted
-    aggregation at about half the speed. Centring happens per group on the
-    driver (``S_ij - S_i S_j / n``), the same accumulation MLlib's least
-    squares uses; the relative error stays near 1e-13 for the data at hand.
+    """Aggregate expressions: n, means and population co-variances.
+
+    ``covar_pop`` keeps centred co-moments with a stable streaming update
+    and merges partial results exactly (no ``sum(x*y) - sum(x)sum(y)/n``
+    cancellation). Its buffer has 4 fields per pair (127 for 6 features +
+    label), above Spark's default whole-stage-codegen field limit, so
+    :func:`grouped_moments` raises that limit for its one aggregation.
     """
     aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(F.col(c)).alias(f"s{i}") for i, c in enumerate(cols)]
+    aggs += [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
     for i in range(len(cols)):
         for j in range(i, len(cols)):
-            aggs.append(F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"p{i}_{j}"))
+            aggs.append(F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}"))
     return aggs
 
 
+def codegen_fields(dim: int) -> int:
+    """Aggregation-buffer fields of :func:`moment_aggregates` (with headroom)."""
+    return 1 + 2 * dim + 4 * dim * (dim + 1) // 2 + 16
+
+
 def _row_to_moments(row, dim: int) -> Moments:
     n = float(row["n"])
-    sums = np.array([row[f"s{i}"] for i in range(dim)], dtype=float)
-    prods = np.zeros((dim, dim))
+    mean = np.array([row[f"m{i}"] for i in range(dim)], dtype=float)
+    comom = np.zeros((dim, dim))
     for i in range(dim):
         for j in range(i, dim):
-            prods[i, j] = prods[j, i] = float(row[f"p{i}_{j}"])
-    mean = sums / n
-    comom = prods - np.outer(sums, sums) / n
+            comom[i, j] = comom[j, i] = float(row[f"c{i}_{j}"]) * n
     return Moments(n, mean, comom)
 
 
@@ -109,14 +111,20 @@ def grouped_moments(df: DataFrame, group_col: str | Column | None,
 
     The result has one small row per group (the group count is chosen by the
     caller: folds, a validation flag, a test marker), so collecting it is
-    bounded no matter how many rows are scanned.
+    bounded no matter how many rows are scanned. Partial aggregation runs
+    map-side inside whole-stage codegen.
     """
+    from lumenreg.session import sql_conf
+
     cols = list(features) + [label]
-    if group_col is None:
-        rows = df.agg(*moment_aggregates(cols)).collect()
-        return {None: _row_to_moments(rows[0], len(cols))} if rows[0]["n"] else {}
-    g = F.col(group_col) if isinstance(group_col, str) else group_col
-    rows = df.groupBy(g.alias("_g")).agg(*moment_aggregates(cols)).collect()
+    spark = df.sparkSession
+    limit = max(int(spark.conf.get("spark.sql.codegen.maxFields")), codegen_fields(len(cols)))
+    with sql_conf(spark, {"spark.sql.codegen.maxFields": limit}):
+        if group_col is None:
+            rows = df.agg(*moment_aggregates(cols)).collect()
+            return {None: _row_to_moments(rows[0], len(cols))} if rows[0]["n"] else {}
+        g = F.col(group_col) if isinstance(group_col, str) else group_col
+        rows = df.groupBy(g.alias("_g")).agg(*moment_aggregates(cols)).collect()
     return {r["_g"]: _row_to_moments(r, len(cols)) for r in rows}
 
 

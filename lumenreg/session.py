@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/lumenreg-scratch/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def sql_conf(spark: SparkSession, settings: dict):
+    """Set SQL confs for the actions inside the block, then restore them."""
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, str(v))
+        yield spark
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

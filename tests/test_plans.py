@@ -22,10 +22,15 @@ def _final_plan(df) -> str:
 
 
 def test_moments_pass_is_one_codegen_partial_aggregation(spark):
+    from lumenreg.session import sql_conf
+
     feats = W.feature_rows(tpch_sales(spark, SF_SMALL))
-    agg = feats.groupBy(fold_of(10, "h").alias("g")).agg(
-        *R.moment_aggregates(list(C.FEATURE_COLS) + [C.LABEL_COL]))
-    plan = _final_plan(agg)
+    cols = list(C.FEATURE_COLS) + [C.LABEL_COL]
+    agg = feats.groupBy(fold_of(10, "h").alias("g")).agg(*R.moment_aggregates(cols))
+    before = spark.conf.get("spark.sql.codegen.maxFields")
+    with sql_conf(spark, {"spark.sql.codegen.maxFields": R.codegen_fields(len(cols))}):
+        plan = _final_plan(agg)
+    assert spark.conf.get("spark.sql.codegen.maxFields") == before  # restored
     # partial aggregation before the exchange, final after it
     assert plan.count("HashAggregate") == 2 and plan.count("Exchange hashpartitioning") == 1
     # both aggregations inside whole-stage codegen (no interpreted fallback)
