@@ -15,7 +15,7 @@ from lumenreg.functions.keys import fold_of, split_digit  # noqa: E402
 from lumenreg.operators import models as M  # noqa: E402
 from lumenreg.operators import ridge as R  # noqa: E402
 from lumenreg.plans import workflows as W  # noqa: E402
-from lumenreg.session import get_session  # noqa: E402
+from lumenreg.session import get_session, sql_conf  # noqa: E402
 from lumenreg.sources.fixture import tpch_sales  # noqa: E402
 
 
@@ -35,13 +35,15 @@ def main():
 
     feats = W.feature_rows(tpch_sales(spark, sf_dir))
     grp = F.when(split_digit("h") >= 7, F.lit(-1)).otherwise(fold_of(10, "h"))
-    moments = feats.groupBy(grp.alias("_grp")).agg(
-        *R.moment_aggregates(list(C.FEATURE_COLS) + [C.LABEL_COL]))
+    cols = list(C.FEATURE_COLS) + [C.LABEL_COL]
+    moments = feats.groupBy(grp.alias("_grp")).agg(*R.moment_aggregates(cols))
+    with sql_conf(spark, {"spark.sql.codegen.maxFields": R.codegen_fields(len(cols))}):
+        moments_plan = executed(moments)
     out += ["## W1/W2: the whole grid search + test error as one aggregation", "",
             "Scan (pruned, `IsNotNull` pushed) -> join -> project (casts, md5 key hash) -> "
-            "partial HashAggregate (36 sums per fold/test group) -> exchange of at most "
-            "11 rows per partition -> final HashAggregate.", "", "```",
-            executed(moments), "```", ""]
+            "partial HashAggregate (count, 7 means, 28 `covar_pop` per fold/test group) -> "
+            "exchange of at most 11 rows per partition -> final HashAggregate.", "", "```",
+            moments_plan, "```", ""]
 
     rows = tpch_sales(spark, sf_dir)
     scan = [ln.strip() for ln in rows._jdf.queryExecution().executedPlan().toString().splitlines()
