@@ -6,9 +6,11 @@ plain SQL — no MLlib, no shared code path with the Spark side:
 * ridge regression: per-(group, regParam) normal equations built from
   ``covar_pop`` moments and solved by Gauss–Jordan elimination in a recursive
   CTE over a list-of-lists matrix;
-* depth-1 trees: unpivot -> group by (feature, value) -> running sums ->
-  variance-reduction gain at every midpoint -> best split (first feature and
-  lowest threshold win ties, as in MLlib);
+* regression trees: unpivot -> group by (node, feature, value) -> running
+  sums -> variance-reduction gain at every candidate threshold -> best split
+  per node (first feature and lowest threshold win ties, as in MLlib), level
+  by level; candidate thresholds are midpoints to the next value of the
+  tree's whole training set, as MLlib computes them once per fit;
 * splits and folds from the same md5 key hash the Spark side uses.
 """
 
@@ -42,9 +44,10 @@ def _with(*ctes: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes)
 
 
-def feature_value_sql(fi: str) -> str:
+def feature_value_sql(fi: str, qualifier: str = "") -> str:
     """Value of feature number ``fi`` (1-based) of the current row."""
-    whens = " ".join(f"WHEN {i + 1} THEN {c}" for i, c in enumerate(FEATS))
+    q = f"{qualifier}." if qualifier else ""
+    whens = " ".join(f"WHEN {i + 1} THEN {q}{c}" for i, c in enumerate(FEATS))
     return f"(CASE {fi} {whens} END)"
 
 
@@ -143,6 +146,87 @@ def stump_ctes(prefix: str, rows: str) -> list[str]:
     ]
 
 
+def tree_ctes(prefix: str, train: str, test: str, depth: int) -> list[str]:
+    """CTEs ending in ``{prefix}_scored(key, label, pred)``: regression trees.
+
+    ``train(key, <features>, y)`` holds the training rows of every tree
+    (``key`` = fold or 0), ``test(key, <features>, label)`` the rows each tree
+    scores. Level by level, every open node takes its best variance-reduction
+    split (first feature, then lowest threshold, win ties) if the gain is
+    positive; thresholds are midpoints between a value and the *next value of
+    the whole training set of that tree* (candidates are global, so among
+    equal partitions the lowest threshold wins). Nodes use heap numbering.
+    Predictions are the mean training label of the leaf a row reaches.
+    """
+    fv = feature_value_sql
+    feats = ", ".join(FEATS)
+    long = " UNION ALL ".join(
+        f"SELECT key, {i + 1} AS fi, {c} AS v FROM {train}" for i, c in enumerate(FEATS))
+    ctes = [
+        f"""{prefix}_gv AS (
+  SELECT key, fi, v, lead(v) OVER (PARTITION BY key, fi ORDER BY v) AS gnv
+  FROM (SELECT DISTINCT key, fi, v FROM ({long})))""",
+        f"{prefix}_r0 AS (SELECT key, 1 AS node, 0 AS done, {feats}, y FROM {train})",
+        f"{prefix}_t0 AS (SELECT key, 1 AS node, {feats}, label FROM {test})",
+    ]
+    for lv in range(depth):
+        rows, nxt, s = f"{prefix}_r{lv}", f"{prefix}_r{lv + 1}", f"{prefix}_s{lv}"
+        ctes.append(f"""{s}_in AS (
+  SELECT key * 1024 + node AS key, key AS gkey, {feats}, y FROM {rows} WHERE done = 0)""")
+        longn = " UNION ALL ".join(
+            f"SELECT key, gkey, {i + 1} AS fi, {c} AS v, y FROM {s}_in" for i, c in enumerate(FEATS))
+        ctes += [
+            f"""{s}_agg AS (
+  SELECT key, gkey, fi, v, count(*) AS c, sum(y) AS s, sum(y * y) AS ss
+  FROM ({longn}) GROUP BY key, gkey, fi, v)""",
+            f"""{s}_cum AS (
+  SELECT key, gkey, fi, v,
+         sum(c) OVER (PARTITION BY key, fi ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lc,
+         sum(s) OVER (PARTITION BY key, fi ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ls,
+         sum(ss) OVER (PARTITION BY key, fi ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lss,
+         lead(v) OVER (PARTITION BY key, fi ORDER BY v) AS nv
+  FROM {s}_agg)""",
+            f"""{s}_tot AS (
+  SELECT key, count(*) AS n, sum(y) AS s, sum(y * y) AS ss FROM {s}_in GROUP BY key)""",
+            f"""{s}_gain AS (
+  SELECT c.key, c.gkey, c.fi, (c.v + g.gnv) / 2 AS thr,
+         (t.ss / t.n - (t.s / t.n) * (t.s / t.n))
+           - (c.lc / t.n) * (c.lss / c.lc - (c.ls / c.lc) * (c.ls / c.lc))
+           - ((t.n - c.lc) / t.n) * ((t.ss - c.lss) / (t.n - c.lc)
+                                     - ((t.s - c.ls) / (t.n - c.lc)) * ((t.s - c.ls) / (t.n - c.lc))) AS gain
+  FROM {s}_cum c JOIN {s}_tot t ON c.key = t.key
+       JOIN {prefix}_gv g ON g.key = c.gkey AND g.fi = c.fi AND g.v = c.v
+  WHERE c.nv IS NOT NULL)""",
+            f"""{s}_best AS (
+  SELECT gkey AS fk, key % 1024 AS node, fi, thr FROM (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY gain DESC, fi, thr) AS rn
+    FROM {s}_gain) WHERE rn = 1 AND gain > 0)""",
+            f"""{nxt} AS (
+  SELECT r.key,
+         CASE WHEN b.node IS NULL THEN r.node
+              WHEN {fv('b.fi', 'r')} <= b.thr THEN 2 * r.node
+              ELSE 2 * r.node + 1 END AS node,
+         CASE WHEN r.done = 1 OR b.node IS NULL THEN 1 ELSE 0 END AS done,
+         {', '.join('r.' + c for c in FEATS)}, r.y
+  FROM {rows} r LEFT JOIN {s}_best b ON r.done = 0 AND r.key = b.fk AND r.node = b.node)""",
+            f"""{prefix}_t{lv + 1} AS (
+  SELECT t.key,
+         CASE WHEN b.node IS NULL THEN t.node
+              WHEN {fv('b.fi', 't')} <= b.thr THEN 2 * t.node
+              ELSE 2 * t.node + 1 END AS node,
+         {', '.join('t.' + c for c in FEATS)}, t.label
+  FROM {prefix}_t{lv} t LEFT JOIN {s}_best b ON t.key = b.fk AND t.node = b.node)""",
+        ]
+    ctes += [
+        f"""{prefix}_leaf AS (
+  SELECT key, node, avg(y) AS mean FROM {prefix}_r{depth} GROUP BY key, node)""",
+        f"""{prefix}_scored AS (
+  SELECT t.key, t.label, l.mean AS pred
+  FROM {prefix}_t{depth} t JOIN {prefix}_leaf l ON t.key = l.key AND t.node = l.node)""",
+    ]
+    return ctes
+
+
 def stump_leaf_sql(best: str, side: str = "leaf") -> str:
     """CASE giving the leaf value of the current row under split ``best``."""
     return (f"(CASE WHEN {feature_value_sql(best + '.fi')} <= {best}.thr "

@@ -214,6 +214,13 @@ def q_dt_rmse(spark, sf_dir):
     return E.rmse_frame(E.score(model, test)).select("n_rows", sig_round("rmse").alias("rmse"))
 
 
+def q_dt_depth5(spark, sf_dir):
+    """M4 as configured in W3 (depth 5, maxBins 77582): per-leaf test rows and RMSE."""
+    train, test = _split(spark, sf_dir)
+    model = M.pipeline(M.tree()).fit(train)
+    return _leaf_report(E.score(model, test))
+
+
 def q_dt_cv_stump(spark, sf_dir):
     """T2 + T5: empty grid, 5-fold CV of the depth-1 tree; fold RMSEs and mean."""
     train, _ = hash_split(_features(spark, sf_dir))
@@ -250,8 +257,11 @@ def q_prediction_preview(spark, sf_dir):
 
 
 def q_dt_cv_workflow(spark, sf_dir):
-    """W3 end to end (depth 5, 5-fold CV): report row (no closed SQL form)."""
-    return W.tree_cv(spark, tpch_sales(spark, sf_dir)).report(spark)
+    """W3 end to end (depth 5, 5-fold CV, empty grid, refit, test RMSE): report row."""
+    rep = W.tree_cv(spark, tpch_sales(spark, sf_dir)).report(spark)
+    return rep.select("workflow", "n_train", "n_test", "best_params",
+                      sig_round("tuning_rmse").alias("tuning_rmse"),
+                      sig_round("test_rmse").alias("test_rmse"))
 
 
 def q_gbt_tvs_grid(spark, sf_dir):
@@ -276,6 +286,7 @@ QUERIES = {
     "lr_workflow_report": q_lr_workflow_report,
     "dt_stump": q_dt_stump,
     "dt_rmse": q_dt_rmse,
+    "dt_depth5": q_dt_depth5,
     "dt_cv_stump": q_dt_cv_stump,
     "gbt_two_stumps": q_gbt_two_stumps,
     "prediction_view": q_prediction_view,
@@ -506,6 +517,35 @@ SELECT CAST(fold AS INTEGER) AS fold, {O.sr('rmse')} AS rmse FROM foldrmse
 UNION ALL SELECT -1, {O.sr('avg(rmse)')} FROM foldrmse"""
 
 
+def _oracle_dt_depth5():
+    ctes = [*_BASE,
+            f"tr AS (SELECT 0 AS key, {_FEAT_LIST}, label AS y FROM feat WHERE digit < 7)",
+            f"te AS (SELECT 0 AS key, {_FEAT_LIST}, label FROM feat WHERE digit >= 7)",
+            *O.tree_ctes("d", "tr", "te", 5),
+            "scored AS (SELECT label, pred FROM d_scored)"]
+    return O._with(*ctes) + _LEAF_SELECT
+
+
+def _oracle_dt_cv_workflow():
+    k = C.TREE_CV_FOLDS
+    ctes = [*_BASE,
+            "tr AS (SELECT * FROM feat WHERE digit < 7)",
+            f"folds AS (SELECT CAST(range AS BIGINT) AS fold FROM range({k}))",
+            # keys 0..k-1: fold models; key k: the refit on all training rows
+            f"cvtrain AS (SELECT f.fold AS key, {_FEAT_LIST}, label AS y FROM tr CROSS JOIN folds f "
+            f"WHERE tr.hq % {k} <> f.fold UNION ALL SELECT {k} AS key, {_FEAT_LIST}, label AS y FROM tr)",
+            f"cvtest AS (SELECT tr.hq % {k} AS key, {_FEAT_LIST}, label FROM tr "
+            f"UNION ALL SELECT {k} AS key, {_FEAT_LIST}, label FROM feat WHERE digit >= 7)",
+            *O.tree_ctes("w", "cvtrain", "cvtest", 5),
+            """perkey AS (
+  SELECT key, count(*) AS n, sqrt(avg(power(label - pred, 2))) AS rmse FROM w_scored GROUP BY key)"""]
+    return O._with(*ctes) + f"""
+SELECT 'tree_cv' AS workflow, (SELECT count(*) FROM tr) AS n_train,
+       (SELECT n FROM perkey WHERE key = {k}) AS n_test, '' AS best_params,
+       {O.sr(f'(SELECT avg(rmse) FROM perkey WHERE key < {k})')} AS tuning_rmse,
+       {O.sr(f'(SELECT rmse FROM perkey WHERE key = {k})')} AS test_rmse"""
+
+
 def _oracle_gbt_two_stumps():
     step = 0.1
     ctes = [*_stump_base(),
@@ -535,6 +575,8 @@ ORACLES = {
     "lr_workflow_report": _oracle_lr_workflow_report(),
     "dt_stump": _oracle_dt_stump(),
     "dt_rmse": _oracle_dt_rmse(),
+    "dt_depth5": _oracle_dt_depth5(),
+    "dt_cv_workflow": _oracle_dt_cv_workflow(),
     "dt_cv_stump": _oracle_dt_cv_stump(),
     "gbt_two_stumps": _oracle_gbt_two_stumps(),
     "prediction_view": _oracle_prediction_view(),
