@@ -146,7 +146,8 @@ def stump_ctes(prefix: str, rows: str) -> list[str]:
     ]
 
 
-def tree_ctes(prefix: str, train: str, test: str, depth: int) -> list[str]:
+def tree_ctes(prefix: str, train: str, test: str, depth: int, *,
+              limits: str | None = None, carry: list[str] | None = None) -> list[str]:
     """CTEs ending in ``{prefix}_scored(key, label, pred)``: regression trees.
 
     ``train(key, <features>, y)`` holds the training rows of every tree
@@ -157,7 +158,14 @@ def tree_ctes(prefix: str, train: str, test: str, depth: int) -> list[str]:
     the whole training set of that tree* (candidates are global, so among
     equal partitions the lowest threshold wins). Nodes use heap numbering.
     Predictions are the mean training label of the leaf a row reaches.
+
+    ``limits(key, max_depth, min_gain)`` optionally gives each tree its own
+    depth limit and minimum gain (a split needs gain > 0 and >= min_gain);
+    ``carry`` lists extra test columns passed through to the output.
     """
+    carry = list(carry or [])
+    tcarry = "".join(f", t.{c}" for c in carry)
+    ccarry = "".join(f", {c}" for c in carry)
     fv = feature_value_sql
     feats = ", ".join(FEATS)
     long = " UNION ALL ".join(
@@ -167,7 +175,7 @@ def tree_ctes(prefix: str, train: str, test: str, depth: int) -> list[str]:
   SELECT key, fi, v, lead(v) OVER (PARTITION BY key, fi ORDER BY v) AS gnv
   FROM (SELECT DISTINCT key, fi, v FROM ({long})))""",
         f"{prefix}_r0 AS (SELECT key, 1 AS node, 0 AS done, {feats}, y FROM {train})",
-        f"{prefix}_t0 AS (SELECT key, 1 AS node, {feats}, label FROM {test})",
+        f"{prefix}_t0 AS (SELECT key, 1 AS node, {feats}, label{ccarry} FROM {test})",
     ]
     for lv in range(depth):
         rows, nxt, s = f"{prefix}_r{lv}", f"{prefix}_r{lv + 1}", f"{prefix}_s{lv}"
@@ -198,9 +206,10 @@ def tree_ctes(prefix: str, train: str, test: str, depth: int) -> list[str]:
        JOIN {prefix}_gv g ON g.key = c.gkey AND g.fi = c.fi AND g.v = c.v
   WHERE c.nv IS NOT NULL)""",
             f"""{s}_best AS (
-  SELECT gkey AS fk, key % 1024 AS node, fi, thr FROM (
+  SELECT b.gkey AS fk, b.key % 1024 AS node, b.fi, b.thr FROM (
     SELECT *, row_number() OVER (PARTITION BY key ORDER BY gain DESC, fi, thr) AS rn
-    FROM {s}_gain) WHERE rn = 1 AND gain > 0)""",
+    FROM {s}_gain) b{f' JOIN {limits} lim ON lim.key = b.gkey' if limits else ''}
+  WHERE b.rn = 1 AND b.gain > 0{f' AND b.gain >= lim.min_gain AND {lv} < lim.max_depth' if limits else ''})""",
             f"""{nxt} AS (
   SELECT r.key,
          CASE WHEN b.node IS NULL THEN r.node
@@ -214,14 +223,14 @@ def tree_ctes(prefix: str, train: str, test: str, depth: int) -> list[str]:
          CASE WHEN b.node IS NULL THEN t.node
               WHEN {fv('b.fi', 't')} <= b.thr THEN 2 * t.node
               ELSE 2 * t.node + 1 END AS node,
-         {', '.join('t.' + c for c in FEATS)}, t.label
+         {', '.join('t.' + c for c in FEATS)}, t.label{tcarry}
   FROM {prefix}_t{lv} t LEFT JOIN {s}_best b ON t.key = b.fk AND t.node = b.node)""",
         ]
     ctes += [
         f"""{prefix}_leaf AS (
   SELECT key, node, avg(y) AS mean FROM {prefix}_r{depth} GROUP BY key, node)""",
         f"""{prefix}_scored AS (
-  SELECT t.key, t.label, l.mean AS pred
+  SELECT t.key, {', '.join('t.' + c for c in FEATS)}, t.label{tcarry}, l.mean AS pred
   FROM {prefix}_t{depth} t JOIN {prefix}_leaf l ON t.key = l.key AND t.node = l.node)""",
     ]
     return ctes

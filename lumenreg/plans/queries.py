@@ -265,9 +265,11 @@ def q_dt_cv_workflow(spark, sf_dir):
 
 
 def q_gbt_tvs_grid(spark, sf_dir):
-    """W4 end to end (32 candidates): candidates table (no closed SQL form)."""
+    """W4 end to end (maxIter 2, 32 candidates, 80/20 cut): candidates table."""
     res = W.gbt_tvs(spark, tpch_sales(spark, sf_dir))
-    return res.tuning.candidates(spark)
+    return res.tuning.candidates(spark).select(
+        "candidate", "maxDepth", "minInfoGain", "stepSize",
+        sig_round("rmse").alias("rmse"), "is_best")
 
 
 QUERIES = {
@@ -559,6 +561,39 @@ def _oracle_gbt_two_stumps():
     return O._with(*ctes) + _LEAF_SELECT
 
 
+def _oracle_gbt_tvs_grid():
+    cut = round(C.TVS_TRAIN_RATIO * 1000)
+    depths, gains, steps = C.GBT_GRID["maxDepth"], C.GBT_GRID["minInfoGain"], C.GBT_GRID["stepSize"]
+    units = ", ".join(f"({di * len(gains) + gi}, {d}, {g})"
+                      for di, d in enumerate(depths) for gi, g in enumerate(gains))
+    stepv = ", ".join(f"({si}, {st})" for si, st in enumerate(steps))
+    ctes = [*_BASE,
+            "tr AS (SELECT * FROM feat WHERE digit < 7)",
+            f"units AS (SELECT CAST(u AS BIGINT) AS key, CAST(d AS BIGINT) AS max_depth, "
+            f"CAST(g AS DOUBLE) AS min_gain FROM (VALUES {units}) v(u, d, g))",
+            f"g0train AS (SELECT u.key, {_FEAT_LIST}, label AS y FROM tr CROSS JOIN units u "
+            f"WHERE tr.hq % 1000 < {cut})",
+            f"g0test AS (SELECT u.key, {_FEAT_LIST}, label, "
+            f"CASE WHEN tr.hq % 1000 >= {cut} THEN 1 ELSE 0 END AS is_val FROM tr CROSS JOIN units u)",
+            *O.tree_ctes("g0", "g0train", "g0test", max(depths), limits="units", carry=["is_val"]),
+            # tree 1 fits the negative gradient of squared error at tree 0
+            f"g1train AS (SELECT key, {_FEAT_LIST}, 2 * (label - pred) AS y FROM g0_scored WHERE is_val = 0)",
+            f"g1test AS (SELECT key, {_FEAT_LIST}, label, pred AS f0 FROM g0_scored WHERE is_val = 1)",
+            *O.tree_ctes("g1", "g1train", "g1test", max(depths), limits="units", carry=["f0"]),
+            f"steps AS (SELECT CAST(si AS BIGINT) AS si, CAST(st AS DOUBLE) AS step FROM (VALUES {stepv}) v(si, st))",
+            """metric AS (
+  SELECT s.key, st.si, st.step, sqrt(avg(power(s.label - (s.f0 * 1.0 + st.step * s.pred), 2))) AS metric
+  FROM g1_scored s CROSS JOIN steps st GROUP BY s.key, st.si, st.step)""",
+            f"""cand AS (
+  SELECT m.key * {len(steps)} + m.si AS candidate, u.max_depth AS maxDepth, u.min_gain AS minInfoGain,
+         m.step AS stepSize, m.metric, {O.sr('m.metric')} AS rmse
+  FROM metric m JOIN units u ON m.key = u.key)""",
+            "best AS (SELECT min(candidate) AS candidate FROM cand WHERE rmse = (SELECT min(rmse) FROM cand))"]
+    return O._with(*ctes) + """
+SELECT c.candidate, c.maxDepth, c.minInfoGain, c.stepSize, c.rmse, c.candidate = b.candidate AS is_best
+FROM cand c, best b"""
+
+
 ORACLES = {
     "project_features": _oracle_project_features(),
     "sql_alias_projection": _oracle_sql_alias_projection(),
@@ -580,4 +615,5 @@ ORACLES = {
     "dt_cv_stump": _oracle_dt_cv_stump(),
     "gbt_two_stumps": _oracle_gbt_two_stumps(),
     "prediction_view": _oracle_prediction_view(),
+    "gbt_tvs_grid": _oracle_gbt_tvs_grid(),
 }
