@@ -264,6 +264,15 @@ def q_dt_cv_workflow(spark, sf_dir):
                       sig_round("test_rmse").alias("test_rmse"))
 
 
+def q_gbt_workflow_report(spark, sf_dir):
+    """W4 end to end: tuning on the 80/20 cut, refit of the best on all training
+    rows, test RMSE; report row."""
+    rep = W.gbt_tvs(spark, tpch_sales(spark, sf_dir)).report(spark)
+    return rep.select("workflow", "n_train", "n_test", "best_params",
+                      sig_round("tuning_rmse").alias("tuning_rmse"),
+                      sig_round("test_rmse").alias("test_rmse"))
+
+
 def q_gbt_tvs_grid(spark, sf_dir):
     """W4 end to end (maxIter 2, 32 candidates, 80/20 cut): candidates table."""
     res = W.gbt_tvs(spark, tpch_sales(spark, sf_dir))
@@ -295,6 +304,7 @@ QUERIES = {
     "prediction_preview": q_prediction_preview,
     "dt_cv_workflow": q_dt_cv_workflow,
     "gbt_tvs_grid": q_gbt_tvs_grid,
+    "gbt_workflow_report": q_gbt_workflow_report,
 }
 
 
@@ -561,7 +571,7 @@ def _oracle_gbt_two_stumps():
     return O._with(*ctes) + _LEAF_SELECT
 
 
-def _oracle_gbt_tvs_grid():
+def _gbt_grid_ctes():
     cut = round(C.TVS_TRAIN_RATIO * 1000)
     depths, gains, steps = C.GBT_GRID["maxDepth"], C.GBT_GRID["minInfoGain"], C.GBT_GRID["stepSize"]
     units = ", ".join(f"({di * len(gains) + gi}, {d}, {g})"
@@ -589,11 +599,42 @@ def _oracle_gbt_tvs_grid():
          m.step AS stepSize, m.metric, {O.sr('m.metric')} AS rmse
   FROM metric m JOIN units u ON m.key = u.key)""",
             "best AS (SELECT min(candidate) AS candidate FROM cand WHERE rmse = (SELECT min(rmse) FROM cand))"]
-    return O._with(*ctes) + """
+    return ctes
+
+
+def _oracle_gbt_tvs_grid():
+    return O._with(*_gbt_grid_ctes()) + """
 SELECT c.candidate, c.maxDepth, c.minInfoGain, c.stepSize, c.rmse, c.candidate = b.candidate AS is_best
 FROM cand c, best b"""
 
 
+def _oracle_gbt_workflow_report():
+    key = 1000
+    ctes = [*_gbt_grid_ctes(),
+            f"""chosen AS (
+  SELECT CAST({key} AS BIGINT) AS key, c.maxDepth AS max_depth, c.minInfoGain AS min_gain,
+         c.stepSize AS step, c.metric
+  FROM cand c JOIN best b ON c.candidate = b.candidate)""",
+            f"r0train AS (SELECT {key} AS key, {_FEAT_LIST}, label AS y FROM tr)",
+            f"r0test AS (SELECT {key} AS key, {_FEAT_LIST}, label, 0 AS is_test FROM tr "
+            f"UNION ALL SELECT {key}, {_FEAT_LIST}, label, 1 FROM feat WHERE digit >= 7)",
+            *O.tree_ctes("r0", "r0train", "r0test", max(C.GBT_GRID["maxDepth"]),
+                         limits="chosen", carry=["is_test"]),
+            f"r1train AS (SELECT key, {_FEAT_LIST}, 2 * (label - pred) AS y FROM r0_scored WHERE is_test = 0)",
+            f"r1test AS (SELECT key, {_FEAT_LIST}, label, pred AS f0 FROM r0_scored WHERE is_test = 1)",
+            *O.tree_ctes("r1", "r1train", "r1test", max(C.GBT_GRID["maxDepth"]),
+                         limits="chosen", carry=["f0"]),
+            """testrmse AS (
+  SELECT count(*) AS n_test, sqrt(avg(power(s.label - (s.f0 * 1.0 + ch.step * s.pred), 2))) AS rmse
+  FROM r1_scored s CROSS JOIN chosen ch)"""]
+    return O._with(*ctes) + f"""
+SELECT 'gbt_tvs' AS workflow, (SELECT count(*) FROM tr) AS n_train, t.n_test,
+       'maxDepth=' || CAST(ch.max_depth AS VARCHAR) || ', minInfoGain=' || CAST(ch.min_gain AS VARCHAR)
+         || ', stepSize=' || CAST(ch.step AS VARCHAR) AS best_params,
+       {O.sr('ch.metric')} AS tuning_rmse, {O.sr('t.rmse')} AS test_rmse
+FROM chosen ch, testrmse t"""
+
+
 ORACLES = {
     "project_features": _oracle_project_features(),
     "sql_alias_projection": _oracle_sql_alias_projection(),
@@ -616,4 +657,5 @@ ORACLES = {
     "gbt_two_stumps": _oracle_gbt_two_stumps(),
     "prediction_view": _oracle_prediction_view(),
     "gbt_tvs_grid": _oracle_gbt_tvs_grid(),
+    "gbt_workflow_report": _oracle_gbt_workflow_report(),
 }
