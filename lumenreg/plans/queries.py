@@ -195,6 +195,14 @@ def q_lr_workflow_report(spark, sf_dir):
                       sig_round("test_rmse").alias("test_rmse"))
 
 
+def q_lr_tvs_workflow_report(spark, sf_dir):
+    """W2 end to end: row counts, best candidate, validation and test RMSE."""
+    rep = W.linear_tvs(spark, tpch_sales(spark, sf_dir)).report(spark)
+    return rep.select("workflow", "n_train", "n_test", "best_params",
+                      sig_round("tuning_rmse").alias("tuning_rmse"),
+                      sig_round("test_rmse").alias("test_rmse"))
+
+
 # ---------------------------------------------------------------- trees
 def _stump(spark, sf_dir):
     train, test = _split(spark, sf_dir)
@@ -295,6 +303,7 @@ QUERIES = {
     "lr_cv_grid": q_lr_cv_grid,
     "lr_tvs_grid": q_lr_tvs_grid,
     "lr_workflow_report": q_lr_workflow_report,
+    "lr_tvs_workflow_report": q_lr_tvs_workflow_report,
     "dt_stump": q_dt_stump,
     "dt_rmse": q_dt_rmse,
     "dt_depth5": q_dt_depth5,
@@ -483,6 +492,34 @@ SELECT 'linear_cv' AS workflow, (SELECT count(*) FROM tr) AS n_train, t.n_test,
 FROM chosen ch, testrmse t"""
 
 
+def _oracle_lr_tvs_workflow_report():
+    cut = round(C.TVS_TRAIN_RATIO * 1000)
+    lams = ", ".join(f"({lam})" for lam in sorted({g[0] for g in LR_GRID_ROWS}))
+    ctes = [*_BASE,
+            "tr AS (SELECT * FROM feat WHERE digit < 7)",
+            # key 0: fitted on the 80% cut; key 1: refit on all training rows
+            f"fitrows AS (SELECT 0 AS key, {_FEAT_LIST}, label FROM tr WHERE hq % 1000 < {cut} "
+            f"UNION ALL SELECT 1 AS key, {_FEAT_LIST}, label FROM tr)",
+            f"lams AS (SELECT CAST(lam AS DOUBLE) AS lam FROM (VALUES {lams}) v(lam))",
+            *O.ridge_ctes("r", "fitrows", "lams"),
+            f"""metric AS (
+  SELECT r_fit.lam,
+         sqrt(avg(power(tr.label - {O.linear_pred_sql('r_fit.coef', 'r_fit.intercept')}, 2))) AS metric
+  FROM tr CROSS JOIN r_fit WHERE r_fit.key = 0 AND tr.hq % 1000 >= {cut} GROUP BY r_fit.lam)""",
+            _grid_tail("metric"),
+            "chosen AS (SELECT c.* FROM cand c JOIN best b ON c.candidate = b.candidate)",
+            f"""testrmse AS (
+  SELECT count(*) AS n_test,
+         sqrt(avg(power(f.label - {O.linear_pred_sql('r_fit.coef', 'r_fit.intercept')}, 2))) AS rmse
+  FROM feat f CROSS JOIN r_fit JOIN chosen ON r_fit.lam = chosen.regParam
+  WHERE f.digit >= 7 AND r_fit.key = 1)"""]
+    return O._with(*ctes, recursive=True) + f"""
+SELECT 'linear_tvs' AS workflow, (SELECT count(*) FROM tr) AS n_train, t.n_test,
+       'regParam=' || CAST(ch.regParam AS VARCHAR) || ', maxIter=' || CAST(ch.maxIter AS VARCHAR) AS best_params,
+       {O.sr('ch.metric')} AS tuning_rmse, {O.sr('t.rmse')} AS test_rmse
+FROM chosen ch, testrmse t"""
+
+
 def _stump_base():
     return [*_BASE,
             f"tr AS (SELECT 0 AS key, {_FEAT_LIST}, label AS y FROM feat WHERE digit < 7)",
@@ -649,6 +686,7 @@ ORACLES = {
     "lr_cv_grid": _oracle_lr_cv_grid(),
     "lr_tvs_grid": _oracle_lr_tvs_grid(),
     "lr_workflow_report": _oracle_lr_workflow_report(),
+    "lr_tvs_workflow_report": _oracle_lr_tvs_workflow_report(),
     "dt_stump": _oracle_dt_stump(),
     "dt_rmse": _oracle_dt_rmse(),
     "dt_depth5": _oracle_dt_depth5(),
