@@ -24,7 +24,7 @@ from lumenreg.operators.prepare import drop_incomplete, prepare_features, to_fea
 from lumenreg.operators.split import hash_split, random_split, rename_label
 from lumenreg.plans import oracle as O
 from lumenreg.plans import workflows as W
-from lumenreg.session import ensure_checkpoint_dir, scratch_dir
+from lumenreg.session import scratch_dir
 from lumenreg.sources.catalog import read_sales_table, register_view
 from lumenreg.sources.csv import (normalize_header, raw_projection_sql, read_sales_csv,
                                   write_sales_csv)

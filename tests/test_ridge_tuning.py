@@ -6,7 +6,6 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
-from lumenreg import config as C
 from lumenreg.functions.keys import fold_of
 from lumenreg.operators import models as M
 from lumenreg.operators import ridge as R
