@@ -29,6 +29,7 @@ from lumenreg.sources.catalog import read_sales_table, register_view
 from lumenreg.sources.csv import (normalize_header, raw_projection_sql, read_sales_csv,
                                   write_sales_csv)
 from lumenreg.sources.fixture import tpch_sales
+from lumenreg.sources.schema import used_schema
 
 FEATS = list(C.FEATURE_COLS)
 LR_GRID_ROWS = [(0.3, 10), (0.3, 5), (0.1, 10), (0.1, 5), (0.01, 10), (0.01, 5)]
@@ -88,20 +89,11 @@ def q_csv_roundtrip(spark, sf_dir):
     write_sales_csv(tpch_sales(spark, sf_dir, with_hash=False, typed=True), path, raw_header=True)
     inferred = normalize_header(read_sales_csv(spark, path, infer=True))
     declared = normalize_header(read_sales_csv(
-        spark, path, schema=_raw_used_schema()))
+        spark, path, schema=used_schema(raw_header=True)))
     return (prepare_features(inferred).withColumn("mode", F.lit("inferred"))
             .unionByName(prepare_features(declared).withColumn("mode", F.lit("declared"))))
 
 
-def _raw_used_schema():
-    from pyspark.sql import types as Ty
-    clean_to_raw = {v: k for k, v in C.RAW_TO_CLEAN.items()}
-    from lumenreg.sources.schema import SALES_SCHEMA
-    types = {f.name: f.dataType for f in SALES_SCHEMA.fields}
-    return Ty.StructType([Ty.StructField(clean_to_raw[c], types[c], True)
-                          for c in C.SELECTED_COLS])
-
-
 # ---------------------------------------------------------------- splits
 def q_split_counts(spark, sf_dir):
     """R1 (hash form) + P6 + A1: rows in each part."""

@@ -39,13 +39,6 @@ _SALES_FIELDS = [
 
 SALES_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in _SALES_FIELDS])
 
-# The seven used columns alone, for files that only carry those.
-USED_SCHEMA = T.StructType(
-    [f for f in SALES_SCHEMA.fields if f.name in {
-        "Pack", "BottleVolumeInMl", "StateBottleCost", "StateBottleRetail",
-        "BottlesSold", "SaleInDollars", "VolumeSoldInLitres"}]
-)
-
 
 def sales_schema(raw_header: bool = False) -> T.StructType:
     """The declared schema; with ``raw_header`` the used columns carry raw names."""
@@ -58,3 +51,15 @@ def sales_schema(raw_header: bool = False) -> T.StructType:
         T.StructField(clean_to_raw.get(f.name, f.name), f.dataType, True)
         for f in SALES_SCHEMA.fields
     ])
+
+
+def used_schema(raw_header: bool = False) -> T.StructType:
+    """The seven used columns alone, in selection order (files holding only those)."""
+    from lumenreg.config import RAW_TO_CLEAN, SELECTED_COLS
+
+    clean_to_raw = {v: k for k, v in RAW_TO_CLEAN.items()}
+    types = {f.name: f.dataType for f in SALES_SCHEMA.fields}
+    return T.StructType([
+        T.StructField(clean_to_raw[c] if raw_header else c, types[c], True)
+        for c in SELECTED_COLS
+    ])
