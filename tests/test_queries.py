@@ -57,6 +57,11 @@ def test_workflows_end_to_end(spark):
         assert res.n_train > 0 and res.n_test > 0 and math.isfinite(res.test_rmse)
         scatter = spark.sql(f"SELECT trueLabel, prediction FROM {res.view}")
         assert scatter.count() == res.n_test
+    # each workflow keeps its own view: W3's predictions survive W4's run
+    views = {res.view for res in (w1, w2, w3, w4)}
+    assert len(views) == 4 and all(spark.catalog.tableExists(v) for v in views)
+    w3_rmse = spark.sql(f"SELECT sqrt(avg(power(trueLabel - prediction, 2))) AS r FROM {w3.view}").first()["r"]
+    assert w3_rmse == pytest.approx(w3.test_rmse, rel=1e-12)
     assert len(w1.tuning.param_maps) == 6 and w1.tuning.best % 2 == 0  # maxIter tie -> first
     # test RMSE from moments equals the scored predictions
     direct = w1.predictions.selectExpr(
