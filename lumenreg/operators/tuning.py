@@ -42,10 +42,19 @@ def grid_dicts(param_maps: list) -> list[dict]:
     return [{p.name: v for p, v in pm.items()} for pm in param_maps]
 
 
-def best_index(metrics, larger_is_better: bool = False) -> int:
-    """First index of the best metric (ties go to the earlier candidate)."""
+def best_index(metrics, larger_is_better: bool = False, rel_tol: float = 1e-12) -> int:
+    """First index of the best metric; ties go to the earlier candidate.
+
+    Metrics within ``rel_tol`` (relative) of the best count as tied, so
+    candidates that yield the same model (e.g. minInfoGain values that prune
+    nothing) resolve to the first one whatever order the engine happened to
+    add the squared errors in.
+    """
     arr = np.asarray(metrics, dtype=float)
-    return int(np.argmax(arr) if larger_is_better else np.argmin(arr))
+    best = np.nanmax(arr) if larger_is_better else np.nanmin(arr)
+    slack = rel_tol * abs(best)
+    ok = arr >= best - slack if larger_is_better else arr <= best + slack
+    return int(np.flatnonzero(ok)[0])
 
 
 @dataclass

@@ -117,6 +117,10 @@ def test_candidates_frame(spark):
     rows = res.candidates(spark).orderBy("candidate").collect()
     assert [r.is_best for r in rows] == [False, True]
     assert T.best_index([1.0, 1.0, 0.5, 0.5]) == 2
+    # last-bit differences between identical models do not decide the winner
+    assert T.best_index([2.0, 1.0 + 1e-15, 1.0, 3.0]) == 1
+    assert T.best_index([2.0, 1.0 + 1e-9, 1.0]) == 2
+    assert T.best_index([0.2, 0.9, 0.9], larger_is_better=True) == 1
 
 
 def test_singular_and_constant_inputs(spark):
