@@ -4,8 +4,9 @@
     python -m lumenreg.cli --workflow linear_cv --table iowa_sales
     python -m lumenreg.cli --workflow gbt_tvs --tpch /root/testdata/sf0.1
 
-Sources: a headed CSV (cleaned or raw header, types inferred by default or
-the declared schema with ``--declared-schema``), a catalog table, or the
+Sources: a headed CSV in the 24-column sales layout (cleaned or raw header;
+the declared schema by default, or inferred types with ``--infer``, optionally
+from a ``--sampling-ratio`` share of the file), a catalog table, or the
 TPC-H-like driver tables. Splits hash the ``--key`` column(s) (default
 ``Invoice/Item Number``) or use a seeded ``randomSplit`` (``--split random``).
 Prints the report row, the candidates table and a preview of the predictions;
@@ -33,8 +34,10 @@ def parse_args(argv=None):
     src.add_argument("--csv", help="headed sales CSV file or folder")
     src.add_argument("--table", help="catalog table or view with sales rows")
     src.add_argument("--tpch", help="folder with lineitem/part parquet tables")
-    p.add_argument("--declared-schema", action="store_true",
-                   help="apply the declared 24-column schema instead of inferring types")
+    p.add_argument("--infer", action="store_true",
+                   help="infer column types (an extra pass) instead of the declared schema")
+    p.add_argument("--sampling-ratio", type=float, default=1.0,
+                   help="share of the file read to infer types (with --infer)")
     p.add_argument("--key", action="append", default=None,
                    help="row key column(s) for the hash split (repeatable)")
     p.add_argument("--split", choices=["hash", "random"], default="hash")
@@ -49,8 +52,8 @@ def run(args, spark=None):
     if args.tpch:
         rows, key_cols = tpch_sales(spark, args.tpch), None
     else:
-        rows = load_sales(spark, path=args.csv, table=args.table,
-                          infer=not args.declared_schema)
+        rows = load_sales(spark, path=args.csv, table=args.table, infer=args.infer,
+                          sampling_ratio=args.sampling_ratio)
         key_cols = args.key or ["Invoice/Item Number"]
         if args.split == "hash" and any(k not in rows.columns for k in key_cols):
             raise SystemExit(f"key column(s) {key_cols} not in the data; pass --key or --split random")

@@ -18,7 +18,8 @@ def register_view(df: DataFrame, name: str) -> str:
 
 def load_sales(spark: SparkSession, *, path: str | None = None,
                table: str | None = None, fmt: str = "csv",
-               infer: bool = False, raw_header: bool = False) -> DataFrame:
+               infer: bool = False, raw_header: bool = False,
+               sampling_ratio: float = 1.0) -> DataFrame:
     """Load sales rows from a file path or a catalog table.
 
     Exactly one of ``path`` / ``table`` must be given. Raw headers are
@@ -31,7 +32,8 @@ def load_sales(spark: SparkSession, *, path: str | None = None,
     if table is not None:
         df = read_sales_table(spark, table)
     elif fmt == "csv":
-        df = read_sales_csv(spark, path, infer=infer, raw_header=raw_header)
+        df = read_sales_csv(spark, path, infer=infer, raw_header=raw_header,
+                            sampling_ratio=sampling_ratio)
     else:
         df = spark.read.format(fmt).load(path)
     return normalize_header(df)

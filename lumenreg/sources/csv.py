@@ -10,17 +10,21 @@ from lumenreg.sources.schema import sales_schema
 
 
 def read_sales_csv(spark: SparkSession, path: str, *, infer: bool = False,
-                   raw_header: bool = False, schema=None) -> DataFrame:
+                   raw_header: bool = False, schema=None,
+                   sampling_ratio: float = 1.0) -> DataFrame:
     """Read a sales CSV with a header row.
 
-    ``infer=True`` lets Spark infer column types (one extra full pass over
-    the file); otherwise the declared schema is applied, which is the right
-    choice for large inputs. The result keeps the file's own column names;
-    call :func:`normalize_header` to map raw names to the cleaned ones.
+    ``infer=True`` lets Spark infer column types, which costs an extra pass
+    over the file (over a ``sampling_ratio`` share of it); otherwise the
+    declared schema is applied, which is the right choice for large inputs.
+    The result keeps the file's own column names; call
+    :func:`normalize_header` to map raw names to the cleaned ones.
     """
     reader = spark.read.option("header", True)
     if infer:
         reader = reader.option("inferSchema", True)
+        if sampling_ratio < 1.0:
+            reader = reader.option("samplingRatio", sampling_ratio)
     else:
         reader = reader.schema(schema or sales_schema(raw_header=raw_header))
     return reader.csv(path)
