@@ -178,6 +178,13 @@ def q_lr_tvs_grid(spark, sf_dir):
     return _grid_frame(spark, res.tuning)
 
 
+def q_lr_cv_tvs_combined(spark, sf_dir):
+    """W1 + W2 as the combined notebook runs them, from one scan: both grids."""
+    cv, tvs = W.linear_cv_tvs(spark, tpch_sales(spark, sf_dir))
+    return (_grid_frame(spark, cv.tuning).withColumn("workflow", F.lit("linear_cv"))
+            .unionByName(_grid_frame(spark, tvs.tuning).withColumn("workflow", F.lit("linear_tvs"))))
+
+
 def q_lr_workflow_report(spark, sf_dir):
     """W1 end to end: row counts, best candidate, tuning and test RMSE."""
     res = W.linear_cv(spark, tpch_sales(spark, sf_dir))
@@ -294,6 +301,7 @@ QUERIES = {
     "lr_predictions": q_lr_predictions,
     "lr_cv_grid": q_lr_cv_grid,
     "lr_tvs_grid": q_lr_tvs_grid,
+    "lr_cv_tvs_combined": q_lr_cv_tvs_combined,
     "lr_workflow_report": q_lr_workflow_report,
     "lr_tvs_workflow_report": q_lr_tvs_workflow_report,
     "dt_stump": q_dt_stump,
@@ -455,6 +463,11 @@ def _oracle_lr_tvs_grid():
     return O._with(*ctes, recursive=True) + _grid_select()
 
 
+def _oracle_lr_cv_tvs_combined():
+    return (f"SELECT *, 'linear_cv' AS workflow FROM ({_oracle_lr_cv_grid()})\n"
+            f"UNION ALL\nSELECT *, 'linear_tvs' AS workflow FROM ({_oracle_lr_tvs_grid()})")
+
+
 def _oracle_lr_workflow_report():
     k = C.LR_CV_FOLDS
     lams = ", ".join(f"({lam})" for lam in sorted({g[0] for g in LR_GRID_ROWS}))
@@ -677,6 +690,7 @@ ORACLES = {
     "lr_predictions": _oracle_lr_predictions(),
     "lr_cv_grid": _oracle_lr_cv_grid(),
     "lr_tvs_grid": _oracle_lr_tvs_grid(),
+    "lr_cv_tvs_combined": _oracle_lr_cv_tvs_combined(),
     "lr_workflow_report": _oracle_lr_workflow_report(),
     "lr_tvs_workflow_report": _oracle_lr_tvs_workflow_report(),
     "dt_stump": _oracle_dt_stump(),

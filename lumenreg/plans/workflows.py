@@ -33,7 +33,7 @@ from lumenreg.operators import tuning as T
 from lumenreg.operators.binning import plan_bins
 from lumenreg.operators.partitioning import cache_spread
 from lumenreg.operators.prepare import prepare_features
-from lumenreg.operators.ridge import group_rmse
+from lumenreg.operators.ridge import Moments, group_rmse, grouped_moments
 from lumenreg.operators.split import rename_label, with_key_hash
 
 TEST_GROUP = -1
@@ -82,10 +82,8 @@ def split_parts(features: DataFrame, train_fraction: float, h: str,
     raise ValueError(f"split must be 'hash' or 'random', got {split!r}")
 
 
-def _ridge_workflow(spark, name, feats, group, splits, refit_keys, grid, view, h,
-                    train_fraction, split, seed):
-    est = M.linear()
-    param_maps = T.grid_dicts(T.build_grid(est, grid))
+def _grouped(feats, group, h, train_fraction, split, seed):
+    """Feature rows with ``_grp``: ``group`` for training rows, TEST_GROUP for test rows."""
     train, test = split_parts(feats, train_fraction, h, split, seed)
     if split == "hash":
         # one scan: the test rows are just another group of the same aggregation
@@ -95,8 +93,19 @@ def _ridge_workflow(spark, name, feats, group, splits, refit_keys, grid, view, h
     else:
         with_group = (train.withColumn("_grp", group)
                       .unionByName(test.withColumn("_grp", F.lit(TEST_GROUP))))
+    return with_group, test
+
+
+def _ridge_workflow(spark, name, feats, group, splits, refit_keys, grid, view, h,
+                    train_fraction, split, seed, moments=None, test=None):
+    est = M.linear()
+    param_maps = T.grid_dicts(T.build_grid(est, grid))
+    if moments is None:
+        with_group, test = _grouped(feats, group, h, train_fraction, split, seed)
+    else:
+        with_group = None
     res = T.tune_ridge(with_group, param_maps, group_col="_grp", splits=splits,
-                       refit_keys=refit_keys, default_reg=C.LR_REG_PARAM)
+                       refit_keys=refit_keys, default_reg=C.LR_REG_PARAM, moments=moments)
     moments = res.extra["moments"]
     fit = res.model
     n_test = int(moments[TEST_GROUP].n) if TEST_GROUP in moments else 0
@@ -132,6 +141,39 @@ def linear_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.T
                            split, seed)
 
 
+def linear_cv_tvs(spark: SparkSession, rows: DataFrame, *, k: int = C.LR_CV_FOLDS,
+                  train_ratio: float = C.TVS_TRAIN_RATIO, grid: dict | None = None,
+                  key_cols=None, h: str = "h", train_fraction: float = C.TRAIN_TEST_WEIGHTS[0],
+                  split: str = "hash", seed: int = 42):
+    """W1 and W2 together from ONE scan: returns ``(cv_result, tvs_result)``.
+
+    Rows are grouped by (fold, validation flag) plus the test group — 2k + 1
+    groups. W1's fold f sums the two flags of fold f; W2's fit / validation
+    parts sum the folds of each flag. Both results equal separate runs.
+    """
+    feats = feature_rows(rows, key_cols, h)
+    cut = round(train_ratio * 1000)
+    group = fold_of(k, h) * 2 + F.when(holdout_slot(h) >= cut, F.lit(1)).otherwise(F.lit(0))
+    with_group, test = _grouped(feats, group, h, train_fraction, split, seed)
+    cells = grouped_moments(with_group, "_grp")
+    combine = Moments.combine
+    cv_moments = {f: combine(cells[c] for c in (2 * f, 2 * f + 1) if c in cells)
+                  for f in range(k)}
+    tvs_moments = {flag: combine(cells[2 * f + flag] for f in range(k) if 2 * f + flag in cells)
+                   for flag in (0, 1)}
+    for m in (cv_moments, tvs_moments):
+        if TEST_GROUP in cells:
+            m[TEST_GROUP] = cells[TEST_GROUP]
+    grid = grid or C.LR_GRID
+    cv = _ridge_workflow(spark, "linear_cv", feats, None, T.kfold_splits(k), list(range(k)),
+                         grid, C.VIEW_NAMES["lr_cv"], h, train_fraction, split, seed,
+                         moments=cv_moments, test=test)
+    tvs = _ridge_workflow(spark, "linear_tvs", feats, None, [([0], 1)], [0, 1], grid,
+                          C.VIEW_NAMES["lr_tvs"], h, train_fraction, split, seed,
+                          moments=tvs_moments, test=test)
+    return cv, tvs
+
+
 def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group, splits,
                    view, h, train_fraction, split, seed, parallelism, max_bins):
     train, test = split_parts(feats, train_fraction, h, split, seed)

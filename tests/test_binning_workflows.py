@@ -59,3 +59,14 @@ def test_random_split_mode(spark):
     assert t.n_train + t.n_test == a.n_train + a.n_test
     with pytest.raises(ValueError):
         W.linear_cv(spark, rows, split="bogus")
+
+
+def test_combined_linear_workflows_equal_separate_runs(spark):
+    rows = tpch_sales(spark, SF_SMALL)
+    cv, tvs = W.linear_cv_tvs(spark, rows)
+    cv1, tvs1 = W.linear_cv(spark, rows), W.linear_tvs(spark, rows)
+    for a, b in ((cv, cv1), (tvs, tvs1)):
+        assert a.tuning.best == b.tuning.best
+        assert a.tuning.metrics == pytest.approx(b.tuning.metrics, rel=1e-10)
+        assert a.test_rmse == pytest.approx(b.test_rmse, rel=1e-10)
+        assert (a.n_train, a.n_test) == (b.n_train, b.n_test)
