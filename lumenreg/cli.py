@@ -1,7 +1,7 @@
 """Run one sales-regression workflow from the command line.
 
     spark-submit lumenreg/cli.py --workflow tree_cv --csv sales.csv
-    python -m lumenreg.cli --workflow linear_cv --table iowa_sales
+    python -m lumenreg.cli --workflow linear_cv --table sales_rows
     python -m lumenreg.cli --workflow gbt_tvs --tpch /root/testdata/sf0.1
 
 Sources: a headed CSV in the 24-column sales layout (cleaned or raw header;
