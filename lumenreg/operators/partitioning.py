@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame
 
 def cache_spread(df: DataFrame, min_partitions: int | None = None,
                  level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-                 first_action=None):
+                 first_action=None, storage: str = "cache"):
     """Persist ``df``, materialise it once and return ``(cached, result)``.
 
     ``first_action(cached)`` is the job that materialises the cache (default:
     ``count``), so a statistic the caller needs anyway costs no extra pass;
     its result is returned.
 
+    ``storage="checkpoint"`` writes the rows once to the shared checkpoint
+    directory instead (``DataFrame.checkpoint``): lineage is cut, and a lost
+    executor costs a re-read of those files rather than a recomputation.
+
     Inputs re-read by many jobs (the training rows of a tuning run) should
     keep every core busy. The partition count is read only *after* the cache
     is materialised: asking an adaptive plan for its partitions earlier would
@@ -25,7 +29,15 @@ def cache_spread(df: DataFrame, min_partitions: int | None = None,
     as Spark sorts before round-robin partitioning — and cached again.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    cached = df.persist(level)
+    if storage == "checkpoint":
+        from lumenreg.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        cached = df.checkpoint(eager=True)
+    elif storage == "cache":
+        cached = df.persist(level)
+    else:
+        raise ValueError(f"storage must be 'cache' or 'checkpoint', got {storage!r}")
     result = (first_action or DataFrame.count)(cached)
     if cached.rdd.getNumPartitions() >= target:
         return cached, result

@@ -175,14 +175,16 @@ def linear_cv_tvs(spark: SparkSession, rows: DataFrame, *, k: int = C.LR_CV_FOLD
 
 
 def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group, splits,
-                   view, h, train_fraction, split, seed, parallelism, max_bins):
+                   view, h, train_fraction, split, seed, parallelism, max_bins,
+                   storage="cache"):
     train, test = split_parts(feats, train_fraction, h, split, seed)
     # the assembled rows are cached (vectors built once for all fits); raw
     # feature columns stay alongside for the distinct-value check
     assembled = M.assembler().transform(train.withColumn(split_col, group))
     # the pass that materialises the cache also counts rows and distinct values
     cached, plan = cache_spread(
-        assembled, first_action=lambda d: plan_bins(d, list(C.FEATURE_COLS), max_bins))
+        assembled, first_action=lambda d: plan_bins(d, list(C.FEATURE_COLS), max_bins),
+        storage=storage)
     try:
         fit_rows = cached
         if plan.stages:
@@ -207,21 +209,21 @@ def tree_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.TREE_CV_FOLDS,
             max_depth: int = 5, max_bins: int = C.TREE_MAX_BINS, grid: dict | None = None,
             key_cols=None, h: str = "h", parallelism: int = 4, seed: int = 1,
             train_fraction: float = C.TRAIN_TEST_WEIGHTS[0], split: str = "hash",
-            split_seed: int = 42) -> WorkflowResult:
+            split_seed: int = 42, storage: str = "cache") -> WorkflowResult:
     """W3: decision-tree regression tuned by k-fold cross-validation."""
     feats = feature_rows(rows, key_cols, h)
     est = M.tree(max_bins=max_bins, max_depth=max_depth, seed=seed)
     param_maps = T.build_grid(est, grid)
     return _tree_workflow(spark, "tree_cv", feats, est, param_maps, "fold", fold_of(k, h),
                           T.kfold_splits(k), C.VIEW_NAMES["dt_cv"], h, train_fraction,
-                          split, split_seed, parallelism, max_bins)
+                          split, split_seed, parallelism, max_bins, storage)
 
 
 def gbt_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_TRAIN_RATIO,
             max_bins: int = C.TREE_MAX_BINS, max_iter: int = C.GBT_MAX_ITER,
             grid: dict | None = None, key_cols=None, h: str = "h", parallelism: int = 4,
             seed: int = 1, train_fraction: float = C.TRAIN_TEST_WEIGHTS[0],
-            split: str = "hash", split_seed: int = 42) -> WorkflowResult:
+            split: str = "hash", split_seed: int = 42, storage: str = "cache") -> WorkflowResult:
     """W4: gradient-boosted-tree regression tuned on a held-out validation cut."""
     feats = feature_rows(rows, key_cols, h)
     est = M.boosted(max_bins=max_bins, max_iter=max_iter, seed=seed)
@@ -230,4 +232,4 @@ def gbt_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_
     group = F.when(holdout_slot(h) >= cut, F.lit(1)).otherwise(F.lit(0))
     return _tree_workflow(spark, "gbt_tvs", feats, est, param_maps, "is_validation", group,
                           [([0], 1)], C.VIEW_NAMES["gbt_tvs"], h, train_fraction,
-                          split, split_seed, parallelism, max_bins)
+                          split, split_seed, parallelism, max_bins, storage)

@@ -70,3 +70,13 @@ def test_combined_linear_workflows_equal_separate_runs(spark):
         assert a.tuning.metrics == pytest.approx(b.tuning.metrics, rel=1e-10)
         assert a.test_rmse == pytest.approx(b.test_rmse, rel=1e-10)
         assert (a.n_train, a.n_test) == (b.n_train, b.n_test)
+
+
+def test_checkpoint_storage_gives_the_same_tree_results(spark):
+    rows = tpch_sales(spark, SF_SMALL)
+    a = W.tree_cv(spark, rows, k=3, max_depth=3, max_bins=256)
+    b = W.tree_cv(spark, rows, k=3, max_depth=3, max_bins=256, storage="checkpoint")
+    assert a.tuning.metrics == b.tuning.metrics
+    assert a.test_rmse == b.test_rmse and a.n_train == b.n_train
+    with pytest.raises(ValueError):
+        W.tree_cv(spark, rows, storage="disk")
