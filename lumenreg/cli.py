@@ -18,6 +18,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from lumenreg.operators.split import with_key_hash
 from lumenreg.plans import workflows as W
 from lumenreg.session import get_session
 from lumenreg.sources.catalog import load_sales
@@ -41,6 +42,8 @@ def parse_args(argv=None):
     p.add_argument("--key", action="append", default=None,
                    help="row key column(s) for the hash split (repeatable)")
     p.add_argument("--split", choices=["hash", "random"], default="hash")
+    p.add_argument("--hash", dest="hash_method", choices=["md5", "xxhash64"], default="md5",
+                   help="row-key hash for the split (xxhash64 is cheaper per row)")
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--master", default=None)
     p.add_argument("--preview", type=int, default=20)
@@ -50,11 +53,13 @@ def parse_args(argv=None):
 def run(args, spark=None):
     spark = spark or get_session(args.master)
     if args.tpch:
-        rows, key_cols = tpch_sales(spark, args.tpch), None
+        rows, key_cols = tpch_sales(spark, args.tpch, hash_method=args.hash_method), None
     else:
         rows = load_sales(spark, path=args.csv, table=args.table, infer=args.infer,
                           sampling_ratio=args.sampling_ratio)
         key_cols = args.key or ["Invoice/Item Number"]
+        if all(k in rows.columns for k in key_cols):
+            rows = with_key_hash(rows, key_cols, "h", args.hash_method)
         if args.split == "hash" and any(k not in rows.columns for k in key_cols):
             raise SystemExit(f"key column(s) {key_cols} not in the data; pass --key or --split random")
         if args.split == "random":

@@ -24,11 +24,12 @@ def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42):
     return df.randomSplit(list(weights), seed=seed)
 
 
-def with_key_hash(df: DataFrame, key_cols: list[str], h: str = "h") -> DataFrame:
+def with_key_hash(df: DataFrame, key_cols: list[str], h: str = "h",
+                  method: str = "md5") -> DataFrame:
     """Add the row-key hash column ``h`` unless it is already there."""
     if h in df.columns:
         return df
-    return df.withColumn(h, row_hash(*key_cols))
+    return df.withColumn(h, row_hash(*key_cols, method=method))
 
 
 def _digits(fraction: float) -> int:

@@ -61,12 +61,13 @@ class WorkflowResult:
                    "tuning_rmse double, test_rmse double")
 
 
-def feature_rows(rows: DataFrame, key_cols: list[str] | None = None, h: str = "h") -> DataFrame:
+def feature_rows(rows: DataFrame, key_cols: list[str] | None = None, h: str = "h",
+                 hash_method: str = "md5") -> DataFrame:
     """Clean sales rows -> feature rows carrying the key hash."""
     if h not in rows.columns:
         if not key_cols:
             raise ValueError("rows have no hash column; pass key_cols to derive it")
-        rows = with_key_hash(rows, key_cols, h)
+        rows = with_key_hash(rows, key_cols, h, hash_method)
     return prepare_features(rows, extra=[h])
 
 

@@ -32,7 +32,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tpch_sales(spark: SparkSession, sf_dir: str, *, with_hash: bool = True,
-               typed: bool = False) -> DataFrame:
+               typed: bool = False, hash_method: str = "md5") -> DataFrame:
     """Sales rows in the cleaned header layout (plus key hash ``h``).
 
     ``typed=False`` gives the columns as doubles (feature layout);
@@ -55,5 +55,5 @@ def tpch_sales(spark: SparkSession, sf_dir: str, *, with_hash: bool = True,
         (F.col("l_quantity") * (1 - F.col("l_discount"))).alias("VolumeSoldInLitres"),
     ]
     if with_hash:
-        cols.append(row_hash(*KEY_COLS).alias("h"))
+        cols.append(row_hash(*KEY_COLS, method=hash_method).alias("h"))
     return j.select(*cols)

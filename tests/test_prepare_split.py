@@ -78,3 +78,18 @@ def test_random_split_seeded(spark):
     assert a1.count() + b1.count() == f.count()
     assert sorted(r.h for r in a1.select("h").collect()) == sorted(r.h for r in a2.select("h").collect())
     assert drop_incomplete(f).count() == f.count()
+
+
+def test_xxhash_key_hash_is_a_32bit_deterministic_split(spark):
+    from lumenreg.functions.keys import row_hash
+
+    f = tpch_sales(spark, SF_SMALL, hash_method="xxhash64")
+    lo, hi = f.agg(F.min("h"), F.max("h")).first()
+    assert 0 <= lo and hi < 2 ** 32
+    train, test = hash_split(prepare_features(f, extra=["h"]))
+    a, b = train.count(), test.count()
+    assert a + b == f.count() and 0.6 < a / (a + b) < 0.8
+    assert f.select(F.sum("h")).first()[0] == tpch_sales(
+        spark, SF_SMALL, hash_method="xxhash64").select(F.sum("h")).first()[0]
+    with pytest.raises(ValueError):
+        row_hash("l_orderkey", method="crc")
