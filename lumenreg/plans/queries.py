@@ -101,7 +101,12 @@ def q_split_counts(spark, sf_dir):
 
 
 def q_random_split_invariants(spark, sf_dir):
-    """R1 (seeded randomSplit): the parts partition the input exactly."""
+    """R1 (seeded randomSplit): the parts partition the input exactly.
+
+    An audit query: exact multiset equality needs one shuffle of every row by
+    its value (as ``EXCEPT ALL`` does); map-side partial aggregation folds
+    duplicate rows before the shuffle.
+    """
     f = _features(spark, sf_dir)
     train, test = random_split(f, C.TRAIN_TEST_WEIGHTS, seed=42)
     cols = f.columns
