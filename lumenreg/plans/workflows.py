@@ -178,29 +178,40 @@ def linear_cv_tvs(spark: SparkSession, rows: DataFrame, *, k: int = C.LR_CV_FOLD
 def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group, splits,
                    view, h, train_fraction, split, seed, parallelism, max_bins,
                    storage="cache"):
-    train, test = split_parts(feats, train_fraction, h, split, seed)
-    # the assembled rows are cached (vectors built once for all fits); raw
-    # feature columns stay alongside for the distinct-value check
-    assembled = M.assembler().transform(train.withColumn(split_col, group))
-    # the pass that materialises the cache also counts rows and distinct values
+    # training AND test rows go through one scan into one cache (flagged), so
+    # the source is read once for tuning, refit and scoring; vectors are
+    # assembled once, raw feature columns stay alongside for the distinct check
+    flag = "_is_test"
+    if split == "hash":
+        d = round(train_fraction * 10)
+        rows = feats.withColumn(flag, split_digit(h) >= d)
+    else:
+        train, test = split_parts(feats, train_fraction, h, split, seed)
+        rows = (train.withColumn(flag, F.lit(False))
+                .unionByName(test.withColumn(flag, F.lit(True))))
+    assembled = M.assembler().transform(rows.withColumn(split_col, group))
+    # the pass that materialises the cache also counts training rows and
+    # distinct values
     cached, plan = cache_spread(
-        assembled, first_action=lambda d: plan_bins(d, list(C.FEATURE_COLS), max_bins),
+        assembled,
+        first_action=lambda d: plan_bins(d.filter(~F.col(flag)), list(C.FEATURE_COLS), max_bins),
         storage=storage)
     try:
-        fit_rows = cached
+        ready = cached
         if plan.stages:
             prep = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols)])
-            fit_rows = prep.transform(cached.drop(C.FEATURES_COL))
-        res = T.tune_estimator(estimator, param_maps, fit_rows,
+            ready = prep.transform(cached.drop(C.FEATURES_COL))
+        res = T.tune_estimator(estimator, param_maps, ready.filter(~F.col(flag)),
                                split_col=split_col, splits=splits,
                                parallelism=parallelism, persist=False)
+        scored = res.model.transform(rename_label(ready.filter(F.col(flag))))
+        report = E.rmse_frame(scored).first()
     finally:
         cached.unpersist()
+    # the published model scores raw sales rows: binning, assembly, tree(s)
     model = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols), res.model])
-    scored = model.transform(rename_label(test))
     pred = E.predictions(scored)
     E.publish(pred, view)
-    report = E.rmse_frame(scored).first()
     return WorkflowResult(name, res, pred, view, float(report["rmse"]), plan.n_rows,
                           int(report["n_rows"]), model,
                           {"distinct": plan.distinct, "binned": plan.binned})
