@@ -5,9 +5,10 @@ A rule rejects a document whose statistic exceeds a cutoff. For each stratum
 are tested on labelled documents: half of them, by a hash of doc_id, are the
 holdout, whose exact (Clopper-Pearson) upper bound on the share of good
 documents rejected must lie under the rule's part of ``RISK``, at level
-``DELTA`` divided by the number of all tests (Bonferroni). So with probability
-1 - DELTA no stratum loses more than RISK of its good documents to the rules.
-Among certified cutoffs the other half picks the one that rejects most bad
+``DELTA`` divided by the number of strata and rules (Bonferroni). A rule's
+cutoffs are tested in falling order up to the first that fails (a fixed
+sequence, which needs no further correction). So with probability 1 - DELTA no
+stratum loses more than RISK of its good documents to the rules. Among certified cutoffs the other half picks the one that rejects most bad
 documents, each good one counting ``GOOD_WEIGHT`` times; ties go to the highest
 cutoff. A rule without a certified cutoff that pays rejects nothing.
 
@@ -27,7 +28,7 @@ from pyspark.sql.types import LongType, StructField
 from lumenreg.llm.batches import keep_rows, with_text_columns
 from lumenreg.llm.document_stats import NAMES, statistics
 
-RISK, DELTA = 0.03, 0.05
+RISK, DELTA = 0.05, 0.05
 GOOD_WEIGHT = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Rule -> (numerator, denominator) among the statistics.
@@ -89,10 +90,11 @@ def certify(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                .where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
                .withColumn("holdout", F.pmod(F.xxhash64(F.lit("holdout"), "doc_id"), F.lit(2)) == 0))
     # the grid step at which a rule begins to reject a document, or none
-    grid, step = F.array(*[F.lit(c) for c in GRID]), {}
-    for rule, (top, under) in RULES.items():
+    def first_step(top: str, under: str):
         ratio = F.col(top) / F.greatest(F.col(under), F.lit(1))
-        step[rule] = F.size(F.filter(grid, lambda c, ratio=ratio: ratio <= c))
+        return F.size(F.filter(F.array(*[F.lit(c) for c in GRID]), lambda c: ratio <= c))
+
+    step = {rule: first_step(*columns) for rule, columns in RULES.items()}
     sums = counted.select("stratum", "good", "holdout", F.explode(F.array(*[
         F.struct(F.lit(rule).alias("rule"), s.alias("first")) for rule, s in step.items()]
     )).alias("r")).groupBy("stratum", "good", "holdout", "r.rule", "r.first").agg(
@@ -102,7 +104,7 @@ def certify(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         counts = totals.setdefault(r["stratum"], {}).setdefault(r["rule"], {}).setdefault(
             (r["good"], r["holdout"]), [0] * (len(GRID) + 1))
         counts[r["first"]] += r["n"]
-    level = delta / max(1, len(totals) * len(RULES) * len(GRID))
+    level = delta / max(1, len(totals) * len(RULES))
     chosen: dict = {}
     for stratum, rules in totals.items():
         for rule, cells in rules.items():
@@ -115,7 +117,7 @@ def certify(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                 lost = sum(good_test[:i + 1])
                 if not sum(good_test) or upper_bound(lost, sum(good_test), level) \
                         > risk / len(RULES):
-                    break  # a lower cutoff rejects no fewer
+                    break  # the sequence ends
                 gain = sum(bad_pick[:i + 1]) - GOOD_WEIGHT * sum(good_pick[:i + 1])
                 if gain > best_gain:
                     best, best_gain = cutoff, gain
