@@ -5,8 +5,8 @@
     python -m lumenreg.cli --workflow gbt_tvs --tpch /root/testdata/sf0.1
 
 Sources: a headed CSV in the 24-column sales layout (cleaned or raw header;
-the declared schema by default, or inferred types with ``--infer``, optionally
-from a ``--sampling-ratio`` share of the file), a catalog table, or the
+the declared schema by default, or inferred types with ``--infer``), a catalog
+table, or the
 TPC-H-like driver tables. Splits hash the ``--key`` column(s) (default
 ``Invoice/Item Number``) or use a seeded ``randomSplit`` (``--split random``).
 Prints the report row, the candidates table and a preview of the predictions;
@@ -37,8 +37,6 @@ def parse_args(argv=None):
     src.add_argument("--tpch", help="folder with lineitem/part parquet tables")
     p.add_argument("--infer", action="store_true",
                    help="infer column types (an extra pass) instead of the declared schema")
-    p.add_argument("--sampling-ratio", type=float, default=1.0,
-                   help="share of the file read to infer types (with --infer)")
     p.add_argument("--key", action="append", default=None,
                    help="row key column(s) for the hash split (repeatable)")
     p.add_argument("--split", choices=["hash", "random"], default="hash")
@@ -55,8 +53,7 @@ def run(args, spark=None):
     if args.tpch:
         rows, key_cols = tpch_sales(spark, args.tpch, hash_method=args.hash_method), None
     else:
-        rows = load_sales(spark, path=args.csv, table=args.table, infer=args.infer,
-                          sampling_ratio=args.sampling_ratio)
+        rows = load_sales(spark, path=args.csv, table=args.table, infer=args.infer)
         key_cols = args.key or ["Invoice/Item Number"]
         if all(k in rows.columns for k in key_cols):
             rows = with_key_hash(rows, key_cols, "h", args.hash_method)

@@ -45,7 +45,7 @@ def check_numeric(df: DataFrame, cols: list[str]) -> None:
         detail = ", ".join(f"{c} ({t})" for c, t in bad)
         raise TypeError(
             f"feature columns must be numeric, found {detail}; clean the values "
-            "(e.g. strip currency signs) or read the file with the declared schema")
+            "(e.g. strip currency signs) before the workflow")
 
 
 def to_feature_rows(df: DataFrame, extra: list[str] | None = None) -> DataFrame:

@@ -18,12 +18,12 @@ def register_view(df: DataFrame, name: str) -> str:
 
 def load_sales(spark: SparkSession, *, path: str | None = None,
                table: str | None = None, fmt: str = "csv",
-               infer: bool = False, raw_header: bool = False,
-               sampling_ratio: float = 1.0) -> DataFrame:
+               infer: bool = False) -> DataFrame:
     """Load sales rows from a file path or a catalog table.
 
     Exactly one of ``path`` / ``table`` must be given. Raw headers are
-    normalised to the cleaned column names.
+    normalised to the cleaned column names. CSV columns are bound by name, see
+    ``sources.csv.read_sales_csv``.
     """
     from lumenreg.sources.csv import normalize_header, read_sales_csv
 
@@ -32,8 +32,7 @@ def load_sales(spark: SparkSession, *, path: str | None = None,
     if table is not None:
         df = read_sales_table(spark, table)
     elif fmt == "csv":
-        df = read_sales_csv(spark, path, infer=infer, raw_header=raw_header,
-                            sampling_ratio=sampling_ratio)
+        df = read_sales_csv(spark, path, infer=infer)
     else:
         df = spark.read.format(fmt).load(path)
     return normalize_header(df)

@@ -5,29 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenreg.config import RAW_TO_CLEAN
-from lumenreg.sources.schema import sales_schema
+from pyspark.sql import types as T
 
+from lumenreg.config import RAW_TO_CLEAN, SELECTED_COLS
+from lumenreg.sources.schema import SALES_SCHEMA
 
-def read_sales_csv(spark: SparkSession, path: str, *, infer: bool = False,
-                   raw_header: bool = False, schema=None,
-                   sampling_ratio: float = 1.0) -> DataFrame:
-    """Read a sales CSV with a header row.
 
-    ``infer=True`` lets Spark infer column types, which costs an extra pass
-    over the file (over a ``sampling_ratio`` share of it); otherwise the
-    declared schema is applied, which is the right choice for large inputs.
-    The result keeps the file's own column names; call
+def file_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Declared types for a headed CSV, bound by its own column names in its own order.
+
+    Cleaned and raw names are known, others are read as text. The seven used
+    columns must be there, by either name, once.
+    """
+    names = spark.read.option("header", True).csv(path).columns  # reads a header, no rows
+    types = {f.name: f.dataType for f in SALES_SCHEMA.fields}
+    clean = [RAW_TO_CLEAN.get(n, n) for n in names]
+    missing = [c for c in SELECTED_COLS if c not in clean]
+    if missing:
+        raise ValueError(f"{path} lacks columns {missing}; its header is {names}")
+    return T.StructType([T.StructField(n, types.get(c, T.StringType()), True)
+                         for n, c in zip(names, clean)])
+
+
+def read_sales_csv(spark: SparkSession, path: str, *, infer: bool = False) -> DataFrame:
+    """Read a sales CSV with a header row, cleaned or raw, columns in any order.
+
+    By default the declared types are bound by column name, and a cell that
+    doesn't parse, a row of another length or (in a folder) a file with another
+    header fails the read: nothing is swapped, turned into NULL or dropped
+    unnoticed. ``infer=True`` lets Spark infer types from all rows, which costs an
+    extra pass. The result keeps the file's own column names; call
     :func:`normalize_header` to map raw names to the cleaned ones.
     """
     reader = spark.read.option("header", True)
     if infer:
-        reader = reader.option("inferSchema", True)
-        if sampling_ratio < 1.0:
-            reader = reader.option("samplingRatio", sampling_ratio)
-    else:
-        reader = reader.schema(schema or sales_schema(raw_header=raw_header))
-    return reader.csv(path)
+        return reader.option("inferSchema", True).csv(path)
+    return (reader.schema(file_schema(spark, path)).option("enforceSchema", False)
+            .option("mode", "FAILFAST").csv(path))
 
 
 def normalize_header(df: DataFrame) -> DataFrame:

@@ -52,14 +52,3 @@ def sales_schema(raw_header: bool = False) -> T.StructType:
         for f in SALES_SCHEMA.fields
     ])
 
-
-def used_schema(raw_header: bool = False) -> T.StructType:
-    """The seven used columns alone, in selection order (files holding only those)."""
-    from lumenreg.config import RAW_TO_CLEAN, SELECTED_COLS
-
-    clean_to_raw = {v: k for k, v in RAW_TO_CLEAN.items()}
-    types = {f.name: f.dataType for f in SALES_SCHEMA.fields}
-    return T.StructType([
-        T.StructField(clean_to_raw[c] if raw_header else c, types[c], True)
-        for c in SELECTED_COLS
-    ])

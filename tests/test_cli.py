@@ -28,7 +28,7 @@ def test_cli_random_split_tree(spark, tmpdir_path):
     path = f"{tmpdir_path}/sales"
     n = _write_sales_csv(spark, path)
     _, res = run(parse_args(["--workflow", "tree_cv", "--csv", path, "--infer",
-                             "--sampling-ratio", "0.5", "--split", "random", "--seed", "5"]), spark)
+                             "--split", "random", "--seed", "5"]), spark)
     assert res.n_train + res.n_test == n
 
 

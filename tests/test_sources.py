@@ -72,14 +72,63 @@ def test_raw_header_sql_projection(spark, tmpdir_path):
 def test_load_sales_switch(spark, tmpdir_path):
     rows = tpch_sales(spark, SF_SMALL, with_hash=False, typed=True)
     register_view(rows, "sales_switch_test")
+    want = sorted(map(tuple, rows.collect()))
     a = load_sales(spark, table="sales_switch_test")
-    assert a.count() == rows.count()
+    assert sorted(map(tuple, a.collect())) == want
     path = f"{tmpdir_path}/sales_csv"
     rows.write.option("header", True).csv(path)
-    b = load_sales(spark, path=path)  # declared schema, cleaned header
+    b = load_sales(spark, path=path)  # declared types by name: these seven columns are enough
     assert b.schema["Pack"].dataType == T.IntegerType()
+    assert sorted(map(tuple, b.collect())) == want
     with pytest.raises(ValueError):
         load_sales(spark)
     with pytest.raises(ValueError):
         load_sales(spark, path=path, table="x")
     assert read_sales_table(spark, "sales_switch_test").columns == rows.columns
+
+
+GOOD = "6,750,4.50,6.75,12,81.00,9.0,11/30/2014"
+
+
+def test_columns_are_bound_by_name(spark, tmpdir_path):
+    path = f"{tmpdir_path}/exchanged.csv"
+    _write(path, ["State Bottle Retail,State Bottle Cost,Pack,Bottle Volume (ml),Bottles Sold,"
+                  "Sale (Dollars),Volume Sold (Liters),Note", "6.75,4.5,6,750,12,81.0,9.0,x"])
+    row = load_sales(spark, path=path).first()
+    assert (row["StateBottleCost"], row["StateBottleRetail"], row["Note"]) == (4.5, 6.75, "x")
+
+
+def test_missing_column_is_an_error(spark, tmpdir_path):
+    path = f"{tmpdir_path}/short.csv"
+    _write(path, ["Pack,Date", "6,x"])
+    with pytest.raises(ValueError, match="lacks columns.*SaleInDollars"):
+        load_sales(spark, path=path)
+
+
+@pytest.mark.parametrize("bad", ["6,750,$4.50,6.75,12,81.00,9.0,x", "6.5,750,4.5,6.75,12,81,9,x"])
+def test_cells_that_do_not_parse_fail_the_read(spark, tmpdir_path, bad):
+    from lumenreg.operators.prepare import prepare_features
+
+    path = f"{tmpdir_path}/bad.csv"
+    _write(path, [RAW_HEADER, GOOD, bad])
+    with pytest.raises(Exception, match="MALFORMED|BadRecord|malformed"):
+        prepare_features(load_sales(spark, path=path)).collect()
+
+
+def test_files_of_another_header_fail_the_read(spark, tmpdir_path):
+    import os
+
+    os.makedirs(f"{tmpdir_path}/two")
+    _write(f"{tmpdir_path}/two/a.csv", [RAW_HEADER, GOOD])
+    names = RAW_HEADER.split(",")
+    names[2], names[3] = names[3], names[2]
+    _write(f"{tmpdir_path}/two/b.csv", [",".join(names), GOOD])
+    with pytest.raises(Exception, match="header|Header"):
+        load_sales(spark, path=f"{tmpdir_path}/two").collect()
+
+
+def test_empty_cells_are_null_and_nan_is_kept(spark, tmpdir_path):
+    path = f"{tmpdir_path}/holes.csv"
+    _write(path, [RAW_HEADER, GOOD, ",750,NaN,6.75,12,81.00,9.0,x"])
+    row = load_sales(spark, path=path).filter("Pack is null").first()
+    assert math.isnan(row["StateBottleCost"]) and row["BottlesSold"] == 12
