@@ -1,18 +1,18 @@
 """Session helpers.
 
-The library never creates machine-local scratch space on a cluster: shared
-scratch always lives under the checkpoint directory the cluster names in
-``spark.checkpoint.dir``. Only when that setting is absent (local runs,
-tests) do we pick a private temporary folder of our own.
+Shared scratch lives under the checkpoint directory that the cluster names in
+``spark.checkpoint.dir``. Only on a local master, where all executors share the
+driver's disk, is a private temporary folder made if that setting is absent;
+elsewhere that is an error, raised by what needs the folder.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the workflows at scale. AQE re-plans joins and
 # coalesces shuffle partitions at run time; skew-join splitting covers a hot
@@ -41,19 +41,20 @@ def get_session(master: str | None = None, app_name: str = "lumenreg",
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, setting a private one only if unset."""
+    """Return the session's checkpoint dir; on a local master, set a private one if unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               f"executors share (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="lumenreg-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -65,17 +66,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/lumenreg-scratch/{name}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def sql_conf(spark: SparkSession, settings: dict):
-    """Set SQL confs for the actions inside the block, then restore them."""
-    previous = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, str(v))
-        yield spark
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`scratch_dir`, on whatever file system it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint directory, which cuts their lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def ensure_codegen_fields(spark: SparkSession, fields: int) -> None:
+    """Raise whole-stage codegen's field limit to ``fields`` if it is lower.
+
+    It is only ever raised, so workflows that run side by side in a session
+    can't undo each other's setting.
+    """
+    if int(spark.conf.get("spark.sql.codegen.maxFields")) < fields:
+        spark.conf.set("spark.sql.codegen.maxFields", str(fields))
