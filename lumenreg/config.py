@@ -57,14 +57,15 @@ GBT_GRID = {
 }
 TRAIN_TEST_WEIGHTS = [0.7, 0.3]
 
-# --- fixed values: prediction view names, one per workflow -----------------
+# --- fixed values: prediction view names of the linear workflows -----------
 VIEW_NAMES = {
     "lr_cv": "regressionPredictionsCV",
     "lr_tvs": "regressionPredictionsTVS",
-    "dt_cv": "regressionPredictionsDT",
-    "gbt_tvs": "regressionPredictionsGBT",
 }
 
+# Our own names: the tree workflows get views of their own, so that none overwrites another.
+VIEW_NAMES |= {"dt_cv": "regressionPredictionsDT", "gbt_tvs": "regressionPredictionsGBT"}
+
 LABEL_COL = "label"
 TRUE_LABEL_COL = "trueLabel"
 PREDICTION_COL = "prediction"

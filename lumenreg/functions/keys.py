@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 
 HASH_METHODS = ("md5", "xxhash64")
+#: Stands for NULL in a hashed key, so that (a, NULL) and (NULL, a) differ.
+NULL_MARK = "\\N"
 
 
 def row_hash(*cols: str | Column, method: str = "md5") -> Column:
@@ -25,11 +27,14 @@ def row_hash(*cols: str | Column, method: str = "md5") -> Column:
     row, the better choice when no other engine needs the same split.
     """
     if method == "md5":
-        parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+        parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"),
+                            F.lit(NULL_MARK)) for c in cols]
         digest = F.md5(F.concat_ws("|", *parts))
         return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     if method == "xxhash64":
-        return F.pmod(F.xxhash64(*cols), F.lit(1 << 32))
+        parts = [F.col(c) if isinstance(c, str) else c for c in cols]
+        # xxhash64 passes over NULLs, so their places are hashed too
+        return F.pmod(F.xxhash64(*parts, *[p.isNull() for p in parts]), F.lit(1 << 32))
     raise ValueError(f"hash method must be one of {HASH_METHODS}, got {method!r}")
 
 
@@ -38,6 +43,15 @@ def split_digit(h: str | Column = "h") -> Column:
     return F.pmod(F.col(h) if isinstance(h, str) else h, F.lit(10))
 
 
+def split_slot(h: str | Column = "h") -> Column:
+    """Slot 0..9999 for the train/test split; its thousands are the split digit.
+
+    The lower part comes from digits that folds and the validation cut don't use.
+    """
+    hc = F.col(h) if isinstance(h, str) else h
+    return split_digit(h) * 1000 + F.pmod(F.floor(hc / 10_000), F.lit(1000))
+
+
 def fold_of(k: int, h: str | Column = "h") -> Column:
     """Fold number 0..k-1, independent of the split digit."""
     hc = F.col(h) if isinstance(h, str) else h

@@ -40,11 +40,10 @@ def rmse_frame(scored: DataFrame, label: str = TRUE_LABEL_COL,
                       rmse_expr(label, prediction).alias("rmse"))
 
 
-def rmse(scored: DataFrame, label: str = TRUE_LABEL_COL,
-         prediction: str = PREDICTION_COL) -> float:
-    return float(rmse_frame(scored, label, prediction).first()["rmse"])
+def preview(df: DataFrame, n: int = 20, order_by: list | None = None) -> DataFrame:
+    """The first ``n`` rows as a DataFrame (``show`` is for people).
 
-
-def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """First ``n`` rows as a DataFrame (``show`` is for people)."""
-    return df.limit(n)
+    With ``order_by`` they are the same on every run; Spark keeps the ``n`` best of
+    each partition, it doesn't sort the whole.
+    """
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

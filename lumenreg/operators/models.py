@@ -40,10 +40,3 @@ def pipeline(estimator, input_cols: list[str] | None = None) -> Pipeline:
     """assembler -> estimator, as in the workflows."""
     return Pipeline(stages=[assembler(input_cols), estimator])
 
-
-def estimator_for(kind: str, **kw):
-    """Factory by name: ``linear``, ``tree`` or ``gbt``."""
-    factories = {"linear": linear, "tree": tree, "gbt": boosted}
-    if kind not in factories:
-        raise ValueError(f"unknown model kind {kind!r}; choose from {sorted(factories)}")
-    return factories[kind](**kw)

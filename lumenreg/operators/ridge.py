@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenreg.config import FEATURE_COLS, LABEL_COL, PREDICTION_COL
+from lumenreg.session import ensure_codegen_fields
 
 
 @dataclass
@@ -73,25 +74,34 @@ class Moments:
 
 
 def moment_aggregates(cols: list[str]) -> list[Column]:
-    """Aggregate expressions: n, means and population co-variances.
+    """Aggregate expressions: n, means, population co-variances and counts of NaN.
 
     ``covar_pop`` keeps centred co-moments with a stable streaming update
     and merges partial results exactly (no ``sum(x*y) - sum(x)sum(y)/n``
     cancellation). Its buffer has 4 fields per pair (127 for 6 features +
     label), above Spark's default whole-stage-codegen field limit, so
-    :func:`grouped_moments` raises that limit for its one aggregation.
+    :func:`grouped_moments` raises that limit.
     """
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
     for i in range(len(cols)):
         for j in range(i, len(cols)):
             aggs.append(F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}"))
+    aggs += [F.count_if(F.isnan(F.col(c).cast("double"))).alias(f"nan{i}")
+             for i, c in enumerate(cols)]
     return aggs
 
 
 def codegen_fields(dim: int) -> int:
     """Aggregation-buffer fields of :func:`moment_aggregates` (with headroom)."""
-    return 1 + 2 * dim + 4 * dim * (dim + 1) // 2 + 16
+    return 1 + 3 * dim + 4 * dim * (dim + 1) // 2 + 16
+
+
+def check_nan(rows, cols: list[str]) -> None:
+    """Fail, naming the columns, if any group holds NaN (as the assembler does for trees)."""
+    bad = [c for i, c in enumerate(cols) if any(r[f"nan{i}"] for r in rows)]
+    if bad:
+        raise ValueError(f"NaN in column(s) {', '.join(bad)}; remove or mend these rows first")
 
 
 def _row_to_moments(row, dim: int) -> Moments:
@@ -112,19 +122,17 @@ def grouped_moments(df: DataFrame, group_col: str | Column | None,
     The result has one small row per group (the group count is chosen by the
     caller: folds, a validation flag, a test marker), so collecting it is
     bounded no matter how many rows are scanned. Partial aggregation runs
-    map-side inside whole-stage codegen.
+    map-side inside whole-stage codegen. NaN in any column is an error.
     """
-    from lumenreg.session import sql_conf
-
     cols = list(features) + [label]
-    spark = df.sparkSession
-    limit = max(int(spark.conf.get("spark.sql.codegen.maxFields")), codegen_fields(len(cols)))
-    with sql_conf(spark, {"spark.sql.codegen.maxFields": limit}):
-        if group_col is None:
-            rows = df.agg(*moment_aggregates(cols)).collect()
-            return {None: _row_to_moments(rows[0], len(cols))} if rows[0]["n"] else {}
-        g = F.col(group_col) if isinstance(group_col, str) else group_col
-        rows = df.groupBy(g.alias("_g")).agg(*moment_aggregates(cols)).collect()
+    ensure_codegen_fields(df.sparkSession, codegen_fields(len(cols)))
+    if group_col is None:
+        rows = df.agg(*moment_aggregates(cols)).collect()
+        check_nan(rows, cols)
+        return {None: _row_to_moments(rows[0], len(cols))} if rows[0]["n"] else {}
+    g = F.col(group_col) if isinstance(group_col, str) else group_col
+    rows = df.groupBy(g.alias("_g")).agg(*moment_aggregates(cols)).collect()
+    check_nan(rows, cols)
     return {r["_g"]: _row_to_moments(r, len(cols)) for r in rows}
 
 

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from lumenreg.config import FEATURE_COLS
 from lumenreg.operators.prepare import drop_incomplete, prepare_features
-from lumenreg.operators.split import (hash_split, random_split, rename_label, split_counts,
-                                      with_folds, with_holdout)
+from lumenreg.operators.split import (hash_split, random_split, rename_label, with_folds,
+                                      with_holdout, with_key_hash)
 from lumenreg.sources.fixture import tpch_sales
 from tests.conftest import SF_SMALL
 
@@ -54,8 +54,6 @@ def test_hash_split_is_exact_partition(spark):
     # repeatable: same rows on a second evaluation
     assert sorted(r.h for r in hash_split(f)[1].select("h").collect()) == \
         sorted(r.h for r in test.select("h").collect())
-    counts = {r.part: r.n_rows for r in split_counts(train, test).collect()}
-    assert counts == {"train": a, "test": b}
     assert "trueLabel" in rename_label(test).columns and "label" not in rename_label(test).columns
 
 
@@ -67,8 +65,37 @@ def test_folds_and_holdout(spark):
     assert 0.15 < share < 0.25
     with pytest.raises(ValueError):
         with_folds(f, 1)
+    for bad in (0.0, 1.0, 1.5, 0.12345):
+        with pytest.raises(ValueError):
+            hash_split(f, bad)
     with pytest.raises(ValueError):
-        hash_split(f, 0.75)
+        with_holdout(f, 0.80005)
+
+
+@pytest.mark.parametrize("fraction", [0.75, 0.04, 0.0301])
+def test_any_fraction_is_honoured(spark, fraction):
+    ids = spark.range(60_000).select(F.pmod(F.xxhash64("id"), F.lit(1 << 32)).alias("h"))
+    train, test = hash_split(ids, fraction)
+    share = train.count() / 60_000
+    assert abs(share - fraction) < 0.01 and train.count() + test.count() == 60_000
+    # the part is independent of folds and of the validation cut
+    folds = [r["count"] for r in with_folds(train, 5).groupBy("fold").count().collect()]
+    assert len(folds) == 5 and max(folds) < 1.5 * min(folds) + 60
+    held = with_holdout(train, 0.8).filter("is_validation").count()
+    assert abs(held / train.count() - 0.2) < 0.05
+
+
+def test_null_keys_are_marked_and_spread(spark):
+    rows = spark.createDataFrame([("a", None, 1), (None, "a", 2)]
+                                 + [(None, None, i) for i in range(3000)],
+                                 "k1 string, k2 string, v int")
+    for method in ("md5", "xxhash64"):
+        hashed = with_key_hash(rows, ["k1", "k2"], method=method)
+        first = hashed.filter("k1 is not null or k2 is not null").select("h").distinct()
+        assert first.count() == 2
+        sizes = [r["count"] for r in with_folds(hashed.filter("k1 is null and k2 is null"), 5)
+                 .groupBy("fold").count().collect()]
+        assert len(sizes) == 5 and min(sizes) > 450
 
 
 def test_random_split_seeded(spark):
