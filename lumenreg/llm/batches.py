@@ -8,12 +8,15 @@ task does not depend on the partition's size.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
@@ -23,6 +26,34 @@ SLICE_ROWS = 2000
 Step = Callable[[list], list]
 
 
+_shipped: set = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    import lumenreg
+
+    top = os.path.dirname(os.path.abspath(lumenreg.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lumenreg-code-"), "lumenreg_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("lumenreg", os.path.relpath(path, top)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def slices(batch: pa.RecordBatch, texts: pa.Array) -> Iterator[tuple[int, int]]:
     """(start, length) of row runs whose texts stay within the slice bounds."""
     sizes = np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False), nan=0.0)
@@ -61,7 +92,7 @@ def with_text_columns(df: DataFrame, key_cols: list[str], text_col: str,
                     [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
                      for c, f in zip(columns, arrow)], schema=arrow)
 
-    return narrow.mapInArrow(run, schema)
+    return map_arrow(narrow, run, schema)
 
 
 def keep_rows(df: DataFrame, text_col: str, make: Callable[[], Step],
@@ -84,7 +115,7 @@ def keep_rows(df: DataFrame, text_col: str, make: Callable[[], Step],
                 yield pa.RecordBatch.from_arrays(
                     part.filter(pa.array(keep, pa.bool_())).columns, schema=arrow)
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)
 
 
 class Memo(dict):

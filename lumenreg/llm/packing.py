@@ -22,7 +22,9 @@ equal doc_ids are packed as they are, each row on its own.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lumenreg.llm.batches import Memo, slices
+from lumenreg.llm.batches import map_arrow, slices
 
 CONTEXT = 2048
 #: Gaps below this many tokens are padded, not filled by a cut.
@@ -56,19 +58,62 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
-def word_memo(path: str) -> Memo:
-    """Memo from an ASCII-space-separated word to its ids as little-endian bytes.
+#: Latin letters without marks to compose, then ASCII marks: two pieces of the pre-tokenizer.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
+MEMO_WORDS = 400_000
 
-    The tokenizer drops white space and no token spans it, so a text's ids
-    are those of its words in order.
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary.
+
+    Visible Latin-1 characters stand for themselves, the others for those from
+    U+0100 on, in order.
     """
-    tokenizer = load_tokenizer(path)
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b if b in visible else next(hidden)) for b in range(256)]
+
 
-    def compute(words: list) -> list:
-        found = tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+class WordIds(dict):
+    """Word (between ASCII white space) -> its ids as little-endian bytes, when asked for.
 
-    return Memo(compute)
+    The tokenizer drops white space and no token spans it, so a text's ids are
+    those of its words in order. A word of Latin letters is one piece, in lower
+    case, and marks after it another, so these go to the tokenizer's merges
+    directly; other words go through the whole tokenizer. At ``MEMO_WORDS`` words the memo
+    starts anew; ids never depend on what it holds.
+    """
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.tokenizer = load_tokenizer(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
+        self.pieces: dict[str, bytes] = {}
+
+    def piece(self, text: str) -> bytes:
+        found = self.pieces.get(text)
+        if found is None:
+            letters = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
+            found = array("I", [t.id for t in self.merge(letters)]).tobytes()
+            if len(self.pieces) >= MEMO_WORDS:
+                self.pieces.clear()
+            self.pieces[text] = found
+        return found
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        plain = PLAIN.fullmatch(text)
+        if plain:
+            found = self.piece(plain[1].lower())
+            if plain[2]:
+                found += self.piece(plain[2])
+        else:
+            found = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        self[word] = found
+        return found
 
 
 def pack_rests(rests: list[tuple[int, int, int]], context: int = CONTEXT,
@@ -191,18 +236,16 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                                            schema=arrow), len(sequences), step_count)
 
     def run(batches):
-        memo = word_memo(tokenizer_path)
+        memo = WordIds(tokenizer_path)
         end = np.array([END_ID], "<u4").tobytes()
         base = group_base = TaskContext.get().partitionId() << 36
         keys, buffers, held = [], [], 0
         for batch in batches:
             for start, n in slices(batch, batch.column(1)):
                 part = batch.slice(start, n)
-                words = [(t or b"").split() for t in part.column(1).to_pylist()]
-                memo.add(set().union(*words))
-                for key, found in zip(part.column(0).to_pylist(), words):
+                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     keys.append(key)
-                    buffers.append(b"".join(map(memo.__getitem__, found)) + end)
+                    buffers.append(b"".join(map(memo.__getitem__, (text or b"").split())) + end)
                     held += len(buffers[-1]) // 4
                     if held >= group_tokens:
                         out, used, steps = flush(keys, buffers, base, group_base)
@@ -212,4 +255,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         if keys:
             yield flush(keys, buffers, base, group_base)[0]
 
-    return narrow.mapInArrow(run, schema)
+    return map_arrow(narrow, run, schema)
