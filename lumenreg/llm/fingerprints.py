@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from lumenreg.llm.batches import map_arrow, with_text_columns
+
 BUCKETS = 256
 TRIPLETS = ((0, 1, 2), (0, 1, 3), (0, 1, 4), (0, 2, 3), (0, 2, 4), (0, 3, 4))
 #: One byte permutation for each triplet kind and place.
@@ -69,8 +71,6 @@ def likeness(a: bytes, b: bytes) -> float:
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_chars (code points) and fingerprint of every text."""
-    from lumenreg.llm.batches import with_text_columns
-
     def make():
         return lambda texts: [[len((t or b"").decode()) for t in texts],
                               [digest(t or b"").hex() for t in texts]]
@@ -163,7 +163,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 
-    return (dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range")
-            .sortWithinPartitions("range", "tail", F.col("doc_id").desc_nulls_last(),
-                                  F.col("text").asc_nulls_first())
-            .mapInArrow(run, schema))
+    ordered = (dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range")
+               .sortWithinPartitions("range", "tail", F.col("doc_id").desc_nulls_last(),
+                                     F.col("text").asc_nulls_first()))
+    return map_arrow(ordered, run, schema)

@@ -21,12 +21,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField
 
-from lumenreg.llm.batches import Memo, flat, keep_rows, sums, with_text_columns
+from lumenreg.llm.batches import Memo, flat, keep_rows, map_arrow, sums, with_text_columns
 
 ORDER = 4
 #: Sample bound: expected documents of each language, held-back ones included.
@@ -252,8 +253,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 for w, n in words.items():
                     for g in grams(bare(w)):
                         found[lang, g] = found.get((lang, g), 0) + n
-            import pyarrow as pa
-
             yield pa.RecordBatch.from_pydict({"lang": [k[0] for k in found],
                                               "gram": [k[1] for k in found],
                                               "n": list(found.values())},
@@ -262,8 +261,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                                                                ("n", pa.int64())]))
 
     def collected(part):
-        summed = (part.select(F.col("text").cast("binary"), "lang")
-                  .mapInArrow(count, "lang string, gram string, n long")
+        summed = (map_arrow(part.select(F.col("text").cast("binary"), "lang"), count,
+                            "lang string, gram string, n long")
                   .groupBy("lang", "gram").agg(F.sum("n").alias("n"))).toArrow()
         out: dict = {}
         for lang, gram, n in zip(*(summed.column(c).to_pylist() for c in ("lang", "gram", "n"))):
@@ -291,8 +290,6 @@ def calibrate(model: Model, held_back: DataFrame) -> Model:
             return [entropy.tolist(), n]
         return step
 
-    from pyspark.sql.types import ArrayType
-
     seen = with_text_columns(held_back, ["lang"], "text", make,
                              [StructField("entropy", ArrayType(DoubleType())),
                               StructField("n", DoubleType())]).where("n > 0").collect()

@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumenreg.session import checkpointed
+
 MIN_COSINE = 0.7
 WINDOWS = (1, 4, 16)
 ANCHOR = r"(?i)licen[cs]e|spdx|copying conditions|permission is hereby granted|redistribution and use"
@@ -163,18 +165,18 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
                 (-F.col("b.minus")).alias("cosine"),
                 (F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENCE_FILE)
                  | (F.col("b.n") * 2 >= F.col("size"))).alias("licence_file")))
-    best = best.checkpoint()
+    best = checkpointed(best)
     # nearest ancestor with a licence file, worked out for each directory once
     folders = (best.where("licence_file and path is not null")
                .groupBy(directory(F.col("path")).alias("above"))
                .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "path", "license")).alias("l"))
                .select("above", F.col("l.path").alias("license_path"),
                        F.col("l.license").alias("folder_license")))
-    nearest = (rows.where("path is not null").select(directory(F.col("path")).alias("folder"))
+    nearest = checkpointed(rows.where("path is not null").select(directory(F.col("path")).alias("folder"))
                .distinct().select("folder", F.explode(ancestors(F.col("folder"))).alias("above"))
                .join(folders, "above").groupBy("folder")
                .agg(F.max(F.struct(F.length("above").alias("depth"), "license_path", "folder_license")).alias("n"))
-               .select("folder", "n.license_path", "n.folder_license")).checkpoint()
+               .select("folder", "n.license_path", "n.folder_license"))
     own = best.select("file", F.col("license").alias("own_license"), "cosine").distinct()
     named = rows.select("doc_id", "path", F.xxhash64("doc_id", "path", "text").alias("file"),
                         directory(F.col("path")).alias("folder"))

@@ -27,6 +27,7 @@ from pyspark.sql.types import LongType, StructField
 
 from lumenreg.llm.batches import keep_rows, with_text_columns
 from lumenreg.llm.document_stats import NAMES, statistics
+from lumenreg.session import checkpointed
 
 RISK, DELTA = 0.05, 0.05
 GOOD_WEIGHT = 5
@@ -152,7 +153,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Null, empty and wordless texts have all-zero statistics and fail the base.
     Repeated rows are judged each. Without labels only the base rules reject.
     """
-    measured = measure(docs, id_col, text_col, lang_col).checkpoint()
+    measured = checkpointed(measure(docs, id_col, text_col, lang_col))
     out = verdicts(measured, certify(measured, labels))
     return out.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else out
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import os
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -85,26 +84,3 @@ QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_fingerprints, op4_
                                    op5_quality_rules, op6_simhash, op7_quality_model, op8_html,
                                    op9_packing, op10_language, pipeline)}
 ORACLES: dict[str, str] = {}
-_shipped: set = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once for each application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    import tempfile
-    import zipfile
-
-    import lumenreg
-
-    top = os.path.dirname(os.path.abspath(lumenreg.__file__))
-    archive = os.path.join(tempfile.mkdtemp(prefix="lumenreg-code-"), "lumenreg_code.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, names in os.walk(top):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.join("lumenreg", os.path.relpath(path, top)))
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)

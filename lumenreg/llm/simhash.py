@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from lumenreg.llm.batches import with_text_columns
+from lumenreg.llm.batches import map_arrow, with_text_columns
 from lumenreg.llm.components import components
+from lumenreg.session import checkpointed
 
 SEED = 42
 HOT_KEY = 64
@@ -146,7 +147,7 @@ def _keyed(nodes: DataFrame) -> DataFrame:
                     pa.array(np.concatenate([stored.ravel(), probed[new]])),
                     pa.array(np.arange(3 * len(own) + new.sum()) < 3 * len(own))],
                     names=["fp", "key", "stored"])
-    return nodes.select("fp").mapInArrow(run, "fp long, key long, stored boolean")
+    return map_arrow(nodes.select("fp"), run, "fp long, key long, stored boolean")
 
 
 def links(nodes: DataFrame, max_bits: int = 2, hot_key: int = HOT_KEY) -> DataFrame:
@@ -193,13 +194,15 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bit
     prints = with_text_columns(rows, [id_col, "row_hash"], text_col, lambda: (
         lambda texts: [np.array([fingerprint(t, shingle) for t in texts],
                                 np.uint64).astype(np.int64)]),
-        [StructField("fp", LongType())]).checkpoint()
-    nodes = prints.groupBy("fp").agg(F.min(id_col).alias("low")).checkpoint()
+        [StructField("fp", LongType())])
+    prints = checkpointed(prints)
+    nodes = checkpointed(prints.groupBy("fp").agg(F.min(id_col).alias("low")))
     roots = components(links(nodes, max_bits, hot_key))
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    return prints, named.join(lowest, "root").select("fp", "root", "component_id").checkpoint()
+    labels = named.join(lowest, "root").select("fp", "root", "component_id")
+    return prints, checkpointed(labels)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
