@@ -1,61 +1,37 @@
-"""Bounded feature binning ahead of MLlib tree training.
-
-MLlib chooses continuous split candidates by sampling up to ``maxBins²`` rows
-and counting distinct values per feature inside one task per feature. With
-``maxBins = 77582`` and a continuous feature with billions of distinct values
-that group is unbounded. When (and only when) a feature has more distinct
-values than ``max_bins``, it is replaced by its equal-frequency bin number,
-cut at distributed approximate quantiles (Greenwald–Khanna summaries merged
-across partitions; at most ``max_bins - 1`` cut points reach the driver). The
-tree then sees at most ``max_bins`` values per feature, and the same
-``Bucketizer`` stage is part of the scoring pipeline.
-
-Features with at most ``max_bins`` distinct values — every feature of the
-original workflows' data — are left untouched, so MLlib's exact midpoint
-search is kept there. The distinct counts are HyperLogLog estimates taken in
-the pass that materialises the training cache, so the check costs no extra
-scan.
+"""Quantile binning ahead of MLlib tree training, on request.
+
+MLlib's exact split search counts a feature's distinct values in one task. For
+features with billions of them, ``binning="quantile"`` replaces every feature by
+its equal-frequency bin number: cut points are ``percentile_approx`` values of
+the training rows (merged map-side; at most ``bins - 1`` of each feature reach the
+driver), and the same ``Bucketizer`` is part of the scoring pipeline. The default,
+``"exact"``, leaves features as they are, whatever the data's size.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-@dataclass
-class BinPlan:
-    n_rows: int
-    distinct: dict
-    stages: list = field(default_factory=list)
-    input_cols: list = field(default_factory=list)
-
-    @property
-    def binned(self) -> list[str]:
-        return [c for c in self.distinct if f"{c}_bin" in self.input_cols]
-
-
-def plan_bins(df: DataFrame, features: list[str], max_bins: int,
-              rsd: float = 0.05, rel_error: float | None = None) -> BinPlan:
-    """Count rows and distinct values per feature; bin only the heavy features."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.approx_count_distinct(c, rsd).alias(f"_d{i}") for i, c in enumerate(features)]
-    row = df.agg(*aggs).first()
-    distinct = {c: int(row[f"_d{i}"]) for i, c in enumerate(features)}
-    heavy = [c for c in features if distinct[c] > max_bins]
-    if not heavy:
-        return BinPlan(int(row["_n"]), distinct, [], list(features))
-    probs = [i / max_bins for i in range(1, max_bins)]
-    err = rel_error if rel_error is not None else 1.0 / (10 * max_bins)
-    cuts = df.approxQuantile(heavy, probs, err)
-    splits = []
-    for values in cuts:
-        inner = sorted(set(float(v) for v in values))
-        splits.append([float("-inf")] + inner + [float("inf")])
-    bucketizer = Bucketizer(splitsArray=splits, inputCols=heavy,
-                            outputCols=[f"{c}_bin" for c in heavy], handleInvalid="keep")
-    cols = [f"{c}_bin" if c in heavy else c for c in features]
-    return BinPlan(int(row["_n"]), distinct, [bucketizer], cols)
+BINNING = ("exact", "quantile")
+BINS = 256
+
+
+def quantile_bins(df: DataFrame, features: list[str], bins: int = BINS,
+                  accuracy: int | None = None) -> Bucketizer:
+    """A Bucketizer from each feature to its bin number, column ``<feature>_bin``.
+
+    A cut point is the value at rank ceil(i / bins * n), to within n / ``accuracy``
+    ranks (default: a hundredth of a bin); values equal to a cut go above it.
+    """
+    if bins < 2:
+        raise ValueError(f"need at least 2 bins, got {bins}")
+    shares = [i / bins for i in range(1, bins)]
+    row = df.agg(*[F.percentile_approx(c, shares, accuracy or 100 * bins).alias(f"q{i}")
+                   for i, c in enumerate(features)]).first()
+    splits = [[float("-inf"), *sorted({float(v) for v in row[f"q{i}"] or []}), float("inf")]
+              for i in range(len(features))]
+    splits = [s if len(s) > 2 else [float("-inf"), 0.0, float("inf")] for s in splits]
+    return Bucketizer(splitsArray=splits, inputCols=list(features),
+                      outputCols=[f"{c}_bin" for c in features], handleInvalid="error")

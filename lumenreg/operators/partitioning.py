@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from lumenreg.session import checkpointed
 
-def cache_spread(df: DataFrame, min_partitions: int | None = None,
+#: Partitions of a cache that many fits read, for each core.
+PARTITIONS_PER_CORE = 2
+
+
+def cache_spread(df: DataFrame, partitions: int | None = None,
                  level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
                  first_action=None, storage: str = "cache"):
     """Persist ``df``, materialise it once and return ``(cached, result)``.
@@ -19,29 +24,28 @@ def cache_spread(df: DataFrame, min_partitions: int | None = None,
     directory instead (``DataFrame.checkpoint``): lineage is cut, and a lost
     executor costs a re-read of those files rather than a recomputation.
 
-    Inputs re-read by many jobs (the training rows of a tuning run) should
-    keep every core busy. The partition count is read only *after* the cache
-    is materialised: asking an adaptive plan for its partitions earlier would
-    execute its shuffle and broadcast stages just to count them. A cache with
-    at least ``min_partitions`` partitions (default: the cores; any large scan)
-    is returned as it is; a small one (e.g. one parquet row group) is spread
-    by a round-robin repartition of the cached rows — deterministic on retry,
-    as Spark sorts before round-robin partitioning — and cached again.
+    A tree fit sends one histogram for each open node *and partition*, so the
+    cache gets ``partitions`` of them (default: ``PARTITIONS_PER_CORE`` for each
+    core), however many the scan has: more are merged without a shuffle before
+    they are cached. Fewer than the cores (one parquet row group) are spread by
+    a round-robin repartition of the cached rows, which is deterministic on
+    retry, as Spark sorts before round-robin partitioning. The partition count
+    is read only *after* the cache is materialised: asking an adaptive plan for
+    its partitions earlier would execute its stages just to count them.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    most = partitions or PARTITIONS_PER_CORE * cores
+    merged = df.coalesce(most)
     if storage == "checkpoint":
-        from lumenreg.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(df.sparkSession)
-        cached = df.checkpoint(eager=True)
+        cached = checkpointed(merged)
     elif storage == "cache":
-        cached = df.persist(level)
+        cached = merged.persist(level)
     else:
         raise ValueError(f"storage must be 'cache' or 'checkpoint', got {storage!r}")
     result = (first_action or DataFrame.count)(cached)
-    if cached.rdd.getNumPartitions() >= target:
+    if cached.rdd.getNumPartitions() >= min(most, cores):
         return cached, result
-    spread = cached.repartition(target).persist(level)
+    spread = cached.repartition(min(most, cores)).persist(level)
     spread.count()
     cached.unpersist()
     return spread, result

@@ -18,9 +18,8 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -28,6 +27,7 @@ from pyspark.util import inheritable_thread_target
 from lumenreg.config import FEATURE_COLS, LABEL_COL, PREDICTION_COL
 from lumenreg.operators import ridge as R
 from lumenreg.operators.partitioning import cache_spread
+from lumenreg.session import remove_scratch, scratch_dir
 
 
 def build_grid(estimator, spec: dict | None) -> list:
@@ -158,6 +158,25 @@ def _shares_step_size(estimator, param_maps: list) -> bool:
     return estimator.getMaxIter() <= 2
 
 
+def smallest_split_gain(model, spark: SparkSession) -> float:
+    """The least gain of any split of a fitted tree model (infinite without splits).
+
+    Read from the model's saved node data. A fit whose every split gains at least
+    t is also the fit at ``minInfoGain=t``: a higher threshold only removes splits
+    below it.
+    """
+    path = scratch_dir(spark, "tree-gains")
+    model.write().save(path)
+    try:
+        nodes = spark.read.parquet(f"{path}/data")
+        if "nodeData" in nodes.columns:  # an ensemble keeps the tree's number beside it
+            nodes = nodes.select("nodeData.*")
+        least = nodes.filter("leftChild >= 0").agg(F.min("gain")).first()[0]
+    finally:
+        remove_scratch(spark, path)
+    return float("inf") if least is None else float(least)
+
+
 def _boosted_rmse_by_step(model, df: DataFrame, label: str, steps: list[float]) -> list[float]:
     """Validation RMSE of tree_0 * w_0 + s * tree_1 for every s, in one pass."""
     trees, weights = model.trees, list(model.treeWeights)
@@ -185,22 +204,28 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
     ``split_col`` group column. With ``persist`` it is spread over the cores
     if it is smaller than that, persisted (memory, spilling to disk) and
     materialised once before the concurrent fits start, so no two fits
-    compute the same partition; without, the caller has done so. Boosted candidates that differ only in ``stepSize`` share one
-    fit when that is exact (see :func:`_shares_step_size`).
+    compute the same partition; without, the caller has done so. Boosted
+    candidates that differ only in ``stepSize`` share one fit when that is exact
+    (see :func:`_shares_step_size`), and tree candidates that differ only in
+    ``minInfoGain`` share the fit at the lowest value as far as its splits' gains
+    prove that it is theirs too (see :func:`smallest_split_gain`).
     """
     param_maps = param_maps or [{}]
     cached, n_rows = cache_spread(df) if persist else (df, None)
     try:
         share = _shares_step_size(estimator, param_maps)
-        if share:
-            step_param = estimator.getParam("stepSize")
-            groups: dict = {}
-            for ci, pm in enumerate(param_maps):
-                key = tuple(sorted((p.name, v) for p, v in pm.items() if p.name != "stepSize"))
-                groups.setdefault(key, []).append(ci)
-            units = [idx for idx in groups.values()]
-        else:
-            units = [[ci] for ci in range(len(param_maps))]
+        shared = {"stepSize"} if share else set()
+        gains = None
+        if isinstance(estimator, (DecisionTreeRegressor, GBTRegressor)):
+            shared.add("minInfoGain")
+            gain_param = estimator.getParam("minInfoGain")
+            gains = [float(pm.get(gain_param, estimator.getMinInfoGain())) for pm in param_maps]
+        groups: dict = {}
+        for ci, pm in enumerate(param_maps):
+            key = tuple(sorted((p.name, v) for p, v in pm.items() if p.name not in shared))
+            groups.setdefault(key, []).append(ci)
+        units = list(groups.values()) if shared else [[ci] for ci in range(len(param_maps))]
+        fits: list = []
         jobs = [(ui, si) for ui in range(len(units)) for si in range(len(splits))]
         # a single candidate is the winner whatever the metrics: refit it
         # alongside the split fits instead of after them
@@ -211,18 +236,33 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
 
         def run(job):
             ui, si = job
+            fits.append(job)
             if ui < 0:
                 refit["model"] = estimator.fit(cached, param_maps[0])
                 return []
-            members = units[ui]
             train_keys, val_key = splits[si]
             train = cached.filter(F.col(split_col).isin(list(train_keys)))
             val = cached.filter(F.col(split_col) == F.lit(val_key))
-            model = estimator.fit(train, param_maps[members[0]])
-            if share:
-                steps = [param_maps[ci].get(step_param, estimator.getStepSize()) for ci in members]
-                return [(ci, si, v) for ci, v in zip(members, _boosted_rmse_by_step(model, val, label, steps))]
-            return [(members[0], si, _rmse_of(model, val, label))]
+            out, pending = [], sorted(units[ui], key=lambda ci: gains[ci] if gains else 0)
+            while pending:
+                lowest = pending[0]
+                model = estimator.fit(train, param_maps[lowest])
+                served = [ci for ci in pending if not gains or gains[ci] == gains[lowest]]
+                if len(served) < len(pending):
+                    proven = smallest_split_gain(model, cached.sparkSession)
+                    served = [ci for ci in pending if gains[ci] <= max(proven, gains[lowest])]
+                if share:
+                    step_param = estimator.getParam("stepSize")
+                    steps = [param_maps[ci].get(step_param, estimator.getStepSize())
+                             for ci in served]
+                    values = _boosted_rmse_by_step(model, val, label, steps)
+                else:
+                    values = [_rmse_of(model, val, label)] * len(served)
+                out += [(ci, si, v) for ci, v in zip(served, values)]
+                pending = [ci for ci in pending if ci not in served]
+                if pending:
+                    fits.append(job)
+            return out
 
         per = np.zeros((len(param_maps), len(splits)))
         workers = max(1, min(parallelism, len(jobs)))
@@ -247,23 +287,5 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
         if persist:
             cached.unpersist()
     return TuningResult(grid_dicts(param_maps), metrics, best, model, per.tolist(),
-                        {"n_rows": n_rows, "fits": len(jobs) + (0 if early_refit else 1)})
-
-
-# --------------------------------------------------------------------------
-# the literal MLlib tuners, for users who want the library objects
-# --------------------------------------------------------------------------
-
-def mllib_cross_validator(pipeline, param_maps: list, k: int, *, fold_col: str | None = None,
-                          seed: int = 1, parallelism: int = 1) -> CrossValidator:
-    kw = {"foldCol": fold_col} if fold_col else {}
-    return CrossValidator(estimator=pipeline, evaluator=RegressionEvaluator(),
-                          estimatorParamMaps=param_maps, numFolds=k, seed=seed,
-                          parallelism=parallelism, **kw)
-
+                        {"n_rows": n_rows, "fits": len(fits) + (0 if early_refit else 1)})
 
-def mllib_train_validation_split(pipeline, param_maps: list, train_ratio: float, *,
-                                 seed: int = 1, parallelism: int = 1) -> TrainValidationSplit:
-    return TrainValidationSplit(estimator=pipeline, evaluator=RegressionEvaluator(),
-                                estimatorParamMaps=param_maps, trainRatio=train_ratio,
-                                seed=seed, parallelism=parallelism)

@@ -7,12 +7,16 @@ the same column names, types and rounding as the Spark side in ``queries``.
 
 from __future__ import annotations
 
+from itertools import product
+
 from lumenreg import config as C
 from lumenreg.plans import oracle as O
 
 FEATS = list(C.FEATURE_COLS)
-# --- fixed values: the linear grid in ParamGridBuilder order (regParam outer) ---
-LR_GRID_ROWS = [(0.3, 10), (0.3, 5), (0.1, 10), (0.1, 5), (0.01, 10), (0.01, 5)]
+# the linear grid in ParamGridBuilder order (regParam outer)
+LR_GRID_ROWS = list(product(C.LR_GRID["regParam"], C.LR_GRID["maxIter"]))
+# candidates within this share of the lowest metric tie, as in ``tuning.best_index``
+TIE = 1e-12
 
 _FEAT_LIST = ", ".join(FEATS)
 _BASE = [O.SALES_CTE, O.FEAT_CTE]
@@ -51,6 +55,13 @@ def _oracle_csv_roundtrip():
         f"\nUNION ALL SELECT {_FEAT_LIST}, label, 'declared' AS mode FROM feat")
 
 
+def _oracle_load_sales():
+    sources = ("inferred", "table", "cleaned", "raw", "reordered")
+    return O._with(*_BASE) + "".join(
+        f"\n{'UNION ALL ' * (i > 0)}SELECT {_FEAT_LIST}, label, '{s}' AS source FROM feat"
+        for i, s in enumerate(sources))
+
+
 def _oracle_split_counts():
     return O._with(*_BASE) + (
         "\nSELECT CASE WHEN digit < 7 THEN 'train' ELSE 'test' END AS part, "
@@ -59,8 +70,8 @@ def _oracle_split_counts():
 
 def _oracle_random_split_invariants():
     return O._with(*_BASE) + (
-        "\nSELECT count(*) AS n_rows, count(*) AS n_parts_rows, "
-        "CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra FROM feat")
+        "\nSELECT count(*) AS n_rows, count(*) AS n_parts_rows, true AS same_rows, "
+        "true AS share_as_asked, true AS seed_repeats FROM feat")
 
 
 def _oracle_kfold_counts():
@@ -113,7 +124,8 @@ cand AS (
   SELECT g.candidate, g.regParam, g.maxIter, m.metric
   FROM grid g JOIN {metric_cte} m ON g.regParam = m.lam),
 best AS (
-  SELECT min(candidate) AS candidate FROM cand WHERE metric = (SELECT min(metric) FROM cand))"""
+  SELECT min(candidate) AS candidate FROM cand
+  WHERE metric <= (SELECT min(metric) FROM cand) * (1 + {TIE}))"""
 
 
 def _grid_select() -> str:
@@ -248,6 +260,30 @@ def _oracle_prediction_view():
         f"\nSELECT label AS trueLabel, {O.sr('pred')} AS prediction FROM scored")
 
 
+def _oracle_prediction_preview():
+    return O._with(*_stump_base(), f"""scored AS (
+  SELECT te.label, te.h, {O.stump_leaf_sql('s0_best')} AS pred FROM te CROSS JOIN s0_best),
+first AS (SELECT * FROM scored ORDER BY h, label, pred LIMIT 20)""") + (
+        f"\nSELECT label AS trueLabel, {O.sr('pred')} AS prediction FROM first")
+
+
+def _oracle_dt_quantile_bins(bins: int = 32):
+    """Cut points: the values at ranks ceil(i / bins * n) of the training rows."""
+    cuts = " UNION ".join(
+        f"SELECT DISTINCT '{c}' AS feature, v FROM (SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS rn, "
+        f"count(*) OVER () AS n FROM feat WHERE digit < 7), range(1, {bins}) r(i) "
+        f"WHERE rn = CAST(ceil(CAST(i AS DOUBLE) / {bins} * n) AS BIGINT)" for c in FEATS)
+    binned = ", ".join(f"CAST((SELECT count(*) FROM cuts WHERE feature = '{c}' AND v <= f.{c}) AS DOUBLE) "
+                       f"AS {c}" for c in FEATS)
+    return O._with(
+        O.SALES_CTE, O.FEAT_CTE, f"cuts AS ({cuts})",
+        f"bin AS (SELECT {binned}, f.label, f.digit FROM feat f)",
+        f"tr AS (SELECT 0 AS key, {_FEAT_LIST}, label AS y FROM bin WHERE digit < 7)",
+        *O.stump_ctes("s0", "tr"), "te AS (SELECT * FROM bin WHERE digit >= 7)",
+        f"""scored AS (
+  SELECT te.label, {O.stump_leaf_sql('s0_best')} AS pred FROM te CROSS JOIN s0_best)""") + _LEAF_SELECT
+
+
 def _oracle_dt_cv_stump():
     k = C.TREE_CV_FOLDS
     ctes = [*_BASE,
@@ -333,7 +369,8 @@ def _gbt_grid_ctes():
   SELECT m.key * {len(steps)} + m.si AS candidate, u.max_depth AS maxDepth, u.min_gain AS minInfoGain,
          m.step AS stepSize, m.metric, {O.sr('m.metric')} AS rmse
   FROM metric m JOIN units u ON m.key = u.key)""",
-            "best AS (SELECT min(candidate) AS candidate FROM cand WHERE rmse = (SELECT min(rmse) FROM cand))"]
+            f"best AS (SELECT min(candidate) AS candidate FROM cand "
+            f"WHERE metric <= (SELECT min(metric) FROM cand) * (1 + {TIE}))"]
     return ctes
 
 
@@ -375,6 +412,7 @@ ORACLES = {
     "sql_alias_projection": _oracle_sql_alias_projection(),
     "not_null_filter": _oracle_not_null_filter(),
     "csv_roundtrip": _oracle_csv_roundtrip(),
+    "load_sales": _oracle_load_sales(),
     "split_counts": _oracle_split_counts(),
     "random_split_invariants": _oracle_random_split_invariants(),
     "kfold_counts": _oracle_kfold_counts(),
@@ -393,6 +431,8 @@ ORACLES = {
     "dt_cv_stump": _oracle_dt_cv_stump(),
     "gbt_two_stumps": _oracle_gbt_two_stumps(),
     "prediction_view": _oracle_prediction_view(),
+    "prediction_preview": _oracle_prediction_preview(),
+    "dt_quantile_bins": _oracle_dt_quantile_bins(),
     "gbt_tvs_grid": _oracle_gbt_tvs_grid(),
     "gbt_workflow_report": _oracle_gbt_workflow_report(),
 }

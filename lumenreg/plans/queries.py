@@ -10,25 +10,29 @@ significant digits by the same IEEE steps on both sides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenreg import config as C
-from lumenreg.functions.keys import fold_of, holdout_slot, split_digit
+from lumenreg.functions.keys import fold_of
 from lumenreg.functions.numeric import sig_round
 from lumenreg.operators import evaluate as E
 from lumenreg.operators import models as M
 from lumenreg.operators import ridge as R
 from lumenreg.operators import tuning as T
 from lumenreg.operators.prepare import drop_incomplete, prepare_features, to_feature_rows
-from lumenreg.operators.split import hash_split, random_split, rename_label
+from lumenreg.operators.binning import quantile_bins
+from lumenreg.operators.split import (TEST_FLAG, hash_split, rename_label, with_folds,
+                                      with_holdout, with_random_flag, with_test_flag)
 from lumenreg.plans import workflows as W
 from lumenreg.session import scratch_dir
-from lumenreg.sources.catalog import read_sales_table, register_view
+from lumenreg.sources.catalog import load_sales, read_sales_table, register_view
 from lumenreg.sources.csv import (normalize_header, raw_projection_sql, read_sales_csv,
                                   write_sales_csv)
 from lumenreg.sources.fixture import tpch_sales
-from lumenreg.sources.schema import used_schema
+from lumenreg.sources.schema import SALES_SCHEMA
 
 FEATS = list(C.FEATURE_COLS)
 
@@ -42,6 +46,12 @@ def _split(spark, sf_dir):
     return train, rename_label(test)
 
 
+def _released(result: W.WorkflowResult) -> W.WorkflowResult:
+    """A result whose predictions aren't read again."""
+    result.release()
+    return result
+
+
 def _leaf_report(scored: DataFrame) -> DataFrame:
     """Per distinct prediction: rounded value, test rows, RMSE within the leaf."""
     return (scored.groupBy(C.PREDICTION_COL)
@@ -82,52 +92,77 @@ def q_not_null_filter(spark, sf_dir):
 
 
 def q_csv_roundtrip(spark, sf_dir):
-    """S1/S2/S3/S5: write raw-header CSV to shared scratch, read back two ways."""
+    """S1/S2/S3: write raw-header CSV to shared scratch, read back two ways."""
     path = scratch_dir(spark, "csv-roundtrip")
     write_sales_csv(tpch_sales(spark, sf_dir, with_hash=False, typed=True), path, raw_header=True)
     inferred = normalize_header(read_sales_csv(spark, path, infer=True))
-    declared = normalize_header(read_sales_csv(
-        spark, path, schema=used_schema(raw_header=True)))
+    declared = normalize_header(read_sales_csv(spark, path))
     return (prepare_features(inferred).withColumn("mode", F.lit("inferred"))
             .unionByName(prepare_features(declared).withColumn("mode", F.lit("declared"))))
 
 
+def q_load_sales(spark, sf_dir):
+    """S3 + S5: the 24-column layout through ``load_sales`` from five sources."""
+    rows = tpch_sales(spark, sf_dir, with_hash=False, typed=True)
+    filler = {"string": F.lit("text, \"quoted\""), "int": F.lit(7), "double": F.lit(0.25)}
+    full = rows.select(*[F.col(f.name) if f.name in rows.columns
+                         else filler[f.dataType.simpleString()].alias(f.name)
+                         for f in SALES_SCHEMA.fields])
+    paths = {name: scratch_dir(spark, f"load-{name}") for name in ("cleaned", "raw", "reordered")}
+    write_sales_csv(full, paths["cleaned"])
+    write_sales_csv(full, paths["raw"], raw_header=True)
+    write_sales_csv(full.select(*reversed(full.columns)), paths["reordered"])
+    register_view(full, "sales_rows_full")
+    loaded = {"inferred": load_sales(spark, path=paths["raw"], infer=True),
+              "table": load_sales(spark, table="sales_rows_full"),
+              **{name: load_sales(spark, path=path) for name, path in paths.items()}}
+    return reduce(DataFrame.unionByName, [
+        prepare_features(df).withColumn("source", F.lit(name)) for name, df in loaded.items()])
+
+
 # ---------------------------------------------------------------- splits
 def q_split_counts(spark, sf_dir):
     """R1 (hash form) + P6 + A1: rows in each part."""
-    f = _features(spark, sf_dir)
-    part = F.when(split_digit("h") < 7, F.lit("train")).otherwise(F.lit("test"))
+    f = with_test_flag(_features(spark, sf_dir))
+    part = F.when(F.col(TEST_FLAG), F.lit("test")).otherwise(F.lit("train"))
     return f.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_random_split_invariants(spark, sf_dir):
-    """R1 (seeded randomSplit): the parts partition the input exactly.
+    """R1 (seeded random split): the parts hold the input's rows, in the asked shares, again
+    and again for a seed.
 
-    An audit query: exact multiset equality needs one shuffle of every row by
-    its value (as ``EXCEPT ALL`` does); map-side partial aggregation folds
-    duplicate rows before the shuffle.
+    Counts and order-independent sums of row hashes, of the input and of two
+    evaluations of the split: map-side aggregates, no row is shuffled.
     """
     f = _features(spark, sf_dir)
-    train, test = random_split(f, C.TRAIN_TEST_WEIGHTS, seed=42)
-    cols = f.columns
-    tagged = (f.withColumn("_in", F.lit(1)).withColumn("_out", F.lit(0))
-              .unionByName(train.unionByName(test)
-                           .withColumn("_in", F.lit(0)).withColumn("_out", F.lit(1))))
-    # per distinct row: copies in the input vs copies over both parts
-    per_row = tagged.groupBy(*cols).agg(F.sum("_in").alias("a"), F.sum("_out").alias("b"))
-    return per_row.agg(
-        F.sum("a").cast("bigint").alias("n_rows"),
-        F.sum("b").cast("bigint").alias("n_parts_rows"),
-        F.sum(F.greatest(F.col("a") - F.col("b"), F.lit(0))).cast("bigint").alias("n_missing"),
-        F.sum(F.greatest(F.col("b") - F.col("a"), F.lit(0))).cast("bigint").alias("n_extra"))
+    digest = [F.count(F.lit(1)).alias("n"),
+              F.sum(F.xxhash64(*f.columns).cast("decimal(38,0)")).alias("rows_sum")]
+
+    def parts():
+        return with_random_flag(f, C.TRAIN_TEST_WEIGHTS[0], seed=42).groupBy(TEST_FLAG).agg(*digest)
+
+    runs = (f.agg(*digest).select(F.lit("input").alias("run"), F.lit(False).alias(TEST_FLAG), "n",
+                                  "rows_sum")
+            .unionByName(parts().withColumn("run", F.lit("first")))
+            .unionByName(parts().withColumn("run", F.lit("second"))))
+    of = lambda run, col: F.sum(F.when(F.col("run") == run, F.col(col)))
+    share = F.sum(F.when((F.col("run") == "first") & ~F.col(TEST_FLAG), F.col("n"))) / of("first", "n")
+    train = lambda run: F.sum(F.when((F.col("run") == run) & ~F.col(TEST_FLAG),
+                                     F.col("rows_sum")))
+    return runs.agg(
+        of("input", "n").cast("bigint").alias("n_rows"),
+        of("first", "n").cast("bigint").alias("n_parts_rows"),
+        (of("input", "rows_sum") == of("first", "rows_sum")).alias("same_rows"),
+        (F.abs(share - C.TRAIN_TEST_WEIGHTS[0]) < 0.03).alias("share_as_asked"),
+        (train("first") == train("second")).alias("seed_repeats"))
 
 
 def q_kfold_counts(spark, sf_dir):
     """R2/R3: fold sizes (k=10, k=5) and the 80/20 validation cut, one pass."""
     train, _ = hash_split(_features(spark, sf_dir))
-    tagged = train.select(
-        fold_of(10, "h").alias("f10"), fold_of(5, "h").alias("f5"),
-        (holdout_slot("h") >= round(C.TVS_TRAIN_RATIO * 1000)).cast("int").alias("tv"))
+    tagged = with_folds(with_folds(train, 10, fold_col="f10"), 5, fold_col="f5")
+    tagged = with_holdout(tagged, C.TVS_TRAIN_RATIO, col="tv").withColumn("tv", F.col("tv").cast("int"))
     long = tagged.selectExpr("stack(3, 'cv10', f10, 'cv5', f5, 'tvs', tv) AS (scheme, fold)")
     return long.groupBy("scheme", "fold").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -190,8 +225,7 @@ def q_lr_cv_tvs_combined(spark, sf_dir):
 
 def q_lr_workflow_report(spark, sf_dir):
     """W1 end to end: row counts, best candidate, tuning and test RMSE."""
-    res = W.linear_cv(spark, tpch_sales(spark, sf_dir))
-    rep = res.report(spark)
+    rep = W.linear_cv(spark, tpch_sales(spark, sf_dir)).report(spark)
     return rep.select("workflow", "n_train", "n_test", "best_params",
                       sig_round("tuning_rmse").alias("tuning_rmse"),
                       sig_round("test_rmse").alias("test_rmse"))
@@ -261,14 +295,27 @@ def q_prediction_view(spark, sf_dir):
 
 
 def q_prediction_preview(spark, sf_dir):
-    """S8: the first 20 prediction rows as a DataFrame (the preview is the feature)."""
+    """S8: the first 20 predictions by row key (the preview is the feature)."""
     model, test = _stump(spark, sf_dir)
-    return E.preview(E.predictions(E.score(model, test), keep_features=False), 20)
+    first = E.preview(E.score(model, test), 20, ["h", C.TRUE_LABEL_COL, C.PREDICTION_COL])
+    return E.predictions(first, keep_features=False).select(
+        C.TRUE_LABEL_COL, sig_round(C.PREDICTION_COL).alias(C.PREDICTION_COL))
+
+
+def q_dt_quantile_bins(spark, sf_dir):
+    """M4 with ``binning="quantile"``: a depth-1 tree on 32 bins of each feature, at cut
+    points that are exact while the training rows don't outnumber the accuracy."""
+    train, test = _split(spark, sf_dir)
+    bucketizer = quantile_bins(train, FEATS, 32, accuracy=10_000_000)
+    assembler = M.assembler(bucketizer.getOutputCols())
+    prepare = lambda df: assembler.transform(bucketizer.transform(df))
+    model = M.tree(max_bins=32, max_depth=1).fit(prepare(train))
+    return _leaf_report(E.score(model, prepare(test)))
 
 
 def q_dt_cv_workflow(spark, sf_dir):
     """W3 end to end (depth 5, 5-fold CV, empty grid, refit, test RMSE): report row."""
-    rep = W.tree_cv(spark, tpch_sales(spark, sf_dir)).report(spark)
+    rep = _released(W.tree_cv(spark, tpch_sales(spark, sf_dir))).report(spark)
     return rep.select("workflow", "n_train", "n_test", "best_params",
                       sig_round("tuning_rmse").alias("tuning_rmse"),
                       sig_round("test_rmse").alias("test_rmse"))
@@ -277,7 +324,7 @@ def q_dt_cv_workflow(spark, sf_dir):
 def q_gbt_workflow_report(spark, sf_dir):
     """W4 end to end: tuning on the 80/20 cut, refit of the best on all training
     rows, test RMSE; report row."""
-    rep = W.gbt_tvs(spark, tpch_sales(spark, sf_dir)).report(spark)
+    rep = _released(W.gbt_tvs(spark, tpch_sales(spark, sf_dir))).report(spark)
     return rep.select("workflow", "n_train", "n_test", "best_params",
                       sig_round("tuning_rmse").alias("tuning_rmse"),
                       sig_round("test_rmse").alias("test_rmse"))
@@ -285,7 +332,7 @@ def q_gbt_workflow_report(spark, sf_dir):
 
 def q_gbt_tvs_grid(spark, sf_dir):
     """W4 end to end (maxIter 2, 32 candidates, 80/20 cut): candidates table."""
-    res = W.gbt_tvs(spark, tpch_sales(spark, sf_dir))
+    res = _released(W.gbt_tvs(spark, tpch_sales(spark, sf_dir)))
     return res.tuning.candidates(spark).select(
         "candidate", "maxDepth", "minInfoGain", "stepSize",
         sig_round("rmse").alias("rmse"), "is_best")
@@ -296,6 +343,7 @@ QUERIES = {
     "sql_alias_projection": q_sql_alias_projection,
     "not_null_filter": q_not_null_filter,
     "csv_roundtrip": q_csv_roundtrip,
+    "load_sales": q_load_sales,
     "split_counts": q_split_counts,
     "random_split_invariants": q_random_split_invariants,
     "kfold_counts": q_kfold_counts,
@@ -311,6 +359,7 @@ QUERIES = {
     "dt_rmse": q_dt_rmse,
     "dt_depth5": q_dt_depth5,
     "dt_cv_stump": q_dt_cv_stump,
+    "dt_quantile_bins": q_dt_quantile_bins,
     "gbt_two_stumps": q_gbt_two_stumps,
     "prediction_view": q_prediction_view,
     "prediction_preview": q_prediction_preview,

@@ -3,8 +3,9 @@
 Each takes sales rows (any source), a key hash column (or key columns to
 derive it) and returns a :class:`WorkflowResult` whose tables are DataFrames:
 predictions (also published as a SQL view), the tuning candidates and a
-one-row report. All splits are hash splits of the row key, so every run,
-engine and retry sees the same rows.
+one-row report. Splits are hash splits of the row key by default, so every run,
+engine and retry sees the same rows; any train fraction in steps of 0.0001 is
+honoured, others are refused.
 
 * W1 ``linear_cv``  — ridge, 10-fold CV over the regParam x maxIter grid.
 * W2 ``linear_tvs`` — ridge, 80/20 train/validation cut, same grid.
@@ -13,28 +14,31 @@ engine and retry sees the same rows.
 
 W1/W2 run as **one** aggregation pass (grouped moments, see
 ``operators.ridge``): folds, validation cut and test rows are groups of one
-``groupBy``. W3/W4 fit MLlib trees on the persisted, assembled training rows,
-running the independent (candidate, fold) fits concurrently.
+``groupBy``; their predictions are scored from the source when they are read. W3/W4
+fit MLlib trees on the persisted, assembled training rows, running the
+independent (candidate, fold) fits concurrently; their predictions are kept until
+``WorkflowResult.release``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenreg import config as C
-from lumenreg.functions.keys import fold_of, holdout_slot, split_digit
 from lumenreg.operators import evaluate as E
 from lumenreg.operators import models as M
 from lumenreg.operators import tuning as T
-from lumenreg.operators.binning import plan_bins
+from lumenreg.operators.binning import BINNING, BINS, quantile_bins
 from lumenreg.operators.partitioning import cache_spread
 from lumenreg.operators.prepare import prepare_features
 from lumenreg.operators.ridge import Moments, group_rmse, grouped_moments
-from lumenreg.operators.split import rename_label, with_key_hash
+from lumenreg.operators.split import (TEST_FLAG, rename_label, with_folds, with_holdout,
+                                      with_key_hash, with_random_flag, with_test_flag)
 
 TEST_GROUP = -1
 
@@ -49,7 +53,12 @@ class WorkflowResult:
     n_train: int
     n_test: int
     model: object = None
-    extra: dict = field(default_factory=dict)
+    cached: list = field(default_factory=list)
+
+    def release(self) -> None:
+        """Drop the rows kept for the predictions view; later reads compute them anew."""
+        for df in self.cached:
+            df.unpersist()
 
     def report(self, spark: SparkSession) -> DataFrame:
         best = self.tuning.param_maps[self.tuning.best] if self.tuning.param_maps else {}
@@ -71,40 +80,36 @@ def feature_rows(rows: DataFrame, key_cols: list[str] | None = None, h: str = "h
     return prepare_features(rows, extra=[h])
 
 
-def split_parts(features: DataFrame, train_fraction: float, h: str,
-                split: str = "hash", seed: int = 42):
-    """(train, test): hash digits of the row key, or Spark's seeded randomSplit."""
+def flag_test_rows(features: DataFrame, train_fraction: float, h: str, split: str = "hash",
+                   seed: int = 42) -> DataFrame:
+    """Rows with ``TEST_FLAG``: by the key hash, or by one seeded random number each."""
     if split == "hash":
-        d = round(train_fraction * 10)
-        return (features.filter(split_digit(h) < d), features.filter(split_digit(h) >= d))
+        return with_test_flag(features, train_fraction, h)
     if split == "random":
-        train, test = features.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
-        return train, test
+        return with_random_flag(features, train_fraction, seed)
     raise ValueError(f"split must be 'hash' or 'random', got {split!r}")
 
 
 def _grouped(feats, group, h, train_fraction, split, seed):
-    """Feature rows with ``_grp``: ``group`` for training rows, TEST_GROUP for test rows."""
-    train, test = split_parts(feats, train_fraction, h, split, seed)
-    if split == "hash":
-        # one scan: the test rows are just another group of the same aggregation
-        d = round(train_fraction * 10)
-        with_group = feats.withColumn(
-            "_grp", F.when(split_digit(h) >= d, F.lit(TEST_GROUP)).otherwise(group))
-    else:
-        with_group = (train.withColumn("_grp", group)
-                      .unionByName(test.withColumn("_grp", F.lit(TEST_GROUP))))
-    return with_group, test
-
-
-def _ridge_workflow(spark, name, feats, group, splits, refit_keys, grid, view, h,
-                    train_fraction, split, seed, moments=None, test=None):
+    """(rows with ``_grp``, test rows, what is cached).
+
+    ``_grp`` is ``group`` for training rows and TEST_GROUP for test rows: one scan,
+    the test rows are just another group of the aggregation. Random flags are
+    drawn once, into a cache that both the moments and the predictions read.
+    """
+    flagged, cached = flag_test_rows(feats, train_fraction, h, split, seed), []
+    if split == "random":
+        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(flagged)
+    with_group = flagged.withColumn(
+        "_grp", F.when(F.col(TEST_FLAG), F.lit(TEST_GROUP)).otherwise(group))
+    return with_group, flagged.filter(TEST_FLAG).drop(TEST_FLAG), cached
+
+
+def _ridge_workflow(spark, name, grouped, splits, refit_keys, grid, view, moments=None):
+    with_group, test, cached = grouped
     est = M.linear()
     param_maps = T.grid_dicts(T.build_grid(est, grid))
-    if moments is None:
-        with_group, test = _grouped(feats, group, h, train_fraction, split, seed)
-    else:
-        with_group = None
     res = T.tune_ridge(with_group, param_maps, group_col="_grp", splits=splits,
                        refit_keys=refit_keys, default_reg=C.LR_REG_PARAM, moments=moments)
     moments = res.extra["moments"]
@@ -115,48 +120,46 @@ def _ridge_workflow(spark, name, feats, group, splits, refit_keys, grid, view, h
     scored = fit.transform(M.assembler().transform(rename_label(test)))
     pred = E.predictions(scored)
     E.publish(pred, view)
-    return WorkflowResult(name, res, pred, view, test_rmse, n_train, n_test, fit)
+    return WorkflowResult(name, res, pred, view, test_rmse, n_train, n_test, fit, cached=cached)
 
 
 def linear_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.LR_CV_FOLDS,
               grid: dict | None = None, key_cols=None, h: str = "h",
               train_fraction: float = C.TRAIN_TEST_WEIGHTS[0], split: str = "hash",
-              seed: int = 42) -> WorkflowResult:
+              seed: int = 42, hash_method: str = "md5") -> WorkflowResult:
     """W1: ridge regression tuned by k-fold cross-validation (one pass)."""
-    feats = feature_rows(rows, key_cols, h)
-    return _ridge_workflow(spark, "linear_cv", feats, fold_of(k, h), T.kfold_splits(k),
-                           list(range(k)), grid or C.LR_GRID, C.VIEW_NAMES["lr_cv"], h,
-                           train_fraction, split, seed)
+    feats = with_folds(feature_rows(rows, key_cols, h, hash_method), k, h, "_fold")
+    grouped = _grouped(feats, F.col("_fold"), h, train_fraction, split, seed)
+    return _ridge_workflow(spark, "linear_cv", grouped, T.kfold_splits(k), list(range(k)),
+                           grid or C.LR_GRID, C.VIEW_NAMES["lr_cv"])
 
 
 def linear_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_TRAIN_RATIO,
                grid: dict | None = None, key_cols=None, h: str = "h",
                train_fraction: float = C.TRAIN_TEST_WEIGHTS[0], split: str = "hash",
-               seed: int = 42) -> WorkflowResult:
+               seed: int = 42, hash_method: str = "md5") -> WorkflowResult:
     """W2: ridge regression tuned on a held-out validation cut (one pass)."""
-    feats = feature_rows(rows, key_cols, h)
-    cut = round(train_ratio * 1000)
-    group = F.when(holdout_slot(h) >= cut, F.lit(1)).otherwise(F.lit(0))
-    return _ridge_workflow(spark, "linear_tvs", feats, group, [([0], 1)], [0, 1],
-                           grid or C.LR_GRID, C.VIEW_NAMES["lr_tvs"], h, train_fraction,
-                           split, seed)
+    feats = with_holdout(feature_rows(rows, key_cols, h, hash_method), train_ratio, h, "_val")
+    grouped = _grouped(feats, F.col("_val").cast("int"), h, train_fraction, split, seed)
+    return _ridge_workflow(spark, "linear_tvs", grouped, [([0], 1)], [0, 1],
+                           grid or C.LR_GRID, C.VIEW_NAMES["lr_tvs"])
 
 
 def linear_cv_tvs(spark: SparkSession, rows: DataFrame, *, k: int = C.LR_CV_FOLDS,
                   train_ratio: float = C.TVS_TRAIN_RATIO, grid: dict | None = None,
                   key_cols=None, h: str = "h", train_fraction: float = C.TRAIN_TEST_WEIGHTS[0],
-                  split: str = "hash", seed: int = 42):
+                  split: str = "hash", seed: int = 42, hash_method: str = "md5"):
     """W1 and W2 together from ONE scan: returns ``(cv_result, tvs_result)``.
 
     Rows are grouped by (fold, validation flag) plus the test group — 2k + 1
     groups. W1's fold f sums the two flags of fold f; W2's fit / validation
     parts sum the folds of each flag. Both results equal separate runs.
     """
-    feats = feature_rows(rows, key_cols, h)
-    cut = round(train_ratio * 1000)
-    group = fold_of(k, h) * 2 + F.when(holdout_slot(h) >= cut, F.lit(1)).otherwise(F.lit(0))
-    with_group, test = _grouped(feats, group, h, train_fraction, split, seed)
-    cells = grouped_moments(with_group, "_grp")
+    feats = with_folds(feature_rows(rows, key_cols, h, hash_method), k, h, "_fold")
+    feats = with_holdout(feats, train_ratio, h, "_val")
+    group = F.col("_fold") * 2 + F.col("_val").cast("int")
+    grouped = _grouped(feats, group, h, train_fraction, split, seed)
+    cells = grouped_moments(grouped[0], "_grp")
     combine = Moments.combine
     cv_moments = {f: combine(cells[c] for c in (2 * f, 2 * f + 1) if c in cells)
                   for f in range(k)}
@@ -166,82 +169,89 @@ def linear_cv_tvs(spark: SparkSession, rows: DataFrame, *, k: int = C.LR_CV_FOLD
         if TEST_GROUP in cells:
             m[TEST_GROUP] = cells[TEST_GROUP]
     grid = grid or C.LR_GRID
-    cv = _ridge_workflow(spark, "linear_cv", feats, None, T.kfold_splits(k), list(range(k)),
-                         grid, C.VIEW_NAMES["lr_cv"], h, train_fraction, split, seed,
-                         moments=cv_moments, test=test)
-    tvs = _ridge_workflow(spark, "linear_tvs", feats, None, [([0], 1)], [0, 1], grid,
-                          C.VIEW_NAMES["lr_tvs"], h, train_fraction, split, seed,
-                          moments=tvs_moments, test=test)
+    cv = _ridge_workflow(spark, "linear_cv", grouped, T.kfold_splits(k), list(range(k)), grid,
+                         C.VIEW_NAMES["lr_cv"], moments=cv_moments)
+    tvs = _ridge_workflow(spark, "linear_tvs", grouped, [([0], 1)], [0, 1], grid,
+                          C.VIEW_NAMES["lr_tvs"], moments=tvs_moments)
     return cv, tvs
 
 
-def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, group, splits,
-                   view, h, train_fraction, split, seed, parallelism, max_bins,
-                   storage="cache"):
+def tree_rows(feats: DataFrame, split_col: str, binning: str = "exact", bins: int = BINS):
+    """(rows to cache, scoring stages before the tree) from flagged feature rows.
+
+    A row is its feature vector, label, fold or cut and test flag, nothing more.
+    """
+    inputs, stages = list(C.FEATURE_COLS), []
+    if binning == "quantile":
+        bucketizer = quantile_bins(feats.filter(~F.col(TEST_FLAG)), inputs, bins)
+        stages, inputs = [bucketizer], bucketizer.getOutputCols()
+        feats = bucketizer.transform(feats)
+    elif binning != "exact":
+        raise ValueError(f"binning must be one of {BINNING}, got {binning!r}")
+    stages.append(M.assembler(inputs))
+    return stages[-1].transform(feats).select(C.FEATURES_COL, C.LABEL_COL, split_col,
+                                              TEST_FLAG), stages
+
+
+def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, splits, view,
+                   parallelism, storage, binning, bins, partitions):
     # training AND test rows go through one scan into one cache (flagged), so
-    # the source is read once for tuning, refit and scoring; vectors are
-    # assembled once, raw feature columns stay alongside for the distinct check
-    flag = "_is_test"
-    if split == "hash":
-        d = round(train_fraction * 10)
-        rows = feats.withColumn(flag, split_digit(h) >= d)
-    else:
-        train, test = split_parts(feats, train_fraction, h, split, seed)
-        rows = (train.withColumn(flag, F.lit(False))
-                .unionByName(test.withColumn(flag, F.lit(True))))
-    assembled = M.assembler().transform(rows.withColumn(split_col, group))
-    # the pass that materialises the cache also counts training rows and
-    # distinct values
-    cached, plan = cache_spread(
-        assembled,
-        first_action=lambda d: plan_bins(d.filter(~F.col(flag)), list(C.FEATURE_COLS), max_bins),
-        storage=storage)
+    # the source is read once for tuning, refit and scoring
+    rows, stages = tree_rows(feats, split_col, binning, bins)
+    cached, n_train = cache_spread(
+        rows, partitions, storage=storage,
+        first_action=lambda d: d.filter(~F.col(TEST_FLAG)).count())
     try:
-        ready = cached
-        if plan.stages:
-            prep = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols)])
-            ready = prep.transform(cached.drop(C.FEATURES_COL))
-        res = T.tune_estimator(estimator, param_maps, ready.filter(~F.col(flag)),
+        res = T.tune_estimator(estimator, param_maps, cached.filter(~F.col(TEST_FLAG)),
                                split_col=split_col, splits=splits,
                                parallelism=parallelism, persist=False)
-        scored = res.model.transform(rename_label(ready.filter(F.col(flag))))
-        report = E.rmse_frame(scored).first()
+        scored = res.model.transform(rename_label(cached.filter(TEST_FLAG)))
+        # the view serves the very rows that the RMSE is taken on
+        pred = E.predictions(scored).persist(StorageLevel.MEMORY_AND_DISK)
+        report = E.rmse_frame(pred).first()
     finally:
         cached.unpersist()
-    # the published model scores raw sales rows: binning, assembly, tree(s)
-    model = PipelineModel(stages=plan.stages + [M.assembler(plan.input_cols), res.model])
-    pred = E.predictions(scored)
+    model = PipelineModel(stages=[*stages, res.model])  # scores raw sales rows
     E.publish(pred, view)
-    return WorkflowResult(name, res, pred, view, float(report["rmse"]), plan.n_rows,
-                          int(report["n_rows"]), model,
-                          {"distinct": plan.distinct, "binned": plan.binned})
+    test_rmse = float("nan") if report["rmse"] is None else float(report["rmse"])
+    return WorkflowResult(name, res, pred, view, test_rmse, n_train, int(report["n_rows"]), model,
+                          cached=[pred])
 
 
 def tree_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.TREE_CV_FOLDS,
             max_depth: int = 5, max_bins: int = C.TREE_MAX_BINS, grid: dict | None = None,
             key_cols=None, h: str = "h", parallelism: int = 4, seed: int = 1,
             train_fraction: float = C.TRAIN_TEST_WEIGHTS[0], split: str = "hash",
-            split_seed: int = 42, storage: str = "cache") -> WorkflowResult:
-    """W3: decision-tree regression tuned by k-fold cross-validation."""
-    feats = feature_rows(rows, key_cols, h)
+            split_seed: int = 42, storage: str = "cache", binning: str = "exact",
+            bins: int = BINS, partitions: int | None = None,
+            hash_method: str = "md5") -> WorkflowResult:
+    """W3: decision-tree regression tuned by k-fold cross-validation.
+
+    ``binning="quantile"`` fits on ``bins`` equal-frequency bins of each feature;
+    ``partitions`` is the partition count of the cache that the fits read.
+    """
+    feats = with_folds(feature_rows(rows, key_cols, h, hash_method), k, h, "fold")
+    feats = flag_test_rows(feats, train_fraction, h, split, split_seed)
     est = M.tree(max_bins=max_bins, max_depth=max_depth, seed=seed)
-    param_maps = T.build_grid(est, grid)
-    return _tree_workflow(spark, "tree_cv", feats, est, param_maps, "fold", fold_of(k, h),
-                          T.kfold_splits(k), C.VIEW_NAMES["dt_cv"], h, train_fraction,
-                          split, split_seed, parallelism, max_bins, storage)
+    return _tree_workflow(spark, "tree_cv", feats, est, T.build_grid(est, grid), "fold",
+                          T.kfold_splits(k), C.VIEW_NAMES["dt_cv"], parallelism, storage,
+                          binning, bins, partitions)
 
 
 def gbt_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_TRAIN_RATIO,
             max_bins: int = C.TREE_MAX_BINS, max_iter: int = C.GBT_MAX_ITER,
             grid: dict | None = None, key_cols=None, h: str = "h", parallelism: int = 4,
             seed: int = 1, train_fraction: float = C.TRAIN_TEST_WEIGHTS[0],
-            split: str = "hash", split_seed: int = 42, storage: str = "cache") -> WorkflowResult:
+            split: str = "hash", split_seed: int = 42, storage: str = "cache",
+            binning: str = "exact", bins: int = BINS, partitions: int | None = None,
+            hash_method: str = "md5") -> WorkflowResult:
     """W4: gradient-boosted-tree regression tuned on a held-out validation cut."""
-    feats = feature_rows(rows, key_cols, h)
+    feats = with_holdout(feature_rows(rows, key_cols, h, hash_method), train_ratio, h,
+                         "is_validation")
+    feats = flag_test_rows(feats.withColumn("is_validation", F.col("is_validation").cast("int")),
+                           train_fraction, h, split, split_seed)
     est = M.boosted(max_bins=max_bins, max_iter=max_iter, seed=seed)
-    param_maps = T.build_grid(est, C.GBT_GRID if grid is None else grid)
-    cut = round(train_ratio * 1000)
-    group = F.when(holdout_slot(h) >= cut, F.lit(1)).otherwise(F.lit(0))
-    return _tree_workflow(spark, "gbt_tvs", feats, est, param_maps, "is_validation", group,
-                          [([0], 1)], C.VIEW_NAMES["gbt_tvs"], h, train_fraction,
-                          split, split_seed, parallelism, max_bins, storage)
+    return _tree_workflow(spark, "gbt_tvs", feats, est,
+                          T.build_grid(est, C.GBT_GRID if grid is None else grid),
+                          "is_validation", [([0], 1)], C.VIEW_NAMES["gbt_tvs"], parallelism,
+                          storage, binning, bins, partitions)

@@ -1,6 +1,7 @@
 import os
 import sys
 import tempfile
+from contextlib import contextmanager
 
 import pytest
 
@@ -23,6 +24,19 @@ def spark():
     yield s
 
 
+@contextmanager
+def sql_conf(spark, settings):
+    """Set SQL confs inside the block, then restore them."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, str(v))
+        yield spark
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="lumenreg-test-")

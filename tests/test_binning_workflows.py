@@ -4,46 +4,50 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenreg import config as C
-from lumenreg.operators.binning import plan_bins
+from lumenreg.operators import evaluate as E
+from lumenreg.operators import models as M
+from lumenreg.operators.binning import quantile_bins
 from lumenreg.operators.prepare import prepare_features
+from lumenreg.operators.split import hash_split, rename_label
 from lumenreg.plans import workflows as W
 from lumenreg.sources.fixture import tpch_sales
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 
-def test_no_binning_when_distinct_within_max_bins(spark):
-    f = prepare_features(tpch_sales(spark, SF_SMALL))
-    plan = plan_bins(f, list(C.FEATURE_COLS), C.TREE_MAX_BINS)
-    assert plan.stages == [] and plan.input_cols == list(C.FEATURE_COLS)
-    assert plan.n_rows == f.count()
-    assert plan.distinct["BottleVolumeInMl"] == 7
+def test_exact_binning_is_plain_mllib_at_any_max_bins(spark):
+    """No size of data or bins switches to another algorithm."""
+    rows = tpch_sales(spark, SF_MID)
+    res = W.tree_cv(spark, rows, max_bins=512, max_depth=6, k=2)
+    train, test = hash_split(prepare_features(rows, extra=["h"]))
+    model = M.pipeline(M.tree(max_bins=512, max_depth=6)).fit(train)
+    plain = E.rmse_frame(model.transform(rename_label(test))).first()["rmse"]
+    assert res.test_rmse == pytest.approx(plain, rel=1e-9)
+    res.release()
 
 
-def test_heavy_features_are_binned_boundedly(spark):
-    f = prepare_features(tpch_sales(spark, SF_SMALL))
-    plan = plan_bins(f, list(C.FEATURE_COLS), 32)
-    assert "StateBottleRetail" in plan.binned and "BottleVolumeInMl" not in plan.binned
-    out = plan.stages[0].transform(f)
-    for c in plan.binned:
+def test_quantile_bins_are_equal_frequency_and_monotone(spark):
+    f = prepare_features(tpch_sales(spark, SF_SMALL)).cache()
+    out = quantile_bins(f, list(C.FEATURE_COLS), 32).transform(f)
+    for c in C.FEATURE_COLS:
         n = out.select(F.countDistinct(f"{c}_bin")).first()[0]
         assert 1 < n <= 32
-        # equal-frequency: no bin holds far more than its share
-        biggest = out.groupBy(f"{c}_bin").count().agg(F.max("count")).first()[0]
-        distinct_raw = f.select(c).distinct().count()
-        if distinct_raw > 32 * 4:
-            assert biggest < 4 * f.count() / 32
-    # bin numbers are monotone in the raw value
-    c = plan.binned[0]
-    pairs = out.select(c, f"{c}_bin").distinct().orderBy(c).collect()
-    assert all(a[1] <= b[1] for a, b in zip(pairs, pairs[1:]))
+        if f.select(c).distinct().count() > 32 * 4:
+            assert out.groupBy(f"{c}_bin").count().agg(F.max("count")).first()[0] < 4 * f.count() / 32
+        pairs = out.select(c, f"{c}_bin").distinct().orderBy(c).collect()
+        assert all(a[1] <= b[1] for a, b in zip(pairs, pairs[1:]))
+    with pytest.raises(ValueError):
+        quantile_bins(f, ["Pack"], 1)
 
 
-def test_tree_workflow_with_binning_scores_all_test_rows(spark):
+def test_tree_workflow_with_quantile_binning_scores_all_test_rows(spark):
     rows = tpch_sales(spark, SF_SMALL)
-    res = W.tree_cv(spark, rows, max_bins=16, max_depth=3, k=3)
-    assert res.extra["binned"]
-    assert res.predictions.count() == res.n_test
-    assert math.isfinite(res.test_rmse)
+    res = W.tree_cv(spark, rows, max_bins=16, max_depth=3, k=3, binning="quantile", bins=16)
+    assert res.predictions.count() == res.n_test and math.isfinite(res.test_rmse)
+    # the published model scores raw sales rows
+    again = res.model.transform(prepare_features(rows)).count()
+    assert again == res.n_train + res.n_test
+    with pytest.raises(ValueError):
+        W.tree_cv(spark, rows, binning="auto")
 
 
 def test_random_split_mode(spark):

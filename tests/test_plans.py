@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from lumenreg import config as C
 from lumenreg.functions.keys import fold_of
 from lumenreg.operators import ridge as R
-from lumenreg.operators.partitioning import cache_spread
+from lumenreg.operators.partitioning import PARTITIONS_PER_CORE, cache_spread
+from lumenreg.operators.split import TEST_FLAG, with_folds
 from lumenreg.plans import workflows as W
+from lumenreg.session import ensure_codegen_fields
 from lumenreg.sources.fixture import tpch_sales
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, sql_conf
 
 
 def _plan(df) -> str:
@@ -23,15 +25,14 @@ def _final_plan(df) -> str:
 
 
 def test_moments_pass_is_one_codegen_partial_aggregation(spark):
-    from lumenreg.session import sql_conf
-
     feats = W.feature_rows(tpch_sales(spark, SF_SMALL))
     cols = list(C.FEATURE_COLS) + [C.LABEL_COL]
     agg = feats.groupBy(fold_of(10, "h").alias("g")).agg(*R.moment_aggregates(cols))
-    before = spark.conf.get("spark.sql.codegen.maxFields")
-    with sql_conf(spark, {"spark.sql.codegen.maxFields": R.codegen_fields(len(cols))}):
-        plan = _final_plan(agg)
-    assert spark.conf.get("spark.sql.codegen.maxFields") == before  # restored
+    ensure_codegen_fields(spark, R.codegen_fields(len(cols)))
+    assert int(spark.conf.get("spark.sql.codegen.maxFields")) >= R.codegen_fields(len(cols))
+    ensure_codegen_fields(spark, 10)  # never lowered: workflows may run side by side
+    assert int(spark.conf.get("spark.sql.codegen.maxFields")) >= R.codegen_fields(len(cols))
+    plan = _final_plan(agg)
     # partial aggregation before the exchange, final after it
     assert plan.count("HashAggregate") == 2 and plan.count("Exchange hashpartitioning") == 1
     # both aggregations inside whole-stage codegen (no interpreted fallback)
@@ -59,20 +60,47 @@ def test_join_is_not_forced_to_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_cache_spread_only_spreads_small_inputs(spark):
-    df = spark.range(0, 1000).repartition(2)
-    cached, n = cache_spread(df, min_partitions=4)
-    assert n == 1000 and cached.rdd.getNumPartitions() == 4
-    cached.unpersist()
-    big = spark.range(0, 1000).repartition(6)
-    cached, n = cache_spread(big, min_partitions=4)
-    assert cached.rdd.getNumPartitions() == 6
-    assert cached.agg(F.sum("id")).first()[0] == sum(range(1000))
+def test_cache_partitions_follow_the_parameter_not_the_scan(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 1000).repartition(2)
+    cached, n = cache_spread(few)
+    assert n == 1000 and cached.rdd.getNumPartitions() == cores
     cached.unpersist()
+    many = spark.range(0, 1000).repartition(40 * cores)
+    for partitions, want in ((None, PARTITIONS_PER_CORE * cores), (3, 3)):
+        cached, _ = cache_spread(many, partitions)
+        assert cached.rdd.getNumPartitions() == want
+        assert cached.agg(F.sum("id")).first()[0] == sum(range(1000))
+        cached.unpersist()
+
+
+def test_tree_shuffle_does_not_grow_with_scan_partitions(spark):
+    """The fits read as many cached partitions whatever the scan has, with vectors only."""
+    rows = tpch_sales(spark, SF_SMALL)
+    seen = []
+    for n in (2, 200):
+        feats = with_folds(W.feature_rows(rows.repartition(n)), 3, fold_col="fold")
+        kept, stages = W.tree_rows(W.flag_test_rows(feats, 0.7, "h"), "fold")
+        assert kept.columns == [C.FEATURES_COL, C.LABEL_COL, "fold", TEST_FLAG]
+        cached, _ = cache_spread(kept)
+        seen.append(cached.rdd.getNumPartitions())
+        cached.unpersist()
+    assert max(seen) <= PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_published_tree_predictions_are_kept_rows(spark):
+    res = W.tree_cv(spark, tpch_sales(spark, SF_SMALL), k=2, max_depth=2, max_bins=64)
+    view = spark.table(res.view)
+    leaves = view._jdf.queryExecution().withCachedData().collectLeaves()
+    names = [leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())]
+    assert names == ["InMemoryRelation"]  # no source scan behind the view
+    direct = view.selectExpr("sqrt(avg(power(trueLabel - prediction, 2))) AS r").first()["r"]
+    assert direct == pytest.approx(res.test_rmse, rel=1e-12)
+    res.release()
+    assert spark.table(res.view).count() == res.n_test  # computed anew after release
 
 
 def test_hot_part_key_is_split_by_the_skew_join(spark):
-    from lumenreg.session import sql_conf
     from lumenreg.sources.fixture import read_table
 
     li = read_table(spark, SF_SMALL, "lineitem")

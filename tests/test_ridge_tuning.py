@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from lumenreg import config as C
 from lumenreg.functions.keys import fold_of
 from lumenreg.operators import models as M
 from lumenreg.operators import ridge as R
@@ -58,7 +59,7 @@ def test_one_pass_cv_matches_crossvalidator(spark, train):
     k = 4
     data = train.withColumn("fold", fold_of(k, "h"))
     lr = M.linear()
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.3, 0.1, 0.01]).addGrid(lr.maxIter, [10, 5]).build()
+    grid = T.build_grid(lr, C.LR_GRID)
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(),
                         numFolds=k, foldCol="fold").fit(data)
     ours = T.tune_ridge(data, T.grid_dicts(grid), group_col="fold", splits=T.kfold_splits(k),
@@ -112,6 +113,54 @@ def test_shared_boosted_trees_match_separate_fits(spark, train):
     assert not T._shares_step_size(M.boosted(max_iter=3), grid)
 
 
+def test_min_info_gain_shares_only_what_is_proven(spark, train):
+    data = with_holdout(train, 0.8).withColumn("g", F.col("is_validation").cast("int"))
+    est = M.boosted(max_bins=128)
+    deep = est.fit(data.filter("g = 0"), {est.maxDepth: 3})
+    least = T.smallest_split_gain(deep, spark)
+    # two thresholds below every split's gain, one that cuts some off
+    grid = T.build_grid(est, {"maxDepth": [3], "minInfoGain": [0.0, least / 2, least * 50],
+                              "stepSize": [0.1, 0.4]})
+    ours = T.tune_estimator(est, grid, data, split_col="g", splits=[([0], 1)], parallelism=2)
+    assert ours.extra["fits"] == 3  # the lowest, the highest, the refit
+    ev = RegressionEvaluator()
+    brute = [ev.evaluate(est.fit(data.filter("g = 0"), pm).transform(data.filter("g = 1")))
+             for pm in grid]
+    np.testing.assert_allclose(ours.metrics, brute, rtol=1e-9)
+    assert brute[0] != brute[-2]
+    tree = M.tree(max_bins=128, max_depth=1).fit(data)
+    assert T.smallest_split_gain(tree, spark) > 0
+
+
+def test_nan_fails_naming_the_column(spark):
+    from lumenreg.plans import workflows as W
+
+    rows = tpch_sales(spark, SF_SMALL)
+    for part in ("h % 10 < 7", "h % 10 >= 7"):  # training (or validation) and test rows
+        first = rows.filter(part).agg(F.min("h")).first()[0]
+        bad = rows.withColumn("StateBottleCost", F.when(F.col("h") == first, float("nan"))
+                              .otherwise(F.col("StateBottleCost")))
+        for workflow in (W.linear_cv, W.linear_tvs, W.linear_cv_tvs):
+            with pytest.raises(ValueError, match="NaN.*StateBottleCost"):
+                workflow(spark, bad)
+
+
+@pytest.mark.parametrize("fraction", [0.75, 0.04])
+def test_workflows_honour_the_fraction(spark, fraction):
+    from lumenreg.plans import workflows as W
+
+    rows = tpch_sales(spark, SF_SMALL)
+    small = {"grid": {"maxDepth": [1], "stepSize": [0.1]}, "max_bins": 64}
+    for run in (lambda f: W.linear_cv(spark, rows, k=3, train_fraction=f),
+                lambda f: W.linear_tvs(spark, rows, train_fraction=f),
+                lambda f: W.tree_cv(spark, rows, k=2, max_depth=1, max_bins=64, train_fraction=f),
+                lambda f: W.gbt_tvs(spark, rows, train_fraction=f, **small)):
+        res = run(fraction)
+        assert abs(res.n_train / (res.n_train + res.n_test) - fraction) < 0.02
+        with pytest.raises(ValueError):
+            run(1.0)
+
+
 def test_candidates_frame(spark):
     res = T.TuningResult([{"regParam": 0.3}, {"regParam": 0.1}], [2.0, 1.0], 1)
     rows = res.candidates(spark).orderBy("candidate").collect()

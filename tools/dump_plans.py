@@ -12,10 +12,11 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from lumenreg import config as C  # noqa: E402
 from lumenreg.functions.keys import fold_of, split_digit  # noqa: E402
-from lumenreg.operators import models as M  # noqa: E402
 from lumenreg.operators import ridge as R  # noqa: E402
+from lumenreg.operators.partitioning import cache_spread  # noqa: E402
+from lumenreg.operators.split import TEST_FLAG, with_folds  # noqa: E402
 from lumenreg.plans import workflows as W  # noqa: E402
-from lumenreg.session import get_session, sql_conf  # noqa: E402
+from lumenreg.session import ensure_codegen_fields, get_session  # noqa: E402
 from lumenreg.sources.fixture import tpch_sales  # noqa: E402
 
 
@@ -37,8 +38,8 @@ def main():
     grp = F.when(split_digit("h") >= 7, F.lit(-1)).otherwise(fold_of(10, "h"))
     cols = list(C.FEATURE_COLS) + [C.LABEL_COL]
     moments = feats.groupBy(grp.alias("_grp")).agg(*R.moment_aggregates(cols))
-    with sql_conf(spark, {"spark.sql.codegen.maxFields": R.codegen_fields(len(cols))}):
-        moments_plan = executed(moments)
+    ensure_codegen_fields(spark, R.codegen_fields(len(cols)))
+    moments_plan = executed(moments)
     out += ["## W1/W2: the whole grid search + test error as one aggregation", "",
             "Scan (pruned, `IsNotNull` pushed) -> join -> project (casts, md5 key hash) -> "
             "partial HashAggregate (count, 7 means, 28 `covar_pop` per fold/test group) -> "
@@ -59,14 +60,13 @@ def main():
             executed(big), "```", ""]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
-    rows_all = M.assembler().transform(
-        feats.withColumn("_is_test", split_digit("h") >= 7).withColumn("fold", fold_of(5, "h")))
+    flagged = W.flag_test_rows(with_folds(feats, 5, fold_col="fold"), 0.7, "h")
+    kept, _ = W.tree_rows(flagged, "fold")
+    cached, _ = cache_spread(kept, first_action=lambda d: d.filter(~F.col(TEST_FLAG)).count())
     out += ["## W3/W4: one scan, one cache of training and test rows", "",
-            "Rows are flagged by split, assembled once and cached together; the pass that "
-            "materialises the cache also counts training rows and distinct feature values "
-            "(HyperLogLog). Tree fits and test scoring then read the cache.", "", "```",
-            executed(rows_all.filter(~F.col("_is_test")).agg(
-                F.count(F.lit(1)), *[F.approx_count_distinct(c, 0.05) for c in C.FEATURE_COLS])),
+            "The workflows' own cached frame (feature vector, label, fold, test flag), coalesced to "
+            "a few partitions for each core; below, a fit's read of it.", "", "```",
+            executed(cached.filter(~F.col(TEST_FLAG)).groupBy("fold").agg(F.count(F.lit(1)))),
             "```", ""]
 
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
