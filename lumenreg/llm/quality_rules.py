@@ -89,7 +89,8 @@ def certify(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """{stratum: {rule: cutoff}} that is certified; strata and rules without one are left out."""
     counted = (measured.join(labelled(labels, id_col, quality_col), "doc_id")
                .where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-               .withColumn("holdout", F.pmod(F.xxhash64(F.lit("holdout"), "doc_id"), F.lit(2)) == 0))
+               .withColumn("holdout", F.md5(F.concat(F.lit("holdout "), F.col("doc_id").cast("string"))
+                                            .cast("binary")).rlike("^[02468ace]")))
     # the grid step at which a rule begins to reject a document, or none
     def first_step(top: str, under: str):
         ratio = F.col(top) / F.greatest(F.col(under), F.lit(1))

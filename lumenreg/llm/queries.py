@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lumenreg.llm import (bpe, fingerprints, html_blocks, language, licenses, packing, quality_model,
                           quality_rules, simhash, toxicity)
+from lumenreg.llm.oracles import ORACLES  # noqa: F401
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -83,4 +84,3 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_fingerprints, op4_toxicity,
                                    op5_quality_rules, op6_simhash, op7_quality_model, op8_html,
                                    op9_packing, op10_language, pipeline)}
-ORACLES: dict[str, str] = {}

@@ -24,7 +24,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
@@ -158,7 +157,7 @@ def links(nodes: DataFrame, max_bits: int = 2, hot_key: int = HOT_KEY) -> DataFr
     """
     if max_bits not in (0, 1, 2):
         raise ValueError(f"Golay keys find up to 2 differing bits, not {max_bits}")
-    keyed = _keyed(nodes).persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = checkpointed(_keyed(nodes))
     stored = keyed.where("stored").select("key", F.col("fp").alias("a"))
     probes = keyed.where("not stored").select("key", F.col("fp").alias("b"))
     sizes = stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
