@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenreg.session import checkpointed
+
 
 def _larger_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("b"), F.col("a"))).toDF("u", "v")
@@ -26,22 +28,21 @@ def _smaller_star(links: DataFrame) -> DataFrame:
 
 
 def _state(links: DataFrame):
-    return tuple(links.agg(F.count(F.lit(1)), F.sum("a"), F.sum("b"),
-                           F.bit_xor(F.xxhash64("a", "b"))).first())
+    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
+                           F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every linked node; ``links`` has long columns a, b.
 
-    The root is the smallest node that can be reached. Sums of ids only tell
-    rounds apart and may wrap around.
+    The root is the smallest node that can be reached. Rounds are told apart by
+    the count and two digests of the links.
     """
-    links = links.select(F.col("a").cast("decimal(20,0)").cast("long").alias("a"),
-                         F.col("b").cast("long").alias("b")).where("a <> b").distinct()
-    links = links.checkpoint()
+    links = links.select("a", "b").where("a <> b").distinct()
+    links = checkpointed(links)
     state = _state(links)
     while state[0]:
-        links = _smaller_star(_larger_star(links)).checkpoint()
+        links = checkpointed(_smaller_star(_larger_star(links)))
         new = _state(links)
         if new == state:
             break
