@@ -131,7 +131,7 @@ class Memo(dict):
 
     def add(self, tokens: set) -> None:
         """Make sure that every token of the set has its value."""
-        new = tokens.difference(self)
+        new = [t for t in tokens if t not in self]
         if len(self) + len(new) > self.limit:
             self.clear()
             new = tokens
