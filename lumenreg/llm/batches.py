@@ -23,6 +23,7 @@ from pyspark.sql.types import StructField, StructType
 
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 2000
+MEMO_STEP = 10_000
 Step = Callable[[list], list]
 
 
@@ -119,7 +120,7 @@ def keep_rows(df: DataFrame, text_col: str, make: Callable[[], Step],
 
 
 class Memo(dict):
-    """Token -> value, computed for the new tokens of a slice together.
+    """Token -> value, computed for new tokens of a slice together, ``MEMO_STEP`` at a time.
 
     It holds at most ``limit`` tokens beside those of the current slice:
     beyond that it starts anew. Values never depend on what it holds.
@@ -135,9 +136,10 @@ class Memo(dict):
         if len(self) + len(new) > self.limit:
             self.clear()
             new = tokens
-        if new:
-            new = sorted(new)
-            self.update(zip(new, self.compute(new)))
+        new = sorted(new)
+        for start in range(0, len(new), MEMO_STEP):
+            step = new[start:start + MEMO_STEP]
+            self.update(zip(step, self.compute(step)))
 
 
 def flat(lists: list[list]) -> tuple[list, np.ndarray]:
