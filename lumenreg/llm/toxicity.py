@@ -15,6 +15,7 @@ of a text's distinct words. ``severity`` is the expected grade (0 to 3).
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,8 @@ BITS = 20
 SIZES = (3, 4, 5)
 GRADES = 4
 MARK_ODDS, MARK_ROWS = 3.0, 3
+#: Words whose features are worked out together.
+CHUNK = 20_000
 #: Root of the likelihood-ratio statistic that a feature must reach to be fitted.
 CLEAR = 5.0
 STEPS, RATE, PENALTY = 400, 0.06, 2e-5
@@ -82,46 +85,69 @@ class Ordinal:
         return 1.0 / (1.0 + np.exp(np.clip(self.cuts[None, :] - s[:, None], -60, 60)))
 
 
-def grades_of(word_lists: list[list], toxic: np.ndarray) -> np.ndarray:
+@dataclass
+class Sample:
+    """Distinct words of sampled documents, as numbers into a vocabulary."""
+
+    vocabulary: list[bytes]
+    word: np.ndarray
+    doc: np.ndarray
+    rows: int
+
+    @classmethod
+    def of(cls, word_lists) -> "Sample":
+        number: dict[bytes, int] = {}
+        words, sizes = array("i"), []
+        for found in word_lists:
+            words.extend([number.setdefault(w, len(number)) for w in found])
+            sizes.append(len(found))
+        return cls(list(number), np.frombuffer(words, np.int32) if words else np.zeros(0, np.int32),
+                   np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), len(sizes))
+
+    def features(self):
+        """(word numbers, feature numbers), a bounded run of the vocabulary at a time."""
+        for start in range(0, len(self.vocabulary), CHUNK):
+            owner, feature = word_features(self.vocabulary[start:start + CHUNK])
+            yield owner + start, feature
+
+
+def grades_of(sample: Sample, toxic: np.ndarray) -> np.ndarray:
     """Severity grades of the sample, see the module's text."""
-    used: dict = {}
-    for words, bad in zip(word_lists, toxic):
-        for w in words:
-            used.setdefault(w, [0, 0])[int(bad)] += 1
-    n1, n0 = max(1, toxic.sum()), max(1, (~toxic).sum())
-    marked = {w for w, (a, b) in used.items() if b >= MARK_ROWS
-              and np.log((b + 0.5) / n1) - np.log((a + 0.5) / n0) >= MARK_ODDS}
-    held = np.array([sum(w in marked for w in words) for words in word_lists])
+    bad = toxic[sample.doc]
+    n = len(sample.vocabulary)
+    a, b = (np.bincount(sample.word[x], minlength=n) for x in (~bad, bad))
+    odds = np.log((b + 0.5) / max(1, toxic.sum())) - np.log((a + 0.5) / max(1, (~toxic).sum()))
+    marked = (b >= MARK_ROWS) & (odds >= MARK_ODDS)
+    held = np.bincount(sample.doc[marked[sample.word]], minlength=sample.rows)
     cuts = np.quantile(held[toxic], [1 / 3, 2 / 3]) if toxic.any() else [0, 0]
     return np.where(toxic, 1 + (held > cuts[0]) + (held > cuts[1]), 0)
 
 
-def fit_ordinal(word_lists: list[list[bytes]], grades: np.ndarray) -> Ordinal:
+def fit_ordinal(sample: Sample, grades: np.ndarray) -> Ordinal:
     """Shared weights and ordered thresholds; without toxic or clean rows only thresholds."""
     share = [np.clip((grades > k).mean() if len(grades) else 0.0, 1e-3, 1 - 1e-3)
              for k in range(GRADES - 1)]
     cuts = np.maximum.accumulate(-np.log(np.array(share) / (1 - np.array(share)))
                                  + 1e-3 * np.arange(GRADES - 1))
     weights = np.zeros(1 << BITS)
-    if not len(grades) or grades.min() == grades.max():
+    if not len(grades) or grades.min() == grades.max() or not len(sample.word):
         return Ordinal(weights, cuts)
-    words, starts = flat(word_lists)
-    vocabulary = sorted(set(words))
-    number = {w: i for i, w in enumerate(vocabulary)}
-    word = np.array([number[w] for w in words], np.int64)
-    doc = np.repeat(np.arange(len(grades)), np.diff(starts))
-    owner, feature = word_features(vocabulary)
     # screening: features whose share among toxic documents' words stands out
+    word, doc, n_words = sample.word, sample.doc, len(sample.vocabulary)
     toxic_word = grades[doc] > 0
-    used = [np.bincount(feature, np.bincount(word[x], minlength=len(vocabulary))[owner],
-                        minlength=1 << BITS) for x in (toxic_word, ~toxic_word)]
+    times = [np.bincount(word[x], minlength=n_words) for x in (toxic_word, ~toxic_word)]
+    used = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
+    for owner, feature in sample.features():
+        for u, t in zip(used, times):
+            u += np.bincount(feature, t[owner], 1 << BITS)
     share = toxic_word.mean()
     both = used[0] + used[1]
     gain = 2 * sum(np.where(u > 0, u * np.log(np.maximum(u, 1) / np.maximum(both * part, 1e-9)), 0.0)
                    for u, part in zip(used, (share, 1 - share)))
     clear = gain >= CLEAR ** 2
-    owner, feature = owner[clear[feature]], feature[clear[feature]]
-    holds = np.zeros(len(vocabulary), bool)
+    found = [(owner[clear[feature]], feature[clear[feature]]) for owner, feature in sample.features()]
+    owner, feature = (np.concatenate(x) for x in zip(*found))
+    holds = np.zeros(n_words, bool)
     holds[owner] = True
     word, doc = word[holds[word]], doc[holds[word]]
     kept, feature = np.unique(feature, return_inverse=True)
@@ -130,12 +156,12 @@ def fit_ordinal(word_lists: list[list[bytes]], grades: np.ndarray) -> Ordinal:
     balance = np.where(high, 0.5 / high.mean(), 0.5 / (~high).mean()) / len(grades)
     sigmoid = lambda v: 1.0 / (1.0 + np.exp(-np.clip(v, -60, 60)))
     for _ in range(STEPS):
-        s = np.bincount(doc, np.bincount(owner, w[feature], len(vocabulary))[word], len(grades))
+        s = np.bincount(doc, np.bincount(owner, w[feature], n_words)[word], len(grades))
         above = np.where(high, sigmoid(s - cuts[np.maximum(grades - 1, 0)]), 1.0)
         below = np.where(low, sigmoid(s - cuts[np.minimum(grades, GRADES - 2)]), 0.0)
         chance = np.maximum(above - below, 1e-9)
         slope = (above + below - 1.0) * balance
-        g = np.bincount(feature, np.bincount(word, slope[doc], len(vocabulary))[owner], len(kept))
+        g = np.bincount(feature, np.bincount(word, slope[doc], n_words)[owner], len(kept))
         seen += g * g
         step = RATE / np.sqrt(seen)
         w -= step * g
@@ -156,9 +182,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = sample(docs, labels, "toxic", [StructField("words", ArrayType(StringType()))],
                    lambda: lambda texts: [[[w.decode() for w in words_of(t)] for t in texts]],
                    sample_rows, id_col, text_col).select("doc_id", "good", "words").toArrow()
-    lists = [[w.encode() for w in x] for x in found.column("words").to_pylist()]
+    words = Sample.of([w.encode() for w in x.as_py()] for x in found.column("words"))
     toxic = np.array(found.column("good").to_pylist(), bool)
-    return fit_ordinal(lists, grades_of(lists, toxic))
+    return fit_ordinal(words, grades_of(words, toxic))
 
 
 def predict(docs: DataFrame, model: Ordinal, id_col: str = "doc_id",
