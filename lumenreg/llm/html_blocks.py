@@ -56,6 +56,9 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
           "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "input", "label"}
 CONTAINERS = {"div", "section", "article", "main", "body", "ul", "ol", "dl", "table", "tbody",
               "tr", "td", "center", "blockquote", "figure", "details"}
+#: Start tags that leave an open head open; any other one, and text, ends it.
+HEAD_TAGS = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style",
+             "template", "title"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog",
          "alert", "alertdialog", "menu", "menubar", "toolbar"}
@@ -158,13 +161,21 @@ def blocks_of(page: str) -> list[Block]:
         tag = m["tag"]
         if tag is None:
             piece = m[0]
-            if piece[0] == "<" and len(piece) > 1 or excluded:
+            if piece[0] == "<" and len(piece) > 1:
+                continue
+            if stack and stack[-1][0] == "head" and not piece.isspace():
+                closed(len(stack) - 1)
+                block.container = number
+            if excluded:
                 continue
             block.parts.append(piece)
             if links:
                 block.linked += len(piece.strip())
             continue
         tag, end, attributes = tag.lower(), bool(m["end"]), m["attributes"]
+        if stack and stack[-1][0] == "head" and not end and tag not in HEAD_TAGS:
+            closed(len(stack) - 1)  # its end tag may be left out
+            block.container = number
         if tag == "a":
             links = int(not end)
         if tag == "br" or tag == "hr":

@@ -57,6 +57,15 @@ def test_layout(name):
     assert H.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<html><head><meta charset=utf-8><body><article><p>{TEXT}</p></article>", TEXT),
+    (f"<head><title>t</title><link href=x><article><h1>T</h1><p>{TEXT}</p></article>", f"T {TEXT}"),
+    (f"<head><meta charset=utf-8>{TEXT} {MORE}", f"{TEXT} {MORE}"),
+    (f"<head><meta charset=utf-8> </head><body><article>{TEXT}</article></body>", TEXT)])
+def test_head_without_an_end_tag(page, want):
+    assert H.main_text(page) == want
+
+
 def test_long_pages_take_linear_time():
     H.main_text("<p " * 20_000)
     H.main_text("<!-" * 20_000 + "<a \"" * 5_000)
