@@ -10,8 +10,10 @@ bad or undecided (short, or long with few stop words). Pass 2 gives undecided
 blocks the label of the nearest decided neighbour of their own container; of
 two equally near ones a good one wins for headings and near-good blocks. Inside
 ``article`` or ``main`` a long block with few links is good, and an undecided
-one is bad only between two bad neighbours; where a page marks its article so,
-nothing outside it is taken.
+one is bad only between two bad neighbours. Link density alone decides there
+only runs of linked blocks without words of their own: a linked heading is taken
+next to a good block, another linked block between two good ones. Where a page
+marks its article so, nothing outside it is taken.
 
 Null, empty and textless pages give an empty text. Whitespace inside a block,
 as Unicode has it, becomes one space; blocks are joined by one.
@@ -28,6 +30,8 @@ from pyspark.sql.types import LongType, StringType, StructField
 from lumenreg.llm.batches import with_text_columns
 
 SHORT, LONG = 70, 200
+#: Characters outside links that make a linked block of an article an entry, as of references.
+OWN_TEXT = 20
 MANY_LINKS, FEW_STOPS, MANY_STOPS = 0.5, 0.15, 0.30
 
 #: Common stop words of seven languages.
@@ -208,10 +212,12 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def decide(block: Block) -> str:
-    """Pass 1: good, bad, near (long with few stop words) or short."""
+    """Pass 1: good, bad, near (long with few stop words), short or, in an article, linked."""
     text = block.text
     if block.linked > MANY_LINKS * len(text):
-        return "bad"
+        if not block.article:
+            return "bad"
+        return "linked" if len(text) - block.linked < OWN_TEXT else "short"
     if len(text) < SHORT or block.heading:
         return "short"
     if block.article:
@@ -223,8 +229,44 @@ def decide(block: Block) -> str:
     return "near" if stops >= FEW_STOPS else "bad"
 
 
+def by_container(blocks: list[Block]) -> list[list[Block]]:
+    """The blocks of each container, in order."""
+    found: dict[int, list[Block]] = {}
+    for b in blocks:
+        found.setdefault(b.container, []).append(b)
+    return list(found.values())
+
+
+def linked_runs(blocks: list[Block]) -> None:
+    """Several linked blocks in a row, without a heading between, are bad."""
+    for held in by_container(blocks):
+        runs = [b.label == "linked" and not b.heading for b in held]
+        for i, b in enumerate(held):
+            if runs[i] and (i and runs[i - 1] or i + 1 < len(held) and runs[i + 1]):
+                b.label = "bad"
+
+
+def linked_singles(blocks: list[Block]) -> None:
+    """Linked headings next to a good block and linked blocks between good ones are good."""
+    for held in by_container(blocks):
+        for heading in (True, False):
+            beside = []  # the nearest block on each side that isn't a linked one itself
+            for order in (held, held[::-1]):
+                last, sides = "", []
+                for b in order:
+                    sides.append(last)
+                    if b.label != "linked":
+                        last = b.label
+                beside.append(sides)
+            for b, before, after in zip(held, beside[0], beside[1][::-1]):
+                if b.label == "linked" and b.heading == heading:
+                    near = [before == "good", after == "good"]
+                    b.label = "good" if (any(near) if heading else all(near)) else "bad"
+
+
 def inherit(blocks: list[Block]) -> None:
     """Pass 2: undecided blocks take the nearest decided neighbour's label."""
+    linked_runs(blocks)
     decided = {"good", "bad"}
     first = [b.label for b in blocks]
     before: list = []
@@ -240,6 +282,8 @@ def inherit(blocks: list[Block]) -> None:
         if first[i] in decided:
             last[b.container] = i
             continue
+        if first[i] == "linked":
+            continue
         near = [(abs(i - j), first[j]) for j in (before[i], after) if j is not None]
         if b.article:  # only links on both sides make it bad
             b.label = "bad" if [x for _, x in near] == ["bad", "bad"] else "good"
@@ -249,6 +293,7 @@ def inherit(blocks: list[Block]) -> None:
             b.label = "good" if b.heading or first[i] == "near" else "bad"
         else:
             b.label = min(near)[1]
+    linked_singles(blocks)
 
 
 def main_text(page: str) -> str:
@@ -256,7 +301,7 @@ def main_text(page: str) -> str:
     blocks = blocks_of(page)
     for b in blocks:
         b.label = decide(b)
-    if any(b.article and b.label != "bad" for b in blocks):  # the page marks its article
+    if any(b.article and b.label not in ("bad", "linked") for b in blocks):  # the page marks its article
         blocks = [b for b in blocks if b.article]
     inherit(blocks)
     return " ".join(b.text for b in blocks if b.label == "good")

@@ -66,6 +66,27 @@ def test_head_without_an_end_tag(page, want):
     assert H.main_text(page) == want
 
 
+@pytest.mark.parametrize("inside, want", [
+    (f"<h1><a href=/p>Title</a></h1><p>{TEXT}</p>", f"Title {TEXT}"),
+    (f"<p>{TEXT}</p><h2><a href='#s'>Section</a></h2><p>{MORE}</p>", f"{TEXT} Section {MORE}"),
+    (f"<h1><a>T</a></h1><h2><a>S</a></h2><p>{TEXT}</p>", f"T S {TEXT}"),
+    (f"<p>{TEXT}</p><p><a href=x>{MORE}</a></p><p>{TEXT}</p>", f"{TEXT} {MORE} {TEXT}"),
+    (f"<h2><a>S</a></h2><p><a href=x>{MORE}</a></p><p>{TEXT}</p>", f"S {MORE} {TEXT}"),
+    ("<h1><a>T</a></h1><p>One.</p>", "T One."),
+    (f"<p>{TEXT}</p><ul><li>Smith, J. and Doe, A. (2004), <a>{MORE}</a></li><li>Roe, R. in the "
+     f"Journal, <a>{MORE}</a></li></ul>",
+     f"{TEXT} Smith, J. and Doe, A. (2004), {MORE} Roe, R. in the Journal, {MORE}"),
+    (f"<p>{TEXT}</p><ul><li><a>{MORE}</a><li><a>{TEXT}</a></ul><p>{MORE}</p>", f"{TEXT} {MORE}")])
+def test_linked_blocks_of_an_article(inside, want):
+    assert H.main_text(f"<article>{inside}</article>") == want
+
+
+def test_linked_cards_are_no_article():
+    cards = f"<article><h3><a href=x>Card</a></h3></article><article><a href=y>{MORE}</a></article>"
+    assert H.main_text(f"<article><p>{TEXT}</p></article>{cards}") == TEXT
+    assert H.main_text(f"<div><p>{TEXT} {MORE}</p></div>{cards}") == f"{TEXT} {MORE}"
+
+
 def test_long_pages_take_linear_time():
     H.main_text("<p " * 20_000)
     H.main_text("<!-" * 20_000 + "<a \"" * 5_000)
