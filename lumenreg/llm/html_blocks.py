@@ -8,7 +8,11 @@ role, class or id). What is left is cut into blocks at block-level tags.
 Pass 1 decides a block by its length, link density and stop-word density: good,
 bad or undecided (short, or long with few stop words). Pass 2 gives undecided
 blocks the label of the nearest decided neighbour of their own container; of
-two equally near ones a good one wins for headings and near-good blocks. Inside
+two equally near ones a good one wins for headings and near-good blocks. Long
+blocks with hardly any stop words (code, lists, tables) are good between two good
+neighbours only. Where stop words say nothing of a page (languages without a
+list), length and link density alone decide, and where none is long
+either, short blocks with few links are taken. Inside
 ``article`` or ``main`` a long block with few links is good, and an undecided
 one is bad only between two bad neighbours. Link density alone decides there
 only runs of linked blocks without words of their own: a linked heading is taken
@@ -114,11 +118,12 @@ def _excluded(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 class Block:
-    __slots__ = ("parts", "linked", "heading", "container", "article", "text", "label")
+    __slots__ = ("parts", "linked", "heading", "container", "article", "text", "label", "words", "stops")
 
     def __init__(self, container: int, article: bool):
         self.parts, self.linked, self.heading = [], 0, False
         self.container, self.article, self.text, self.label = container, article, "", ""
+        self.words = self.stops = 0  # words and stop words, where pass 1 counts them
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -212,7 +217,8 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def decide(block: Block) -> str:
-    """Pass 1: good, bad, near (long with few stop words), short or, in an article, linked."""
+    """Pass 1: good, bad, near (long with few stop words), sparse (long with hardly any), short
+    or, in an article, linked."""
     text = block.text
     if block.linked > MANY_LINKS * len(text):
         if not block.article:
@@ -223,10 +229,11 @@ def decide(block: Block) -> str:
     if block.article:
         return "good"
     words = WORD.findall(text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    block.words, block.stops = len(words), sum(w in STOP_WORDS for w in words)
+    stops = block.stops / max(1, len(words))
     if stops >= MANY_STOPS:
         return "good" if len(text) >= LONG else "near"
-    return "near" if stops >= FEW_STOPS else "bad"
+    return "near" if stops >= FEW_STOPS else "sparse"
 
 
 def by_container(blocks: list[Block]) -> list[list[Block]]:
@@ -246,6 +253,22 @@ def linked_runs(blocks: list[Block]) -> None:
                 b.label = "bad"
 
 
+def sparse_blocks(blocks: list[Block]) -> None:
+    """Long blocks with hardly any stop words are good between two good blocks, or else bad."""
+    for held in by_container(blocks):
+        around = []  # the nearest decided block on each side
+        for order in (held, held[::-1]):
+            last, sides = "", []
+            for b in order:
+                sides.append(last)
+                if b.label in ("good", "bad"):
+                    last = b.label
+            around.append(sides)
+        for b, before, after in zip(held, around[0], around[1][::-1]):
+            if b.label == "sparse":
+                b.label = "good" if before == after == "good" else "bad"
+
+
 def linked_singles(blocks: list[Block]) -> None:
     """Linked headings next to a good block and linked blocks between good ones are good."""
     for held in by_container(blocks):
@@ -267,6 +290,7 @@ def linked_singles(blocks: list[Block]) -> None:
 def inherit(blocks: list[Block]) -> None:
     """Pass 2: undecided blocks take the nearest decided neighbour's label."""
     linked_runs(blocks)
+    sparse_blocks(blocks)
     decided = {"good", "bad"}
     first = [b.label for b in blocks]
     before: list = []
@@ -296,6 +320,14 @@ def inherit(blocks: list[Block]) -> None:
     linked_singles(blocks)
 
 
+def unlisted(blocks: list[Block]) -> bool:
+    """Whether stop words say nothing of a page: none of its blocks is good, and none has many of
+    them or all together have few."""
+    return (all(b.label != "good" for b in blocks)
+            and (all(b.stops < MANY_STOPS * max(1, b.words) for b in blocks)
+                 or sum(b.stops for b in blocks) < FEW_STOPS * sum(b.words for b in blocks)))
+
+
 def main_text(page: str) -> str:
     """The main text of a page."""
     blocks = blocks_of(page)
@@ -303,6 +335,10 @@ def main_text(page: str) -> str:
         b.label = decide(b)
     if any(b.article and b.label not in ("bad", "linked") for b in blocks):  # the page marks its article
         blocks = [b for b in blocks if b.article]
+    elif unlisted(blocks):
+        lone = "short" if any(b.label in ("near", "sparse") for b in blocks) else "good"
+        for b in blocks:
+            b.label = {"near": "good", "sparse": "good", "short": lone}.get(b.label, b.label)
     inherit(blocks)
     return " ".join(b.text for b in blocks if b.label == "good")
 

@@ -87,6 +87,26 @@ def test_linked_cards_are_no_article():
     assert H.main_text(f"<div><p>{TEXT} {MORE}</p></div>{cards}") == f"{TEXT} {MORE}"
 
 
+POLISH = ("Rada miejska ogłosiła wczoraj wyniki prac komisji, która powstała wiosną, lecz mieszkańcy "
+          "oczekiwali czegoś zupełnie innego.")
+CHINESE = "委员会昨天公布了调查结果，" * 10
+CODE = "for (int k = 0; k != n; ++k) { total[k] += rows[k].weight * factor; } return total[n - 1];"
+SLAVIC = "Na zebraniu i w domu mówiono o tym, że i rada, i burmistrz na pewno zmienią te plany wiosną."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div><h1>Komisja</h1><p>{POLISH}</p><p>Tak.</p><p>{POLISH}</p></div>",
+     f"Komisja {POLISH} Tak. {POLISH}"),
+    (f"<div><p>{POLISH}</p><p>{SLAVIC}</p><p>{POLISH}</p></div>", f"{POLISH} {SLAVIC} {POLISH}"),
+    (f"<div><ul><li><a>{POLISH}</a></ul></div><div><p>{CHINESE}</p></div>", CHINESE),
+    ("<div><p>We met at noon.</p><p>Nobody came.</p></div>", "We met at noon. Nobody came."),
+    ("<div><a>Home</a></div><div><p>We met at noon.</p></div>", "We met at noon."),
+    (f"<div><p>{TEXT} {MORE}</p><pre>{CODE}</pre><p>{MORE} {TEXT}</p><p>{CODE}</p></div>",
+     f"{TEXT} {MORE} {CODE} {MORE} {TEXT}")])
+def test_div_pages_without_stop_words(page, want):
+    assert H.main_text(page) == want
+
+
 def test_long_pages_take_linear_time():
     H.main_text("<p " * 20_000)
     H.main_text("<!-" * 20_000 + "<a \"" * 5_000)
