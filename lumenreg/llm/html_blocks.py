@@ -5,6 +5,12 @@ hidden parts are skipped, as are containers that name themselves menus,
 headers, footers, sidebars, notices, adverts, forms or reader comments (by tag,
 role, class or id). What is left is cut into blocks at block-level tags.
 
+A class or id name is evidence only: parts after has-, with-, no- or without- don't
+count, and of containers other than comments, one named by a part that may be a
+topic (legal-news) is kept for a good block of ``LONG`` characters; where a page has
+no block of ``SHORT`` characters outside such containers, so are one named by its
+place (sidebar) for a long block and any one that holds an article or main.
+
 Pass 1 decides a block by its length, link density and stop-word density: good,
 bad or undecided (short, or long with few stop words). Pass 2 gives undecided
 blocks the label of the nearest decided neighbour of their own container; of
@@ -81,6 +87,18 @@ outbrain|taboola|trending|popular|teasers?|form)(?:$|[\s_-])""".replace("\n", ""
 #: Names that also exclude an article or main element: it is someone's comment or a teaser.
 STRICT = re.compile(r"(?:^|\s)(?:comments?|reply|replies|teaser|related|advert|sponsored)(?:$|[\s_-])",
                     re.I)
+#: Parts of a name that say nothing, or the opposite: has-sidebar, no-ads.
+NEGATED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|no|without)[_-]\S*", re.I)
+#: Names that always exclude.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|reply|replies)(?:$|[\s_-])",
+                      re.I)
+#: Names that may as well be an article's topic, if they are one part of several.
+TOPICS = {"legal", "social", "popular", "search", "form", "header", "share", "sharing", "trending",
+          "discussion", "side", "alert", "alerts", "notice", "notices"}
+PLACES = TOPICS | {"sidebar", "sidebars", "rail", "widget", "widgets", "overlay", "modal", "masthead",
+                   "topbar", "toolbar", "navbar", "searchbox"}
+#: How far a name excludes: always, unless it holds an article, or also a long block, anywhere.
+ALWAYS, NAME, PLACE, TOPIC = range(1, 5)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<skip>script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|title)"
@@ -96,40 +114,67 @@ ATTRIBUTE = re.compile(
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def _excluded(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether the element's name, role, class, id or style excludes what it holds."""
+def _named(value: str) -> int:
+    """How far the class or id excludes what its element holds; 0 if it doesn't."""
+    value = NEGATED.sub(" ", value)
+    if not NAMES.search(value):
+        return 0
+    if COMMENTS.search(value):
+        return ALWAYS
+    kind = TOPIC
+    for name in value.split():
+        if not NAMES.search(name):
+            continue
+        parts = re.split("[_-]+", name.lower())
+        named = [p for p in parts if NAMES.search(p)]
+        if not named or not PLACES.issuperset(named):
+            return NAME
+        if len(named) == len(parts) or not TOPICS.issuperset(named):
+            kind = PLACE
+    return kind
+
+
+def _excluded(tag: str, attributes: str, in_article: bool) -> int:
+    """How far the element's name, role, class, id or style excludes what it holds."""
     if tag in EXCLUDED and not (tag == "header" and in_article):
-        return True
+        return ALWAYS
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return 0
+    kinds = []
     for m in ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         value = next((v for v in m.groups()[1:] if v is not None), "")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return ALWAYS
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return ALWAYS
         if name == "role" and value.lower() in ROLES:
-            return True
+            return ALWAYS
         if name in ("class", "id") and tag not in ("html", "body"):
-            if (STRICT if tag in ("article", "main") else NAMES).search(value):
-                return True
-    return False
+            if tag not in ("article", "main"):
+                kinds.append(_named(value))
+            elif STRICT.search(value):
+                return ALWAYS
+    kind = min(filter(None, kinds), default=0)
+    return ALWAYS if kind and tag in INLINE else kind
 
 
 class Block:
-    __slots__ = ("parts", "linked", "heading", "container", "article", "text", "label", "words", "stops")
+    __slots__ = ("parts", "linked", "heading", "container", "article", "named", "text", "label",
+                 "words", "stops")
 
-    def __init__(self, container: int, article: bool):
+    def __init__(self, container: int, article: bool, named: tuple = ()):
         self.parts, self.linked, self.heading = [], 0, False
         self.container, self.article, self.text, self.label = container, article, "", ""
+        self.named = named  # open containers with excluding names: (number, kind, in an article)
         self.words = self.stops = 0  # words and stop words, where pass 1 counts them
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks outside skipped and excluded parts, with their texts."""
     out: list[Block] = []
-    stack: list[tuple] = []  # open containers: (tag, excluded, article, number)
+    stack: list[tuple] = []  # open containers: (tag, excluded, article, number, named before)
+    named: tuple = ()
     excluded = article = links = heading = number = count = 0
     block = Block(0, False)
 
@@ -142,26 +187,31 @@ def blocks_of(page: str) -> list[Block]:
             block.text = " ".join(text.split())
             if block.text:
                 out.append(block)
-        block = Block(number, article > 0)
+        block = Block(number, article > 0, named)
         block.heading = heading > 0
 
     def opened(tag: str, attributes: str) -> None:
-        nonlocal excluded, article, number, count
-        out_of = int(_excluded(tag, attributes, article > 0) or tag == "head")
-        if not out_of and tag not in CONTAINERS and tag not in EXCLUDED and not (
-                excluded and stack and stack[-1][0] == tag):
+        nonlocal excluded, article, number, count, named
+        kind = ALWAYS if tag == "head" else _excluded(tag, attributes, article > 0)
+        out_of = int(kind == ALWAYS)
+        if not kind and tag not in CONTAINERS and tag not in EXCLUDED and not (
+                (excluded or named) and stack and stack[-1][0] == tag):
             return
         count += 1
         is_article = int(tag in ("article", "main") and not out_of and not excluded)
-        if is_article or out_of:
+        if is_article or kind:
             number = count
+        stack.append((tag, out_of, is_article, number, named))
+        if kind > ALWAYS and not excluded:
+            named += ((count, kind, article > 0),)
         excluded, article = excluded + out_of, article + is_article
-        stack.append((tag, out_of, is_article, number))
 
     def closed(at: int) -> None:
         """Closes the container at this place and all that it holds."""
-        nonlocal excluded, article, number
-        for _, out_of, is_article, _ in stack[at:]:
+        nonlocal excluded, article, number, named
+        if at < len(stack):
+            named = stack[at][4]
+        for _, out_of, is_article, _, _ in stack[at:]:
             excluded, article = excluded - out_of, article - is_article
         del stack[at:]
         number = stack[-1][3] if stack else 0
@@ -212,6 +262,7 @@ def blocks_of(page: str) -> list[Block]:
                 closed(len(stack) - 1)  # an open paragraph ends where the next block begins
             opened(tag, attributes)
         block.container, block.article, block.heading = number, article > 0, heading > 0
+        block.named = named
     close()
     return out
 
@@ -236,6 +287,21 @@ def decide(block: Block) -> str:
     return "near" if stops >= FEW_STOPS else "sparse"
 
 
+def outside_names(blocks: list[Block]) -> list[Block]:
+    """The blocks that no container's name excludes, see the module's text."""
+    long = {"good", "near", "sparse"}
+    outside = any(not b.named and b.label in long for b in blocks)
+    kept = set()
+    for b in blocks:
+        big = len(b.text) >= LONG
+        for number, kind, in_article in b.named:
+            if (kind == TOPIC and big and b.label == "good" or not outside and (
+                    b.article and not in_article and b.label == "good"
+                    or kind >= PLACE and big and b.label in long)):
+                kept.add(number)
+    return [b for b in blocks if kept.issuperset(n for n, _, _ in b.named)]
+
+
 def by_container(blocks: list[Block]) -> list[list[Block]]:
     """The blocks of each container, in order."""
     found: dict[int, list[Block]] = {}
@@ -333,6 +399,7 @@ def main_text(page: str) -> str:
     blocks = blocks_of(page)
     for b in blocks:
         b.label = decide(b)
+    blocks = outside_names(blocks)
     if any(b.article and b.label not in ("bad", "linked") for b in blocks):  # the page marks its article
         blocks = [b for b in blocks if b.article]
     elif unlisted(blocks):

@@ -107,6 +107,39 @@ def test_div_pages_without_stop_words(page, want):
     assert H.main_text(page) == want
 
 
+LAYOUT = ["layout has-sidebar", "content with-sidebar", "no-ads", "post no-comments", "legal-news",
+          "popular-science", "entry social-policy", "search-results", "has-left-sidebar",
+          "sidebar-left", "sticky-footer-page"]
+
+
+@pytest.mark.parametrize("name", LAYOUT)
+def test_layout_names_do_not_hide_an_article(name):
+    footer = f"<footer>{MORE}</footer><div class=comments>{TEXT} {MORE}</div><div>About us</div>"
+    for tag in ("article", "main"):
+        page = f"<div class='{name}'><{tag}><h1>T</h1><p>{TEXT}</p></{tag}></div>{footer}"
+        assert H.main_text(page) == f"T {TEXT}"
+
+
+@pytest.mark.parametrize("name", LAYOUT[:-1])
+def test_layout_names_do_not_hide_long_blocks(name):
+    assert H.main_text(f"<div id='{name}'><p>{TEXT} {MORE}</p><p>Yes.</p></div>") == f"{TEXT} {MORE} Yes."
+
+
+@pytest.mark.parametrize("name", LAYOUT[4:8])
+def test_topics_inside_an_article(name):
+    inside = f"<p>{MORE}</p><div class='{name}'><p>{TEXT} {MORE}</p></div>"
+    assert H.main_text(f"<article>{inside}</article>") == f"{MORE} {TEXT} {MORE}"
+
+
+@pytest.mark.parametrize("name", ["sidebar", "cookie-notice", "comments", "comment-list", "site-footer",
+                                  "legal", "top-nav", "social", "newsletter signup", "ads"])
+def test_named_parts_stay_out(name):
+    part = f"<div class='{name}'><p>{TEXT} {MORE}</p></div>"
+    assert H.main_text(f"<div><p>{MORE} {TEXT}</p></div>{part}") == f"{MORE} {TEXT}"
+    assert H.main_text(f"<article><p>{MORE}</p>{part}</article>") == MORE
+    assert H.main_text(f"<div><p>{POLISH}</p></div>{part}") == POLISH
+
+
 def test_long_pages_take_linear_time():
     H.main_text("<p " * 20_000)
     H.main_text("<!-" * 20_000 + "<a \"" * 5_000)
