@@ -1,7 +1,10 @@
 """License scans with DataFrame functions: TF-IDF cosine to templates, then inheritance.
 
 Header blocks are runs of 1, 4 and 16 lines that start at a line which names a
-licence, wherever in the file it stands. A block's terms are weighted by
+licence, wherever in the file it stands; around every term that names a licence,
+windows of the terms of each template with that name, laid as the template lies
+around it, over line ends and inside long lines (compared with that template
+only); and licence files by name as a whole. A block's terms are weighted by
 frequency and by their inverse document frequency over all files; terms of no
 template count towards its length with the highest weight. The licence of a file
 is the template of the highest cosine of ``MIN_COSINE`` or more, over all blocks
@@ -19,6 +22,7 @@ directory and inherit nothing. Repeated rows are scanned each.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +33,11 @@ MIN_COSINE = 0.7
 WINDOWS = (1, 4, 16)
 ANCHOR = r"(?i)licen[cs]e|spdx|copying conditions|permission is hereby granted|redistribution and use"
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|copyright)[^/]*$"
+#: Terms by which a template's windows are laid: the first of them in the template.
+NAMING = frozenset("""
+apache mit sublicense gnu gpl lgpl agpl lesser affero bsd mozilla mpl creative cc sa nc sharealike
+noncommercial attribution isc unencumbered unlicense cc0 endorse
+""".split())
 TERM = r"[^a-z0-9.+]+"
 
 #: Notices and headers by licence, in the words that their licences ask for.
@@ -76,6 +85,40 @@ TEMPLATES = (
 )
 
 
+def plain_terms(text: str) -> list[str]:
+    """The terms of a template, as ``terms`` has them."""
+    return [t for t in (x.strip(".") for x in re.split(TERM, text.lower())) if t]
+
+
+def naming_terms() -> Column:
+    """An array of (term, template, place in it, length of it) of all templates."""
+    out = []
+    for i, (_, text) in enumerate(TEMPLATES):
+        found = plain_terms(text)
+        at = next((k for k, t in enumerate(found) if t in NAMING), 0)
+        out.append(F.struct(F.lit(found[at]).alias("term"), F.lit(i).alias("template"),
+                            F.lit(at).alias("at"), F.lit(len(found)).alias("n")))
+    return F.array(*out)
+
+
+def template_windows(found: Column) -> Column:
+    """(template, terms) of the windows around each naming term of an array of terms."""
+    names = sorted({t for t in NAMING for _, x in TEMPLATES if t in plain_terms(x)}
+                   | {plain_terms(x)[0] for _, x in TEMPLATES
+                      if not NAMING.intersection(plain_terms(x))})
+    hits = F.filter(F.transform(found, lambda t, i: F.struct(t.alias("term"), i.alias("i"))),
+                    lambda h: h["term"].isin(names))
+
+    def window(h, t):
+        start = h["i"] - t["at"]
+        begin = F.greatest(start, F.lit(0))
+        return F.struct(t["template"].alias("only"),
+                        F.slice(found, begin + 1, t["n"] - (begin - start)).alias("terms"))
+
+    return F.flatten(F.transform(hits, lambda h: F.transform(
+        F.filter(naming_terms(), lambda t: t["term"] == h["term"]), lambda t: window(h, t))))
+
+
 def terms(text: Column) -> Column:
     """Lower-case terms of a text, without dots at their ends."""
     found = F.transform(F.split(F.lower(text), TERM), lambda t: F.btrim(t, F.lit(".")))
@@ -134,20 +177,30 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
         "template", "license", "term", "idf", (F.col("w") / F.col("len")).alias("v"))
     vectors = spark.createDataFrame(vectors.collect(), vectors.schema)  # about 600 rows
 
-    keyed = rows.where(F.col("text").rlike(ANCHOR)).withColumn(
+    # a name may be parted by line ends and comment marks
+    keyed = rows.where(F.col("text").rlike(ANCHOR.replace(" ", r"[^a-z0-9]+"))).withColumn(
         "file", F.xxhash64("doc_id", "path", "text"))
     lines = F.split("text", "\n")
     starts = F.filter(F.sequence(F.lit(1), F.size("lines")),
                       lambda i: F.element_at("lines", i).rlike(ANCHOR))
-    blocks = (keyed.select("file", "doc_id", "path", lines.alias("lines")).distinct()
-              .select("file", "doc_id", "path", F.size(terms(F.array_join("lines", " "))).alias("size"),
-                      F.explode(F.flatten(F.transform(starts, lambda i: F.transform(
-                          F.array(*[F.lit(w) for w in WINDOWS]),
-                          lambda w: F.array_join(F.slice("lines", i, w), " "))))).alias("block"))
-              .distinct().withColumn("terms", terms(F.col("block")))
-              .select("file", "doc_id", "path", "size", F.xxhash64("block").alias("unit"),
+    line_blocks = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
+        F.array(*[F.lit(w) for w in WINDOWS]), lambda w: F.array_join(F.slice("lines", i, w), " ")))))
+    named = F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENCE_FILE)
+    of_all = lambda found: F.struct(F.lit(-1).alias("only"), found.alias("terms"))
+    blocks = (keyed.select("file", "doc_id", "path", lines.alias("lines"),
+                           terms(F.col("text")).alias("all")).distinct()
+              .select("file", "doc_id", "path", F.size("all").alias("size"),
+                      F.explode(F.concat(
+                          F.transform(line_blocks, lambda b: of_all(terms(b))),
+                          template_windows(F.col("all")),
+                          F.when(F.coalesce(named, F.lit(False)), F.array(of_all(F.col("all"))))
+                          .otherwise(F.array().cast("array<struct<only:int,terms:array<string>>>"))))
+                      .alias("block"))
+              .select("file", "doc_id", "path", "size", "block.only", "block.terms").distinct()
+              .select("file", "doc_id", "path", "size", "only",
+                      F.xxhash64("only", "terms").alias("unit"),
                       F.size("terms").alias("n"), F.explode("terms").alias("term")))
-    units = (blocks.groupBy("file", "doc_id", "path", "size", "unit", "n", "term")
+    units = (blocks.groupBy("file", "doc_id", "path", "size", "only", "unit", "n", "term")
              .agg(F.count(F.lit(1)).alias("tf"))
              .join(F.broadcast(weights), "term", "left")
              .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
@@ -155,6 +208,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
                          .otherwise(F.col("tf") * unseen * unseen)))
     sized = units.groupBy("file", "unit").agg(F.sqrt(F.sum("squares")).alias("len"))
     dots = (units.join(F.broadcast(vectors.select("template", "license", "term", "v")), "term")
+            .where("only in (-1, template)")
             .groupBy("file", "doc_id", "path", "size", "unit", "n", "template", "license")
             .agg(F.sum(F.col("w") * F.col("v")).alias("dot")))
     scored = dots.join(sized, ["file", "unit"]).withColumn(

@@ -87,3 +87,29 @@ def test_query_against_plain_cosine(spark):
             assert (r["license"], r["license_path"], r["origin"]) == (above[2], above[1], "inherited")
         else:
             assert (r["license"], r["origin"]) == (None, "none")
+
+
+def own_licences(spark, texts):
+    """The own licence of each text, among files of prose without one."""
+    files = [(i, f"f{i}/x.txt", t) for i, t in enumerate(texts)]
+    files += [(1000 + i, f"p{i}/x.txt", prose(i, 40)) for i in range(30)]
+    df = spark.createDataFrame(files, "doc_id long, path string, text string")
+    out = {r["doc_id"]: r for r in N.scan(df).collect()}
+    assert all(out[1000 + i]["origin"] == "none" for i in range(30))
+    return [out[i]["license"] if out[i]["origin"] == "own" else None for i in range(len(texts))]
+
+
+def test_notices_inside_lines_and_over_line_ends(spark):
+    notices = {"Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+               "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+               "MIT": "Released under the MIT License.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0."}
+    texts, want = [], []
+    for k, (name, notice) in enumerate(notices.items()):
+        a, b = prose(2 * k, 120), prose(2 * k + 1, 120)
+        wrapped = " ".join(notice.split()[:3]) + "\n * " + " ".join(notice.split()[3:])
+        for text in (f"{a}. {notice} {b}", f"{a}. {notice}", f"{a[:60]}. {notice} {b[:60]}",
+                     f"{wrapped}\n{b}", f"{a}\n{a} {wrapped} {b}"):
+            texts.append(text)
+            want.append(name)
+    wide = "\n// ".join(MIT.split(" "))  # one word a line
+    assert own_licences(spark, [*texts, f"{prose(50, 90)}\n{wide}"]) == [*want, "MIT"]
