@@ -8,7 +8,10 @@ only); and licence files by name as a whole. A block's terms are weighted by
 frequency and by their inverse document frequency over all files; terms of no
 template count towards its length with the highest weight. The licence of a file
 is the template of the highest cosine of ``MIN_COSINE`` or more, over all blocks
-(ties: the template's name).
+(ties: the template's name). A block must hold the terms of the template that tell
+licences apart (``TELLING``: names and versions) and none of ``OTHERS`` that the
+template lacks. Long licence texts (Apache, GPL, MPL, Creative Commons) are known by
+their titles and first sentences, shorter ones have their full text as a template.
 
 A file is a licence file of its directory if its name says so or if the
 best block holds half of its terms. A file without a licence of its own takes
@@ -31,15 +34,106 @@ from lumenreg.session import checkpointed
 
 MIN_COSINE = 0.7
 WINDOWS = (1, 4, 16)
-ANCHOR = r"(?i)licen[cs]e|spdx|copying conditions|permission is hereby granted|redistribution and use"
+ANCHOR = (r"(?i)licen[cs]e|spdx|copying conditions|permission is hereby granted|redistribution and use"
+          r"|permission to use, copy|free and unencumbered|creative commons|cc0")
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|copyright)[^/]*$"
 #: Terms by which a template's windows are laid: the first of them in the template.
 NAMING = frozenset("""
 apache mit sublicense gnu gpl lgpl agpl lesser affero bsd mozilla mpl creative cc sa nc sharealike
 noncommercial attribution isc unencumbered unlicense cc0 endorse
 """.split())
+VERSIONS = frozenset("2 3 1.0 2.0 2.0+ 2.1 2.1+ 3.0 3.0+ 4.0".split())
+#: Terms of a template that its blocks must hold.
+TELLING = NAMING | VERSIONS
+#: Terms of other licences that its blocks must not hold.
+OTHERS = frozenset("""
+gpl lgpl agpl lesser affero bsd mozilla mpl sa nc nd sharealike noncommercial noderivatives noderivs
+isc cc0 endorse sublicense
+""".split())
+#: The terms of BSD's second and third clauses: conditions that BSD-2 and BSD-3 share are BSD-2's in
+#: a file that has the former without the latter.
+SECOND_CLAUSE, THIRD_CLAUSE = "reproduce", "endorse"
 TERM = r"[^a-z0-9.+]+"
 
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+    "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+    "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+    "furnished to do so, subject to the following conditions: The above copyright notice and this "
+    "permission notice shall be included in all copies or substantial portions of the Software.")
+_NO_WARRANTY = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT "
+    "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+    "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS")
+_LIABLE = (
+    " BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+    "THE SOFTWARE.")
+_MIT = _MIT_GRANT + _NO_WARRANTY + " OR COPYRIGHT HOLDERS" + _LIABLE
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+    "binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_THIRD = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission.")
+_BSD_DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+    "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+    "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+    "copies.")
+_ISC_DISCLAIMER = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+    "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+    "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+    "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+    "SOFTWARE.")
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
+    "modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+    "compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions "
+    "that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+    "interest in the software to the public domain. We make this dedication for the benefit of the public "
+    "at large and to the detriment of our heirs and successors. We intend this dedication to be an overt "
+    "act of relinquishment in perpetuity of all present and future rights to this software under "
+    "copyright law." + _NO_WARRANTY + _LIABLE + " For more information, please refer to "
+    "<https://unlicense.org/>")
+
+
+def _gnu_notice(what: str, name: str, version: str) -> str:
+    return (f"This {what} is free software: you can redistribute it and/or modify it under the terms of the "
+            f"{name} as published by the Free Software Foundation, either version {version} of the License, "
+            f"or (at your option) any later version. This {what} is distributed in the hope that it will be "
+            "useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+            f"FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details.")
+
+
+def _gnu_title(name: str, version: str) -> str:
+    return (f"GNU {name} Public License Version {version} Copyright (C) Free Software Foundation, Inc. "
+            "Everyone is permitted to copy and distribute verbatim copies of this license document, but "
+            "changing it is not allowed.")
+
+
+_SPDX = {
+    "MIT": ["MIT"], "Apache-2.0": ["Apache-2.0"], "ISC": ["ISC"], "Unlicense": ["Unlicense"],
+    "BSD-2-Clause": ["BSD-2-Clause"], "BSD-3-Clause": ["BSD-3-Clause"], "MPL-2.0": ["MPL-2.0"],
+    "CC0-1.0": ["CC0-1.0"], "CC-BY-4.0": ["CC-BY-4.0"], "CC-BY-SA-4.0": ["CC-BY-SA-4.0"],
+    "CC-BY-NC-4.0": ["CC-BY-NC-4.0"],
+    **{f"{kind}-{v}": [f"{kind}-{v}{end}" for end in ("", "+", "-only", "-or-later")]
+       for kind, v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0"))}}
+
 #: Notices and headers by licence, in the words that their licences ask for.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -82,6 +176,44 @@ TEMPLATES = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("MIT", _MIT),
+    ("MIT", "Licensed under the MIT License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND "
+     "CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions."),
+    ("BSD-2-Clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
+    ("BSD-2-Clause", _BSD_CONDITIONS),
+    ("BSD-3-Clause", _BSD_CONDITIONS + _BSD_THIRD + _BSD_DISCLAIMER),
+    ("BSD-3-Clause", _BSD_CONDITIONS + _BSD_THIRD),
+    ("ISC", _ISC),
+    ("ISC", _ISC + _ISC_DISCLAIMER),
+    ("ISC", "Licensed under the ISC License."),
+    ("Unlicense", _UNLICENSE),
+    ("Unlicense", _UNLICENSE.partition(" Anyone ")[0]),
+    ("GPL-2.0", _gnu_notice("program", "GNU General Public License", "2")),
+    ("GPL-2.0", _gnu_title("General", "2, June 1991")),
+    ("GPL-3.0", _gnu_title("General", "3, 29 June 2007")),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", _gnu_notice("library", "GNU Lesser General Public License", "2.1")),
+    ("LGPL-2.1", _gnu_title("Lesser General", "2.1, February 1999")),
+    ("LGPL-3.0", _gnu_notice("library", "GNU Lesser General Public License", "3")),
+    ("LGPL-3.0", _gnu_title("Lesser General", "3, 29 June 2007")),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", _gnu_notice("program", "GNU Affero General Public License", "3")),
+    ("AGPL-3.0", _gnu_title("Affero General", "3, 19 November 2007")),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual "
+     "or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright and related and "
+     "neighboring rights to this work to the public domain worldwide under CC0 1.0 Universal. This "
+     "software is distributed without any warranty."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+     "International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+     "International License."),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    *((name, f"SPDX-License-Identifier: {spdx}") for name, forms in _SPDX.items() for spdx in forms),
 )
 
 
@@ -175,8 +307,17 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
     lengths = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
     vectors = weighted.join(lengths, "template").select(
         "template", "license", "term", "idf", (F.col("w") / F.col("len")).alias("v"))
-    vectors = spark.createDataFrame(vectors.collect(), vectors.schema)  # about 600 rows
+    vectors = spark.createDataFrame(vectors.collect(), vectors.schema)  # about 3,000 rows
 
+    rules = spark.createDataFrame(
+        [(i, sorted(TELLING.intersection(plain_terms(t))), sorted(OTHERS.difference(plain_terms(t))),
+          None if "redistributions" not in plain_terms(t) or THIRD_CLAUSE in plain_terms(t)
+          else name == "BSD-2-Clause") for i, (name, t) in enumerate(TEMPLATES)],
+        "template int, telling array<string>, others array<string>, clauses boolean")
+    fits = (~F.arrays_overlap("marks", "others")
+            & F.coalesce(F.col("clauses") == F.col("two_clause"), F.lit(True))
+            & (F.size(F.array_except("telling", "marks")) == 0))
+    mark = F.array_intersect("terms", F.array(*[F.lit(t) for t in sorted(TELLING | OTHERS)]))
     # a name may be parted by line ends and comment marks
     keyed = rows.where(F.col("text").rlike(ANCHOR.replace(" ", r"[^a-z0-9]+"))).withColumn(
         "file", F.xxhash64("doc_id", "path", "text"))
@@ -187,20 +328,28 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
         F.array(*[F.lit(w) for w in WINDOWS]), lambda w: F.array_join(F.slice("lines", i, w), " ")))))
     named = F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENCE_FILE)
     of_all = lambda found: F.struct(F.lit(-1).alias("only"), found.alias("terms"))
-    blocks = (keyed.select("file", "doc_id", "path", lines.alias("lines"),
-                           terms(F.col("text")).alias("all")).distinct()
+    blocks = (keyed.select("file", "doc_id", "path", lines.alias("lines")).distinct()
+              .withColumn("all", terms(F.array_join("lines", " ")))
               .select("file", "doc_id", "path", F.size("all").alias("size"),
-                      F.explode(F.concat(
+                      (F.array_contains("all", SECOND_CLAUSE) & ~F.array_contains("all", THIRD_CLAUSE))
+                      .alias("two_clause"), F.explode(F.concat(
                           F.transform(line_blocks, lambda b: of_all(terms(b))),
                           template_windows(F.col("all")),
                           F.when(F.coalesce(named, F.lit(False)), F.array(of_all(F.col("all"))))
                           .otherwise(F.array().cast("array<struct<only:int,terms:array<string>>>"))))
                       .alias("block"))
-              .select("file", "doc_id", "path", "size", "block.only", "block.terms").distinct()
-              .select("file", "doc_id", "path", "size", "only",
-                      F.xxhash64("only", "terms").alias("unit"),
-                      F.size("terms").alias("n"), F.explode("terms").alias("term")))
-    units = (blocks.groupBy("file", "doc_id", "path", "size", "only", "unit", "n", "term")
+              .select("file", "doc_id", "path", "size", "two_clause", "block.only", "block.terms")
+              .withColumn("marks", mark)
+              # windows of another licence go before their terms are dealt
+              .join(F.broadcast(rules), F.col("only") == F.col("template"), "left")
+              .where(F.col("template").isNull() | fits)
+              .select("file", "doc_id", "path", "size", "two_clause", "only", "terms",
+                      F.when(F.col("only") == -1, F.col("marks")).alias("marks")).distinct()
+              .select("file", "doc_id", "path", "size", "two_clause", "only",
+                      F.xxhash64("only", "terms").alias("unit"), F.size("terms").alias("n"),
+                      "marks", F.explode("terms").alias("term")))
+    units = (blocks.groupBy("file", "doc_id", "path", "size", "two_clause", "only", "unit", "n",
+                            "marks", "term")
              .agg(F.count(F.lit(1)).alias("tf"))
              .join(F.broadcast(weights), "term", "left")
              .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
@@ -209,8 +358,11 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
     sized = units.groupBy("file", "unit").agg(F.sqrt(F.sum("squares")).alias("len"))
     dots = (units.join(F.broadcast(vectors.select("template", "license", "term", "v")), "term")
             .where("only in (-1, template)")
-            .groupBy("file", "doc_id", "path", "size", "unit", "n", "template", "license")
-            .agg(F.sum(F.col("w") * F.col("v")).alias("dot")))
+            .groupBy("file", "doc_id", "path", "size", "two_clause", "only", "unit", "n", "marks",
+                     "template", "license")
+            .agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+            .join(F.broadcast(rules), "template")
+            .where((F.col("only") >= 0) | fits))
     scored = dots.join(sized, ["file", "unit"]).withColumn(
         "cosine", F.round(F.col("dot") / F.col("len"), 6)).where(F.col("cosine") >= MIN_COSINE)
     best = (scored.groupBy("file", "doc_id", "path", "size").agg(

@@ -113,3 +113,45 @@ def test_notices_inside_lines_and_over_line_ends(spark):
             want.append(name)
     wide = "\n// ".join(MIT.split(" "))  # one word a line
     assert own_licences(spark, [*texts, f"{prose(50, 90)}\n{wide}"]) == [*want, "MIT"]
+
+
+SPDX = {"MPL-2.0": "MPL-2.0", "AGPL-3.0-or-later": "AGPL-3.0", "BSD-3-Clause": "BSD-3-Clause",
+        "BSD-2-Clause": "BSD-2-Clause", "LGPL-2.1-only": "LGPL-2.1", "GPL-2.0+": "GPL-2.0",
+        "GPL-3.0-only": "GPL-3.0", "CC0-1.0": "CC0-1.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0", "ISC": "ISC",
+        "EPL-2.0": None, "MS-PL": None, "GPL-1.0-only": None, "Apache-1.1": None}
+
+
+def test_licences_are_told_apart(spark):
+    gpl = ("This program is free software; you can redistribute it and/or modify\nit under the terms of "
+           "the GNU General Public License as published by\nthe Free Software Foundation; either version "
+           "2 of the License, or\n(at your option) any later version.\n\nThis program is distributed in "
+           "the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty "
+           "of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License "
+           "for more details.")
+    head = "Copyright (c) 2020, Jane Roe\n\n"
+    full = {"ISC": N._ISC + N._ISC_DISCLAIMER, "MIT": N._MIT, "Unlicense": N._UNLICENSE,
+            "BSD-2-Clause": N._BSD_CONDITIONS + N._BSD_DISCLAIMER,
+            "BSD-3-Clause": (N._BSD_CONDITIONS + N._BSD_THIRD + N._BSD_DISCLAIMER)
+            .replace(". Redistributions", ". 2. Redistributions").replace(". Neither", ". 3. Neither"),
+            "GPL-2.0": gpl,
+            "AGPL-3.0": gpl.replace("GNU", "GNU Affero").replace("version 2", "version 3"),
+            "LGPL-2.1": gpl.replace("GNU", "GNU Lesser").replace("version 2", "version 2.1")
+            .replace("program", "library")}
+    texts = [f"# SPDX-License-Identifier: {x}\n{prose(7, 50)}" for x in SPDX]
+    texts += [head + "\n".join(t.split(". ")) + "\n" + prose(8, 60) for t in full.values()]
+    assert own_licences(spark, texts) == [*SPDX.values(), *full]
+
+
+def test_licence_files_are_whole(spark):
+    texts = [N._BSD_CONDITIONS.replace("Redistributions", "* Redistributions") + N._BSD_DISCLAIMER, N._MIT,
+             "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nCopyright (C) 2007 Free Software "
+             "Foundation, Inc. <https://fsf.org/>\nEveryone is permitted to copy and distribute verbatim "
+             "copies\nof this license document, but changing it is not allowed.\n" + prose(3, 900)]
+    files = [(i, f"{i}/LICENSE", "\n".join(t.split(", "))) for i, t in enumerate(texts)]
+    files += [(10 + i, f"{i}/x/y.py", prose(i, 30)) for i in range(30)]
+    out = {r["doc_id"]: r for r in N.scan(spark.createDataFrame(
+        files, "doc_id long, path string, text string")).collect()}
+    names = ["BSD-2-Clause", "MIT", "GPL-3.0"]
+    assert [out[i]["license"] for i in range(3)] == names
+    assert [(out[10 + i]["license"], out[10 + i]["license_path"]) for i in range(3)] == [
+        (n, f"{i}/LICENSE") for i, n in enumerate(names)]
