@@ -1,15 +1,14 @@
-"""Packing: documents as token ids in sequences of at most 2048, by context-size tiers.
+"""Packing: documents as token ids in sequences of at most 2048.
 
 Every scan partition packs its documents in groups of bounded token count,
 without a shuffle. In a group:
 
 1. a document's whole windows of ``context`` tokens are sequences of their own;
-2. its rest is routed to the smallest tier (context, context/2, context/4, ...)
-   that holds it;
-3. tiers are packed from the longest down: each window opens with the longest
-   rest, and its gap is filled from the same or shorter tiers, the longest rest
-   that fits first; a gap of ``least`` tokens or more that no rest fits is
-   filled by cutting one;
+2. the rests are held by exact length; tiers don't shape the packing, a sequence's
+   ``tier`` is computed afterwards from its longest piece;
+3. windows of ``context`` tokens open with the longest rest, and a window's gap is
+   filled with the longest rest that fits; a gap of ``least`` tokens or more that no
+   rest fits is filled by cutting one;
 4. what is left in the last, partly filled window is dealt to sequences of
    powers of two, the shorter context sizes, which need no padding;
 5. sequences are dealt to step groups in turn and back (a snake) by falling
