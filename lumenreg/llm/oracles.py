@@ -1,9 +1,10 @@
-"""DuckDB SQL for the queries that SQL can express: licence scans and quality rules."""
+"""DuckDB SQL for the queries that SQL can express: licence scans, quality rules, spelling variants."""
 
 from __future__ import annotations
 
 from lumenreg.llm import licenses as N
 from lumenreg.llm import quality_rules as Q
+from lumenreg.llm import variants as V
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -152,4 +153,52 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j LEFT JOIN failed f ON f.file = j.file"""
 
 
-ORACLES = {"op2_licenses": licences(), "op5_quality_rules": quality_rules()}
+def spelling_variants() -> str:
+    letters = "".join(map(chr, range(65, 91)))
+    return rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{letters}', '{letters.lower()}') AS run
+    FROM documents) GROUP BY id, run),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+           string_split(id || ':' || run, ''), lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT]
+             ELSE [195::BIGINT, ord(x)::BIGINT - 64] END))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM runs CROSS JOIN crc_table),
+vocabulary AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % {V.DAMAGE} = 0
+                       THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+                       ELSE run END AS word FROM hashed)
+  WHERE length(word) >= {V.MIN_LETTERS} GROUP BY word HAVING sum(times) >= {V.MIN_COUNT}),
+shorter AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b USING (rest, i)
+  WHERE a.word <> b.word
+  UNION SELECT s.word, v.word, v.n FROM shorter s JOIN vocabulary v ON v.word = s.rest
+  UNION SELECT v.word, s.word, s.n FROM shorter s JOIN vocabulary v ON v.word = s.rest),
+best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+forms AS (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.near_n >= {V.LEAD} * v.n THEN b.near END AS form,
+         CASE WHEN b.near_n >= {V.LEAD} * v.n THEN b.near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best b USING (word)),
+chain(word, last) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.last AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c ON c.word = f.word JOIN forms e ON e.word = c.last AND e.form IS NULL"""
+
+
+ORACLES = {"op2_licenses": licences(), "op5_quality_rules": quality_rules(),
+           "op12_variants": spelling_variants()}

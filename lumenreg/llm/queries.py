@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenreg.llm import (bpe, fingerprints, html_blocks, language, licenses, packing, quality_model,
-                          quality_rules, simhash, toxicity)
+                          quality_rules, sharding, simhash, toxicity, variants, whitening)
 from lumenreg.llm.oracles import ORACLES  # noqa: F401
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -77,10 +77,27 @@ def op10_language(spark, sf_dir):
         "doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_variants(spark, sf_dir):
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), damage=variants.DAMAGE)
+
+
+def op13_sharding(spark, sf_dir):
+    dealt = sharding.shuffle(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return dealt.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+                        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
+                        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def pipeline(spark, sf_dir):
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_fingerprints, op4_toxicity,
                                    op5_quality_rules, op6_simhash, op7_quality_model, op8_html,
-                                   op9_packing, op10_language, pipeline)}
+                                   op9_packing, op10_language, op11_whitening, op12_variants,
+                                   op13_sharding, pipeline)}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lumenreg.llm import (bpe, fingerprints, html_blocks, language, licenses, packing,
-                          quality_model, quality_rules, simhash, toxicity)
+                          quality_model, quality_rules, sharding, simhash, toxicity)
 from tests.llm.cases import no_documents, odd_documents, odd_rows, some_labels
 
 OPERATORS = {
@@ -19,6 +19,7 @@ OPERATORS = {
     "simhash": lambda d, la: simhash.near_duplicates(d),
     "model": lambda d, la: quality_model.predict(d, quality_model.fit(d, la)),
     "html": lambda d, la: html_blocks.extract(d, "doc_id", "source", "text"),
+    "sharding": lambda d, la: sharding.shuffle(d, 5),
     "language": lambda d, la: language.predict(d, language.fit(d)),
 }
 
