@@ -35,3 +35,14 @@ def quantile_bins(df: DataFrame, features: list[str], bins: int = BINS,
     splits = [s if len(s) > 2 else [float("-inf"), 0.0, float("inf")] for s in splits]
     return Bucketizer(splitsArray=splits, inputCols=list(features),
                       outputCols=[f"{c}_bin" for c in features], handleInvalid="error")
+
+
+def plain_bins(binned: DataFrame, bucketizer: Bucketizer) -> DataFrame:
+    """Binned rows whose bin numbers are plain numbers.
+
+    A Bucketizer marks its output as nominal, and MLlib's trees would then take bins as
+    categories to be put in any order, not as ranges of a value.
+    """
+    for c in bucketizer.getOutputCols():
+        binned = binned.withMetadata(c, {})
+    return binned

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lumenreg.config import (FEATURES_COL, PREDICTION_COL, TRUE_LABEL_COL)
+from lumenreg.session import scratch_dir
 
 
 def score(model, test: DataFrame) -> DataFrame:
@@ -24,6 +25,25 @@ def publish(pred: DataFrame, view: str) -> str:
     return view
 
 
+def publish_durable(pred: DataFrame, view: str, path: str | None = None) -> tuple:
+    """Write the predictions once, and publish the written rows: (rows, path, count, RMSE).
+
+    The view changes only after the whole table is written, and reads the files: no
+    cache and no source stands behind it. ``path`` defaults to a folder of its own in
+    the shared scratch. Count and squared error are observed while the rows are
+    written, so the report is of the very rows that are served, and costs no job.
+    """
+    spark = pred.sparkSession
+    path = path or scratch_dir(spark, f"predictions-{view}")
+    seen = Observation()
+    error = F.col(TRUE_LABEL_COL) - F.col(PREDICTION_COL)
+    pred.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(error * error).alias("sse")).write.parquet(path)
+    written = spark.read.schema(pred.schema).parquet(path)
+    publish(written, view)
+    n, sse = seen.get["n"], seen.get["sse"]
+    return written, path, n, (sse / n) ** 0.5 if n else float("nan")
+
+
 def scatter(spark: SparkSession, view: str) -> DataFrame:
     """The truth-vs-prediction scatter data, as SQL over the view."""
     return spark.sql(f"SELECT {TRUE_LABEL_COL}, {PREDICTION_COL} FROM {view}")

@@ -3,8 +3,10 @@
 Two families:
 
 * ``with_random_flag`` / ``random_split`` — one seeded random number for each
-  row, so the parts never overlap. Repeatable for a fixed seed *and* fixed
-  partitioning only; evaluate the flag once (a cache) where both parts are used.
+  row, drawn from a counter-based generator whose counter is the row itself (its key
+  columns, by default all columns). It does not depend on partitions, on the order of
+  rows or on when it is computed, so a part that is computed again after a lost
+  executor has the same rows. Rows equal in the key columns fall into the same part.
 * ``with_test_flag`` / ``hash_split`` / ``with_folds`` / ``with_holdout`` —
   derived from a 32-bit hash of each row's key. Same rows on every run, every engine and after
   task retries; needs no shuffle and no extra pass.
@@ -24,11 +26,12 @@ TEST_FLAG = "_is_test"
 
 
 def with_random_flag(df: DataFrame, train_fraction: float = 0.7, seed: int = 42,
-                     flag: str = TEST_FLAG) -> DataFrame:
+                     flag: str = TEST_FLAG, key_cols: list[str] | None = None) -> DataFrame:
     """Flag test rows by one seeded random number each (the workflows' random split)."""
     if not 0 < train_fraction < 1:
         raise ValueError(f"train fraction must lie between 0 and 1, got {train_fraction}")
-    return df.withColumn(flag, F.rand(seed) >= train_fraction)
+    draw = row_hash(F.lit(seed), *[F.col(f"`{c}`") for c in key_cols or df.columns])
+    return df.withColumn(flag, draw / F.lit(2.0 ** 32) >= F.lit(float(train_fraction)))
 
 
 def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42):

@@ -1,9 +1,11 @@
 """Hyper-parameter tuning: k-fold cross-validation and a held-out cut.
 
-Two engines behind one result type:
+Three engines behind one result type:
 
 * ``tune_ridge`` — closed-form ridge from grouped moments (see ``ridge``):
   one aggregation pass for the whole grid x folds (and the test rows).
+* ``tune_trees`` — trees and boosted trees grown from histograms: all folds,
+  candidates and the refit in one counting pass a level (see ``histogram_trees``).
 * ``tune_estimator`` — any MLlib estimator. Folds come from a fold column (a
   hash of the row key), so every (candidate, fold) fit is independent; fits
   run concurrently from a thread pool (Spark schedules their jobs side by
@@ -25,9 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from lumenreg.config import FEATURE_COLS, LABEL_COL, PREDICTION_COL
+from lumenreg.operators import histogram_trees as H
 from lumenreg.operators import ridge as R
-from lumenreg.operators.partitioning import cache_spread
-from lumenreg.session import remove_scratch, scratch_dir
+from lumenreg.operators.binning import BINS
+from lumenreg.operators.partitioning import keep
+from lumenreg.operators.trees import from_mllib
 
 
 def build_grid(estimator, spec: dict | None) -> list:
@@ -129,6 +133,39 @@ def kfold_splits(k: int) -> list[tuple[list, int]]:
     return [([g for g in range(k) if g != f], f) for f in range(k)]
 
 
+# --------------------------------------------------------------------------
+# trees from histograms
+# --------------------------------------------------------------------------
+
+TREE_PARAMS = ("maxDepth", "minInfoGain", "maxIter", "stepSize")
+
+
+def tune_trees(df: DataFrame, param_maps: list[dict], defaults: dict, *, split_col: str,
+               folds: list, boosted: bool, binning: str = "exact", bins: int = BINS,
+               accuracy: int | None = None, features: list[str] = FEATURE_COLS,
+               label: str = LABEL_COL) -> TuningResult:
+    """Grid search for trees or boosted trees on kept training rows.
+
+    Each of ``folds`` (values of ``split_col``) is left out in turn and scored; the model
+    is the best candidate's refit on all rows. Passes over the rows grow with the depth
+    (and, boosted, the iterations), not with folds or candidates.
+    """
+    param_maps = param_maps or [{}]
+    extra = sorted({name for pm in param_maps for name in pm} - set(TREE_PARAMS))
+    if extra:
+        raise ValueError(f"trees from histograms have no {extra}; use engine='mllib'")
+    if binning == "exact":
+        rows = H.kept_rows(df, list(features), label, split_col, exact=True)
+    else:
+        rows = H.kept_rows(df, list(features), label, split_col, bins, accuracy)
+    rmse, refits = H.tune(rows, [defaults | pm for pm in param_maps], folds, exact=binning == "exact",
+                          boosted=boosted, features=list(features))
+    metrics = [float(np.mean(r)) for r in rmse]
+    best = best_index(metrics)
+    return TuningResult(param_maps, metrics, best, refits[best], rmse,
+                        {"n_rows": rows.n, "passes": rows.passes})
+
+
 # --------------------------------------------------------------------------
 # generic MLlib estimators
 # --------------------------------------------------------------------------
@@ -158,23 +195,13 @@ def _shares_step_size(estimator, param_maps: list) -> bool:
     return estimator.getMaxIter() <= 2
 
 
-def smallest_split_gain(model, spark: SparkSession) -> float:
+def smallest_split_gain(model) -> float:
     """The least gain of any split of a fitted tree model (infinite without splits).
 
-    Read from the model's saved node data. A fit whose every split gains at least
-    t is also the fit at ``minInfoGain=t``: a higher threshold only removes splits
-    below it.
+    A fit whose every split gains at least t is also the fit at ``minInfoGain=t``: a
+    higher threshold only removes splits below it.
     """
-    path = scratch_dir(spark, "tree-gains")
-    model.write().save(path)
-    try:
-        nodes = spark.read.parquet(f"{path}/data")
-        if "nodeData" in nodes.columns:  # an ensemble keeps the tree's number beside it
-            nodes = nodes.select("nodeData.*")
-        least = nodes.filter("leftChild >= 0").agg(F.min("gain")).first()[0]
-    finally:
-        remove_scratch(spark, path)
-    return float("inf") if least is None else float(least)
+    return from_mllib(model).smallest_gain()
 
 
 def _boosted_rmse_by_step(model, df: DataFrame, label: str, steps: list[float]) -> list[float]:
@@ -211,7 +238,7 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
     prove that it is theirs too (see :func:`smallest_split_gain`).
     """
     param_maps = param_maps or [{}]
-    cached, n_rows = cache_spread(df) if persist else (df, None)
+    cached, n_rows = keep(df) if persist else (df, None)
     try:
         share = _shares_step_size(estimator, param_maps)
         shared = {"stepSize"} if share else set()
@@ -249,7 +276,7 @@ def tune_estimator(estimator, param_maps: list, df: DataFrame, *,
                 model = estimator.fit(train, param_maps[lowest])
                 served = [ci for ci in pending if not gains or gains[ci] == gains[lowest]]
                 if len(served) < len(pending):
-                    proven = smallest_split_gain(model, cached.sparkSession)
+                    proven = smallest_split_gain(model)
                     served = [ci for ci in pending if gains[ci] <= max(proven, gains[lowest])]
                 if share:
                     step_param = estimator.getParam("stepSize")

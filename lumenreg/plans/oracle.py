@@ -156,7 +156,9 @@ def tree_ctes(prefix: str, train: str, test: str, depth: int, *,
     split (first feature, then lowest threshold, win ties) if the gain is
     positive; thresholds are midpoints between a value and the *next value of
     the whole training set of that tree* (candidates are global, so among
-    equal partitions the lowest threshold wins). Nodes use heap numbering.
+    equal partitions the lowest threshold wins; between adjacent doubles
+    the lower one is the threshold). Gains that agree to nine digits are
+    taken as equal, as sums in another order can't tell them apart. Nodes use heap numbering.
     Predictions are the mean training label of the leaf a row reaches.
 
     ``limits(key, max_depth, min_gain)`` optionally gives each tree its own
@@ -197,7 +199,7 @@ def tree_ctes(prefix: str, train: str, test: str, depth: int, *,
             f"""{s}_tot AS (
   SELECT key, count(*) AS n, sum(y) AS s, sum(y * y) AS ss FROM {s}_in GROUP BY key)""",
             f"""{s}_gain AS (
-  SELECT c.key, c.gkey, c.fi, (c.v + g.gnv) / 2 AS thr,
+  SELECT c.key, c.gkey, c.fi, CASE WHEN (c.v + g.gnv) / 2 < g.gnv THEN (c.v + g.gnv) / 2 ELSE c.v END AS thr,
          (t.ss / t.n - (t.s / t.n) * (t.s / t.n))
            - (c.lc / t.n) * (c.lss / c.lc - (c.ls / c.lc) * (c.ls / c.lc))
            - ((t.n - c.lc) / t.n) * ((t.ss - c.lss) / (t.n - c.lc)
@@ -207,8 +209,8 @@ def tree_ctes(prefix: str, train: str, test: str, depth: int, *,
   WHERE c.nv IS NOT NULL)""",
             f"""{s}_best AS (
   SELECT b.gkey AS fk, b.key % 1024 AS node, b.fi, b.thr FROM (
-    SELECT *, row_number() OVER (PARTITION BY key ORDER BY gain DESC, fi, thr) AS rn
-    FROM {s}_gain) b{f' JOIN {limits} lim ON lim.key = b.gkey' if limits else ''}
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY round(gain / top, 9) DESC, fi, thr) AS rn
+    FROM (SELECT *, max(gain) OVER (PARTITION BY key) AS top FROM {s}_gain WHERE gain > 0)) b{f' JOIN {limits} lim ON lim.key = b.gkey' if limits else ''}
   WHERE b.rn = 1 AND b.gain > 0{f' AND b.gain >= lim.min_gain AND {lv} < lim.max_depth' if limits else ''})""",
             f"""{nxt} AS (
   SELECT r.key,

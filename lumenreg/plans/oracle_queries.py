@@ -173,10 +173,10 @@ def _oracle_lr_cv_tvs_combined():
             f"UNION ALL\nSELECT *, 'linear_tvs' AS workflow FROM ({_oracle_lr_tvs_grid()})")
 
 
-def _oracle_lr_workflow_report():
+def _oracle_lr_workflow_report(base=_BASE):
     k = C.LR_CV_FOLDS
     lams = ", ".join(f"({lam})" for lam in sorted({g[0] for g in LR_GRID_ROWS}))
-    ctes = [*_BASE,
+    ctes = [*base,
             "tr AS (SELECT * FROM feat WHERE digit < 7)",
             f"folds AS (SELECT CAST(range AS BIGINT) AS fold FROM range({k}))",
             f"cvtrain AS (SELECT f.fold AS key, {_FEAT_LIST}, label FROM tr CROSS JOIN folds f "
@@ -284,6 +284,26 @@ def _oracle_dt_quantile_bins(bins: int = 32):
   SELECT te.label, {O.stump_leaf_sql('s0_best')} AS pred FROM te CROSS JOIN s0_best)""") + _LEAF_SELECT
 
 
+def _binned(bins: int = 32):
+    """``feat`` with each feature replaced by its range's number (cuts as above)."""
+    cuts = " UNION ".join(
+        f"SELECT DISTINCT '{c}' AS feature, v FROM (SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS rn, "
+        f"count(*) OVER () AS n FROM unbinned WHERE digit < 7), range(1, {bins}) r(i) "
+        f"WHERE rn = CAST(ceil(CAST(i AS DOUBLE) / {bins} * n) AS BIGINT)" for c in FEATS)
+    ranges = ", ".join(f"CAST((SELECT count(*) FROM cuts WHERE feature = '{c}' AND v <= f.{c}) AS DOUBLE) "
+                       f"AS {c}" for c in FEATS)
+    return [O.SALES_CTE, O.FEAT_CTE.replace("feat AS", "unbinned AS", 1), f"cuts AS ({cuts})",
+            f"feat AS (SELECT {ranges}, f.label, f.h, f.digit, f.hq FROM unbinned f)"]
+
+
+def _drawn(seed: int = 42, share: float = 0.7):
+    """``feat`` split by the seeded draw of each row key: digit 0 for training rows, 9 for test rows."""
+    return [O.SALES_CTE, O.FEAT_CTE.replace("feat AS", "undrawn AS", 1), f"""feat AS (
+  SELECT * REPLACE (CASE WHEN ('0x' || substr(md5('{seed}|' || CAST(h AS VARCHAR)), 1, 8))::BIGINT
+                              / CAST(4294967296 AS DOUBLE) >= CAST('{share}' AS DOUBLE)
+                         THEN 9 ELSE 0 END AS digit) FROM undrawn)"""]
+
+
 def _oracle_dt_cv_stump():
     k = C.TREE_CV_FOLDS
     ctes = [*_BASE,
@@ -309,9 +329,9 @@ def _oracle_dt_depth5():
     return O._with(*ctes) + _LEAF_SELECT
 
 
-def _oracle_dt_cv_workflow():
+def _oracle_dt_cv_workflow(base=_BASE):
     k = C.TREE_CV_FOLDS
-    ctes = [*_BASE,
+    ctes = [*base,
             "tr AS (SELECT * FROM feat WHERE digit < 7)",
             f"folds AS (SELECT CAST(range AS BIGINT) AS fold FROM range({k}))",
             # keys 0..k-1: fold models; key k: the refit on all training rows
@@ -342,13 +362,13 @@ def _oracle_gbt_two_stumps():
     return O._with(*ctes) + _LEAF_SELECT
 
 
-def _gbt_grid_ctes():
+def _gbt_grid_ctes(base=_BASE):
     cut = round(C.TVS_TRAIN_RATIO * 1000)
     depths, gains, steps = C.GBT_GRID["maxDepth"], C.GBT_GRID["minInfoGain"], C.GBT_GRID["stepSize"]
     units = ", ".join(f"({di * len(gains) + gi}, {d}, {g})"
                       for di, d in enumerate(depths) for gi, g in enumerate(gains))
     stepv = ", ".join(f"({si}, {st})" for si, st in enumerate(steps))
-    ctes = [*_BASE,
+    ctes = [*base,
             "tr AS (SELECT * FROM feat WHERE digit < 7)",
             f"units AS (SELECT CAST(u AS BIGINT) AS key, CAST(d AS BIGINT) AS max_depth, "
             f"CAST(g AS DOUBLE) AS min_gain FROM (VALUES {units}) v(u, d, g))",
@@ -374,8 +394,8 @@ def _gbt_grid_ctes():
     return ctes
 
 
-def _oracle_gbt_tvs_grid():
-    return O._with(*_gbt_grid_ctes()) + """
+def _oracle_gbt_tvs_grid(base=_BASE):
+    return O._with(*_gbt_grid_ctes(base)) + """
 SELECT c.candidate, c.maxDepth, c.minInfoGain, c.stepSize, c.rmse, c.candidate = b.candidate AS is_best
 FROM cand c, best b"""
 
@@ -435,4 +455,12 @@ ORACLES = {
     "dt_quantile_bins": _oracle_dt_quantile_bins(),
     "gbt_tvs_grid": _oracle_gbt_tvs_grid(),
     "gbt_workflow_report": _oracle_gbt_workflow_report(),
+    "dt_quantile_workflow": _oracle_dt_cv_workflow(_binned()),
+    "gbt_quantile_grid": _oracle_gbt_tvs_grid(_binned()),
+    "dt_random_workflow": _oracle_dt_cv_workflow(_drawn()),
+    "lr_random_report": _oracle_lr_workflow_report(_drawn()),
+    "dt_stump_ranges": _oracle_dt_stump(),
+    "dt_depth5_ranges": _oracle_dt_depth5(),
+    "dt_expression": _oracle_dt_depth5(),
+    "gbt_expression_sql": _oracle_gbt_two_stumps(),
 }

@@ -19,11 +19,13 @@ from lumenreg import config as C
 from lumenreg.functions.keys import fold_of
 from lumenreg.functions.numeric import sig_round
 from lumenreg.operators import evaluate as E
+from lumenreg.operators import histogram_trees as H
 from lumenreg.operators import models as M
 from lumenreg.operators import ridge as R
 from lumenreg.operators import tuning as T
 from lumenreg.operators.prepare import drop_incomplete, prepare_features, to_feature_rows
-from lumenreg.operators.binning import quantile_bins
+from lumenreg.operators.binning import plain_bins, quantile_bins
+from lumenreg.operators.trees import from_mllib
 from lumenreg.operators.split import (TEST_FLAG, hash_split, rename_label, with_folds,
                                       with_holdout, with_random_flag, with_test_flag)
 from lumenreg.plans import workflows as W
@@ -47,7 +49,7 @@ def _split(spark, sf_dir):
 
 
 def _released(result: W.WorkflowResult) -> W.WorkflowResult:
-    """A result whose predictions aren't read again."""
+    """A result whose predictions aren't read."""
     result.release()
     return result
 
@@ -206,26 +208,26 @@ def _grid_frame(spark, result: T.TuningResult):
 
 def q_lr_cv_grid(spark, sf_dir):
     """T1 + T4 + A3/A4: 10-fold CV over regParam x maxIter, one moments pass."""
-    res = W.linear_cv(spark, tpch_sales(spark, sf_dir))
+    res = _released(W.linear_cv(spark, tpch_sales(spark, sf_dir)))
     return _grid_frame(spark, res.tuning)
 
 
 def q_lr_tvs_grid(spark, sf_dir):
     """T1 + T6: train/validation (80/20 cut) over the same grid, one moments pass."""
-    res = W.linear_tvs(spark, tpch_sales(spark, sf_dir))
+    res = _released(W.linear_tvs(spark, tpch_sales(spark, sf_dir)))
     return _grid_frame(spark, res.tuning)
 
 
 def q_lr_cv_tvs_combined(spark, sf_dir):
     """W1 + W2 as the combined notebook runs them, from one scan: both grids."""
-    cv, tvs = W.linear_cv_tvs(spark, tpch_sales(spark, sf_dir))
+    cv, tvs = map(_released, W.linear_cv_tvs(spark, tpch_sales(spark, sf_dir)))
     return (_grid_frame(spark, cv.tuning).withColumn("workflow", F.lit("linear_cv"))
             .unionByName(_grid_frame(spark, tvs.tuning).withColumn("workflow", F.lit("linear_tvs"))))
 
 
 def q_lr_workflow_report(spark, sf_dir):
     """W1 end to end: row counts, best candidate, tuning and test RMSE."""
-    rep = W.linear_cv(spark, tpch_sales(spark, sf_dir)).report(spark)
+    rep = _released(W.linear_cv(spark, tpch_sales(spark, sf_dir))).report(spark)
     return rep.select("workflow", "n_train", "n_test", "best_params",
                       sig_round("tuning_rmse").alias("tuning_rmse"),
                       sig_round("test_rmse").alias("test_rmse"))
@@ -233,7 +235,7 @@ def q_lr_workflow_report(spark, sf_dir):
 
 def q_lr_tvs_workflow_report(spark, sf_dir):
     """W2 end to end: row counts, best candidate, validation and test RMSE."""
-    rep = W.linear_tvs(spark, tpch_sales(spark, sf_dir)).report(spark)
+    rep = _released(W.linear_tvs(spark, tpch_sales(spark, sf_dir))).report(spark)
     return rep.select("workflow", "n_train", "n_test", "best_params",
                       sig_round("tuning_rmse").alias("tuning_rmse"),
                       sig_round("test_rmse").alias("test_rmse"))
@@ -289,7 +291,8 @@ def q_prediction_view(spark, sf_dir):
     """S7 + P7 + P8: predictions published as a view, scatter SELECT over it."""
     model, test = _stump(spark, sf_dir)
     pred = E.predictions(E.score(model, test))
-    view = E.publish(pred, C.VIEW_NAMES["dt_cv"])
+    view = C.VIEW_NAMES["dt_cv"]
+    E.publish_durable(pred, view)
     return E.scatter(spark, view).select(
         C.TRUE_LABEL_COL, sig_round(C.PREDICTION_COL).alias(C.PREDICTION_COL))
 
@@ -308,7 +311,7 @@ def q_dt_quantile_bins(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     bucketizer = quantile_bins(train, FEATS, 32, accuracy=10_000_000)
     assembler = M.assembler(bucketizer.getOutputCols())
-    prepare = lambda df: assembler.transform(bucketizer.transform(df))
+    prepare = lambda df: assembler.transform(plain_bins(bucketizer.transform(df), bucketizer))
     model = M.tree(max_bins=32, max_depth=1).fit(prepare(train))
     return _leaf_report(E.score(model, prepare(test)))
 
@@ -338,6 +341,74 @@ def q_gbt_tvs_grid(spark, sf_dir):
         sig_round("rmse").alias("rmse"), "is_best")
 
 
+def _report(result: W.WorkflowResult, spark) -> DataFrame:
+    return _released(result).report(spark).select(
+        "workflow", "n_train", "n_test", "best_params", sig_round("tuning_rmse").alias("tuning_rmse"),
+        sig_round("test_rmse").alias("test_rmse"))
+
+
+def q_dt_quantile_workflow(spark, sf_dir):
+    """W3 with ``binning="quantile"``, 32 ranges (cut points exact while the rows don't
+    outnumber the accuracy): all five folds and the refit in one counting pass a level."""
+    return _report(W.tree_cv(spark, tpch_sales(spark, sf_dir), binning="quantile", bins=32,
+                             accuracy=10_000_000), spark)
+
+
+def q_gbt_quantile_grid(spark, sf_dir):
+    """W4 with ``binning="quantile"``: the 32 candidates on 32 ranges of each feature."""
+    res = _released(W.gbt_tvs(spark, tpch_sales(spark, sf_dir), binning="quantile", bins=32,
+                              accuracy=10_000_000))
+    return res.tuning.candidates(spark).select(
+        "candidate", "maxDepth", "minInfoGain", "stepSize", sig_round("rmse").alias("rmse"), "is_best")
+
+
+def q_dt_random_workflow(spark, sf_dir):
+    """R1 + W3 with the random split (seed 42), which every reader can draw again."""
+    return _report(W.tree_cv(spark, tpch_sales(spark, sf_dir), split="random", split_seed=42), spark)
+
+
+def q_lr_random_report(spark, sf_dir):
+    """R1 + W1 with the random split (seed 42)."""
+    return _report(W.linear_cv(spark, tpch_sales(spark, sf_dir), split="random", seed=42), spark)
+
+
+def _ranges_tree(spark, sf_dir, depth):
+    """A tree over all training rows from histograms, split between any two values."""
+    train, test = _split(spark, sf_dir)
+    rows = H.kept_rows(train.withColumn("_one", F.lit(0)), FEATS, C.LABEL_COL, "_one", exact=True)
+    model = H.Model(None, depth)
+    H.grow(rows, [model], exact=True)
+    return H.TreeEnsemble([model.tree], [1.0], FEATS), test
+
+
+def q_dt_stump_ranges(spark, sf_dir):
+    """M4, exact split search without a task that sees all values of a feature: depth 1."""
+    model, test = _ranges_tree(spark, sf_dir, 1)
+    return _leaf_report(model.transform(test))
+
+
+def q_dt_depth5_ranges(spark, sf_dir):
+    """M4, exact split search without a task that sees all values of a feature: depth 5."""
+    model, test = _ranges_tree(spark, sf_dir, 5)
+    return _leaf_report(model.transform(test))
+
+
+def q_dt_expression(spark, sf_dir):
+    """M6: MLlib's depth-5 tree read into a nested CASE; scores raw columns."""
+    train, test = _split(spark, sf_dir)
+    model = from_mllib(M.pipeline(M.tree()).fit(train).stages[-1])
+    return _leaf_report(model.transform(test))
+
+
+def q_gbt_expression_sql(spark, sf_dir):
+    """M6: MLlib's two boosted stumps as SQL text over a view of raw columns."""
+    train, test = _split(spark, sf_dir)
+    model = from_mllib(M.pipeline(M.boosted(maxDepth=1, stepSize=0.1)).fit(train).stages[-1])
+    register_view(test, "sales_to_score")
+    return _leaf_report(spark.sql(
+        f"SELECT {C.TRUE_LABEL_COL}, {model.sql()} AS {C.PREDICTION_COL} FROM sales_to_score"))
+
+
 QUERIES = {
     "project_features": q_project_features,
     "sql_alias_projection": q_sql_alias_projection,
@@ -366,4 +437,12 @@ QUERIES = {
     "dt_cv_workflow": q_dt_cv_workflow,
     "gbt_tvs_grid": q_gbt_tvs_grid,
     "gbt_workflow_report": q_gbt_workflow_report,
+    "dt_quantile_workflow": q_dt_quantile_workflow,
+    "gbt_quantile_grid": q_gbt_quantile_grid,
+    "dt_random_workflow": q_dt_random_workflow,
+    "lr_random_report": q_lr_random_report,
+    "dt_stump_ranges": q_dt_stump_ranges,
+    "dt_depth5_ranges": q_dt_depth5_ranges,
+    "dt_expression": q_dt_expression,
+    "gbt_expression_sql": q_gbt_expression_sql,
 }

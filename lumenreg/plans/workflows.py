@@ -12,19 +12,20 @@ honoured, others are refused.
 * W3 ``tree_cv``    — decision tree (maxBins 77582), 5-fold CV, empty grid.
 * W4 ``gbt_tvs``    — boosted trees (2 iterations), 80/20 cut, 32 candidates.
 
-W1/W2 run as **one** aggregation pass (grouped moments, see
-``operators.ridge``): folds, validation cut and test rows are groups of one
-``groupBy``; their predictions are scored from the source when they are read. W3/W4
-fit MLlib trees on the persisted, assembled training rows, running the
-independent (candidate, fold) fits concurrently; their predictions are kept until
-``WorkflowResult.release``.
+W1/W2 run as **one** aggregation pass (grouped moments, see ``operators.ridge``):
+folds, validation cut and test rows are groups of one ``groupBy``. W3/W4 grow the trees
+of all folds, candidates and the refit together from histograms of the kept rows (see
+``operators.histogram_trees``), or fit MLlib trees on request.
+
+The test rows are scored once, by a column expression, and written to the shared
+scratch; the published view reads what was written, and the test RMSE is observed while
+it is written. ``WorkflowResult.release`` drops view and files.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,14 +34,16 @@ from lumenreg import config as C
 from lumenreg.operators import evaluate as E
 from lumenreg.operators import models as M
 from lumenreg.operators import tuning as T
-from lumenreg.operators.binning import BINNING, BINS, quantile_bins
-from lumenreg.operators.partitioning import cache_spread
+from lumenreg.operators.binning import BINNING, BINS, plain_bins, quantile_bins
+from lumenreg.operators.partitioning import keep, merged
 from lumenreg.operators.prepare import prepare_features
-from lumenreg.operators.ridge import Moments, group_rmse, grouped_moments
+from lumenreg.operators.ridge import Moments, grouped_moments
 from lumenreg.operators.split import (TEST_FLAG, rename_label, with_folds, with_holdout,
                                       with_key_hash, with_random_flag, with_test_flag)
+from lumenreg.session import remove_scratch
 
 TEST_GROUP = -1
+ENGINES = ("histogram", "mllib")
 
 
 @dataclass
@@ -53,12 +56,15 @@ class WorkflowResult:
     n_train: int
     n_test: int
     model: object = None
-    cached: list = field(default_factory=list)
+    path: str | None = None
 
     def release(self) -> None:
-        """Drop the rows kept for the predictions view; later reads compute them anew."""
-        for df in self.cached:
-            df.unpersist()
+        """Drop the published view and the files behind it."""
+        spark = self.predictions.sparkSession
+        spark.catalog.dropTempView(self.view)
+        if self.path:
+            remove_scratch(spark, self.path)
+            self.path = None
 
     def report(self, spark: SparkSession) -> DataFrame:
         best = self.tuning.param_maps[self.tuning.best] if self.tuning.param_maps else {}
@@ -82,45 +88,44 @@ def feature_rows(rows: DataFrame, key_cols: list[str] | None = None, h: str = "h
 
 def flag_test_rows(features: DataFrame, train_fraction: float, h: str, split: str = "hash",
                    seed: int = 42) -> DataFrame:
-    """Rows with ``TEST_FLAG``: by the key hash, or by one seeded random number each."""
+    """Rows with ``TEST_FLAG``: by the key hash, or by one seeded random number each.
+
+    Both depend on the row's key alone, so rows can be computed again at any time.
+    """
     if split == "hash":
         return with_test_flag(features, train_fraction, h)
     if split == "random":
-        return with_random_flag(features, train_fraction, seed)
+        return with_random_flag(features, train_fraction, seed, key_cols=[h])
     raise ValueError(f"split must be 'hash' or 'random', got {split!r}")
 
 
 def _grouped(feats, group, h, train_fraction, split, seed):
-    """(rows with ``_grp``, test rows, what is cached).
+    """(rows with ``_grp``, test rows).
 
     ``_grp`` is ``group`` for training rows and TEST_GROUP for test rows: one scan,
-    the test rows are just another group of the aggregation. Random flags are
-    drawn once, into a cache that both the moments and the predictions read.
+    the test rows are just another group of the aggregation.
     """
-    flagged, cached = flag_test_rows(feats, train_fraction, h, split, seed), []
-    if split == "random":
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(flagged)
+    flagged = flag_test_rows(feats, train_fraction, h, split, seed)
     with_group = flagged.withColumn(
         "_grp", F.when(F.col(TEST_FLAG), F.lit(TEST_GROUP)).otherwise(group))
-    return with_group, flagged.filter(TEST_FLAG).drop(TEST_FLAG), cached
+    return with_group, flagged.filter(TEST_FLAG).drop(TEST_FLAG)
+
+
+def _published(name, tuning, scored, view, n_train, model) -> WorkflowResult:
+    pred, path, n_test, rmse = E.publish_durable(E.predictions(scored), view)
+    return WorkflowResult(name, tuning, pred, view, rmse, n_train, n_test, model, path)
 
 
 def _ridge_workflow(spark, name, grouped, splits, refit_keys, grid, view, moments=None):
-    with_group, test, cached = grouped
+    with_group, test = grouped
     est = M.linear()
     param_maps = T.grid_dicts(T.build_grid(est, grid))
     res = T.tune_ridge(with_group, param_maps, group_col="_grp", splits=splits,
                        refit_keys=refit_keys, default_reg=C.LR_REG_PARAM, moments=moments)
     moments = res.extra["moments"]
-    fit = res.model
-    n_test = int(moments[TEST_GROUP].n) if TEST_GROUP in moments else 0
     n_train = int(sum(moments[k].n for k in refit_keys if k in moments))
-    test_rmse = group_rmse(moments[TEST_GROUP], fit) if n_test else float("nan")
-    scored = fit.transform(M.assembler().transform(rename_label(test)))
-    pred = E.predictions(scored)
-    E.publish(pred, view)
-    return WorkflowResult(name, res, pred, view, test_rmse, n_train, n_test, fit, cached=cached)
+    scored = res.model.transform(M.assembler().transform(rename_label(test)))
+    return _published(name, res, scored, view, n_train, res.model)
 
 
 def linear_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.LR_CV_FOLDS,
@@ -185,7 +190,7 @@ def tree_rows(feats: DataFrame, split_col: str, binning: str = "exact", bins: in
     if binning == "quantile":
         bucketizer = quantile_bins(feats.filter(~F.col(TEST_FLAG)), inputs, bins)
         stages, inputs = [bucketizer], bucketizer.getOutputCols()
-        feats = bucketizer.transform(feats)
+        feats = plain_bins(bucketizer.transform(feats), bucketizer)
     elif binning != "exact":
         raise ValueError(f"binning must be one of {BINNING}, got {binning!r}")
     stages.append(M.assembler(inputs))
@@ -193,65 +198,90 @@ def tree_rows(feats: DataFrame, split_col: str, binning: str = "exact", bins: in
                                               TEST_FLAG), stages
 
 
+def _engine(engine: str | None, max_bins: int | None) -> str:
+    """MLlib if it is asked for, or if a number of its bins is."""
+    engine = engine or ("histogram" if max_bins is None else "mllib")
+    if engine not in ENGINES:
+        raise ValueError(f"engine must be one of {ENGINES}, got {engine!r}")
+    if engine == "histogram" and max_bins is not None:
+        raise ValueError("max_bins belongs to engine='mllib'; ranges are set by bins")
+    return engine
+
+
 def _tree_workflow(spark, name, feats, estimator, param_maps, split_col, splits, view,
-                   parallelism, storage, binning, bins, partitions):
-    # training AND test rows go through one scan into one cache (flagged), so
+                   parallelism, storage, binning, bins, partitions, engine, accuracy):
+    if binning not in BINNING:
+        raise ValueError(f"binning must be one of {BINNING}, got {binning!r}")
+    # training AND test rows go through one scan and are kept together (flagged), so
     # the source is read once for tuning, refit and scoring
-    rows, stages = tree_rows(feats, split_col, binning, bins)
-    cached, n_train = cache_spread(
-        rows, partitions, storage=storage,
-        first_action=lambda d: d.filter(~F.col(TEST_FLAG)).count())
+    if engine == "histogram":
+        rows = feats.select(*C.FEATURE_COLS, C.LABEL_COL, split_col, TEST_FLAG)
+    else:
+        rows, stages = tree_rows(feats, split_col, binning, bins)
+    kept, n = keep(rows, partitions, storage=storage)
     try:
-        res = T.tune_estimator(estimator, param_maps, cached.filter(~F.col(TEST_FLAG)),
-                               split_col=split_col, splits=splits,
-                               parallelism=parallelism, persist=False)
-        scored = res.model.transform(rename_label(cached.filter(TEST_FLAG)))
-        # the view serves the very rows that the RMSE is taken on
-        pred = E.predictions(scored).persist(StorageLevel.MEMORY_AND_DISK)
-        report = E.rmse_frame(pred).first()
+        train, test = kept.filter(~F.col(TEST_FLAG)), rename_label(kept.filter(TEST_FLAG))
+        if engine == "histogram":
+            boosted = hasattr(estimator, "getStepSize")
+            defaults = {"maxDepth": estimator.getMaxDepth(), "minInfoGain": estimator.getMinInfoGain(),
+                        "maxIter": estimator.getMaxIter() if boosted else 1,
+                        "stepSize": estimator.getStepSize() if boosted else 1.0}
+            res = T.tune_trees(train, T.grid_dicts(param_maps), defaults, split_col=split_col,
+                               folds=[out for _, out in splits], boosted=boosted, binning=binning,
+                               bins=bins, accuracy=accuracy)
+            scored = res.model.transform(M.assembler().transform(test))
+            model = res.model  # an expression over the raw columns
+        else:
+            res = T.tune_estimator(estimator, param_maps, merged(train, n), split_col=split_col,
+                                   splits=splits, parallelism=parallelism, persist=False)
+            scored = res.model.transform(test)
+            model = PipelineModel(stages=[*stages, res.model])  # scores raw sales rows
+        out = _published(name, res, scored, view, 0, model)
     finally:
-        cached.unpersist()
-    model = PipelineModel(stages=[*stages, res.model])  # scores raw sales rows
-    E.publish(pred, view)
-    test_rmse = float("nan") if report["rmse"] is None else float(report["rmse"])
-    return WorkflowResult(name, res, pred, view, test_rmse, n_train, int(report["n_rows"]), model,
-                          cached=[pred])
+        kept.unpersist()
+    out.n_train = n - out.n_test
+    return out
 
 
 def tree_cv(spark: SparkSession, rows: DataFrame, *, k: int = C.TREE_CV_FOLDS,
-            max_depth: int = 5, max_bins: int = C.TREE_MAX_BINS, grid: dict | None = None,
+            max_depth: int = 5, max_bins: int | None = None, grid: dict | None = None,
             key_cols=None, h: str = "h", parallelism: int = 4, seed: int = 1,
             train_fraction: float = C.TRAIN_TEST_WEIGHTS[0], split: str = "hash",
             split_seed: int = 42, storage: str = "cache", binning: str = "exact",
-            bins: int = BINS, partitions: int | None = None,
-            hash_method: str = "md5") -> WorkflowResult:
+            bins: int = BINS, partitions: int | None = None, hash_method: str = "md5",
+            engine: str | None = None, accuracy: int | None = None) -> WorkflowResult:
     """W3: decision-tree regression tuned by k-fold cross-validation.
 
-    ``binning="quantile"`` fits on ``bins`` equal-frequency bins of each feature;
-    ``partitions`` is the partition count of the cache that the fits read.
+    ``binning="quantile"`` splits between ``bins`` equal-frequency ranges of each feature
+    (cut points to within n / ``accuracy`` ranks), ``"exact"`` between any two values.
+    ``engine="mllib"`` (or a number of ``max_bins``) fits MLlib's trees instead;
+    ``partitions`` is the partition count of the kept rows.
     """
+    engine = _engine(engine, max_bins)
     feats = with_folds(feature_rows(rows, key_cols, h, hash_method), k, h, "fold")
     feats = flag_test_rows(feats, train_fraction, h, split, split_seed)
-    est = M.tree(max_bins=max_bins, max_depth=max_depth, seed=seed)
+    est = M.tree(max_bins=max_bins or C.TREE_MAX_BINS, max_depth=max_depth, seed=seed)
     return _tree_workflow(spark, "tree_cv", feats, est, T.build_grid(est, grid), "fold",
                           T.kfold_splits(k), C.VIEW_NAMES["dt_cv"], parallelism, storage,
-                          binning, bins, partitions)
+                          binning, bins, partitions, engine, accuracy)
 
 
 def gbt_tvs(spark: SparkSession, rows: DataFrame, *, train_ratio: float = C.TVS_TRAIN_RATIO,
-            max_bins: int = C.TREE_MAX_BINS, max_iter: int = C.GBT_MAX_ITER,
+            max_bins: int | None = None, max_iter: int = C.GBT_MAX_ITER,
             grid: dict | None = None, key_cols=None, h: str = "h", parallelism: int = 4,
             seed: int = 1, train_fraction: float = C.TRAIN_TEST_WEIGHTS[0],
             split: str = "hash", split_seed: int = 42, storage: str = "cache",
             binning: str = "exact", bins: int = BINS, partitions: int | None = None,
-            hash_method: str = "md5") -> WorkflowResult:
+            hash_method: str = "md5", engine: str | None = None,
+            accuracy: int | None = None) -> WorkflowResult:
     """W4: gradient-boosted-tree regression tuned on a held-out validation cut."""
+    engine = _engine(engine, max_bins)
     feats = with_holdout(feature_rows(rows, key_cols, h, hash_method), train_ratio, h,
                          "is_validation")
     feats = flag_test_rows(feats.withColumn("is_validation", F.col("is_validation").cast("int")),
                            train_fraction, h, split, split_seed)
-    est = M.boosted(max_bins=max_bins, max_iter=max_iter, seed=seed)
+    est = M.boosted(max_bins=max_bins or C.TREE_MAX_BINS, max_iter=max_iter, seed=seed)
     return _tree_workflow(spark, "gbt_tvs", feats, est,
                           T.build_grid(est, C.GBT_GRID if grid is None else grid),
                           "is_validation", [([0], 1)], C.VIEW_NAMES["gbt_tvs"], parallelism,
-                          storage, binning, bins, partitions)
+                          storage, binning, bins, partitions, engine, accuracy)

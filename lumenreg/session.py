@@ -8,6 +8,7 @@ elsewhere that is an error, raised by what needs the folder.
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -60,16 +61,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_scratch: set[str] = set()
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint directory."""
+    """A fresh, unique folder under the shared checkpoint directory.
+
+    What is left of it when the program ends is removed then.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/lumenreg-scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/lumenreg-scratch/{name}-{uuid.uuid4().hex}"
+    _scratch.add(path)
+    return path
 
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a folder made by :func:`scratch_dir`, on whatever file system it lies."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    _scratch.discard(path)
+
+
+@atexit.register
+def _remove_left_scratch() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        for path in sorted(_scratch):
+            remove_scratch(spark, path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

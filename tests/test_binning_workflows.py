@@ -41,7 +41,13 @@ def test_quantile_bins_are_equal_frequency_and_monotone(spark):
 
 def test_tree_workflow_with_quantile_binning_scores_all_test_rows(spark):
     rows = tpch_sales(spark, SF_SMALL)
-    res = W.tree_cv(spark, rows, max_bins=16, max_depth=3, k=3, binning="quantile", bins=16)
+    mllib = W.tree_cv(spark, rows, max_bins=16, max_depth=3, k=3, binning="quantile", bins=16)
+    assert mllib.model.transform(prepare_features(rows)).count() == mllib.n_train + mllib.n_test
+    res = W.tree_cv(spark, rows, max_depth=3, k=3, binning="quantile", bins=16)
+    # the same trees: all folds and the refit from one counting pass a level, and three more
+    assert res.tuning.extra["passes"] == 3 + 2
+    assert res.tuning.metrics == pytest.approx(mllib.tuning.metrics, rel=1e-9)
+    assert res.test_rmse == pytest.approx(mllib.test_rmse, rel=1e-9)
     assert res.predictions.count() == res.n_test and math.isfinite(res.test_rmse)
     # the published model scores raw sales rows
     again = res.model.transform(prepare_features(rows)).count()

@@ -1,13 +1,17 @@
 """Physical-plan properties that matter at scale."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from lumenreg import config as C
 from lumenreg.functions.keys import fold_of
+from lumenreg.operators import evaluate as E
+from lumenreg.operators import histogram_trees as H
 from lumenreg.operators import ridge as R
-from lumenreg.operators.partitioning import PARTITIONS_PER_CORE, cache_spread
-from lumenreg.operators.split import TEST_FLAG, with_folds
+from lumenreg.operators.partitioning import MERGE_PARTITIONS, SMALL_PARTITIONS, keep, merged
+from lumenreg.operators.split import with_folds
 from lumenreg.plans import workflows as W
 from lumenreg.session import ensure_codegen_fields
 from lumenreg.sources.fixture import tpch_sales
@@ -60,44 +64,64 @@ def test_join_is_not_forced_to_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_cache_partitions_follow_the_parameter_not_the_scan(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few = spark.range(0, 1000).repartition(2)
-    cached, n = cache_spread(few)
-    assert n == 1000 and cached.rdd.getNumPartitions() == cores
-    cached.unpersist()
-    many = spark.range(0, 1000).repartition(40 * cores)
-    for partitions, want in ((None, PARTITIONS_PER_CORE * cores), (3, 3)):
-        cached, _ = cache_spread(many, partitions)
-        assert cached.rdd.getNumPartitions() == want
-        assert cached.agg(F.sum("id")).first()[0] == sum(range(1000))
-        cached.unpersist()
-
-
-def test_tree_shuffle_does_not_grow_with_scan_partitions(spark):
-    """The fits read as many cached partitions whatever the scan has, with vectors only."""
+def test_kept_rows_keep_the_partitions_of_the_scan(spark):
+    """Nothing is merged before rows are kept; only tables of few partitions are spread."""
+    many = spark.range(0, 1000).repartition(200)
+    kept, n = keep(many)
+    assert n == 1000 and kept.rdd.getNumPartitions() == 200
+    assert merged(kept, n).rdd.getNumPartitions() == MERGE_PARTITIONS
+    assert merged(kept, 10 ** 9).rdd.getNumPartitions() == 200
+    kept.unpersist()
+    one = spark.range(0, 400_000, 1, 1)
+    kept, n = keep(one)
+    assert n == 400_000 and kept.rdd.getNumPartitions() == 8  # follows the rows
+    assert kept.agg(F.sum("id")).first()[0] == sum(range(400_000))
+    kept.unpersist()
+    kept, _ = keep(many, partitions=3)
+    assert kept.rdd.getNumPartitions() == 3
+    kept.unpersist()
+    assert SMALL_PARTITIONS < MERGE_PARTITIONS
+    with pytest.raises(ValueError):
+        keep(many, storage="disk")
+
+
+def test_histogram_bytes_do_not_grow_with_partitions(spark):
+    """As many tasks send cells, whatever number of small partitions is kept."""
+    feats = with_folds(W.feature_rows(tpch_sales(spark, SF_SMALL)), 3, fold_col="fold")
+    for n in (100, 300):
+        rows = H.kept_rows(feats.repartition(n), list(C.FEATURE_COLS), C.LABEL_COL, "fold", exact=True)
+        assert rows.merged().rdd.getNumPartitions() == MERGE_PARTITIONS
+
+
+def test_published_predictions_outlive_caches(spark):
+    """The view reads files: no source scan and no cache behind it, for every workflow."""
+    rows = tpch_sales(spark, SF_SMALL)
+    for run in (lambda: W.tree_cv(spark, rows, k=2, max_depth=2),
+                lambda: W.tree_cv(spark, rows, k=2, max_depth=2, max_bins=64),
+                lambda: W.gbt_tvs(spark, rows, grid={"maxDepth": [1], "stepSize": [0.1]}),
+                lambda: W.linear_cv(spark, rows, k=2), lambda: W.linear_tvs(spark, rows)):
+        res = run()
+        spark.catalog.clearCache()
+        view = spark.table(res.view)
+        plan = view._jdf.queryExecution().executedPlan().toString()
+        assert "InMemory" not in plan.replace("InMemoryFileIndex", "") and "lineitem" not in plan
+        assert all(res.path.split("/")[-1] in f for f in view.inputFiles()) and view.count() == res.n_test
+        direct = view.selectExpr("sqrt(avg(power(trueLabel - prediction, 2))) AS r").first()["r"]
+        assert direct == pytest.approx(res.test_rmse, rel=1e-12)
+        assert set(view.columns) == {C.FEATURES_COL, C.PREDICTION_COL, C.TRUE_LABEL_COL}
+        path = res.path
+        res.release()
+        assert not spark.catalog.tableExists(res.view) and not os.path.exists(path.removeprefix("file:"))
+
+
+def test_view_changes_only_when_all_is_written(spark):
     rows = tpch_sales(spark, SF_SMALL)
-    seen = []
-    for n in (2, 200):
-        feats = with_folds(W.feature_rows(rows.repartition(n)), 3, fold_col="fold")
-        kept, stages = W.tree_rows(W.flag_test_rows(feats, 0.7, "h"), "fold")
-        assert kept.columns == [C.FEATURES_COL, C.LABEL_COL, "fold", TEST_FLAG]
-        cached, _ = cache_spread(kept)
-        seen.append(cached.rdd.getNumPartitions())
-        cached.unpersist()
-    assert max(seen) <= PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism
-
-
-def test_published_tree_predictions_are_kept_rows(spark):
-    res = W.tree_cv(spark, tpch_sales(spark, SF_SMALL), k=2, max_depth=2, max_bins=64)
-    view = spark.table(res.view)
-    leaves = view._jdf.queryExecution().withCachedData().collectLeaves()
-    names = [leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())]
-    assert names == ["InMemoryRelation"]  # no source scan behind the view
-    direct = view.selectExpr("sqrt(avg(power(trueLabel - prediction, 2))) AS r").first()["r"]
-    assert direct == pytest.approx(res.test_rmse, rel=1e-12)
+    res = W.linear_cv(spark, rows, k=2)
+    bad = spark.table(res.view).withColumn(C.PREDICTION_COL, F.expr("raise_error('no')").cast("double"))
+    with pytest.raises(Exception, match="no"):
+        E.publish_durable(bad, res.view)
+    assert spark.table(res.view).count() == res.n_test
     res.release()
-    assert spark.table(res.view).count() == res.n_test  # computed anew after release
 
 
 def test_hot_part_key_is_split_by_the_skew_join(spark):

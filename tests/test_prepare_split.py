@@ -107,6 +107,22 @@ def test_random_split_seeded(spark):
     assert drop_incomplete(f).count() == f.count()
 
 
+def test_random_parts_survive_loss_and_new_partitions(spark):
+    """Parts computed at different times, from other partitions and another order of rows, and
+    after their cache is gone, still hold every row once."""
+    f = prepare_features(tpch_sales(spark, SF_SMALL), extra=["h"]).cache()
+    everything = f.count()
+    train, _ = random_split(f, (0.7, 0.3), seed=5)
+    kept = {tuple(r) for r in train.collect()}
+    f.unpersist()
+    _, test = random_split(f.repartition(37).sortWithinPartitions(F.desc("h")), (0.7, 0.3), seed=5)
+    rest = {tuple(r) for r in test.collect()}
+    assert not kept & rest and len(kept) + len(rest) == everything
+    assert 0.66 < len(kept) / everything < 0.74
+    other = {tuple(r) for r in random_split(f, (0.7, 0.3), seed=6)[0].collect()}
+    assert len(kept & other) < 0.6 * everything  # another seed draws anew
+
+
 def test_xxhash_key_hash_is_a_32bit_deterministic_split(spark):
     from lumenreg.functions.keys import row_hash
 

@@ -117,7 +117,7 @@ def test_min_info_gain_shares_only_what_is_proven(spark, train):
     data = with_holdout(train, 0.8).withColumn("g", F.col("is_validation").cast("int"))
     est = M.boosted(max_bins=128)
     deep = est.fit(data.filter("g = 0"), {est.maxDepth: 3})
-    least = T.smallest_split_gain(deep, spark)
+    least = T.smallest_split_gain(deep)
     # two thresholds below every split's gain, one that cuts some off
     grid = T.build_grid(est, {"maxDepth": [3], "minInfoGain": [0.0, least / 2, least * 50],
                               "stepSize": [0.1, 0.4]})
@@ -129,7 +129,7 @@ def test_min_info_gain_shares_only_what_is_proven(spark, train):
     np.testing.assert_allclose(ours.metrics, brute, rtol=1e-9)
     assert brute[0] != brute[-2]
     tree = M.tree(max_bins=128, max_depth=1).fit(data)
-    assert T.smallest_split_gain(tree, spark) > 0
+    assert T.smallest_split_gain(tree) > 0
 
 
 def test_nan_fails_naming_the_column(spark):
