@@ -62,6 +62,16 @@ def _oracle_load_sales():
         for i, s in enumerate(sources))
 
 
+def _oracle_csv_rejects():
+    return O._with(*_BASE) + f"""
+SELECT {_FEAT_LIST}, label, CAST(NULL AS VARCHAR) AS reason FROM feat WHERE h % 10 NOT IN (3, 4)
+UNION ALL
+SELECT {', '.join('NULL' for _ in FEATS)}, NULL,
+       CASE h % 10 WHEN 3 THEN 'not of the declared type: Pack, StateBottleCost'
+                   ELSE 'not of the declared type: Pack' END
+FROM feat WHERE h % 10 IN (3, 4)"""
+
+
 def _oracle_split_counts():
     return O._with(*_BASE) + (
         "\nSELECT CASE WHEN digit < 7 THEN 'train' ELSE 'test' END AS part, "
@@ -433,6 +443,8 @@ ORACLES = {
     "not_null_filter": _oracle_not_null_filter(),
     "csv_roundtrip": _oracle_csv_roundtrip(),
     "load_sales": _oracle_load_sales(),
+    "mixed_headers": _oracle_project_features(),
+    "csv_rejects": _oracle_csv_rejects(),
     "split_counts": _oracle_split_counts(),
     "random_split_invariants": _oracle_random_split_invariants(),
     "kfold_counts": _oracle_kfold_counts(),

@@ -32,7 +32,7 @@ from lumenreg.plans import workflows as W
 from lumenreg.session import scratch_dir
 from lumenreg.sources.catalog import load_sales, read_sales_table, register_view
 from lumenreg.sources.csv import (normalize_header, raw_projection_sql, read_sales_csv,
-                                  write_sales_csv)
+                                  read_sales_with_rejects, write_sales_csv)
 from lumenreg.sources.fixture import tpch_sales
 from lumenreg.sources.schema import SALES_SCHEMA
 
@@ -122,6 +122,33 @@ def q_load_sales(spark, sf_dir):
         prepare_features(df).withColumn("source", F.lit(name)) for name, df in loaded.items()])
 
 
+def q_mixed_headers(spark, sf_dir):
+    """S1 + S2 + S5: one folder with cleaned, raw and reordered files, each third of the rows
+    in files of another header."""
+    rows = tpch_sales(spark, sf_dir, typed=True).withColumn("part", F.pmod("h", F.lit(3))).cache()
+    path = scratch_dir(spark, "mixed-headers")
+    used = rows.drop("h", "part").columns
+    for i, columns in enumerate((used, used, [*reversed(used), "h"])):
+        write_sales_csv(rows.where(F.col("part") == i).select(columns), f"{path}/{i}", raw_header=i == 1)
+    rows.unpersist()
+    return prepare_features(load_sales(spark, path=path))
+
+
+def q_csv_rejects(spark, sf_dir):
+    """S3 + P3: cells that don't parse go to a result of their own, the other rows are kept."""
+    rows = tpch_sales(spark, sf_dir, typed=True)
+    part = F.pmod("h", F.lit(10))
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns if c != "h"], part.alias("part"))
+    spoilt = (text.withColumn("StateBottleCost", F.when(F.col("part") == 3, F.concat(F.lit("$"), "StateBottleCost"))
+                              .otherwise(F.col("StateBottleCost")))
+              .withColumn("Pack", F.when(F.col("part").isin(3, 4), "6.5").otherwise(F.col("Pack"))))
+    path = scratch_dir(spark, "rejects")
+    write_sales_csv(spoilt.drop("part"), path, raw_header=True)
+    kept, rejected = read_sales_with_rejects(spark, path)
+    return (prepare_features(kept).withColumn("reason", F.lit(None).cast("string"))
+            .unionByName(rejected.select("reason"), allowMissingColumns=True))
+
+
 # ---------------------------------------------------------------- splits
 def q_split_counts(spark, sf_dir):
     """R1 (hash form) + P6 + A1: rows in each part."""
@@ -415,6 +442,8 @@ QUERIES = {
     "not_null_filter": q_not_null_filter,
     "csv_roundtrip": q_csv_roundtrip,
     "load_sales": q_load_sales,
+    "mixed_headers": q_mixed_headers,
+    "csv_rejects": q_csv_rejects,
     "split_counts": q_split_counts,
     "random_split_invariants": q_random_split_invariants,
     "kfold_counts": q_kfold_counts,

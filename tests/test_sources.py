@@ -1,10 +1,12 @@
 import math
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import types as T
 
 from lumenreg.sources.catalog import load_sales, read_sales_table, register_view
-from lumenreg.sources.csv import normalize_header, raw_projection_sql, read_sales_csv
+from lumenreg.sources.csv import (normalize_header, raw_projection_sql, read_sales_csv,
+                                  read_sales_with_rejects)
 from lumenreg.sources.fixture import tpch_sales
 from lumenreg.sources.schema import SALES_SCHEMA, sales_schema
 from tests.conftest import SF_SMALL
@@ -115,16 +117,48 @@ def test_cells_that_do_not_parse_fail_the_read(spark, tmpdir_path, bad):
         prepare_features(load_sales(spark, path=path)).collect()
 
 
-def test_files_of_another_header_fail_the_read(spark, tmpdir_path):
+def test_files_of_different_headers_are_read_by_name(spark, tmpdir_path):
+    import gzip
     import os
 
-    os.makedirs(f"{tmpdir_path}/two")
-    _write(f"{tmpdir_path}/two/a.csv", [RAW_HEADER, GOOD])
+    top = f"{tmpdir_path}/two"
+    os.makedirs(f"{top}/below it")
+    _write(f"{top}/a.csv", [RAW_HEADER, GOOD])
     names = RAW_HEADER.split(",")
     names[2], names[3] = names[3], names[2]
-    _write(f"{tmpdir_path}/two/b.csv", [",".join(names), GOOD])
-    with pytest.raises(Exception, match="header|Header"):
-        load_sales(spark, path=f"{tmpdir_path}/two").collect()
+    _write(f"{top}/b.csv", ["\ufeff" + ",".join(names) + ",Note", GOOD + ",n"])
+    clean = ["Pack", "BottleVolumeInMl", "StateBottleCost", "StateBottleRetail", "BottlesSold",
+             "SaleInDollars", "VolumeSoldInLitres"]
+    with gzip.open(f"{top}/below it/c d.csv.gz", "wt") as fh:
+        fh.write(",".join(reversed(clean)) + "\n9.0,81.0,12,6.75,4.5,750,6\n")
+    open(f"{top}/empty.csv", "w").close()
+    rows = load_sales(spark, path=top).select(*clean, "Date", "Note").collect()
+    assert sorted(map(str, rows)) == sorted(map(str, [
+        Row(**dict(zip([*clean, "Date", "Note"], v))) for v in (
+            (6, 750, 4.5, 6.75, 12, 81.0, 9.0, "11/30/2014", None),
+            (6, 750, 6.75, 4.5, 12, 81.0, 9.0, "11/30/2014", "n"),
+            (6, 750, 4.5, 6.75, 12, 81.0, 9.0, None, None))]))
+    with pytest.raises(Exception, match="header|Header"):  # one reader, one header
+        read_sales_csv(spark, top + "/*.csv").collect()
+    with pytest.raises(ValueError, match="no file with a header"):
+        load_sales(spark, path=f"{top}/empty.csv")
+    _write(f"{top}/short.csv", ["Pack,Date", "6,x"])
+    with pytest.raises(ValueError, match="lacks columns"):
+        load_sales(spark, path=top)
+
+
+def test_rejected_rows_are_a_result(spark, tmpdir_path):
+    path = f"{tmpdir_path}/mixed.csv"
+    _write(path, [RAW_HEADER, GOOD, "6,750,$4.50,6.75,12,81.00,9.0,x", "6.5,750,4.5,6.75,many,81,9,x",
+                  "6,750,4.5", GOOD + ",extra,more", ",750,NaN,6.75,12,81.00,9.0,x"])
+    kept, rejected = read_sales_with_rejects(spark, path)
+    assert kept.count() == 2 and kept.filter("Pack is null").count() == 1
+    assert kept.select("Date").count() == 2 and rejected.count() == 4  # whatever is selected
+    found = {r["line"][:12]: r["reason"] for r in rejected.collect()}
+    assert found == {"6,750,$4.50,": "not of the declared type: StateBottleCost",
+                     "6.5,750,4.5,": "not of the declared type: Pack, BottlesSold",
+                     "6,750,4.5": "another number of cells", GOOD[:12]: "another number of cells"}
+    assert {r["file"].endswith("mixed.csv") for r in rejected.select("file").collect()} == {True}
 
 
 def test_empty_cells_are_null_and_nan_is_kept(spark, tmpdir_path):
