@@ -24,8 +24,10 @@ directory and inherit nothing. Repeated rows are scanned each.
 
 from __future__ import annotations
 
+import json
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -222,33 +224,14 @@ def plain_terms(text: str) -> list[str]:
     return [t for t in (x.strip(".") for x in re.split(TERM, text.lower())) if t]
 
 
-def naming_terms() -> Column:
-    """An array of (term, template, place in it, length of it) of all templates."""
-    out = []
+def naming_places() -> dict:
+    """{naming term: [(template, place of the term in it, length of it)]} of all templates."""
+    out: dict = {}
     for i, (_, text) in enumerate(TEMPLATES):
         found = plain_terms(text)
         at = next((k for k, t in enumerate(found) if t in NAMING), 0)
-        out.append(F.struct(F.lit(found[at]).alias("term"), F.lit(i).alias("template"),
-                            F.lit(at).alias("at"), F.lit(len(found)).alias("n")))
-    return F.array(*out)
-
-
-def template_windows(found: Column) -> Column:
-    """(template, terms) of the windows around each naming term of an array of terms."""
-    names = sorted({t for t in NAMING for _, x in TEMPLATES if t in plain_terms(x)}
-                   | {plain_terms(x)[0] for _, x in TEMPLATES
-                      if not NAMING.intersection(plain_terms(x))})
-    hits = F.filter(F.transform(found, lambda t, i: F.struct(t.alias("term"), i.alias("i"))),
-                    lambda h: h["term"].isin(names))
-
-    def window(h, t):
-        start = h["i"] - t["at"]
-        begin = F.greatest(start, F.lit(0))
-        return F.struct(t["template"].alias("only"),
-                        F.slice(found, begin + 1, t["n"] - (begin - start)).alias("terms"))
-
-    return F.flatten(F.transform(hits, lambda h: F.transform(
-        F.filter(naming_terms(), lambda t: t["term"] == h["term"]), lambda t: window(h, t))))
+        out.setdefault(found[at], []).append({"template": i, "at": at, "n": len(found)})
+    return out
 
 
 def terms(text: Column) -> Column:
@@ -270,123 +253,158 @@ def ancestors(folder: Column) -> Column:
         lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/")), F.array(F.lit(""))))
 
 
-def template_terms(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(template term counts, document frequencies of their terms; '' has the files' count)."""
-    spark = files.sparkSession
-    templates = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(TEMPLATES)],
-                                      "template int, license string, template_text string")
-    counts = (templates.select("template", "license", F.explode(terms(F.col("template_text")))
-                               .alias("term"))
-              .groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf")))
-    words = [r["term"] for r in counts.select("term").distinct().collect()]  # of fixed texts
-    vocabulary = F.array(*[F.lit(w) for w in sorted(words)])
-    # one pass over all files: the template terms of each, and the count of files
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def constant(value, kind: str) -> Column:
+    """A large constant of a nested type."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def document_frequencies(files: DataFrame, words: list[str]) -> dict:
+    """{template term: files that hold it}; '' has the count of files. One pass over all files."""
     found = files.select(F.explode(F.concat(F.array(F.lit("")), F.coalesce(
-        F.array_intersect(terms(F.col("text")), vocabulary),
+        F.array_intersect(terms(F.col("text")), F.array(*[F.lit(w) for w in words])),
         F.array().cast("array<string>")))).alias("term"))
-    frequencies = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return counts, frequencies
+    return {r["term"]: r["df"] for r in found.groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}
+
+
+class Evidence:
+    """Cosines of blocks of terms to the templates, as expressions over one row.
+
+    A block never leaves its row: its terms are sorted, counted by their first places, and
+    weighed with a constant map of the template terms.
+    """
+
+    def __init__(self, frequencies: dict):
+        n_files = frequencies.get("", 0)
+        idf = lambda t: math.log((1 + n_files) / (1 + frequencies.get(t, 0))) + 1
+        counts = [Counter(plain_terms(text)) for _, text in TEMPLATES]
+        words = sorted(set().union(*counts))
+        lengths = [math.sqrt(sum((tf * idf(t)) ** 2 for t, tf in sorted(c.items()))) for c in counts]
+        self.words, self.unseen = words, math.log(1 + n_files) + 1
+        self.weights = constant(
+            {t: {"i": idf(t), "v": [c[t] * idf(t) / size for c, size in zip(counts, lengths)]} for t in words},
+            "map<string,struct<i:double,v:array<double>>>")
+        self.rules = constant(
+            [{"license": name, "telling": sorted(TELLING.intersection(plain_terms(t))),
+              "others": sorted(OTHERS.difference(plain_terms(t))),
+              "clauses": None if "redistributions" not in plain_terms(t) or THIRD_CLAUSE in plain_terms(t)
+              else name == "BSD-2-Clause"} for name, t in TEMPLATES],
+            "array<struct<license:string,telling:array<string>,others:array<string>,clauses:boolean>>")
+
+    def marks(self, found: Column) -> Column:
+        return F.array_intersect(found, F.array(*[F.lit(t) for t in sorted(TELLING | OTHERS)]))
+
+    def fits(self, rule: Column, marks: Column, two_clause: Column) -> Column:
+        return (~F.arrays_overlap(marks, rule["others"])
+                & F.coalesce(rule["clauses"] == two_clause, F.lit(True))
+                & (F.size(F.array_except(rule["telling"], marks)) == 0))
+
+    def weighed(self, found: Column, use) -> Column:
+        """``use(template terms with their weights and counts, length of the block's vector)``."""
+        def counted(known):
+            return let(F.sort_array(known), lambda s: let(F.array_distinct(s), lambda d: F.transform(
+                d, lambda t, i: F.struct(
+                    F.element_at(self.weights, t).alias("w"),
+                    (F.coalesce(F.array_position(s, F.get(d, i + 1)), F.size(s) + 1)
+                     - F.array_position(s, t)).cast("double").alias("tf")))))
+
+        def length(known, c):
+            squares = F.aggregate(c, F.lit(0.0), lambda a, x: a + (x["tf"] * x["w"]["i"]) ** 2)
+            return F.sqrt(squares + (F.size(found) - F.size(known)) * F.lit(self.unseen ** 2))
+
+        return let(F.filter(found, lambda t: t.isin(self.words)), lambda known: let(
+            counted(known), lambda c: let(length(known, c), lambda size: use(c, size))))
+
+    def cosine(self, counted: Column, size: Column, template: Column) -> Column:
+        dot = F.aggregate(counted, F.lit(0.0), lambda a, x: a + x["tf"] * x["w"]["i"]
+                          * F.get(x["w"]["v"], template))
+        return F.round(dot / size, 6)
+
+    def entry(self, cosine: Column, rule: Column, found: Column) -> Column:
+        """(-cosine, licence, terms of the block): the least is the best; null below the limit."""
+        return F.when(cosine >= MIN_COSINE, F.struct(
+            (-cosine).alias("minus"), rule["license"].alias("license"), F.size(found).alias("n")))
+
+    def any_template(self, found: Column, two_clause: Column) -> Column:
+        """The best template of a block."""
+        return F.when(F.size(found) > 0, let(self.marks(found), lambda marks: self.weighed(
+            found, lambda c, size: F.array_min(F.transform(self.rules, lambda rule, k: F.when(
+                self.fits(rule, marks, two_clause), self.entry(self.cosine(c, size, k), rule, found)))))))
+
+    def one_template(self, found: Column, template: Column, two_clause: Column) -> Column:
+        """A window's entry for its own template; windows of another licence go first."""
+        return let(F.get(self.rules, template), lambda rule: F.when(
+            self.fits(rule, self.marks(found), two_clause), self.weighed(
+                found, lambda c, size: self.entry(self.cosine(c, size, template), rule, found))))
+
+    def best(self, text: Column, named: Column) -> Column:
+        """(-cosine, licence, terms of the block, terms of the file) of a file's best block."""
+        lines = F.split(text, "\n")
+        places = constant(naming_places(), "map<string,array<struct<template:int,at:int,n:int>>>")
+
+        def of_lines(lines, two_clause):
+            starts = F.filter(F.sequence(F.lit(1), F.size(lines)),
+                              lambda i: F.element_at(lines, i).rlike(ANCHOR))
+            return F.array_min(F.transform(starts, lambda i: F.array_min(F.transform(
+                F.array(*[F.lit(w) for w in WINDOWS]), lambda w: let(
+                    terms(F.array_join(F.slice(lines, i, w), " ")),
+                    lambda found: self.any_template(found, two_clause))))))
+
+        def of_windows(all_terms, two_clause):
+            hits = F.filter(F.transform(all_terms, lambda t, i: F.struct(t.alias("term"), i.alias("i"))),
+                            lambda h: h["term"].isin(sorted(naming_places())))
+
+            def around(h, p):
+                start = h["i"] - p["at"]
+                begin = F.greatest(start, F.lit(0))
+                return let(F.slice(all_terms, begin + 1, p["n"] - (begin - start)),
+                           lambda found: self.one_template(found, p["template"], two_clause))
+
+            return F.array_min(F.transform(hits, lambda h: F.array_min(F.transform(
+                F.element_at(places, h["term"]), lambda p: around(h, p)))))
+
+        def found_in(lines, all_terms):
+            two_clause = F.array_contains(all_terms, SECOND_CLAUSE) & ~F.array_contains(all_terms, THIRD_CLAUSE)
+            whole = F.when(F.coalesce(named, F.lit(False)), self.any_template(all_terms, two_clause))
+            return let(F.array_min(F.array(of_lines(lines, two_clause), of_windows(all_terms, two_clause), whole)),
+                       lambda b: F.when(b.isNotNull(), F.struct(
+                           b["minus"].alias("minus"), b["license"].alias("license"), b["n"].alias("n"),
+                           F.size(all_terms).alias("size"))))
+
+        # a name may be parted by line ends and comment marks
+        return F.when(text.rlike(ANCHOR.replace(" ", r"[^a-z0-9]+")), let(lines, lambda ls: let(
+            terms(F.array_join(ls, " ")), lambda a: found_in(ls, a))))
 
 
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text",
          id_col: str = "doc_id") -> DataFrame:
     """id, path, license, cosine (own evidence), origin (own, inherited or none), license_path."""
-    spark = files.sparkSession
     rows = files.select(F.col(id_col).alias("doc_id"), F.col(path_col).alias("path"),
                         F.col(text_col).alias("text"))
-    counts, frequencies = template_terms(rows)
-    known = {r["term"]: r["df"] for r in frequencies.collect()}  # template terms only
-    n_files = known.pop("", 0)
-    idf = lambda df: math.log((1 + n_files) / (1 + df)) + 1
-    weights = spark.createDataFrame(
-        [(t, idf(known.get(t, 0))) for t in sorted({r["term"] for r in counts.collect()})],
-        "term string, idf double")
-    unseen = idf(0)
-    # unit vectors of the templates
-    weighted = counts.join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    lengths = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    vectors = weighted.join(lengths, "template").select(
-        "template", "license", "term", "idf", (F.col("w") / F.col("len")).alias("v"))
-    vectors = spark.createDataFrame(vectors.collect(), vectors.schema)  # about 3,000 rows
-
-    rules = spark.createDataFrame(
-        [(i, sorted(TELLING.intersection(plain_terms(t))), sorted(OTHERS.difference(plain_terms(t))),
-          None if "redistributions" not in plain_terms(t) or THIRD_CLAUSE in plain_terms(t)
-          else name == "BSD-2-Clause") for i, (name, t) in enumerate(TEMPLATES)],
-        "template int, telling array<string>, others array<string>, clauses boolean")
-    fits = (~F.arrays_overlap("marks", "others")
-            & F.coalesce(F.col("clauses") == F.col("two_clause"), F.lit(True))
-            & (F.size(F.array_except("telling", "marks")) == 0))
-    mark = F.array_intersect("terms", F.array(*[F.lit(t) for t in sorted(TELLING | OTHERS)]))
-    # a name may be parted by line ends and comment marks
-    keyed = rows.where(F.col("text").rlike(ANCHOR.replace(" ", r"[^a-z0-9]+"))).withColumn(
-        "file", F.xxhash64("doc_id", "path", "text"))
-    lines = F.split("text", "\n")
-    starts = F.filter(F.sequence(F.lit(1), F.size("lines")),
-                      lambda i: F.element_at("lines", i).rlike(ANCHOR))
-    line_blocks = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(
-        F.array(*[F.lit(w) for w in WINDOWS]), lambda w: F.array_join(F.slice("lines", i, w), " ")))))
+    words = sorted({t for _, text in TEMPLATES for t in plain_terms(text)})
+    evidence = Evidence(document_frequencies(rows, words))
     named = F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENCE_FILE)
-    of_all = lambda found: F.struct(F.lit(-1).alias("only"), found.alias("terms"))
-    blocks = (keyed.select("file", "doc_id", "path", lines.alias("lines")).distinct()
-              .withColumn("all", terms(F.array_join("lines", " ")))
-              .select("file", "doc_id", "path", F.size("all").alias("size"),
-                      (F.array_contains("all", SECOND_CLAUSE) & ~F.array_contains("all", THIRD_CLAUSE))
-                      .alias("two_clause"), F.explode(F.concat(
-                          F.transform(line_blocks, lambda b: of_all(terms(b))),
-                          template_windows(F.col("all")),
-                          F.when(F.coalesce(named, F.lit(False)), F.array(of_all(F.col("all"))))
-                          .otherwise(F.array().cast("array<struct<only:int,terms:array<string>>>"))))
-                      .alias("block"))
-              .select("file", "doc_id", "path", "size", "two_clause", "block.only", "block.terms")
-              .withColumn("marks", mark)
-              # windows of another licence go before their terms are dealt
-              .join(F.broadcast(rules), F.col("only") == F.col("template"), "left")
-              .where(F.col("template").isNull() | fits)
-              .select("file", "doc_id", "path", "size", "two_clause", "only", "terms",
-                      F.when(F.col("only") == -1, F.col("marks")).alias("marks")).distinct()
-              .select("file", "doc_id", "path", "size", "two_clause", "only",
-                      F.xxhash64("only", "terms").alias("unit"), F.size("terms").alias("n"),
-                      "marks", F.explode("terms").alias("term")))
-    units = (blocks.groupBy("file", "doc_id", "path", "size", "two_clause", "only", "unit", "n",
-                            "marks", "term")
-             .agg(F.count(F.lit(1)).alias("tf"))
-             .join(F.broadcast(weights), "term", "left")
-             .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-             .withColumn("squares", F.when(F.col("idf").isNotNull(), F.col("w") * F.col("w"))
-                         .otherwise(F.col("tf") * unseen * unseen)))
-    sized = units.groupBy("file", "unit").agg(F.sqrt(F.sum("squares")).alias("len"))
-    dots = (units.join(F.broadcast(vectors.select("template", "license", "term", "v")), "term")
-            .where("only in (-1, template)")
-            .groupBy("file", "doc_id", "path", "size", "two_clause", "only", "unit", "n", "marks",
-                     "template", "license")
-            .agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
-            .join(F.broadcast(rules), "template")
-            .where((F.col("only") >= 0) | fits))
-    scored = dots.join(sized, ["file", "unit"]).withColumn(
-        "cosine", F.round(F.col("dot") / F.col("len"), 6)).where(F.col("cosine") >= MIN_COSINE)
-    best = (scored.groupBy("file", "doc_id", "path", "size").agg(
-        F.min(F.struct((-F.col("cosine")).alias("minus"), "license", "n")).alias("b"))
-        .select("file", "doc_id", "path", F.col("b.license").alias("license"),
-                (-F.col("b.minus")).alias("cosine"),
-                (F.regexp_extract("path", r"([^/]*)$", 1).rlike(LICENCE_FILE)
-                 | (F.col("b.n") * 2 >= F.col("size"))).alias("licence_file")))
-    best = checkpointed(best)
+    # every text is read in its own row; what stays of it is narrow
+    own = checkpointed(rows.select("doc_id", "path", named.alias("named"), directory(F.col("path")).alias("folder"),
+                                   evidence.best(F.col("text"), named).alias("b")).select(
+        "doc_id", "path", "folder", F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("cosine"),
+        (F.col("named") | (F.col("b.n") * 2 >= F.col("b.size"))).alias("licence_file")))
     # nearest ancestor with a licence file, worked out for each directory once
-    folders = (best.where("licence_file and path is not null")
-               .groupBy(directory(F.col("path")).alias("above"))
-               .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "path", "license")).alias("l"))
+    folders = (own.where("own_license is not null and licence_file and path is not null")
+               .groupBy(F.col("folder").alias("above"))
+               .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), "path", "own_license")).alias("l"))
                .select("above", F.col("l.path").alias("license_path"),
-                       F.col("l.license").alias("folder_license")))
-    nearest = checkpointed(rows.where("path is not null").select(directory(F.col("path")).alias("folder"))
+                       F.col("l.own_license").alias("folder_license")))
+    nearest = checkpointed(own.where("path is not null").select("folder")
                .distinct().select("folder", F.explode(ancestors(F.col("folder"))).alias("above"))
                .join(folders, "above").groupBy("folder")
                .agg(F.max(F.struct(F.length("above").alias("depth"), "license_path", "folder_license")).alias("n"))
                .select("folder", "n.license_path", "n.folder_license"))
-    own = best.select("file", F.col("license").alias("own_license"), "cosine").distinct()
-    named = rows.select("doc_id", "path", F.xxhash64("doc_id", "path", "text").alias("file"),
-                        directory(F.col("path")).alias("folder"))
-    return (named.join(own, "file", "left").join(nearest, "folder", "left")
+    return (own.join(nearest, "folder", "left")
             .select("doc_id", "path", F.coalesce("own_license", "folder_license").alias("license"),
                     "cosine", F.when(F.col("own_license").isNotNull(), "own")
                     .when(F.col("folder_license").isNotNull(), "inherited").otherwise("none")

@@ -155,3 +155,26 @@ def test_licence_files_are_whole(spark):
     assert [out[i]["license"] for i in range(3)] == names
     assert [(out[10 + i]["license"], out[10 + i]["license_path"]) for i in range(3)] == [
         (n, f"{i}/LICENSE") for i, n in enumerate(names)]
+
+
+def test_many_naming_terms_in_one_file(spark):
+    """Windows are laid one at a time: a file that names licences 20,000 times is one row."""
+    import time
+
+    many = "gnu " * 20_000
+    notice = "This work is licensed under the GNU General Public License, version 3."
+    rows = [(1, "a/x", many), (2, "a/y", many + notice), (3, "b/z", "MIT License " + "word " * 300_000)]
+    start = time.time()
+    got = {r["doc_id"]: r for r in N.scan(spark.createDataFrame(rows, "doc_id long, path string, text string"))
+           .collect()}
+    assert time.time() - start < 60
+    assert (got[1]["license"], got[2]["license"], got[2]["origin"]) == (None, "GPL-3.0", "own")
+    assert len(got) == 3
+
+
+def test_texts_are_not_shuffled(spark):
+    """A block's cosine is worked out in its own row: no exchange carries terms or texts."""
+    df = spark.createDataFrame([(1, "a/LICENSE", "Licensed under the MIT License.")],
+                               "doc_id long, path string, text string")
+    plan = N.scan(df)._jdf.queryExecution().toString()
+    assert "text" not in plan.split("== Physical Plan ==")[1] and "Python" not in plan
