@@ -5,8 +5,12 @@ hidden parts are skipped, as are containers that name themselves menus,
 headers, footers, sidebars, notices, adverts, forms or reader comments (by tag,
 role, class or id). What is left is cut into blocks at block-level tags.
 
-A class or id name is evidence only: parts after has-, with-, no- or without- don't
-count, and of containers other than comments, one named by a part that may be a
+A ``nav`` or ``header`` whose end tag the page lacks ends where an article or main
+begins. A form is excluded like a container named by its place, as it may hold the
+page; its controls never count. An ``a`` with an id or name and no ``href`` is no link.
+
+A class or id name is evidence only: parts after has-, with-, no- or without-, or before
+-open, -closed, -free and the like, don't count, and of containers other than comments, one named by a part that may be a
 topic (legal-news) is kept for a good block of ``LONG`` characters; where a page has
 no block of ``SHORT`` characters outside such containers, so are one named by its
 place (sidebar) for a long block and any one that holds an article or main.
@@ -33,6 +37,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField
@@ -61,8 +66,8 @@ aan de dat die een en er het hij ik is met niet of om op te van voor was zijn
 
 SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "head",
            "title", "canvas", "audio", "video"}
-EXCLUDED = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select",
-            "option", "textarea", "fieldset"}
+EXCLUDED = {"nav", "header", "footer", "aside", "menu", "dialog", "button", "select", "option",
+            "textarea", "fieldset"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
         "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
@@ -82,19 +87,20 @@ sponsored|promos?|promotions?|cookies?|consent|gdpr|notices?|notifications?|aler
 overlay|newsletters?|subscribe|subscription|signup|sign-up|paywall|nav|navbar|navigation|menus?|
 breadcrumbs?|sidebars?|side|rail|aside|widgets?|footers?|header|masthead|topbar|comments?|
 commentlist|discussion|disqus|respond|replies|reply|share|sharing|social|related|recommended|
-recommendations|pagination|pager|login|search|searchbox|toolbar|skip|copyright|legal|disclaimer|
+recommendations|pagination|pager|login|search|searchbox|toolbar|skip[_-]?(?:links?|nav|to)|copyright|legal|disclaimer|
 outbrain|taboola|trending|popular|teasers?|form)(?:$|[\s_-])""".replace("\n", ""), re.I)
 #: Names that also exclude an article or main element: it is someone's comment or a teaser.
-STRICT = re.compile(r"(?:^|\s)(?:comments?|reply|replies|teaser|related|advert|sponsored)(?:$|[\s_-])",
-                    re.I)
-#: Parts of a name that say nothing, or the opposite: has-sidebar, no-ads.
-NEGATED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|with|no|without)[_-]\S*", re.I)
+STRICT = re.compile(r"(?:^|\s)(?:comments?|reply|replies|teaser|related|advert|sponsored)(?:$|\s|[_-]+"
+                    r"(?:body|box|card|content|entry|item|list|post|text|thread|\d+)(?:$|[\s_-]))", re.I)
+#: Parts of a name that say nothing, or the opposite: has-sidebar, no-ads, comments-open.
+NEGATED = re.compile(r"(?:^|(?<=[\s_-]))(?:(?:has|with|no|without)[_-]\S*|[a-z]+[_-](?:open|closed|free|on|off"
+                     r"|enabled|disabled|allowed)(?=$|[\s_-]))", re.I)
 #: Names that always exclude.
 COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|reply|replies)(?:$|[\s_-])",
                       re.I)
 #: Names that may as well be an article's topic, if they are one part of several.
 TOPICS = {"legal", "social", "popular", "search", "form", "header", "share", "sharing", "trending",
-          "discussion", "side", "alert", "alerts", "notice", "notices"}
+          "discussion", "side", "alert", "alerts", "notice", "notices", "banner", "banners"}
 PLACES = TOPICS | {"sidebar", "sidebars", "rail", "widget", "widgets", "overlay", "modal", "masthead",
                    "topbar", "toolbar", "navbar", "searchbox"}
 #: How far a name excludes: always, unless it holds an article, or also a long block, anywhere.
@@ -111,6 +117,8 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(
     r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
     r"|(?=[\s/>]|\Z))", re.I)
+#: The attributes of an ``a`` that is a place in the page, not a link.
+ANCHOR_ONLY = re.compile(r"(?=.*\b(?:id|name)\s*=)(?!.*\bhref\b)", re.S | re.I)
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -138,6 +146,8 @@ def _excluded(tag: str, attributes: str, in_article: bool) -> int:
     """How far the element's name, role, class, id or style excludes what it holds."""
     if tag in EXCLUDED and not (tag == "header" and in_article):
         return ALWAYS
+    if tag == "form":  # server-side frameworks put whole pages into one
+        return min(PLACE, _excluded("div", attributes, in_article) or PLACE)
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
         return 0
     kinds = []
@@ -170,6 +180,11 @@ class Block:
         self.words = self.stops = 0  # words and stop words, where pass 1 counts them
 
 
+def unclosed(page: str, tag: str) -> bool:
+    """Whether the page has fewer end tags than start tags of this name."""
+    return len(re.findall(rf"<{tag}(?=[\s/>])", page, re.I)) > len(re.findall(rf"</{tag}(?=[\s>])", page, re.I))
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks outside skipped and excluded parts, with their texts."""
     out: list[Block] = []
@@ -177,6 +192,8 @@ def blocks_of(page: str) -> list[Block]:
     named: tuple = ()
     excluded = article = links = heading = number = count = 0
     block = Block(0, False)
+    lacking: dict = {}  # tag -> whether the page lacks end tags of it
+    open_tags: Counter = Counter()  # of the stack, so that a stray end tag is no search
 
     def close():
         nonlocal block
@@ -202,6 +219,7 @@ def blocks_of(page: str) -> list[Block]:
         if is_article or kind:
             number = count
         stack.append((tag, out_of, is_article, number, named))
+        open_tags[tag] += 1
         if kind > ALWAYS and not excluded:
             named += ((count, kind, article > 0),)
         excluded, article = excluded + out_of, article + is_article
@@ -211,8 +229,9 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal excluded, article, number, named
         if at < len(stack):
             named = stack[at][4]
-        for _, out_of, is_article, _, _ in stack[at:]:
+        for tag, out_of, is_article, _, _ in stack[at:]:
             excluded, article = excluded - out_of, article - is_article
+            open_tags[tag] -= 1
         del stack[at:]
         number = stack[-1][3] if stack else 0
 
@@ -236,7 +255,7 @@ def blocks_of(page: str) -> list[Block]:
             closed(len(stack) - 1)  # its end tag may be left out
             block.container = number
         if tag == "a":
-            links = int(not end)
+            links = int(not end and not ANCHOR_ONLY.match(attributes))
         if tag == "br" or tag == "hr":
             if not excluded:
                 block.parts.append(" ")
@@ -254,12 +273,17 @@ def blocks_of(page: str) -> list[Block]:
             heading = int(not end)
         close()
         if end:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if at is not None:
-                closed(at)
+            if open_tags[tag]:
+                closed(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
         else:
             if stack and stack[-1][0] in ("p", "li") and (stack[-1][0] == "p" or tag == "li"):
                 closed(len(stack) - 1)  # an open paragraph ends where the next block begins
+            if excluded and tag in ("article", "main"):
+                out_of = [i for i, x in enumerate(stack) if x[1]]
+                for outer in {stack[i][0] for i in out_of} - lacking.keys():
+                    lacking[outer] = outer in ("nav", "header") and unclosed(page, outer)
+                if all(lacking[stack[i][0]] for i in out_of):
+                    closed(out_of[0])  # a menu or page header whose end tag is missing
             opened(tag, attributes)
         block.container, block.article, block.heading = number, article > 0, heading > 0
         block.named = named

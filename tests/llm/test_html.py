@@ -140,6 +140,38 @@ def test_named_parts_stay_out(name):
     assert H.main_text(f"<div><p>{POLISH}</p></div>{part}") == POLISH
 
 
+@pytest.mark.parametrize("page", [
+    f"<form id=aspnetForm method=post><article><p>{TEXT}</p></article><select><option>x</select></form>",
+    f"<form id=aspnetForm><input><div id=content><p>{TEXT} {MORE}</p></div><button>Go</button></form>",
+    f"<div class='post comments-open'><p>{TEXT} {MORE}</p></div>",
+    f"<div id=page class=comments-open><article><p>{TEXT}</p></article></div>",
+    f"<nav><a href=/>Home</a> <a href=/b>Blog</a><article><p>{TEXT}</p></article>",
+    f"<header><nav><a href=/>Home</a><main><p>{TEXT}</p></main>",
+    f"<article class='reply-letter'><p>{TEXT}</p></article>",
+    f"<article class='comment-free'><p>{TEXT}</p></article>",
+    f"<div id='skip-target'><p>{TEXT} {MORE}</p></div>",
+    f"<article><p>{MORE}</p><div class='article__banner-text'><p>{TEXT} {MORE}</p></div></article>",
+    f"<article><p><a id=p1>{TEXT}</a></p><p><a name=p2>{MORE}</a></p></article>"])
+def test_articles_are_not_lost(page):
+    assert TEXT in H.main_text(page) and "Home" not in H.main_text(page) and "Go" not in H.main_text(page)
+
+
+def test_threads_and_forms_stay_out():
+    thread = f"<article class='comment-body'><p>{TEXT}</p></article><div class='comments'><p>{TEXT}</p></div>"
+    form = f"<form class=newsletter><p>Sign up for our letters.</p><input><button>Go</button></form>"
+    assert H.main_text(f"<article><p>{MORE}</p>{form}</article>{thread}") == MORE
+    assert H.main_text(f"<nav><article><p>{TEXT}</p></article></nav><article><p>{MORE}</p></article>") == MORE
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    H.main_text("<div>" * 16_000 + "</section>" * 16_000)
+    H.main_text("<nav>" + "<article><p>x</p></article>" * 5_000 + "</nav>")
+    assert time.perf_counter() - start < 2
+
+
 def test_long_pages_take_linear_time():
     H.main_text("<p " * 20_000)
     H.main_text("<!-" * 20_000 + "<a \"" * 5_000)
