@@ -4,16 +4,18 @@ Every scan partition packs its documents in groups of bounded token count,
 without a shuffle. In a group:
 
 1. a document's whole windows of ``context`` tokens are sequences of their own;
-2. the rests are held by exact length; tiers don't shape the packing, a sequence's
-   ``tier`` is computed afterwards from its longest piece;
-3. windows of ``context`` tokens open with the longest rest, and a window's gap is
-   filled with the longest rest that fits; a gap of ``least`` tokens or more that no
-   rest fits is filled by cutting one;
-4. what is left in the last, partly filled window is dealt to sequences of
+2. each rest is routed to the tier of the least context size that holds it: 2048, 1024,
+   512 and so on down to ``smallest``, which takes all shorter ones;
+3. each tier is packed at its own size, the longest first: its longest rest opens a
+   sequence of the tier's size, and the gap is filled with the longest rests that fit,
+   from the tier itself or a shorter one; where none fits, a rest is cut to fill it. Gaps
+   below ``least`` tokens are left in sequences of ``context`` only, as others would
+   be padded to it if they weren't full;
+4. what is left in the last, partly filled sequence of a tier is dealt to sequences of
    powers of two, the shorter context sizes, which need no padding;
-5. sequences are dealt to step groups in turn and back (a snake) by falling
+5. a tier's sequences are dealt to step groups in turn and back (a snake) by falling
    attention cost (sum of squared piece lengths), so that the groups of a step
-   cost about the same.
+   cost about the same; a step has sequences of one tier.
 
 Null texts are empty; an empty text is one piece, the end id. Repeated rows and
 equal doc_ids are packed as they are, each row on its own.
@@ -42,6 +44,8 @@ LEAST = 32
 #: Tokens of a packing group: bounds a task's memory.
 GROUP_TOKENS = 4_000_000
 STEP_SEQUENCES = 8
+#: The shortest context size of a tier.
+SMALLEST = 128
 END_ID = 1
 
 
@@ -52,9 +56,7 @@ def load_tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)  # strings of special tokens in a text are these tokens
 
 
 #: Latin letters without marks to compose, then ASCII marks: two pieces of the pre-tokenizer.
@@ -115,36 +117,45 @@ class WordIds(dict):
         return found
 
 
-def pack_rests(rests: list[tuple[int, int, int]], context: int = CONTEXT,
-               least: int = LEAST) -> list[list[tuple[int, int, int]]]:
-    """Windows of (document, start, length) pieces; ``rests`` are shorter than ``context``."""
+def pack_tiers(rests: list[tuple[int, int, int]], context: int = CONTEXT, least: int = LEAST,
+               smallest: int = SMALLEST) -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """(tier, pieces) of sequences; ``rests`` (document, start, length) are shorter than ``context``."""
     held: list[list] = [[] for _ in range(context)]  # by length: the tiers, finely
     present = 0  # bit n: some rest of length n is left
+
+    def take(n: int, want: int) -> tuple[int, int, int]:
+        """``want`` tokens of a rest of length n; what is cut off goes to its own tier."""
+        nonlocal present
+        doc, start = held[n].pop()
+        if not held[n]:
+            present &= ~(1 << n)
+        if want < n:
+            held[n - want].append((doc, start + want))
+            present |= 1 << (n - want)
+        return doc, start, want
+
     for doc, start, n in rests:
         held[n].append((doc, start))
         present |= 1 << n
-    windows = []
+    out, tier = [], context
     while present:
-        window, gap = [], context
+        longest = present.bit_length() - 1
+        while tier > smallest and longest <= tier // 2:
+            tier //= 2
+        window, gap = [take(longest, longest)], tier - longest
         while present and gap:
             fit = (present & ((1 << (gap + 1)) - 1)).bit_length() - 1
             if fit > 0:
-                n = take = fit
-            elif gap >= least:  # none fits: cut the shortest of the longer ones
+                n = want = fit
+            elif gap >= least or tier < context:  # none fits: cut the shortest of the longer ones
                 above = present >> (gap + 1)
-                n, take = gap + 1 + ((above & -above).bit_length() - 1), gap
+                n, want = gap + 1 + ((above & -above).bit_length() - 1), gap
             else:
                 break
-            doc, start = held[n].pop()
-            if not held[n]:
-                present &= ~(1 << n)
-            window.append((doc, start, take))
-            if take < n:
-                held[n - take].append((doc, start + take))
-                present |= 1 << (n - take)
-            gap -= take
-        windows.append(window)
-    return windows
+            window.append(take(n, want))
+            gap -= want
+        out.append((tier, window))
+    return out
 
 
 def deal_powers(window: list[tuple[int, int, int]], total: int) -> list[list]:
@@ -163,32 +174,35 @@ def deal_powers(window: list[tuple[int, int, int]], total: int) -> list[list]:
     return out
 
 
-def pack_group(lengths: list[int], context: int = CONTEXT, least: int = LEAST):
-    """Sequences (lists of (document, start, length)) that hold every token once."""
+def pack_group(lengths: list[int], context: int = CONTEXT, least: int = LEAST,
+               smallest: int = SMALLEST) -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """Sequences (tier, pieces (document, start, length)) that hold every token once."""
     sequences, rests = [], []
     for doc, n in enumerate(lengths):
         whole = n - n % context
-        sequences += [[(doc, start, context)] for start in range(0, whole, context)]
+        sequences += [(context, [(doc, start, context)]) for start in range(0, whole, context)]
         if n > whole:
             rests.append((doc, whole, n - whole))
-    for window in pack_rests(rests, context, least):
+    for tier, window in pack_tiers(rests, context, least, min(smallest, context)):
         total = sum(n for _, _, n in window)
-        if context - total < least:
-            sequences.append(window)
+        if total == tier or tier == context and context - total < least:
+            sequences.append((tier, window))
         else:
-            sequences += deal_powers(window, total)
+            sequences += [(sum(n for _, _, n in part), part) for part in deal_powers(window, total)]
     return sequences
 
 
-def step_groups(sequences: list[list], per_step: int = STEP_SEQUENCES) -> list[int]:
-    """A step-group number for each sequence, of even attention cost."""
-    groups = -(-len(sequences) // per_step)
-    order = sorted(range(len(sequences)),
-                   key=lambda i: (-sum(n * n for _, _, n in sequences[i]), i))
-    out = [0] * len(sequences)
-    for rank, i in enumerate(order):
-        lap, at = divmod(rank, groups)
-        out[i] = at if lap % 2 == 0 else groups - 1 - at
+def step_groups(sequences: list[tuple[int, list]], per_step: int = STEP_SEQUENCES) -> list[int]:
+    """A step-group number for each sequence: of one tier, and of even attention cost."""
+    out, first = [0] * len(sequences), 0
+    for tier in sorted({t for t, _ in sequences}, reverse=True):
+        order = sorted((i for i, (t, _) in enumerate(sequences) if t == tier),
+                       key=lambda i: (-sum(n * n for _, _, n in sequences[i][1]), i))
+        groups = -(-len(order) // per_step)
+        for rank, i in enumerate(order):
+            lap, at = divmod(rank, groups)
+            out[i] = first + (at if lap % 2 == 0 else groups - 1 - at)
+        first += groups
     return out
 
 
@@ -215,12 +229,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         sequences = pack_group([len(b) // 4 for b in buffers], context, least)
         steps = step_groups(sequences)
         columns = {c: [] for c in ["doc_id", *names]}
-        for number, (sequence, step) in enumerate(zip(sequences, steps)):
+        for number, ((tier, sequence), step) in enumerate(zip(sequences, steps)):
             offset, total = 0, sum(n for _, _, n in sequence)
-            longest = max(n for _, _, n in sequence)
-            tier = context
-            while tier // 2 >= longest:
-                tier //= 2
             for doc, start, n in sequence:
                 piece = memoryview(buffers[doc])[4 * start:4 * (start + n)]
                 row = [keys[doc], start, n, zlib.crc32(piece), len(buffers[doc]) // 4,
