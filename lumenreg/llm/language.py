@@ -227,21 +227,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """A model from the documents that are not held out; None if none has letters.
 
-    Rows with null id, text or language are not learned from.
+    Rows with null id, text or language are not learned from. One in HELD_BACK of the
+    sample calibrates the model, but of a language that would keep no document to learn
+    from, none is held back.
     """
+    back = F.pmod(F.xxhash64(F.lit("held back"), "id"), F.lit(HELD_BACK)) == 0
+    draw = F.pmod(F.xxhash64(F.lit("language sample"), "id"), F.lit(1 << 30)) / float(1 << 30)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang")).where(
         F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()
         & ~held_out("id"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n")).collect()}  # one row for each language
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(~back, draw))
+                                     .alias("first")).collect()  # one row for each language
+    sizes = {r["lang"]: r["n"] for r in found}
     if not sizes:
         return None
+    rare = [r["lang"] for r in found if r["first"] is None or r["first"] >= min(1.0, sample_docs / r["n"])]
     share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items())
                            for x in (lang, min(1.0, sample_docs / n))])
-    draw = F.pmod(F.xxhash64(F.lit("language sample"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < share[F.col("lang")]).withColumn(
-        "back", F.pmod(F.xxhash64(F.lit("held back"), "id"), F.lit(HELD_BACK)) == 0)
+    sample = rows.where(draw < share[F.col("lang")]).withColumn("back", back & ~F.col("lang").isin(rare))
 
     def count(batches):
         for batch in batches:

@@ -107,3 +107,18 @@ def test_query_accuracy(spark):
     assert sum(lang[r["doc_id"]] == r["lang_pred"] for r in held) >= 0.99 * len(held)
     assert sum(r["rejected"] for r in out) <= 0.01 * len(out)
     assert all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_a_rare_language_is_learned(spark):
+    """Its only documents fall to the hold-back; they are learned from all the same."""
+    from pyspark.sql import functions as F
+
+    back = F.pmod(F.xxhash64(F.lit("held back"), "id"), F.lit(L.HELD_BACK)) == 0
+    ids = [r["id"] for r in spark.range(5000).where(back & ~L.held_out("id")).limit(2).collect()]
+    docs = [(10_000 + i, prose(i, 60), "en") for i in range(60)]
+    docs += [(i, "это короткий русский текст о погоде и природе " * 4, "ru") for i in ids]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = L.fit(df)
+    assert sorted(model.languages) == ["en", "ru"]
+    got = {r["doc_id"]: r["lang_pred"] for r in L.predict(df, model).collect()}
+    assert {got[i] for i in ids} == {"ru"}
