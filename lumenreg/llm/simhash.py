@@ -228,11 +228,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints, labels = _labelled(docs, id_col, text_col, shingle, max_bits, hot_key)
     kept = (prints.join(labels, "fp").groupBy("root")
             .agg(F.min(F.struct(F.col(id_col).isNull(), id_col, "row_hash")).alias("first"))
-            .select(F.col("first.row_hash").alias("kept_hash"), F.col(f"first.{id_col}").alias("kept_id")))
+            .select(F.concat_ws("/", "first.row_hash", F.col(f"first.{id_col}").cast("string")).alias("row_key")))
     names = [f"column_{i}" for i in range(len(docs.columns))]
     own, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
-    rows = docs.toDF(*names).withColumn("row_hash", F.xxhash64(own, text))
-    # by id and hash: rows of different ids are told apart even if their hashes meet
-    return (rows.dropDuplicates(["row_hash", own])
-            .join(kept, (F.col("row_hash") == F.col("kept_hash")) & F.col(own).eqNullSafe(F.col("kept_id")),
-                  "left_semi").select(names).toDF(*docs.columns))
+    # hash and id in one key: rows of different ids are told apart even if their hashes meet
+    rows = docs.toDF(*names).withColumn(
+        "row_key", F.concat_ws("/", F.xxhash64(own, text), F.col(own).cast("string")))
+    return (rows.dropDuplicates(["row_key"]).join(kept, "row_key", "left_semi")
+            .select(names).toDF(*docs.columns))
