@@ -13,7 +13,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from lumenreg import config as C  # noqa: E402
 from lumenreg.functions.keys import fold_of, split_digit  # noqa: E402
 from lumenreg.operators import ridge as R  # noqa: E402
-from lumenreg.operators.partitioning import cache_spread  # noqa: E402
+from lumenreg.operators import histogram_trees as H  # noqa: E402
+from lumenreg.operators.partitioning import keep  # noqa: E402
 from lumenreg.operators.split import TEST_FLAG, with_folds  # noqa: E402
 from lumenreg.plans import workflows as W  # noqa: E402
 from lumenreg.session import ensure_codegen_fields, get_session  # noqa: E402
@@ -61,13 +62,12 @@ def main():
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
     flagged = W.flag_test_rows(with_folds(feats, 5, fold_col="fold"), 0.7, "h")
-    kept, _ = W.tree_rows(flagged, "fold")
-    cached, _ = cache_spread(kept, first_action=lambda d: d.filter(~F.col(TEST_FLAG)).count())
-    out += ["## W3/W4: one scan, one cache of training and test rows", "",
-            "The workflows' own cached frame (feature vector, label, fold, test flag), coalesced to "
-            "a few partitions for each core; below, a fit's read of it.", "", "```",
-            executed(cached.filter(~F.col(TEST_FLAG)).groupBy("fold").agg(F.count(F.lit(1)))),
-            "```", ""]
+    kept, _ = keep(flagged.select(*C.FEATURE_COLS, C.LABEL_COL, "fold", TEST_FLAG))
+    train = kept.filter(~F.col(TEST_FLAG))
+    out += ["## W3/W4: one scan, training and test rows kept together", "",
+            "The workflows' own kept frame; below, the read of it that a counting pass makes.", "", "```",
+            executed(H.kept_rows(train, list(C.FEATURE_COLS), C.LABEL_COL, "fold", exact=True).merged()
+                     .groupBy("fold").agg(F.count(F.lit(1)))), "```", ""]
 
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
