@@ -24,6 +24,7 @@ from pyspark.sql.types import StructField, StructType
 SLICE_BYTES = 4 << 20
 SLICE_ROWS = 2000
 MEMO_STEP = 10_000
+MEMO_BYTES = 64 << 20
 Step = Callable[[list], list]
 
 
@@ -122,20 +123,24 @@ def keep_rows(df: DataFrame, text_col: str, make: Callable[[], Step],
 class Memo(dict):
     """Token -> value, computed for new tokens of a slice together, ``MEMO_STEP`` at a time.
 
-    It holds at most ``limit`` tokens beside those of the current slice:
-    beyond that it starts anew. Values never depend on what it holds.
+    It holds at most ``limit`` tokens of at most ``limit_bytes`` together, beside those
+    of the current slice: beyond that it starts anew. Values never depend on what it holds.
     """
 
-    def __init__(self, compute: Callable[[list], list], limit: int = 300_000):
+    def __init__(self, compute: Callable[[list], list], limit: int = 300_000,
+                 limit_bytes: int = MEMO_BYTES):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.limit_bytes = compute, limit, limit_bytes
+        self.held_bytes = 0
 
     def add(self, tokens: set) -> None:
         """Make sure that every token of the set has its value."""
         new = [t for t in tokens if t not in self]
-        if len(self) + len(new) > self.limit:
+        size = sum(map(len, new))
+        if len(self) + len(new) > self.limit or self.held_bytes + size > self.limit_bytes:
             self.clear()
-            new = tokens
+            new, size, self.held_bytes = tokens, sum(map(len, tokens)), 0
+        self.held_bytes += size
         new = sorted(new)
         for start in range(0, len(new), MEMO_STEP):
             step = new[start:start + MEMO_STEP]

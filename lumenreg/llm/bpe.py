@@ -239,7 +239,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encode and decode every text: token count and digests of ids and decoded bytes.
 
-    ``with_ids`` adds the ids (``ids``, little-endian binary) and ``decoded``.
+    ``with_ids`` adds the ids (``ids``, little-endian binary) and ``decoded``. Null and
+    empty texts have no ids; repeated rows each give their row.
     """
     fields = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()),
               StructField("decoded_sha256", StringType())]

@@ -126,7 +126,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Edited: the last half (floor) of a text's code points replaced by the first
     as many of the next document's, in falling id; the first follows the last.
     Rows of equal id follow each other by text (null first), each counting as
-    a document; a single row follows itself.
+    a document; a single row follows itself. Ids are integers.
     """
     spark = docs.sparkSession
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,11 +13,14 @@ A text is given the language of the lowest cross-entropy per character. The
 score is a softmax of the negated cross-entropies, whose sharpness is fitted on
 held-back sample documents, as are the rejection limits: a document is rejected
 if it has no letter, or if its cross-entropy exceeds its language's largest
-held-back one by more than ``SLACK`` and ``SIGMAS`` standard errors.
+held-back one by more than ``SLACK`` and ``SIGMAS`` standard errors. Of equal
+cross-entropies the first language name wins. Words of any length are scored, in runs
+of ``RUN`` letters.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +37,8 @@ ORDER = 4
 SAMPLE_DOCS = 500
 HELD_BACK = 4  # one sampled document in so many calibrates
 SLACK, SIGMAS = 0.5, 4.0
+#: Letters whose probabilities are worked out together.
+RUN = 1 << 17
 START, END = "\x02", "\x03"
 UNKNOWN = "und"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -47,9 +52,9 @@ def bare(word: bytes) -> str:
     return f"{START}{found}{END}" if found else ""
 
 
-def grams(word: str) -> list[str]:
+def grams(word: str) -> Iterator[str]:
     """The longest n-gram (up to ``ORDER``) that ends at each place after the start."""
-    return [word[max(0, i - ORDER + 1):i + 1] for i in range(1, len(word))]
+    return (word[max(0, i - ORDER + 1):i + 1] for i in range(1, len(word)))
 
 
 def hash_points(points: np.ndarray) -> np.ndarray:
@@ -88,26 +93,40 @@ class Model:
         lengths = np.array([len(t) for t in texts], np.int64)
         if not lengths.sum():
             return out
-        points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64)
-        owner = np.repeat(np.arange(len(words)), lengths)
-        place = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        at = np.flatnonzero(place > 0)  # the start mark is never predicted
-        place = place[at]
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        ends = np.cumsum(lengths)
+        for start in range(0, len(points), RUN):
+            at = np.arange(start, min(start + RUN, len(points)))
+            owner = np.searchsorted(ends, at, "right")
+            place = at - (ends - lengths)[owner]
+            inner = place > 0  # the start mark is never predicted
+            at, owner, place = at[inner], owner[inner], place[inner]
+            if not len(at):
+                continue
+            first = owner[0]
+            log = self._logs(points, at, place)
+            for k in range(len(self.languages)):
+                part = np.bincount(owner - first, -log[:, k])
+                out[first:first + len(part), k] += part
+            part = np.bincount(owner - first)
+            out[first:first + len(part), -1] += part
+        return out
+
+    def _logs(self, points: np.ndarray, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """[n, languages]: log-probabilities of the points ``at``, which stand at ``place``."""
         log = np.tile(self.floor, (len(at), 1))
         for order in range(1, ORDER + 1):
             fits = np.flatnonzero(place >= order - 1)
             here = at[fits]
-            window = np.stack([points[here - k] for k in range(order - 1, -1, -1)], axis=1)
+            window = np.stack([points[here - k] for k in range(order - 1, -1, -1)],
+                              axis=1).astype(np.uint64)
             if order > 1:
                 row, found = _find(self.context_hashes[order - 2], hash_points(window[:, :-1]))
                 log[fits[found]] += self.back_offs[order - 2][row]
             row, found = _find(self.hashes[order - 1], hash_points(window))
             seen = self.logs[order - 1][row]
             log[fits[found]] = np.where(np.isnan(seen), log[fits[found]], seen)
-        for k in range(len(self.languages)):
-            out[:, k] = np.bincount(owner[at], -log[:, k], len(words))
-        out[:, -1] = np.bincount(owner[at], minlength=len(words))
-        return out
+        return log
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

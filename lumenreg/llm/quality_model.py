@@ -59,7 +59,10 @@ class Forest:
 
 def grow(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH,
          rate: float = RATE) -> Forest:
-    """Boosted trees by level-wise histogram splits; a constant if one class is missing."""
+    """Boosted trees by level-wise histogram splits; a constant if one class is missing.
+
+    Of splits of equal gain the first feature's lowest cut wins.
+    """
     n, width = x.shape
     inner, leaves = 2 ** depth - 1, 2 ** depth
     share = (y.sum() + 1) / (n + 2)
@@ -143,6 +146,7 @@ def predict(docs: DataFrame, forest: Forest, id_col: str = "doc_id",
     """id, score (0 to 1) and predicted (1 if the score is 0.5 or more) of every row.
 
     Null texts are empty; empty texts are scored by their all-zero statistics.
+    Repeated rows each give their row.
     """
     def make():
         def step(texts):

@@ -1,12 +1,14 @@
 """Language ID: the Kneser-Ney model against a plain one, accuracy, rejection."""
 
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
 from lumenreg.llm import language as L
+from lumenreg.llm.batches import Memo
 from lumenreg.llm.queries import op10_language
 from tests.conftest import SF_MID
 from tests.llm.cases import prose
@@ -77,6 +79,39 @@ def test_memo_limit_changes_nothing():
             assert np.allclose(a[0], b[0]) and a[1] == b[1]
 
 
+def test_long_words_are_scored_in_runs(monkeypatch):
+    counts = {k: {g: 1 for w in v for g in L.grams(L.bare(w))} for k, v in WORDS.items()}
+    model = L.build(counts)
+    words = [b"123", b"banana" * 50, b"anna", b"tot" * 70, b"", b"o"]
+    whole = model.word_scores(words)
+    for run in (1, 7, 64):
+        monkeypatch.setattr(L, "RUN", run)
+        assert np.allclose(model.word_scores(words), whole, atol=1e-9)
+
+
+def test_memory_of_a_word_of_megabytes_is_bounded():
+    names = [f"l{i}" for i in range(20)]
+    model = L.build({n: {g: i + 1 for w in WORDS["x"] for g in L.grams(L.bare(w))}
+                     for i, n in enumerate(names)})
+    word = b"banana" * 500_000
+    tracemalloc.start()
+    scores = model.word_scores([word])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert scores[0, -1] == len(word) + 1
+    assert peak < 200e6  # a row of floats for each letter and language would take 480 MB
+
+
+def test_memo_holds_bounded_bytes():
+    memo = Memo(lambda words: [len(w) for w in words], limit_bytes=1000)
+    for i in range(50):
+        new = {bytes([65 + i]) * 100, b"x"}
+        memo.add(new)
+        assert all(memo[w] == len(w) for w in new) and sum(map(len, memo)) <= 1000
+    memo.add({b"y" * 5000})  # one token beyond the bound is held alone
+    assert list(memo) == [b"y" * 5000]
+
+
 def test_held_out_labels_are_never_learned(spark):
     held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
     learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
