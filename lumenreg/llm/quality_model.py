@@ -113,15 +113,21 @@ def held_out(id_col: str = "doc_id"):
 
 
 def sample(docs: DataFrame, labels: DataFrame, value_col: str, fields, make, rows: int,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text",
+           most_of: dict[bool, int] | None = None) -> DataFrame:
     """``good`` and the step's fields of at most ``rows`` labelled documents that may be learned.
 
     The labelled ids are bounded before they are broadcast, and the rows again
-    after the join, where ids repeat.
+    after the join, where ids repeat. ``most_of`` (label -> ids) draws up to so many ids
+    of a label first; the other label has the rest of ``rows``.
     """
     draw = F.xxhash64(F.lit("label sample"), "doc_id")
-    ids = (labelled(labels, id_col, value_col).where(~held_out("doc_id"))
-           .orderBy(draw, "doc_id").limit(rows))
+    known = labelled(labels, id_col, value_col).where(~held_out("doc_id"))
+    ids = known.orderBy(draw, "doc_id").limit(rows)
+    for label, most in (most_of or {}).items():
+        first = known.where(F.col("good") == label).orderBy(draw, "doc_id").limit(most)
+        ids = first.union(known.where(F.col("good") != label).orderBy(draw, "doc_id")
+                          .limit(rows - first.count()))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
         F.broadcast(ids), "doc_id")
     return (with_text_columns(texts, ["doc_id", "good"], "text", make, fields)

@@ -7,7 +7,8 @@ those of its distinct words: the word and its character n-grams, hashed. One
 weight vector serves all thresholds: P(grade > k) = sigmoid(s - b_k) with rising
 b_k. Features whose use in toxic and clean documents doesn't differ beyond
 chance (a likelihood-ratio test) have no weight; the others' are fitted with an L1 penalty by proximal
-adaptive gradient steps, on a bounded sample of labelled rows (``SAMPLE_ROWS``).
+adaptive gradient steps, on a bounded sample of labelled rows (``SAMPLE_ROWS``, a tenth
+of it kept for toxic rows, however rare they are).
 
 The score of a word doesn't depend on its document, so scoring sums the scores
 of a text's distinct words. ``severity`` is the expected grade (0 to 3).
@@ -16,9 +17,11 @@ of a text's distinct words. ``severity`` is the expected grade (0 to 3).
 from __future__ import annotations
 
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, StringType,
                                StructField)
@@ -28,12 +31,14 @@ from lumenreg.llm.language import hash_points
 from lumenreg.llm.quality_model import sample
 
 SAMPLE_ROWS = 6_000
+#: Clean rows leave this part of the sample to toxic ones, however rare these are.
+RARE_SHARE = 10
 BITS = 20
 SIZES = (3, 4, 5)
 GRADES = 4
 MARK_ODDS, MARK_ROWS = 3.0, 3
-#: Words whose features are worked out together.
-CHUNK = 20_000
+#: Words, and characters of them, whose features are worked out together.
+CHUNK, RUN = 20_000, 1 << 19
 #: Root of the likelihood-ratio statistic that a feature must reach to be fitted.
 CLEAR = 5.0
 STEPS, RATE, PENALTY = 400, 0.06, 2e-5
@@ -46,29 +51,26 @@ def words_of(raw: bytes | None) -> list[bytes]:
     return sorted(found - {b""})
 
 
-def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, feature number) pairs: the word's n-grams of ``SIZES`` and itself."""
+def word_features(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word numbers, feature numbers): the words' n-grams of ``SIZES`` and themselves.
+
+    Runs of ``RUN`` characters at a time, so that a word may have any length.
+    """
     texts = [f"\x02{w.decode()}\x03" for w in words]
-    lengths = np.array([len(t) for t in texts], np.int64)
-    points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64)
-    owner = np.repeat(np.arange(len(words)), lengths)
-    room = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))
-    owners, hashes = [], []
-    for size in SIZES:
-        at = np.flatnonzero(room >= size)
-        owners.append(owner[at])
-        hashes.append(hash_points(np.stack([points[at + k] for k in range(size)], axis=1)))
-    whole = np.zeros(len(words), np.uint64)
-    start = np.cumsum(lengths) - lengths
-    for k in range(int(lengths.max(initial=0))):
-        here = np.flatnonzero(lengths > k)
-        whole[here] = (whole[here] + points[start[here] + k] + np.uint64(7)) * np.uint64(
-            0xD6E8FEB86659FD93)
-        whole[here] ^= whole[here] >> np.uint64(31)
-    owners.append(np.arange(len(words)))
-    hashes.append(whole * np.uint64(0x9E3779B97F4A7C15))
-    return (np.concatenate(owners),
-            (np.concatenate(hashes) >> np.uint64(64 - BITS)).astype(np.int64))
+    ends = np.cumsum([len(t) for t in texts])
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    number = lambda hashes: (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    for start in range(0, len(points), RUN):
+        place = np.arange(start, min(start + RUN, len(points)))
+        owner = np.searchsorted(ends, place, "right")
+        room = ends[owner] - place
+        for size in SIZES:
+            fits = room >= size
+            at = place[fits]
+            grams = np.stack([points[at + k] for k in range(size)], axis=1).astype(np.uint64)
+            yield owner[fits], number(hash_points(grams))
+    whole = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    yield np.arange(len(words)), number(whole)
 
 
 @dataclass
@@ -77,8 +79,12 @@ class Ordinal:
     cuts: np.ndarray  # rising, GRADES - 1 of them
 
     def word_scores(self, words: list[bytes]) -> list[float]:
-        owner, feature = word_features(words)
-        return np.bincount(owner, self.weights[feature], len(words)).tolist()
+        out = np.zeros(len(words))
+        for owner, feature in word_features(words):
+            if len(owner):
+                part = np.bincount(owner - owner[0], self.weights[feature])
+                out[owner[0]:owner[0] + len(part)] += part
+        return out.tolist()
 
     def exceed(self, s: np.ndarray) -> np.ndarray:
         """P(grade > k) for k = 0, 1, 2."""
@@ -107,8 +113,8 @@ class Sample:
     def features(self):
         """(word numbers, feature numbers), a bounded run of the vocabulary at a time."""
         for start in range(0, len(self.vocabulary), CHUNK):
-            owner, feature = word_features(self.vocabulary[start:start + CHUNK])
-            yield owner + start, feature
+            for owner, feature in word_features(self.vocabulary[start:start + CHUNK]):
+                yield owner + start, feature
 
 
 def grades_of(sample: Sample, toxic: np.ndarray) -> np.ndarray:
@@ -123,6 +129,26 @@ def grades_of(sample: Sample, toxic: np.ndarray) -> np.ndarray:
     return np.where(toxic, 1 + (held > cuts[0]) + (held > cuts[1]), 0)
 
 
+def _sigmoid(v: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(v, -60, 60)))
+
+
+def gradient(s: np.ndarray, cuts: np.ndarray, grades: np.ndarray,
+             balance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of the weighted negative log-likelihood by the scores and by the thresholds.
+
+    P(grade = g) = sigmoid(s - b_(g-1)) - sigmoid(s - b_g), with ends 1 and 0.
+    """
+    high, low = grades > 0, grades < GRADES - 1
+    above = np.where(high, _sigmoid(s - cuts[np.maximum(grades - 1, 0)]), 1.0)
+    below = np.where(low, _sigmoid(s - cuts[np.minimum(grades, GRADES - 2)]), 0.0)
+    chance = np.maximum(above - below, 1e-9)
+    by_cut = np.zeros(len(cuts))
+    np.add.at(by_cut, grades[high] - 1, (balance * above * (1 - above) / chance)[high])
+    np.add.at(by_cut, grades[low], -(balance * below * (1 - below) / chance)[low])
+    return (above + below - 1.0) * balance, by_cut
+
+
 def fit_ordinal(sample: Sample, grades: np.ndarray) -> Ordinal:
     """Shared weights and ordered thresholds; without toxic or clean rows only thresholds."""
     share = [np.clip((grades > k).mean() if len(grades) else 0.0, 1e-3, 1 - 1e-3)
@@ -152,23 +178,16 @@ def fit_ordinal(sample: Sample, grades: np.ndarray) -> Ordinal:
     word, doc = word[holds[word]], doc[holds[word]]
     kept, feature = np.unique(feature, return_inverse=True)
     w, seen, seen_cuts = np.zeros(len(kept)), np.full(len(kept), 1e-8), np.full(len(cuts), 1e-8)
-    high, low = grades > 0, grades < GRADES - 1
+    high = grades > 0
     balance = np.where(high, 0.5 / high.mean(), 0.5 / (~high).mean()) / len(grades)
-    sigmoid = lambda v: 1.0 / (1.0 + np.exp(-np.clip(v, -60, 60)))
     for _ in range(STEPS):
         s = np.bincount(doc, np.bincount(owner, w[feature], n_words)[word], len(grades))
-        above = np.where(high, sigmoid(s - cuts[np.maximum(grades - 1, 0)]), 1.0)
-        below = np.where(low, sigmoid(s - cuts[np.minimum(grades, GRADES - 2)]), 0.0)
-        chance = np.maximum(above - below, 1e-9)
-        slope = (above + below - 1.0) * balance
+        slope, g_cuts = gradient(s, cuts, grades, balance)
         g = np.bincount(feature, np.bincount(word, slope[doc], n_words)[owner], len(kept))
         seen += g * g
         step = RATE / np.sqrt(seen)
         w -= step * g
         w = np.sign(w) * np.maximum(np.abs(w) - step * PENALTY, 0.0)
-        g_cuts = np.zeros(len(cuts))
-        np.add.at(g_cuts, grades[high] - 1, (balance * above * (1 - above) / chance)[high])
-        np.add.at(g_cuts, grades[low], -(balance * below * (1 - below) / chance)[low])
         seen_cuts += g_cuts * g_cuts
         cuts = np.maximum.accumulate(cuts - RATE / np.sqrt(seen_cuts) * g_cuts
                                      + 1e-6 * np.arange(len(cuts)))
@@ -181,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """A model from a bounded sample of the labelled documents that are not held out."""
     found = sample(docs, labels, "toxic", [StructField("words", ArrayType(StringType()))],
                    lambda: lambda texts: [[[w.decode() for w in words_of(t)] for t in texts]],
-                   sample_rows, id_col, text_col).select("doc_id", "good", "words").toArrow()
+                   sample_rows, id_col, text_col, most_of={False: sample_rows - sample_rows // RARE_SHARE}).select("doc_id", "good", "words").toArrow()
     words = Sample.of([w.encode() for w in x.as_py()] for x in found.column("words"))
     toxic = np.array(found.column("good").to_pylist(), bool)
     return fit_ordinal(words, grades_of(words, toxic))
