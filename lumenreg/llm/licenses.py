@@ -9,10 +9,19 @@ frequency and by their inverse document frequency over all files; terms of no
 template count towards its length with the highest weight. The licence of a file
 is the template of the highest cosine of ``MIN_COSINE`` or more, over all blocks
 (ties: the template's name). A block must hold the terms of the template that tell
-licences apart (``TELLING``: names and versions) and none of ``OTHERS`` that the
-template lacks. Long licence texts (Apache, GPL, MPL, Creative Commons) are known by
+licences apart (``TELLING``: names and versions), none of ``OTHERS`` that the
+template lacks, and a word of granting (``GRANTS``) if the template has one, so that
+talk about a licence is no notice. Long licence texts (Apache, GPL, MPL, Creative Commons) are known by
 their titles and first sentences, shorter ones have their full text as a template.
 
+Declarations (SPDX lines, manifest lines such as ``"license": "MIT"``, "dual licensed
+under") name licences by identifiers: each identifier is scored as the SPDX header it
+stands for. An expression of several (``MIT OR Apache-2.0``) is the file's licence,
+before all single evidence: operators and exceptions as written, identifiers by their
+templates' names, ``unknown`` for those of no template, with the lowest cosine of the
+known ones (several expressions: the highest cosine, then the text). An expression of
+unknown identifiers alone counts for nothing.
+
 A file is a licence file of its directory if its name says so or if the
 best block holds half of its terms. A file without a licence of its own takes
 that of the nearest ancestor directory that has a licence file (the highest
@@ -41,7 +50,7 @@ ANCHOR = (r"(?i)licen[cs]e|spdx|copying conditions|permission is hereby granted|
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|copyright)[^/]*$"
 #: Terms by which a template's windows are laid: the first of them in the template.
 NAMING = frozenset("""
-apache mit sublicense gnu gpl lgpl agpl lesser affero bsd mozilla mpl creative cc sa nc sharealike
+apache mit mit0 sublicense gnu gpl lgpl agpl lesser affero bsd mozilla mpl creative cc sa nc sharealike
 noncommercial attribution isc unencumbered unlicense cc0 endorse
 """.split())
 VERSIONS = frozenset("2 3 1.0 2.0 2.0+ 2.1 2.1+ 3.0 3.0+ 4.0".split())
@@ -52,10 +61,32 @@ OTHERS = frozenset("""
 gpl lgpl agpl lesser affero bsd mozilla mpl sa nc nd sharealike noncommercial noderivatives noderivs
 isc cc0 endorse sublicense
 """.split())
+#: Words by which a notice grants; a template that has one asks for one in its blocks.
+GRANTS = frozenset("""
+licensed licenced released distributed distribute redistribute redistribution redistributions available
+under governed subject terms identifier permission permitted granted dedicated free
+""".split())
+_ID = r"[A-Za-z0-9][A-Za-z0-9.+-]*+"
+_OPERAND = rf"\(*+[ \t]*+{_ID}(?:[ \t]*+\))*+"
+
+
+def _expression(operators: str) -> str:
+    return rf"{_OPERAND}(?:(?:[ \t]++{operators}[ \t]++|/){_OPERAND})*+"
+
+
+#: Declarations; group 1 is an identifier or an expression of several.
+DECLARATIONS = (
+    rf"(?i:SPDX-Licen[sc]e-Identifier):[ \t]*+({_expression('(?:OR|AND|WITH)')})",
+    rf"(?im)^[ \t#/*;>{{-]*+[\"']?licen[sc]e[\"']?[ \t]*+[:=][ \t]*+[\"']?({_expression('(?:or|and|with)')})"
+    r"[\"']?[ \t]*+[,;}]*+[ \t]*+$",
+    rf"(?i)dual[ -]licen[sc]ed[ \t]++under[ \t]++(?:the[ \t]++|either[ \t]++)?({_expression('(?:or|and|with)')})")
+OPERATORS = ("(", ")", "OR", "AND", "WITH")
 #: The terms of BSD's second and third clauses: conditions that BSD-2 and BSD-3 share are BSD-2's in
 #: a file that has the former without the latter.
 SECOND_CLAUSE, THIRD_CLAUSE = "reproduce", "endorse"
 TERM = r"[^a-z0-9.+]+"
+#: MIT-0 is one term, or it would hold MIT's.
+MIT_0 = ("mit-0", "mit0")
 
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -129,7 +160,7 @@ def _gnu_title(name: str, version: str) -> str:
 
 
 _SPDX = {
-    "MIT": ["MIT"], "Apache-2.0": ["Apache-2.0"], "ISC": ["ISC"], "Unlicense": ["Unlicense"],
+    "MIT": ["MIT"], "MIT-0": ["MIT-0"], "Apache-2.0": ["Apache-2.0"], "ISC": ["ISC"], "Unlicense": ["Unlicense"],
     "BSD-2-Clause": ["BSD-2-Clause"], "BSD-3-Clause": ["BSD-3-Clause"], "MPL-2.0": ["MPL-2.0"],
     "CC0-1.0": ["CC0-1.0"], "CC-BY-4.0": ["CC-BY-4.0"], "CC-BY-SA-4.0": ["CC-BY-SA-4.0"],
     "CC-BY-NC-4.0": ["CC-BY-NC-4.0"],
@@ -180,6 +211,8 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("MIT", _MIT),
     ("MIT", "Licensed under the MIT License."),
+    ("MIT-0", "MIT No Attribution"),
+    ("MIT-0", "Licensed under the MIT-0 License."),
     ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND "
      "CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions."),
     ("BSD-2-Clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
@@ -221,7 +254,7 @@ TEMPLATES = (
 
 def plain_terms(text: str) -> list[str]:
     """The terms of a template, as ``terms`` has them."""
-    return [t for t in (x.strip(".") for x in re.split(TERM, text.lower())) if t]
+    return [t for t in (x.strip(".") for x in re.split(TERM, text.lower().replace(*MIT_0))) if t]
 
 
 def naming_places() -> dict:
@@ -236,7 +269,7 @@ def naming_places() -> dict:
 
 def terms(text: Column) -> Column:
     """Lower-case terms of a text, without dots at their ends."""
-    found = F.transform(F.split(F.lower(text), TERM), lambda t: F.btrim(t, F.lit(".")))
+    found = F.transform(F.split(F.replace(F.lower(text), *map(F.lit, MIT_0)), TERM), lambda t: F.btrim(t, F.lit(".")))
     return F.filter(found, lambda t: t != "")
 
 
@@ -291,15 +324,18 @@ class Evidence:
         self.rules = constant(
             [{"license": name, "telling": sorted(TELLING.intersection(plain_terms(t))),
               "others": sorted(OTHERS.difference(plain_terms(t))),
+              "granting": not GRANTS.isdisjoint(plain_terms(t)),
               "clauses": None if "redistributions" not in plain_terms(t) or THIRD_CLAUSE in plain_terms(t)
               else name == "BSD-2-Clause"} for name, t in TEMPLATES],
-            "array<struct<license:string,telling:array<string>,others:array<string>,clauses:boolean>>")
+            "array<struct<license:string,telling:array<string>,others:array<string>,granting:boolean,"
+            "clauses:boolean>>")
 
     def marks(self, found: Column) -> Column:
-        return F.array_intersect(found, F.array(*[F.lit(t) for t in sorted(TELLING | OTHERS)]))
+        return F.array_intersect(found, F.array(*[F.lit(t) for t in sorted(TELLING | OTHERS | GRANTS)]))
 
     def fits(self, rule: Column, marks: Column, two_clause: Column) -> Column:
         return (~F.arrays_overlap(marks, rule["others"])
+                & (~rule["granting"] | F.arrays_overlap(marks, F.array(*[F.lit(t) for t in sorted(GRANTS)])))
                 & F.coalesce(rule["clauses"] == two_clause, F.lit(True))
                 & (F.size(F.array_except(rule["telling"], marks)) == 0))
 
@@ -341,6 +377,33 @@ class Evidence:
             self.fits(rule, self.marks(found), two_clause), self.weighed(
                 found, lambda c, size: self.entry(self.cosine(c, size, template), rule, found))))
 
+    def declared(self, text: Column, two_clause: Column) -> Column:
+        """(joint, entry) of every declaration with a known licence; joint: of several identifiers."""
+        def operands(expression):
+            split = F.regexp_extract_all(F.replace(expression, F.lit("/"), F.lit(" OR ")),
+                                         F.lit(r"[()]|[^\s()]+"), F.lit(0))
+            return let(split, lambda ts: F.transform(ts, lambda t, i: F.struct(t.alias("token"), F.when(
+                ~F.upper(t).isin(*OPERATORS) & F.coalesce(F.upper(F.get(ts, i - 1)) != "WITH", F.lit(True)),
+                F.struct(self.any_template(terms(F.concat(F.lit("spdx license identifier "), t)), two_clause)
+                         .alias("entry"))).alias("operand"))))
+
+        def written(parts):
+            joined = F.array_join(F.transform(parts, lambda p: F.when(
+                p["operand"].isNotNull(), F.coalesce(p["operand"]["entry"]["license"], F.lit("unknown"))).when(
+                F.upper(p["token"]).isin(*OPERATORS), F.upper(p["token"])).otherwise(p["token"])), " ")
+            return F.replace(F.replace(joined, F.lit("( "), F.lit("(")), F.lit(" )"), F.lit(")"))
+
+        def entry(expression, parts):
+            several = F.size(F.filter(parts, lambda p: p["operand"].isNotNull())) > 1
+            return let(F.filter(parts, lambda p: p["operand"]["entry"].isNotNull()), lambda known: F.when(
+                F.size(known) > 0, F.struct(several.alias("joint"), F.when(several, F.struct(
+                    F.array_max(F.transform(known, lambda p: p["operand"]["entry"]["minus"])).alias("minus"),
+                    written(parts).alias("license"), F.size(terms(expression)).alias("n")))
+                    .otherwise(F.get(known, F.lit(0))["operand"]["entry"]).alias("entry"))))
+
+        found = F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(d), F.lit(1)) for d in DECLARATIONS]))
+        return F.transform(found, lambda x: let(operands(x), lambda parts: entry(x, parts)))
+
     def best(self, text: Column, named: Column) -> Column:
         """(-cosine, licence, terms of the block, terms of the file) of a file's best block."""
         lines = F.split(text, "\n")
@@ -370,7 +433,10 @@ class Evidence:
         def found_in(lines, all_terms):
             two_clause = F.array_contains(all_terms, SECOND_CLAUSE) & ~F.array_contains(all_terms, THIRD_CLAUSE)
             whole = F.when(F.coalesce(named, F.lit(False)), self.any_template(all_terms, two_clause))
-            return let(F.array_min(F.array(of_lines(lines, two_clause), of_windows(all_terms, two_clause), whole)),
+            return let(let(self.declared(text, two_clause), lambda ds: F.coalesce(
+                F.array_min(F.transform(F.filter(ds, lambda d: d["joint"]), lambda d: d["entry"])),
+                F.array_min(F.array(of_lines(lines, two_clause), of_windows(all_terms, two_clause), whole,
+                                    F.array_min(F.transform(ds, lambda d: d["entry"])))))),
                        lambda b: F.when(b.isNotNull(), F.struct(
                            b["minus"].alias("minus"), b["license"].alias("license"), b["n"].alias("n"),
                            F.size(all_terms).alias("size"))))

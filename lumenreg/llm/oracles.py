@@ -16,18 +16,18 @@ def _text(value: str) -> str:
 def licences() -> str:
     templates = ",\n".join(f"({i}, {_text(n)}, {_text(t)})" for i, (n, t) in enumerate(N.TEMPLATES))
     windows = ", ".join(f"({w})" for w in N.WINDOWS)
-    term = "[a-z0-9.+]+"
+    term, mit_0 = "[a-z0-9.+]+", ", ".join(map(_text, N.MIT_0))
     return rf"""
 WITH files AS (
   SELECT doc_id, text, row_number() OVER () AS file,
          concat_ws('/', source, CAST(doc_id // 1000 AS VARCHAR), CAST(doc_id AS VARCHAR) || '.txt') AS path
   FROM documents),
 file_terms AS (
-  SELECT file, trim(unnest(regexp_extract_all(lower(text), '{term}')), '.') AS term FROM files),
+  SELECT file, trim(unnest(regexp_extract_all(replace(lower(text), {mit_0}), '{term}')), '.') AS term FROM files),
 template AS (SELECT * FROM (VALUES {templates}) t(template, license, body)),
 template_tf AS (
   SELECT template, license, term, count(*) AS tf FROM (
-    SELECT template, license, trim(unnest(regexp_extract_all(lower(body), '{term}')), '.') AS term
+    SELECT template, license, trim(unnest(regexp_extract_all(replace(lower(body), {mit_0}), '{term}')), '.') AS term
     FROM template) WHERE term <> '' GROUP BY ALL),
 vocabulary AS (SELECT DISTINCT term FROM template_tf),
 total AS (SELECT count(*) AS n FROM files),
@@ -51,7 +51,7 @@ blocks AS (
 unit_tf AS (
   SELECT file, block, term, count(*) AS tf, any_value(n) AS n FROM (
     SELECT file, block, term, count(*) OVER (PARTITION BY file, block) AS n FROM (
-      SELECT file, block, trim(unnest(regexp_extract_all(lower(block), '{term}')), '.') AS term FROM blocks)
+      SELECT file, block, trim(unnest(regexp_extract_all(replace(lower(block), {mit_0}), '{term}')), '.') AS term FROM blocks)
     WHERE term <> '') GROUP BY file, block, term),
 unit AS (
   SELECT u.*, idf.idf, CASE WHEN idf.idf IS NULL THEN tf * (ln(1 + total.n) + 1) ** 2

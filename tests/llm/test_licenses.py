@@ -13,7 +13,7 @@ MIT, APACHE = N.TEMPLATES[4][1], N.TEMPLATES[1][1]
 
 
 def terms(text):
-    return [t for t in (x.strip(".") for x in re.split(N.TERM, text.lower())) if t]
+    return [t for t in (x.strip(".") for x in re.split(N.TERM, text.lower().replace("mit-0", "mit0"))) if t]
 
 
 def plain_scan(texts):
@@ -117,7 +117,7 @@ def test_notices_inside_lines_and_over_line_ends(spark):
 
 SPDX = {"MPL-2.0": "MPL-2.0", "AGPL-3.0-or-later": "AGPL-3.0", "BSD-3-Clause": "BSD-3-Clause",
         "BSD-2-Clause": "BSD-2-Clause", "LGPL-2.1-only": "LGPL-2.1", "GPL-2.0+": "GPL-2.0",
-        "GPL-3.0-only": "GPL-3.0", "CC0-1.0": "CC0-1.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0", "ISC": "ISC",
+        "GPL-3.0-only": "GPL-3.0", "CC0-1.0": "CC0-1.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0", "ISC": "ISC", "MIT-0": "MIT-0",
         "EPL-2.0": None, "MS-PL": None, "GPL-1.0-only": None, "Apache-1.1": None}
 
 
@@ -142,6 +142,39 @@ def test_licences_are_told_apart(spark):
     assert own_licences(spark, texts) == [*SPDX.values(), *full]
 
 
+def test_expressions_and_manifest_lines(spark):
+    a, b = prose(1, 60), prose(2, 60)
+    want = {
+        f"// SPDX-License-Identifier: MIT OR Apache-2.0\n{a}": "MIT OR Apache-2.0",
+        f"SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0 OR MIT) AND ISC\n{a}":
+            "(GPL-2.0 WITH Classpath-exception-2.0 OR MIT) AND ISC",
+        f"SPDX-License-Identifier: MIT AND EPL-2.0\n{a}": "MIT AND unknown",
+        f"SPDX-License-Identifier: EPL-2.0 OR MS-PL\n{a}": None,
+        f"SPDX-License-Identifier: MIT or {a}": "MIT",
+        f"{a} This crate is dual licensed under MIT or Apache-2.0. {b}": "MIT OR Apache-2.0",
+        f"[package]\nname = 'x'\nlicense = \"MIT\"\n{a}": "MIT",
+        f"[package]\nlicense = \"MIT/Apache-2.0\"\n{a}": "MIT OR Apache-2.0",
+        f'{{\n  "name": "x",\n  "license": "Apache-2.0",\n  "v": 1}}\n{a}': "Apache-2.0",
+        f'{{\n  "license": "(MIT OR CC0-1.0)"\r\n}}\n{a}': "(MIT OR CC0-1.0)",
+        f"Name: x\nLicense: MIT\n{a}": "MIT", f"License: see the file\n{a}": None, f"license: unknown\n{a}": None,
+        f"License: MIT-0\n{a}": "MIT-0", f"{a} Licensed under the MIT-0 License. {b}": "MIT-0",
+        "MIT No Attribution\n\n" + N._MIT_GRANT.partition(", subject to")[0] + "." + N._NO_WARRANTY + N._LIABLE: "MIT-0",
+        f"{a}\nlicensed: MIT is what one reads": None,
+        "Apache License Version 2.0 is great, the driver's license version 2.0 too": None,
+        f"{a}\nThe Apache License Version 2.0 has a licence of version 2.0 in it.\n{b}": None,
+        "license: " + "( " * 20_000 + "\n" * 20_000 + "license: " + "a/" * 5_000 + " b": None}
+    assert dict(zip(want, own_licences(spark, list(want)))) == want
+
+
+def test_expressions_are_inherited(spark):
+    rows = [(1, "a/LICENSE", "SPDX-License-Identifier: MIT OR Apache-2.0"), (2, "a/b/x.py", prose(1, 40)),
+            (3, "a/c/LICENSE", N._MIT), (4, "a/c/x.py", None)]
+    got = {r["doc_id"]: r for r in N.scan(spark.createDataFrame(rows, "doc_id long, path string, text string"))
+           .collect()}
+    assert [(got[i]["license"], got[i]["origin"]) for i in range(1, 5)] == [
+        ("MIT OR Apache-2.0", "own"), ("MIT OR Apache-2.0", "inherited"), ("MIT", "own"), ("MIT", "inherited")]
+
+
 def test_licence_files_are_whole(spark):
     texts = [N._BSD_CONDITIONS.replace("Redistributions", "* Redistributions") + N._BSD_DISCLAIMER, N._MIT,
              "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nCopyright (C) 2007 Free Software "
