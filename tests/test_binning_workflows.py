@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from lumenreg import config as C
 from lumenreg.operators import evaluate as E
 from lumenreg.operators import models as M
+from lumenreg.operators import binning as B
 from lumenreg.operators.binning import quantile_bins
 from lumenreg.operators.prepare import prepare_features
 from lumenreg.operators.split import hash_split, rename_label
@@ -39,6 +41,30 @@ def test_quantile_bins_are_equal_frequency_and_monotone(spark):
         quantile_bins(f, ["Pack"], 1)
 
 
+@pytest.mark.parametrize("ranges, drawn", [(2, 5), (16, 200), (2048, 50_000)])
+def test_rank_values_are_exact(spark, monkeypatch, ranges, drawn):
+    """Whatever the ranges and sample (that only steer): spikes, nulls, infinities, one value."""
+    monkeypatch.setattr(B, "RANK_RANGES", ranges)
+    monkeypatch.setattr(B, "RANK_ROWS", drawn)
+    r = random.Random(ranges)
+    rows = [(r.gauss(0, 1), r.choice([1.0, 1.0, 1.0, 2.0, -7.5, None]), 3.0, None,
+             r.choice([float("inf"), float("-inf"), 0.0, -0.0, 5e-324])) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(5)
+    shares = [i / 32 for i in range(1, 32)] + [1.0]
+    got = B.rank_values(df, list("abcde"), shares, 3000)
+    for i, values in enumerate(got):
+        have = sorted(row[i] for row in rows if row[i] is not None)
+        assert values == [have[math.ceil(s * len(have)) - 1] for s in shares if have]
+
+
+def test_quantile_cuts_are_exact_beyond_the_accuracy(spark):
+    """A sketch of so few entries would be off by hundreds of ranks."""
+    df = spark.range(0, 100_000, 1, 4).selectExpr("double((id * 7919) % 100003) AS v")
+    values = sorted((i * 7919) % 100003 for i in range(100_000))
+    splits = quantile_bins(df, ["v"], 32, accuracy=10).getSplitsArray()[0]
+    assert splits[1:-1] == [values[math.ceil(i / 32 * 100_000) - 1] for i in range(1, 32)]
+
+
 def test_tree_workflow_with_quantile_binning_scores_all_test_rows(spark):
     rows = tpch_sales(spark, SF_SMALL)
     mllib = W.tree_cv(spark, rows, max_bins=16, max_depth=3, k=3, binning="quantile", bins=16)
