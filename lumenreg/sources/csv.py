@@ -155,10 +155,11 @@ def raw_projection_sql(view: str) -> str:
     return f"SELECT {', '.join(items)} FROM {view}"
 
 
-def write_sales_csv(df: DataFrame, path: str, *, raw_header: bool = False) -> None:
+def write_sales_csv(df: DataFrame, path: str, *, raw_header: bool = False,
+                    compression: str = "none") -> None:
     """Write sales rows as a headed CSV folder (used by round-trip checks)."""
     out = df
     if raw_header:
         clean_to_raw = {v: k for k, v in RAW_TO_CLEAN.items()}
         out = df.select(*[F.col(c).alias(clean_to_raw.get(c, c)) for c in df.columns])
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
