@@ -98,8 +98,8 @@ class Ranks:
         self.table = PairTable(np.array(keys, np.int64), np.array(values, np.int64))
         self.by_pair = dict(zip(keys, values))
 
-    def merge_rows(self, ids: np.ndarray) -> list[np.ndarray]:
-        """Final ids of every row of a padded (-1) id matrix."""
+    def merge_rows(self, ids: np.ndarray) -> list[bytes]:
+        """Final ids of every row of a padded (-1) id matrix, as unsigned 32-bit integers."""
         out: list = [None] * len(ids)
         rows = np.arange(len(ids))
         ranks = self.pair_ranks(ids)
@@ -110,8 +110,11 @@ class Ranks:
                 at = ranks.argmin(axis=1)  # the first of equal ranks is the leftmost
                 best = ranks[np.arange(len(rows)), at]
                 live = best < NONE
-            for r, i in zip(rows[~live], np.flatnonzero(~live)):
-                out[r] = ids[i][ids[i] >= 0]
+            done = ids[~live]
+            held = done >= 0
+            flat, ends = done[held].astype("<u4").tobytes(), (4 * held.sum(axis=1).cumsum()).tolist()
+            for r, begin, end in zip(rows[~live].tolist(), [0, *ends], ends):
+                out[r] = flat[begin:end]
             if not live.any():
                 break
             if not live.all():
@@ -172,7 +175,7 @@ class Ranks:
             filled = np.arange(width)[None, :] < sizes[here][:, None]
             ids[filled] = self.byte_ids[np.frombuffer(b"".join(pieces[i] for i in here), np.uint8)]
             for i, found in zip(here, self.merge_rows(ids)):
-                out[i] = found.astype("<u4").tobytes()
+                out[i] = found
         for i in np.flatnonzero(sizes > WIDTHS[-1]):
             out[i] = self.merge_long(pieces[i]).astype("<u4").tobytes()
         return out
@@ -203,10 +206,16 @@ class Encoder:
         """Ids of a space and each word; None where a word doesn't stand alone."""
         texts = [w.decode() for w in words]
         # str.isspace knows all of SPACE and a little more, which only costs time
-        found = [self.split(" " + t) if t and not t[0].isspace() and not t[-1].isspace() else None
-                 for t in texts]
-        self.pieces.add({p for x in found if x for p in x})
-        return [None if x is None else self.join(x) for x in found]
+        alone = [bool(t) and not t[0].isspace() and not t[-1].isspace() for t in texts]
+        # the words are matched together: no piece spans their cuts, so one begins at each of
+        # them, with the only spaces that there are
+        pieces = self.split("".join(" " + t for t, a in zip(texts, alone) if a))
+        self.pieces.add(set(pieces))
+        ids = list(map(self.pieces.__getitem__, pieces))
+        begins = [i for i, p in enumerate(pieces) if p[0] == 32]
+        units = (ids[a] if b - a == 1 else b"".join(ids[a:b])
+                 for a, b in zip(begins, [*begins[1:], len(pieces)]))
+        return [next(units) if a else None for a in alone]
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""

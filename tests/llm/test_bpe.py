@@ -74,3 +74,24 @@ def test_query(spark, library):
         assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (
             len(ids) // 4, hashlib.sha256(ids).hexdigest(),
             hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest())
+
+
+def test_words_are_matched_together(library):
+    """One call of the pattern for a set of words, also with white space in or around them."""
+    own = bpe.Encoder(PATH, P.PATTERN)
+    words = ["it's", "a\tb", "a b", "x1.5", "", "\ta", "b\n", "été", "東京は", "1\n\n2", "--", "it's"]
+    calls, pattern = [], own.pattern
+
+    class Counted:
+        def findall(self, text):
+            calls.append(text)
+            return pattern.findall(text)
+
+    own.pattern = Counted()
+    got = own.encode_units([w.encode() for w in words])
+    assert len(calls) == 1
+    for word, ids in zip(words, got):
+        if word and word == word.strip():
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(" " + word)
+        else:
+            assert ids is None

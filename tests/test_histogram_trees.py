@@ -229,3 +229,20 @@ def test_cut_trees_and_routes():
     assert values(tree.cut(1)) == values(tree.cut(2, 0.3)) == [2.0, 2.0, 8.0, 8.0]
     assert values(tree.cut(0)) == values(tree.cut(9, 4.0)) == [5.0] * 4
     assert tree.cut(9, 0.25).key() == tree.key() and TreeEnsemble([tree], [1.0]).smallest_gain() == 0.25
+
+
+def test_passes_read_packed_rows(spark):
+    """A counting pass gets arrays of many rows each, all rows once, and leaves the session as it was."""
+    r = random.Random(3)
+    rows = [(r.random(), r.choice([1.0, 2.0]), r.randrange(2), r.random()) for _ in range(700)]
+    df = spark.createDataFrame(rows, "a double, b double, fold int, label double").repartition(2)
+    kept = H.kept_rows(df, ["a", "b"], "label", "fold", 8, exact=True)
+    assert kept.df.columns == ["x", "y", "fold", "at"] and kept.df.count() <= 4
+    got = [part for x, y, fold, at in H._unpacked(kept.df.toArrow().to_batches(), kept.cuts)
+           for part in zip(x[:, 0].tolist(), x[:, 1].tolist(), fold.tolist(), y.tolist())]
+    assert sorted(got) == sorted(rows)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    H.grow(kept, [H.Model(None, 2)], exact=True)
+    assert spark.conf.get(name, None) == before
+    kept.release()

@@ -68,3 +68,20 @@ def test_workflows_end_to_end(spark):
         "sqrt(avg(power(trueLabel - prediction, 2))) AS r").first()["r"]
     assert w1.test_rmse == pytest.approx(direct, rel=1e-9)
     assert w1.report(spark).count() == 1
+
+
+def test_load_sales_writes_compressed_files_and_joins_once(spark, monkeypatch):
+    """All columns of three files as plain text are many times the tables."""
+    from lumenreg.plans import queries as Q
+    from lumenreg.session import remove_scratch
+
+    paths, make = [], Q.scratch_dir
+    monkeypatch.setattr(Q, "scratch_dir", lambda s, name: paths.append(make(s, name)) or paths[-1])
+    rows = Q.q_load_sales(spark, SF_SMALL)
+    files = [f for path in paths for f in spark.read.text(path).inputFiles()]
+    assert len(paths) == 3 and all(f.endswith(".csv.gz") for f in files)
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert {r["source"]: r["count"] for r in rows.groupBy("source").count().collect()} == {
+        name: lines for name in ("cleaned", "raw", "reordered", "inferred", "table")}
+    for path in paths:
+        remove_scratch(spark, path)
