@@ -79,7 +79,7 @@ def test_query(spark, library):
 def test_words_are_matched_together(library):
     """One call of the pattern for a set of words, also with white space in or around them."""
     own = bpe.Encoder(PATH, P.PATTERN)
-    words = ["it's", "a\tb", "a b", "x1.5", "", "\ta", "b\n", "été", "東京は", "1\n\n2", "--", "it's"]
+    words = ["it's", "a\tb", "a\xa0b", "x1.5", "", "\ta", "b\n", "été", "東京は", "1\n\n2", "--", "it's"]
     calls, pattern = [], own.pattern
 
     class Counted:
